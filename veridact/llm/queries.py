@@ -21,6 +21,23 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {"op10_simhash_near_dedup": op10_simhash_near_dedup}
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity
+
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=("doc_id",)).select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
+QUERIES = {
+    "op6_toxicity": op6_toxicity,
+    "op10_simhash_near_dedup": op10_simhash_near_dedup,
+}
 
 ORACLES: dict[str, str] = {}
