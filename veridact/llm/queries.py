@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import substrings
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -35,9 +37,15 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "text", "n_sentences", "n_removed")
+
+
 QUERIES = {
     "op6_toxicity": op6_toxicity,
+    "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op9_substring_dedup": substrings.ORACLE}
