@@ -34,3 +34,10 @@ def component_ids(ids, fps, bits=3):
         if d is not None:
             low[r] = min(d, low.get(r, d))
     return [low.get(find(i)) for i in range(len(ids))]
+
+
+def digest_row(base, kinds):
+    import hashlib
+
+    text = ",".join(f"{k}:{s}:{e}" for k, s, e in base)
+    return (*(sum(k == x for k, _, _ in base) for x in kinds), hashlib.sha256(text.encode()).hexdigest())

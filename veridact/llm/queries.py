@@ -37,6 +37,13 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii
+
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(pii.find(docs, pii.train(docs), keep=("doc_id",)))
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "text", "n_sentences", "n_removed")
@@ -44,6 +51,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op6_toxicity": op6_toxicity,
+    "op7_pii": op7_pii,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
