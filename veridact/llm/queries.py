@@ -23,6 +23,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import packing
+
+    placed = packing.packed(packing.pieces(table(spark, sf_dir, "documents")))
+    return placed.withColumnRenamed("id", "doc_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
@@ -50,6 +57,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_best_fit_packing": op2_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op9_substring_dedup": op9_substring_dedup,
