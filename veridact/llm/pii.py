@@ -351,7 +351,10 @@ def digest(found: DataFrame, kinds: tuple[str, ...] = KINDS) -> DataFrame:
     def text(c: str) -> F.Column:
         return F.array_join(F.transform(c, lambda x: F.concat_ws(":", x["kind"], x["start"], x["end"])), ",")
 
-    counts = [F.size(F.filter("base", lambda x, k=k: x["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    def count(kind: str) -> F.Column:
+        return F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in kinds]
     rest = [c for c in found.columns if c not in ("base", "spans")]
     return found.select(*rest, *counts, F.sha2(text("base"), 256).alias("base_sha256"), text("spans").alias("spans"))
 

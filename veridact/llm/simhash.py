@@ -154,3 +154,145 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     lows = materialize(rooted.groupBy("root").agg(F.min("low").alias("component")))
     named = materialize(rooted.select("fp", "root").join(lows, "root").select("fp", "component"))
     return marks.join(named, "fp").select("id", "fp", "component")
+
+
+# --- near copies by similarity of five-word shingles -------------------------------------------
+
+#: Of each level's strata, those that are looked up; a stratum holds one to six shingles.
+STRATA = 16
+#: Bits of 64 that fingerprints of texts at a similarity of 0.8 may differ in (mean 10, deviation 3).
+SIMILAR_BITS = 24
+
+
+def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]] | None:
+    """(class of equal word sequences, fingerprint, distinct shingles, keys of strata); None: no words.
+
+    The distinct shingle hashes are dealt by their leading bits into 2^level strata, each with a
+    SimHash fingerprint of its own; the level follows the number of shingles so that a stratum has
+    a few, and two levels are keyed so that texts of nearly one length share one. At a similarity
+    of 0.8 a stratum of three stays whole with probability 0.5, and one whole stratum of the 16
+    makes a candidate.
+    """
+    parts = (text or "").encode("utf-8").lower().split()
+    if not parts:
+        return None
+    hashes = shingle_hashes(text, words)
+    own = np.unique(hashes)
+    n = len(own)
+    level = max(0, int(np.floor(np.log2(n / 2.5)))) if n > 2 else 0
+    keys = []
+    for lv in (level, level + 1):
+        index = own >> np.uint64(64 - lv) if lv else np.zeros(n, np.uint64)
+        index = index[: np.searchsorted(index, STRATA)]
+        if len(index):
+            starts = np.flatnonzero(np.concatenate(([True], index[1:] != index[:-1])))
+            bits = np.unpackbits(own[: len(index)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            sizes = np.diff(np.append(starts, len(index)))
+            marks = np.packbits(np.add.reduceat(bits, starts, axis=0, dtype=np.int32) * 2 > sizes[:, None], axis=1, bitorder="little")
+            keys += [xxhash.xxh3_64_intdigest(b"%d/%d/" % (lv, i) + m.tobytes()) - (1 << 63) for i, m in zip(index[starts].tolist(), marks)]
+    return xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63), fingerprint(hashes), n, keys
+
+
+def _ring(a: Column, b: Column) -> Column:
+    """Some chain of three 8-bit segments stays within the proportional budget, and so does the whole."""
+    diff = a.bitwiseXOR(b)
+    cut = [F.bit_count(F.shiftrightunsigned(diff, 8 * i).bitwiseAND(F.lit(255))) for i in range(8)]
+    one = SIMILAR_BITS // 8
+    chain = F.lit(False)
+    for i in range(8):
+        two = cut[i] + cut[(i + 1) % 8]
+        chain = chain | ((cut[i] <= one) & (two <= 2 * one) & (two + cut[(i + 2) % 8] <= 3 * one))
+    return chain & (F.bit_count(diff) <= SIMILAR_BITS)
+
+
+def jaccard(a: str, b: str, words: int = 5) -> float:
+    x, y = np.unique(shingle_hashes(a, words)), np.unique(shingle_hashes(b, words))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both / max(len(x) + len(y) - both, 1)
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose texts are similar enough; texts: (ck, text)."""
+    full = pairs.join(texts.select(F.col("ck").alias("u"), F.col("text").alias("a")), "u").join(
+        texts.select(F.col("ck").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            good = [jaccard(a, b, words) >= similarity for a, b in zip(t.column(2).to_pylist(), t.column(3).to_pylist())]
+            yield t.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
+
+    return full.mapInArrow(run, "u long, v long")
+
+
+def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(row, keeper): for every row with words its key, and the row key of its group's smallest id.
+
+    row is xxhash64(id, text). Groups are the components of word-shingle similarity >= `similarity`
+    between different texts, verified on whole texts; equal word sequences are one class from the start.
+    """
+    kind = docs.schema[id_col].dataType.simpleString()
+    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [sketch(t, words) for t in b.column(2).to_pylist()]
+            on = pa.array([i for i, x in enumerate(found) if x], pa.int32())
+            found = [x for x in found if x]
+            columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(3)]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(on), b.column(1).take(on), *columns, pa.array([x[3] for x in found], pa.list_(pa.int64()))],
+                ["id", "row", "ck", "fp", "n", "keys"],
+            )
+
+    marks = materialize(source.mapInArrow(run, f"id {kind}, row long, ck long, fp long, n long, keys array<long>"))
+    low = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("low")
+    classes = materialize(marks.groupBy("ck").agg(low, F.count("*").alias("docs"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    index = classes.select(F.explode("keys").alias("key"), "ck", "fp", "n", "docs")
+    top = F.max(F.struct("docs", "ck", "fp", "n")).alias("top")
+    hubs = materialize(index.groupBy("key").agg(top, F.count("*").alias("size")).where("size > 1").select("key", "top"))
+    members = materialize(index.join(hubs, "key").select("key", "ck", "fp", "n", F.col("top.ck").alias("hub"), F.col("top.fp").alias("hub_fp"), F.col("top.n").alias("hub_n")))
+
+    def alike(a: str, b: str) -> Column:
+        x, y = F.col(a), F.col(b)
+        return (F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9)
+
+    ring = _ring(F.col("fp"), F.col("hub_fp"))
+    first_pairs = materialize(members.where((F.col("ck") != F.col("hub")) & ring & alike("n", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
+    # texts of the classes that may take part: those in a bucket of several
+    wanted = members.select("ck").distinct().join(classes.select("ck", F.col("low.row").alias("row")), "ck")
+    texts = materialize(source.select("row", "text").join(wanted, "row").select("ck", "text").dropDuplicates(["ck"]))
+    edges = materialize(_verified(first_pairs, texts, words, similarity))
+    named = materialize(components(edges).select(F.col("node").alias("ck"), "root"))
+    placed = materialize(members.join(named, "ck", "left").select("key", "ck", "fp", "n", F.coalesce("root", "ck").alias("comp")))
+    mixed = materialize(
+        placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
+        .agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1").select("key", F.col("m.comp").alias("major"))
+    )
+    open_rows = materialize(placed.join(mixed, "key"))
+    minor = open_rows.where("comp <> major").drop("major")
+    other = open_rows.select("key", F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
+    late = (
+        minor.join(other, "key").where("comp <> comp2").where(_ring(F.col("fp"), F.col("fp2")) & alike("n", "n2"))
+        .select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct()
+        .join(first_pairs, ["u", "v"], "left_anti")
+    )
+    more = materialize(_verified(materialize(late), texts, words, similarity))
+    roots = components(edges.union(more)).select(F.col("node").alias("ck"), "root")
+    named = materialize(classes.select("ck", "low").join(materialize(roots), "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
+    keepers = materialize(named.groupBy("root").agg(F.min("low").alias("low")).select("root", F.col("low.row").alias("keeper")))
+    of_class = materialize(named.select("ck", "root").join(keepers, "root").select("ck", "keeper"))
+    return marks.select("row", "ck").join(of_class, "ck").select("row", "keeper")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without near copies: of each group the row of the smallest id stays, with all its columns.
+
+    Defined cases: rows equal in id and text are one; null ids come last in a group; texts without
+    words (and null texts) are nobody's copies and all stay; an empty table stays empty.
+    """
+    groups = copy_groups(docs, id_col, text_col, words, similarity)
+    stay = materialize(groups.where("row = keeper").select(F.col("row").alias("_row")).distinct())
+    marked = docs.withColumn("_row", F.xxhash64(id_col, text_col))
+    worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+    kept = marked.where(worded).join(stay, "_row").dropDuplicates(["_row"])
+    return kept.unionByName(marked.where(~worded)).select(*docs.columns)
