@@ -23,6 +23,13 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import pii, secrets
+
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(secrets.find(docs, secrets.train(docs), keep=("doc_id",)), secrets.KINDS)
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
 
@@ -57,6 +64,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
