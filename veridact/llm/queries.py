@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substrings
+from . import substrings, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,10 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(docs, pii.train(docs), keep=("doc_id",)))
 
 
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), keep=("page_id",)).drop("purity")
+
+
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "text", "n_sentences", "n_removed")
@@ -68,8 +72,9 @@ QUERIES = {
     "op2_best_fit_packing": op2_best_fit_packing,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
+    "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
 }
 
-ORACLES: dict[str, str] = {"op9_substring_dedup": substrings.ORACLE}
+ORACLES: dict[str, str] = {"op8_url_filter": urls.ORACLE, "op9_substring_dedup": substrings.ORACLE}
