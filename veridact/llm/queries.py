@@ -37,6 +37,15 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumnRenamed("id", "doc_id")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import bpe
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return bpe.encode(table(spark, sf_dir, "documents"), path, result="digests").withColumnRenamed("id", "doc_id")
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity
 
@@ -70,6 +79,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
     "op8_url_filter": op8_url_filter,
