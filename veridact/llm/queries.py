@@ -37,6 +37,12 @@ def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return placed.withColumnRenamed("id", "doc_id")
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import neighbours
+
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -79,6 +85,7 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_bpe": op5_bpe,
     "op6_toxicity": op6_toxicity,
     "op7_pii": op7_pii,
