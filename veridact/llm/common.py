@@ -38,6 +38,20 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def hash_sample(df: DataFrame, n: int, *by: str) -> DataFrame:
+    """About n rows of df, at most 2n, the same on every run: those with the smallest hashes of `by`.
+
+    The rows are counted first and filtered by a hash bound, so that the tasks together send the
+    driver about n rows, however many tasks there are.
+    """
+    total = df.count()
+    share = min(1.0, 1.25 * n / max(total, 1))
+    h = F.xxhash64(*by)
+    if share < 1.0:
+        df = df.where(h < F.lit(int(share * 2**64) - 2**63))
+    return df.orderBy(h, *by).limit(n)
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of an undirected graph as (node, root), root the smallest node.
 

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the training sample: documents with a digit or @ sign, characters of one, regions.
 SAMPLE, SAMPLE_CHARS, REGIONS = 1500, 60_000, 1500
@@ -309,11 +311,8 @@ def added_spans(model: Model, text: str, base: list[tuple[str, int, int]]) -> li
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit on the first SAMPLE documents, by hash, that hold six digits in a row region or an @ sign."""
-    some = (
-        docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-        .where(F.length("t") <= SAMPLE_CHARS).where(F.col("t").rlike(r"[0-9]{3}|@"))
-        .orderBy(F.xxhash64("t"), "i").limit(SAMPLE).select("t")
-    )
+    some = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
+    some = hash_sample(some.where(F.col("t").rlike(r"[0-9]{3}|@")), SAMPLE, "i", "t")
     return fit(list(dict.fromkeys(r.t for r in some.collect())))
 
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_sample
+
 #: Bounds of the sample that the field is fitted on: documents of each label, characters of one.
 SAMPLE, SAMPLE_CHARS = 3000, 60_000
 WINDOW = 32
@@ -145,7 +147,7 @@ def labelled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str) ->
     rate = marks.agg(F.avg("toxic")).first()[0]
     picks = None
     for y in (0, 1):
-        some = marks.where(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        some = hash_sample(marks.where(F.col("toxic") == y), SAMPLE, "doc_id")
         picks = some if picks is None else picks.union(some)
     picks = picks.select(F.col("doc_id").alias("_pick"), F.col("toxic").alias("_toxic"))
     found = (
