@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.stats import direction
 from ..functions.text import fold_invisible, month_of
 from ..schemas import MAX_ASPECTS, POLARITIES, ContractError
 
@@ -93,3 +94,66 @@ def vector_violations(vectors: DataFrame, dim: int, id_col: str = "vec_id", vec_
     v = F.col(vec_col)
     bad = F.when(v.isNull(), "missing").when(F.size(v) != dim, "wrong_dimension").when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), "not_finite")
     return vectors.select(id_col, bad.alias("violation")).where("violation is not null")
+
+
+def claim_violations(claims: DataFrame, id_col: str = "claim_id") -> DataFrame:
+    """(claim_id, violation) of claims whose counts or fields don't hold together.
+
+    claims: claim_id, aspect, direction, claim_type, pos, neg, neu, spoke, silent, support, evidence
+    array of review ids. Several violations of one claim are several rows.
+    """
+    counts = ["pos", "neg", "neu", "spoke", "silent", "support"]
+    negative = F.lit(False)
+    for c in counts:
+        negative = negative | F.coalesce(F.col(c) < 0, F.lit(True))
+    told = F.when((F.col("pos") > 0) & (F.col("neg") > 0), "mixed").when(F.col("pos") > 0, "positive").when(F.col("neg") > 0, "negative").otherwise("neutral")
+    checks: dict[str, Column] = {
+        "blank_aspect": F.coalesce(F.trim("aspect"), F.lit("")) == "", "negative_count": negative,
+        "spoke_is_not_the_sum": F.col("pos") + F.col("neg") + F.col("neu") != F.col("spoke"), "support_beyond_spoke": F.col("support") > F.col("spoke"),
+        "no_evidence": F.coalesce(F.size("evidence"), F.lit(0)) <= 0, "evidence_twice": F.size(F.array_distinct("evidence")) < F.size("evidence"),
+        "direction_not_derived": F.coalesce(F.col("direction") != told, F.lit(True)), "unknown_type": ~F.coalesce(F.col("claim_type").isin("conditional", "unconditional"), F.lit(False)),
+    }
+    each = F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), F.isnotnull)
+    return claims.select(id_col, F.explode(each).alias("violation"))
+
+
+def label_support(evidence: DataFrame, reviews: DataFrame) -> DataFrame:
+    """Distinct authors of each stance behind a hand-made label, and the direction that follows.
+
+    evidence: label_id, review_id, stance; reviews: review_id, author. The direction is never chosen
+    by hand.
+    """
+    rows = evidence.join(reviews.select("review_id", "author"), "review_id")
+    n = lambda p: F.count_distinct(F.when(F.col("stance") == p, F.col("author")))
+    found = rows.groupBy("label_id").agg(n("positive").alias("pos"), n("negative").alias("neg"), n("neutral").alias("neu"), F.count_distinct("author").alias("spoke"), F.count("*").alias("evidence"))
+    return found.withColumn("direction", direction(F.col("pos"), F.col("neg")))
+
+
+def label_violations(labels: DataFrame, evidence: DataFrame, reviews: DataFrame, aspects: list[str]) -> DataFrame:
+    """(label_id, violation) of labels against their evidence.
+
+    labels: label_id, product_id, aspect (null: outside the taxonomy), direction, minutes; evidence:
+    label_id, review_id, stance, quote; reviews: review_id, product_id, author, content.
+    """
+    rows = evidence.join(reviews.select("review_id", F.col("product_id").alias("_product"), "content"), "review_id", "left").join(
+        labels.select("label_id", "product_id"), "label_id")
+    checks: dict[str, Column] = {
+        "review_outside_bundle": F.coalesce(F.col("_product") != F.col("product_id"), F.lit(True)), "unknown_stance": ~F.coalesce(F.col("stance").isin(*POLARITIES), F.lit(False)),
+        "blank_quote": F.coalesce(F.trim("quote"), F.lit("")) == "", "not_verbatim": ~F.contains(fold_invisible(F.col("content")), fold_invisible(F.col("quote"))),
+    }
+    broken = rows.select("label_id", F.explode(F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), F.isnotnull)).alias("violation")).distinct()
+    twice = evidence.groupBy("label_id", "review_id").agg(F.count("*").alias("n")).where("n > 1").select("label_id", F.lit("evidence_twice").alias("violation")).distinct()
+    derived = label_support(evidence, reviews).select("label_id", F.col("direction").alias("derived"))
+    own = labels.join(derived, "label_id", "left")
+    plain: dict[str, Column] = {
+        "unknown_aspect": F.col("aspect").isNotNull() & ~F.col("aspect").isin(aspects), "no_evidence": F.col("derived").isNull(),
+        "direction_not_derived": F.col("derived") != F.col("direction"), "minutes_not_positive": F.coalesce(F.col("minutes") <= 0, F.lit(True)),
+    }
+    fields = own.select("label_id", F.explode(F.filter(F.array(*[F.when(c, n) for n, c in plain.items()]), F.isnotnull)).alias("violation"))
+    return broken.union(twice).union(fields)
+
+
+def snapshot_state(reviews: DataFrame, policy_month: str) -> DataFrame:
+    """(latest_month, current): one row; a policy is stale once a review is later than its month."""
+    latest = reviews.agg(F.max(month_of(F.col("review_date"))).alias("latest_month"))
+    return latest.withColumn("current", F.coalesce(F.col("latest_month") <= policy_month, F.lit(True)))

@@ -25,10 +25,12 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str) -> DataFrame:
+def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str, option: Column | None = None) -> DataFrame:
     """reviews with month, reason (null: passed), detail and limitation.
 
-    One reason at most, in this order: product, renewal range, recency. Products are a dimension.
+    One reason at most, in this order: product, renewal range, recency, option. Products are a
+    dimension. option is the shade key that the scope asks for; then reviews carry shade_key and kind
+    (null kind: no option stated): a stated one that differs, packs included, is a mismatch.
     """
     cutoff = F.lit(cutoff) if isinstance(cutoff, str) else cutoff
     month = F.col("month")
@@ -38,6 +40,8 @@ def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str)
     reason = (
         F.when(~known, "product_mismatch").when((F.col("renewal_policy") == "separate") & ~inside, "renewal_cut").when(month < cutoff, "recency_cut")
     )
+    if option is not None:
+        reason = reason.when(F.col("kind").isNull(), "option_unstated").when(F.coalesce(F.col("shade_key") != option, F.lit(True)), "option_mismatch")
     limit = F.when(reason.isNull() & (F.col("renewal_policy") == "unobserved"), "renewal_unobserved")
     detail = F.when(reason == "renewal_cut", F.format_string("%s outside %s..%s", month, F.coalesce("from_month", F.lit("")), F.coalesce("to_month", F.lit("")))).when(
         reason == "recency_cut", F.format_string("%s before %s", month, cutoff))

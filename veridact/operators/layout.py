@@ -48,3 +48,23 @@ def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFra
         keep = keep | (own & F.when(promoted[p], F.col("polarity_rank") == 1).otherwise(inside & (F.col("polarity_rank") <= left[p])))
         reserved = reserved | (own & promoted[p])
     return near.withColumn("reserved", reserved).where(keep).drop(*[f"{x}_{p}" for x in "ht" for p in names])
+
+
+def render(claims: DataFrame, quotes: DataFrame, cell: list[str]) -> DataFrame:
+    """claims with layout, the five stages as text: subject, condition, evidence, direction, sufficiency.
+
+    claims: cell, aspect, subject, pos, neg, direction, spoke, cell_authors, silent, support, reason;
+    quotes: what truncate() keeps, with polarity, review_id, quote_rank, reserved. A claim has
+    MAX_QUOTES quotes at most. Claims without quotes have no layout and are left out.
+    """
+    by = [*cell, "aspect"]
+    mark = F.when(F.col("reserved"), F.lit(" *")).otherwise("")
+    line = F.format_string("  %d. [%s] %d%s", F.col("quote_rank"), F.col("polarity"), F.col("review_id"), mark)
+    packed = quotes.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("quote_rank", line.alias("line")))).alias("q"))
+    text = F.concat_ws(
+        "\n", F.concat_ws(" ", F.lit("[1]"), F.col(cell[0]), F.col("aspect")), F.concat_ws(" ", F.lit("[2]"), F.col("subject")),
+        F.format_string("[3] %d", F.size("q")), F.array_join(F.transform("q", lambda x: x["line"]), "\n"),
+        F.format_string("[4] %s +%d -%d / %d", F.col("direction"), F.col("pos"), F.col("neg"), F.col("spoke")),
+        F.format_string("[5] U=%d D=%d S=%d (%d) %s", F.col("support"), F.col("spoke"), F.col("cell_authors"), F.col("silent"), F.coalesce("reason", F.lit("passed"))),
+    )
+    return claims.join(packed, by).withColumn("layout", text).drop("q")

@@ -41,6 +41,21 @@ def trace(targets: DataFrame, judged: DataFrame, sizes: DataFrame) -> DataFrame:
     return rows.select("key", outcome.alias("outcome"), reason.alias("reason"), F.when(outcome == "produced", F.col("direction") == F.col("want")).alias("direction_match"))
 
 
+def fates(evidence: DataFrame, first: DataFrame, second: DataFrame) -> DataFrame:
+    """evidence (key, review_id) with fate: kept, the gate and reason that stopped the review, or unknown.
+
+    first, second: the identity and duplicate gates' rows with review_id and reason.
+    """
+    one = first.select("review_id", F.col("reason").alias("_first"), F.lit(True).alias("_known"))
+    two = second.select("review_id", F.col("reason").alias("_second"))
+    rows = evidence.join(one, "review_id", "left").join(two, "review_id", "left")
+    fate = (
+        F.when(F.col("_known").isNull(), "unknown").when(F.col("_first").isNotNull(), F.concat(F.lit("identity/"), "_first"))
+        .when(F.col("_second").isNotNull(), F.concat(F.lit("duplicate/"), "_second")).otherwise("kept")
+    )
+    return rows.select("key", "review_id", fate.alias("fate"))
+
+
 def recall(traced: DataFrame) -> DataFrame:
     produced = F.count(F.when(F.col("outcome") == "produced", 1))
     return traced.agg(

@@ -370,3 +370,78 @@ QUERIES = {
       part AS (SELECT product_id, review_id // 1000 AS part, sha256(string_agg(h, chr(10) ORDER BY review_id)) AS h FROM h GROUP BY 1, 2)
       SELECT product_id, sha256(string_agg(h, chr(10) ORDER BY part)) AS digest FROM part GROUP BY 1""",
 }
+
+LINES = r"""
+product_lines AS (
+  SELECT b.*, 'L' || CAST(s_suppkey // 3 AS VARCHAR) AS lineage_id, CASE WHEN s_suppkey % 5 = 0 THEN 'single' ELSE 'separate' END AS renewal_policy,
+    CASE WHEN s_suppkey % 3 = 2 THEN 'A' || CAST(s_suppkey AS VARCHAR) END AS requested_goods_no FROM bridge b JOIN supplier ON product_id = 'p' || CAST(s_suppkey AS VARCHAR)
+)
+"""
+
+LABELS = r"""
+cited0 AS (
+  SELECT author AS label_id, review_id, CASE WHEN review_id % 19 = 0 THEN 'unsure' WHEN rating <= 2 THEN 'negative' WHEN rating >= 4 THEN 'positive' ELSE 'neutral' END AS stance,
+    CASE WHEN review_id % 23 = 0 THEN 'not said' WHEN review_id % 29 = 0 THEN ' ' ELSE substr(content, 1, 5) END AS quote, product_id AS of_review, content FROM reviews
+), cited AS (SELECT * FROM cited0 UNION ALL SELECT * FROM cited0 WHERE review_id % 31 = 0),
+labels AS (
+  SELECT author AS label_id, min(product_id) AS product_id, CASE author % 4 WHEN 0 THEN 'unheard of' WHEN 1 THEN '보습감' END AS aspect, CASE WHEN author % 2 = 0 THEN 'mixed' ELSE 'positive' END AS direction,
+    author % 5 AS minutes FROM reviews GROUP BY author
+), support AS (
+  SELECT label_id, count(DISTINCT CASE WHEN stance = 'positive' THEN label_id END) AS pos, count(DISTINCT CASE WHEN stance = 'negative' THEN label_id END) AS neg,
+    count(DISTINCT CASE WHEN stance = 'neutral' THEN label_id END) AS neu, count(DISTINCT label_id) AS spoke, count(*) AS evidence FROM cited GROUP BY 1
+), told AS (SELECT *, CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END AS derived FROM support)
+"""
+
+SCOPE = r"""
+top AS (
+  SELECT product_id, max({'n': n, 'k': shade_key}).k AS want FROM (SELECT product_id, shade_key, sum(reviews) AS n FROM options WHERE shade_key IS NOT NULL GROUP BY 1, 2) GROUP BY 1
+)
+"""
+
+QUERIES |= {
+    "lineages": f"""WITH {BRIDGE}, {LINES}, g AS (SELECT *, requested_goods_no IS NOT NULL AS current, count(requested_goods_no) OVER (PARTITION BY lineage_id) AS on_sale FROM product_lines)
+      SELECT lineage_id, product_id, CAST(row_number() OVER (PARTITION BY lineage_id ORDER BY coalesce(from_month, ''), product_id) AS INTEGER) AS generation, current, NOT current AND on_sale = 1 AS previous FROM g""",
+    "catalog_contract": f"""WITH {BRIDGE}, {LINES}, shared AS (SELECT goods_no, count(*) AS n, count(*) FILTER (from_month IS NULL AND to_month IS NULL) AS open FROM product_lines GROUP BY 1)
+      SELECT lineage_id AS subject, 'generations_not_separate' AS violation FROM product_lines GROUP BY 1 HAVING count(*) > 1 AND count(*) FILTER (renewal_policy <> 'separate') > 0 UNION ALL
+      SELECT lineage_id, 'not_one_on_sale' FROM product_lines GROUP BY 1 HAVING count(requested_goods_no) <> 1 UNION ALL
+      SELECT goods_no, 'shared_across_lineages' FROM product_lines GROUP BY 1 HAVING count(DISTINCT lineage_id) > 1 UNION ALL
+      SELECT goods_no, 'shared_with_open_range' FROM shared WHERE n > 1 AND open > 0 UNION ALL
+      SELECT DISTINCT a.goods_no, 'overlapping_ranges' FROM bridge a JOIN bridge b ON a.goods_no = b.goods_no AND a.product_id < b.product_id
+      WHERE coalesce(a.from_month, '0000') <= coalesce(b.to_month, '9999') AND coalesce(b.from_month, '0000') <= coalesce(a.to_month, '9999')""",
+    "condition_subjects": f"""{MEMBER} SELECT product_id, axis, segment, CASE WHEN axis = 'product' THEN '조건 없음 (이 제품 리뷰 전체)' WHEN segment = '미기재' THEN CASE axis WHEN 'skinType' THEN '피부타입을 안 밝힌 리뷰' ELSE '피부고민을 안 밝힌 리뷰' END
+      ELSE CASE segment WHEN 'FURNITURE' THEN '건성' WHEN 'AUTOMOBILE' THEN '지성' WHEN 'MACHINERY' THEN '복합성' WHEN 'C01' THEN '잡티' WHEN 'C02' THEN '주름' ELSE segment END || CASE axis WHEN 'skinType' THEN ' 피부' ELSE ' 고민' END END AS subject, cell_authors FROM sizes""",
+    "cell_matches": f"{PLAIN} SELECT review_id, product_id, array_to_string(troubles, ',') AS troubles FROM reviews WHERE skin_type IS NULL AND list_contains(troubles, 'C01') AND list_contains(troubles, 'C02')",
+    "option_scope": f"""WITH {BASE}, {IDENTITY}, {OPTIONS}, {SCOPE} SELECT i.review_id, i.product_id, o.kind,
+      coalesce(i.reason, CASE WHEN o.kind IS NULL THEN 'option_unstated' WHEN o.shade_key IS DISTINCT FROM t.want OR t.want IS NULL THEN 'option_mismatch' END, 'passed') AS reason
+      FROM identity i LEFT JOIN options o ON o.product_id = i.product_id AND o.option = i.option LEFT JOIN top t ON t.product_id = i.product_id""",
+    "evidence_fates": f"""{ALL}, cited AS (SELECT o_orderkey AS key, o_orderkey AS review_id FROM orders UNION ALL SELECT o_orderkey, o_orderkey * 2 FROM orders)
+      SELECT c.key, c.review_id, CASE WHEN i.review_id IS NULL THEN 'unknown' WHEN i.reason IS NOT NULL THEN 'identity/' || i.reason WHEN d.reason IS NOT NULL THEN 'duplicate/' || d.reason ELSE 'kept' END AS fate
+      FROM cited c LEFT JOIN identity i USING (review_id) LEFT JOIN duplicate d USING (review_id)""",
+    "claim_contract": f"""{MEMBER}, c AS (SELECT *, pos + neu AS k, product_id || '|' || axis || '=' || segment || '|' || aspect AS claim_id, CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END AS told FROM claims)
+      SELECT claim_id, 'blank_aspect' AS violation FROM c WHERE k % 13 = 0 UNION ALL SELECT claim_id, 'spoke_is_not_the_sum' FROM c WHERE pos + neg + neu <> spoke UNION ALL
+      SELECT claim_id, 'negative_count' FROM c WHERE cell_authors < spoke UNION ALL
+      SELECT claim_id, 'support_beyond_spoke' FROM c WHERE pos + neg + CASE WHEN k % 5 = 0 THEN 100000 ELSE 0 END > spoke UNION ALL SELECT claim_id, 'no_evidence' FROM c WHERE k % 3 <> 0 AND k % 17 = 0 UNION ALL
+      SELECT claim_id, 'evidence_twice' FROM c WHERE k % 3 = 0 UNION ALL SELECT claim_id, 'direction_not_derived' FROM c WHERE k % 7 = 0 AND told <> 'positive' UNION ALL
+      SELECT claim_id, 'unknown_type' FROM c WHERE axis <> 'product' AND k % 11 = 0""",
+    "golden_support": f"{PLAIN}, {LABELS} SELECT label_id, pos, neg, neu, spoke, evidence, derived AS direction FROM told",
+    "golden_contract": f"""{PLAIN}, {LABELS}
+      SELECT DISTINCT label_id, 'review_outside_bundle' AS violation FROM cited JOIN labels USING (label_id) WHERE of_review <> product_id UNION ALL
+      SELECT DISTINCT label_id, 'unknown_stance' FROM cited WHERE stance = 'unsure' UNION ALL SELECT DISTINCT label_id, 'blank_quote' FROM cited WHERE trim(quote) = '' UNION ALL
+      SELECT DISTINCT label_id, 'not_verbatim' FROM cited WHERE NOT contains(content, quote) UNION ALL
+      SELECT DISTINCT label_id, 'evidence_twice' FROM (SELECT label_id, review_id FROM cited GROUP BY 1, 2 HAVING count(*) > 1) UNION ALL
+      SELECT label_id, 'unknown_aspect' FROM labels WHERE aspect = 'unheard of' UNION ALL SELECT label_id, 'direction_not_derived' FROM labels JOIN told USING (label_id) WHERE derived <> direction UNION ALL
+      SELECT label_id, 'minutes_not_positive' FROM labels WHERE minutes <= 0""",
+    "snapshot_guard": f"{PLAIN} SELECT max(month) AS latest_month, max(month) <= '2000-12' AS current FROM reviews",
+    "layout_text": f"""{RANKED_MEMBER}, {QUOTES}, {KEPT}, shown AS (
+        SELECT product_id, axis, segment, aspect, count(*) AS n, string_agg('  ' || quote_rank || '. [' || polarity || '] ' || review_id || CASE WHEN reserved THEN ' *' ELSE '' END, chr(10) ORDER BY quote_rank) AS q
+        FROM keeping WHERE axis = 'product' GROUP BY 1, 2, 3, 4),
+      c AS (SELECT *, pos + neg AS support, cell_authors - spoke AS silent FROM claims)
+      SELECT product_id, axis, segment, aspect, '[1] ' || product_id || ' ' || aspect || chr(10) || '[2] 조건 없음 (이 제품 리뷰 전체)' || chr(10) || '[3] ' || n || chr(10) || q || chr(10) ||
+        '[4] ' || CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END || ' +' || pos || ' -' || neg || ' / ' || spoke || chr(10) ||
+        '[5] U=' || support || ' D=' || spoke || ' S=' || cell_authors || ' (' || silent || ') ' ||
+        CASE WHEN support > spoke OR spoke > cell_authors THEN 'invariant_broken' WHEN cell_authors < 8 THEN 'segment_too_small' WHEN support < 8 THEN 'insufficient_support' WHEN support / spoke < 0.10 THEN 'minority_share' ELSE 'passed' END AS layout
+      FROM c JOIN shown USING (product_id, axis, segment, aspect)""",
+    "api_reviews": f"""{PLAIN} SELECT review_id AS "reviewId", CASE WHEN review_id % 7 = 1 THEN '' ELSE content END AS content, rating, likes / 4 AS "usefulPoint", CAST(likes AS INTEGER) AS "recommendCount", review_date AS "reviewDate",
+      review_id % 7 = 3 AS "hasPhoto", false AS "isRepurchase", 'A000000000001' AS "goodsNo", trim(coalesce(option, '')) AS option, CASE WHEN review_id % 7 = 4 THEN '' ELSE CAST(author AS VARCHAR) END AS "userName",
+      CASE WHEN review_id % 7 = 4 THEN '' ELSE coalesce(skin_type, '') END AS "skinType", CASE WHEN review_id % 7 IN (4, 5) THEN '' ELSE array_to_string(troubles, ',') END AS "skinTrouble" FROM reviews""",
+}

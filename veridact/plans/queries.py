@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats, text
-from ..operators import claims, contracts, gates, layout, ledger, options, polarity, profile, quotes, trust
+from ..operators import catalog, claims, conditions, contracts, gates, layout, ledger, options, polarity, profile, quotes, trust
 from ..schemas import WINDOW_MONTHS
 from ..sources import adapters
 from ..sources.adapters import table
@@ -34,9 +34,9 @@ def gated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]
     return first, second, second.where("reason is null")
 
 
-def judged(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def judged(spark: SparkSession, d: str, kept: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(sufficiency gate's claims, cell sizes, survivors with their cells)."""
-    _, _, kept = gated(spark, d)
+    kept = gated(spark, d)[2] if kept is None else kept
     member = claims.cells(kept)
     found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d)))
     found = found.withColumn("claim_id", claims.claim_id()).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
@@ -92,10 +92,8 @@ def candidate_claims(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ledger_rows(spark: SparkSession, d: str) -> DataFrame:
-    rows = adapters.reviews(spark, d)
-    first = gates.identity_gate(rows, adapters.products(spark, d), cutoff_month(rows))
-    found, _, _ = judged(spark, d)
-    _, second, _ = gated(spark, d)
+    first, second, kept = gated(spark, d)
+    found, _, _ = judged(spark, d, kept)
     return ledger.review_rows(first, "identity").union(ledger.review_rows(second, "duplicate")).union(ledger.claim_rows(found))
 
 
@@ -104,8 +102,8 @@ def ledger_rollup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gate_summary(spark: SparkSession, d: str) -> DataFrame:
-    first, second, _ = gated(spark, d)
-    found, _, _ = judged(spark, d)
+    first, second, kept = gated(spark, d)
+    found, _, _ = judged(spark, d, kept)
     one = lambda df, name: df.agg(F.count("*").alias("reviews"), F.count(F.when(F.col("reason").isNull(), 1)).alias("passed"), F.count("limitation").alias("limited")).select(F.lit(name).alias("gate"), "*")
     return one(first, "identity").union(one(second.withColumn("limitation", F.lit(None).cast("string")), "duplicate")).union(one(found, "sufficiency"))
 
@@ -362,13 +360,124 @@ def table_digest(spark: SparkSession, d: str) -> DataFrame:
     return part.groupBy("product_id").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), "\n"), 256).alias("digest"))
 
 
+def product_lines(spark: SparkSession, d: str) -> DataFrame:
+    """Suppliers as products, three of a lineage; the last of each is the one on sale."""
+    n = F.col("s_suppkey")
+    policy = F.when(n % 5 == 0, "single").otherwise("separate")
+    return goods_bridge(spark, d).join(table(spark, d, "supplier").select(F.concat(F.lit("p"), n.cast("string")).alias("product_id"), F.concat(F.lit("L"), F.floor(n / 3).cast("string")).alias("lineage_id"),
+        policy.alias("renewal_policy"), F.when(n % 3 == 2, F.concat(F.lit("A"), n.cast("string"))).alias("requested_goods_no")), "product_id")
+
+
+def lineages(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.generations(product_lines(spark, d)).select("lineage_id", "product_id", "generation", "current", "previous")
+
+
+def catalog_contract(spark: SparkSession, d: str) -> DataFrame:
+    return catalog.catalog_violations(product_lines(spark, d), goods_bridge(spark, d))
+
+
+def condition_subjects(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell in words; the book of codes lacks one, which keeps its own name."""
+    names = [("skinType", "FURNITURE", "건성"), ("skinType", "AUTOMOBILE", "지성"), ("skinType", "MACHINERY", "복합성"), ("skinTrouble", "C01", "잡티"), ("skinTrouble", "C02", "주름")]
+    book = spark.createDataFrame(names, "axis string, code string, label string")
+    return conditions.cell_subjects(cell_sizes(spark, d), book).select(*CELL, "subject", "cell_authors")
+
+
+def cell_matches(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews of those who stated no skin type and have both of two troubles."""
+    want = {"skinType": "미기재", "skinTrouble": ["C01", "C02"], "option": None}
+    return adapters.reviews(spark, d).where(conditions.fits(want)).select("review_id", "product_id", F.array_join("troubles", ",").alias("troubles"))
+
+
+def option_scope(spark: SparkSession, d: str) -> DataFrame:
+    """The identity gate under each product's most reviewed shade."""
+    rows = adapters.reviews(spark, d)
+    found = gates.cut_lineage(option_index(spark, d))
+    counts = options.shade_counts(found)
+    top = counts.groupBy("product_id").agg(F.max(F.struct("reviews", "shade_key")).alias("t")).select("product_id", F.col("t.shade_key").alias("want"))
+    known = found.select("product_id", F.col("option").alias("stripped"), "kind", "shade_key")
+    keyed = rows.withColumn("stripped", text.strip(text.nfc(F.col("option")))).join(known, ["product_id", "stripped"], "left").join(top, "product_id", "left")
+    gate = gates.identity_gate(keyed, adapters.products(spark, d), cutoff_month(rows), F.col("want"))
+    return gate.select("review_id", "product_id", "kind", F.coalesce("reason", F.lit("passed")).alias("reason"))
+
+
+def evidence_fates(spark: SparkSession, d: str) -> DataFrame:
+    """What became of the reviews that labels cite: each label cites its order and the one of twice its number."""
+    first, second, _ = gated(spark, d)
+    key = table(spark, d, "orders").select(F.col("o_orderkey").alias("key"))
+    cited = key.select("key", F.explode(F.array(F.col("key"), F.col("key") * 2)).alias("review_id"))
+    return ledger.fates(cited, first, second)
+
+
+def claim_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Candidate claims of the plain view, some of them broken on purpose."""
+    member = claims.cells(adapters.reviews(spark, d))
+    found = claims.candidates(member, adapters.tags(spark, d))
+    k = F.col("pos") + F.col("neu")
+    rows = found.select(
+        claims.claim_id().alias("claim_id"), F.when(k % 13 == 0, F.lit(" ")).otherwise(F.col("aspect")).alias("aspect"), F.when(k % 7 == 0, "positive").otherwise(stats.direction(F.col("pos"), F.col("neg"))).alias("direction"),
+        F.when(F.col("axis") == "product", "unconditional").when(k % 11 == 0, "both").otherwise("conditional").alias("claim_type"), "pos", "neg", "neu", "spoke",
+        (F.col("cell_authors") - F.col("spoke")).alias("silent"), (F.col("pos") + F.col("neg") + F.when(k % 5 == 0, 100000).otherwise(0)).alias("support"),
+        F.when(k % 3 == 0, F.array(F.lit(1), F.lit(1))).when(k % 17 == 0, F.array().cast("array<int>")).otherwise(F.array(F.lit(1), F.lit(2))).alias("evidence"),
+    )
+    return contracts.claim_violations(rows)
+
+
+def label_evidence(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """(labels, evidence): a label a customer, citing its orders; some cite wrongly."""
+    rows = adapters.reviews(spark, d)
+    stance = F.when(F.col("review_id") % 19 == 0, "unsure").otherwise(text.sentiment_prior(F.col("rating")))
+    quote = F.when(F.col("review_id") % 23 == 0, "not said").when(F.col("review_id") % 29 == 0, " ").otherwise(F.substring("content", 1, 5))
+    cited = rows.select(F.col("author").alias("label_id"), "review_id", stance.alias("stance"), quote.alias("quote"))
+    cited = cited.union(cited.where("review_id % 31 = 0"))
+    n = F.col("label_id")
+    labels = rows.groupBy(F.col("author").alias("label_id")).agg(F.min("product_id").alias("product_id")).select(
+        "label_id", "product_id", F.when(n % 4 == 0, "unheard of").when(n % 4 == 1, "보습감").alias("aspect"), F.when(n % 2 == 0, "mixed").otherwise("positive").alias("direction"), (n % 5).alias("minutes"))
+    return labels, cited
+
+
+def golden_support(spark: SparkSession, d: str) -> DataFrame:
+    return contracts.label_support(label_evidence(spark, d)[1], adapters.reviews(spark, d))
+
+
+def golden_contract(spark: SparkSession, d: str) -> DataFrame:
+    return contracts.label_violations(*label_evidence(spark, d), adapters.reviews(spark, d), ["보습감", "흡수력"])
+
+
+def snapshot_guard(spark: SparkSession, d: str) -> DataFrame:
+    return contracts.snapshot_state(adapters.reviews(spark, d), "2000-12")
+
+
+def layout_text(spark: SparkSession, d: str) -> DataFrame:
+    """The five stages of every product-wide claim as text, without gates."""
+    rows = gates.cut_lineage(scored(spark, d))
+    member = claims.cells(rows).where("axis = 'product'")
+    found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d))).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
+    shown = layout.truncate(gates.cut_lineage(layout.ranked_quotes(member, adapters.tags(spark, d), CELL)), CELL)
+    return layout.render(found.withColumn("subject", F.lit(conditions.UNCONDITIONAL)), shown, CELL).select(*CELL, "aspect", "layout")
+
+
+def api_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """Reviews as the API writes them, parsed back; texts, flags and skin types are missing by turns."""
+    r = adapters.reviews(spark, d)
+    k = F.col("review_id") % 7
+    skip = lambda n, c: F.when(k != n, c)
+    made = F.to_json(F.struct(
+        F.col("review_id").alias("reviewId"), skip(1, F.col("content")).alias("content"), F.col("rating").alias("reviewScore"), (F.col("likes") / 4).alias("usefulPoint"), F.col("likes").alias("recommendCount"),
+        F.col("review_date").alias("createdDateTime"), skip(2, k == 3).alias("hasPhoto"), F.struct(F.lit("A000000000001").alias("goodsNumber"), F.concat(F.lit(" "), "option", F.lit(" ")).alias("optionName")).alias("goodsDto"),
+        skip(4, F.struct(F.col("author").cast("string").alias("memberNickname"), F.col("skin_type").alias("skinType"), skip(5, F.col("troubles")).alias("skinTrouble"))).alias("profileDto")))
+    found = adapters.parse_api(r.select(made.alias("json"), F.lit("A000000000001").alias("requested_goods_no")))
+    return found.select("reviewId", "content", "rating", "usefulPoint", "recommendCount", "reviewDate", "hasPhoto", "isRepurchase", "goodsNo", "option", "userName", "skinType", F.array_join("skinTrouble", ",").alias("skinTrouble"))
+
+
 QUERIES = {f.__name__: f for f in (
     ingest_records, trust_scores, trust_rank, identity_gate, duplicate_gate, cell_sizes, candidate_claims, ledger_rows, ledger_rollup, gate_summary,
     aspect_support, noise_threshold, rating_conflicts, conflicts_by_kind, segment_splits, unconditional_check, option_index, shade_counts, ranked_quotes,
     kept_quotes, evidence_months, quote_verdicts, quote_summary, quote_outcomes, folded_texts, tag_partition, review_contract, code_coverage, resolved_goods,
     overlapping_ranges, dependent_reviews, base_parity, vector_contract, golden_trace, golden_recall, claim_confidence, claim_summary, run_report, ingest_profile,
     trust_profile, pass_union, resume_products, sku_stats, crawl_outcomes, run_catalog, goods_in_urls, model_json, condition_questions, tag_batches,
-    untagged_reviews, table_digest, flagship,
+    untagged_reviews, table_digest, lineages, catalog_contract, condition_subjects, cell_matches, option_scope, evidence_fates, claim_contract, golden_support,
+    golden_contract, snapshot_guard, layout_text, api_reviews, flagship,
 )}
 
 ORACLES = {name: sql.QUERIES[name] for name in QUERIES if name in sql.QUERIES}

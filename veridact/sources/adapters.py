@@ -21,6 +21,32 @@ def read_tags(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TAG).option("mode", "FAILFAST").json(path)
 
 
+#: A page of the review API, one JSON object a review (fixed field names).
+API_REVIEW = (
+    "reviewId BIGINT, content STRING, reviewScore INT, usefulPoint DOUBLE, recommendCount INT, createdDateTime STRING, reviewType STRING, "
+    "isRepurchase BOOLEAN, isMonthUseReview BOOLEAN, isMonthOverReview BOOLEAN, hasPhoto BOOLEAN, "
+    "goodsDto STRUCT<goodsNumber: STRING, goodsName: STRING, optionName: STRING>, "
+    "profileDto STRUCT<memberNickname: STRING, skinType: STRING, skinTone: STRING, skinTrouble: ARRAY<STRING>>"
+)
+
+
+def parse_api(raw: DataFrame, json_col: str = "json", requested: str = "requested_goods_no") -> DataFrame:
+    """Flat raw reviews from API objects as text. Missing texts are empty, missing flags false, scores
+    stay fractions; an object that isn't JSON gives a row of nulls and empty texts."""
+    r = F.from_json(json_col, API_REVIEW)
+    text = lambda c: F.coalesce(c, F.lit(""))
+    flag = lambda n: F.coalesce(r[n], F.lit(False)).alias(n)
+    goods, profile = r["goodsDto"], r["profileDto"]
+    return raw.select(
+        r["reviewId"].alias("reviewId"), text(r["content"]).alias("content"), r["reviewScore"].alias("rating"), r["usefulPoint"].alias("usefulPoint"),
+        r["recommendCount"].alias("recommendCount"), text(r["createdDateTime"]).alias("reviewDate"), text(r["reviewType"]).alias("reviewType"),
+        flag("isRepurchase"), flag("isMonthUseReview"), flag("isMonthOverReview"), flag("hasPhoto"),
+        text(goods["goodsNumber"]).alias("goodsNo"), F.col(requested).alias("requestedGoodsNo"), text(goods["goodsName"]).alias("productName"),
+        F.trim(text(goods["optionName"])).alias("option"), text(profile["memberNickname"]).alias("userName"), text(profile["skinType"]).alias("skinType"),
+        text(profile["skinTone"]).alias("skinTone"), F.coalesce(profile["skinTrouble"], F.array().cast("array<string>")).alias("skinTrouble"),
+    )
+
+
 def write_ledger(ledger: DataFrame, path: str) -> None:
     """JSON lines in the order of gate, reason and subject as text."""
     ledger.orderBy("gate_order", "reason", "subject").write.mode("overwrite").json(path)
