@@ -67,3 +67,41 @@ def test_query_on_the_small_table(spark):
     assert sorted(map(tuple, got.collect())) == sorted(want)
     assert got.schema["component_id"].dataType.simpleString() == "bigint"
     assert got.where(F.col("fingerprint").rlike("[^0-9a-f]")).isEmpty()
+
+
+def test_keep_one_drops_near_copies_and_nothing_else(spark):
+    rnd = random.Random(6)
+    vocabulary = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(rnd.randint(3, 8))) for _ in range(4000)]
+    docs, group = [], {}
+    passage = " ".join(rnd.choice(vocabulary) for _ in range(40))
+    for g in range(25):
+        base = [rnd.choice(vocabulary) for _ in range(rnd.choice([30, 120, 400]))] + (passage.split() if g % 3 == 0 else [])
+        for j in range(rnd.choice([1, 2, 6])):
+            words = list(base)
+            if j > 1:
+                words[rnd.randrange(len(words))] = "changed"
+            docs.append((1000 - len(docs), " ".join(words).upper() if j == 1 else " ".join(words)))
+            group[docs[-1][0]] = g
+    kept = {}
+    for d, t in docs:
+        same = simhash.jaccard(t, next(x for y, x in docs if group[y] == group[d]))
+        if same >= 0.8:
+            kept[group[d]] = min(d, kept.get(group[d], d))
+        else:
+            kept[d, "own"] = d
+    extra = [(None, docs[0][1]), (2000, ""), (2001, None), (2002, " \n"), (2003, ""), docs[5], docs[5]]
+    df = spark.createDataFrame([(d, t, i) for i, (d, t) in enumerate(docs + extra)], "doc_id long, text string, _row int")
+    got = simhash.keep_one(df)
+    assert got.columns == df.columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted([*kept.values(), 2000, 2001, 2002, 2003])
+    assert simhash.keep_one(df.where("false")).count() == 0
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    from veridact.llm.common import components
+
+    edges = [(i, i + 1) for i in range(20)] + [(100, 100 + i) for i in range(1, 30)] + [(200, 201), (201, 202), (202, 200), (7, 7), (300, 299), (300, 298), (298, 299)]
+    got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
+    want = {i: 0 for i in range(21)} | {i: 100 for i in range(100, 130)} | {200: 200, 201: 200, 202: 200, 298: 298, 299: 298, 300: 298}
+    assert got == want
+    assert components(spark.createDataFrame([], "u long, v long")).collect() == []

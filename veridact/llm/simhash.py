@@ -109,34 +109,30 @@ def link(fps: DataFrame) -> DataFrame:
 
     first = materialize(components(near(met, "fp", "hub")))
     # buckets of several members that still meet more than one component
-    shared = met.where("size > 1").select("key", "fp")
-    members = index.join(hubs.where("size > 1").select("key"), "key").select("key", "fp")
     named = first.select(F.col("node").alias("fp"), "root")
-
-    def with_root(rows: DataFrame) -> DataFrame:
-        return rows.join(named, "fp", "left").select("key", "fp", F.coalesce("root", "fp").alias("comp"))
-
-    shared, members = materialize(with_root(shared)), materialize(with_root(members))
+    shared = met.where("size > 1").select("key", "fp", F.lit(False).alias("inside"))
+    members = index.join(hubs.where("size > 1").select("key"), "key").select("key", "fp", F.lit(True).alias("inside"))
+    placed = shared.unionByName(members).join(named, "fp", "left").select("key", "fp", "inside", F.coalesce("root", "fp").alias("comp"))
+    placed = materialize(placed)
     mixed = materialize(
-        shared.unionByName(members).groupBy("key", "comp").agg(F.count("*").alias("c"))
+        placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
         .groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
         .where("comps > 1").select("key", F.col("top.comp").alias("major"))
     )
-    left = materialize(shared.join(mixed, "key"))
-    right = materialize(members.join(mixed, "key").select("key", F.col("fp").alias("other"), F.col("comp").alias("other_comp"), "major"))
-    probe, member = left.drop("major"), right.drop("major")
-    pairs = left.where("comp <> major").drop("major").join(member, "key").where("comp <> other_comp").unionByName(
-        probe.where("true").join(right.where("other_comp <> major").drop("major"), "key").where("comp <> other_comp"))
+    left = materialize(placed.join(mixed, "key"))
+    member = left.where("inside").select("key", F.col("fp").alias("other"), F.col("comp").alias("other_comp"), F.col("major").alias("other_major"))
+    probe = left.where("not inside").select("key", "fp", "comp", "major")
+    pairs = probe.where("comp <> major").drop("major").join(member.drop("other_major"), "key").where("comp <> other_comp").unionByName(
+        probe.drop("major").join(member.where("other_comp <> other_major").drop("other_major"), "key").where("comp <> other_comp"))
     x, y = F.col("fp"), F.col("other")
     late = pairs.where(_viable(x, y, position) & (hamming(x, y) <= MAX_BITS)).select(F.col("comp").alias("u"), F.col("other_comp").alias("v"))
     late = materialize(late.distinct())
     if late.isEmpty():
-        return first.select(F.col("node").alias("fp"), "root")
+        return named
     merged = components(late).select(F.col("node").alias("root"), F.col("root").alias("final"))
-    known = first.select(F.col("node").alias("fp"), "root")
     # a comp that linked late may be a fingerprint without earlier links
-    alone = late.select(F.col("u").alias("fp")).union(late.select(F.col("v").alias("fp"))).distinct().join(known, "fp", "left_anti").select("fp", F.col("fp").alias("root"))
-    return known.union(alone).join(merged, "root", "left").select("fp", F.coalesce("final", "root").alias("root"))
+    alone = late.select(F.col("u").alias("fp")).union(late.select(F.col("v").alias("fp"))).distinct().join(named, "fp", "left_anti").select("fp", F.col("fp").alias("root"))
+    return named.union(alone).join(merged, "root", "left").select("fp", F.coalesce("final", "root").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -224,12 +220,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float)
     return full.mapInArrow(run, "u long, v long")
 
 
-def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
-    """(row, keeper): for every row with words its key, and the row key of its group's smallest id.
-
-    row is xxhash64(id, text). Groups are the components of word-shingle similarity >= `similarity`
-    between different texts, verified on whole texts; equal word sequences are one class from the start.
-    """
+def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(row, ck) of every row with words, (ck, root) of every class, (root, keeper) of every group."""
     kind = docs.schema[id_col].dataType.simpleString()
     source = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
 
@@ -261,8 +253,9 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # texts of the classes that may take part: those in a bucket of several
     wanted = members.select("ck").distinct().join(classes.select("ck", F.col("low.row").alias("row")), "ck")
     texts = materialize(source.select("row", "text").join(wanted, "row").select("ck", "text").dropDuplicates(["ck"]))
-    edges = materialize(_verified(first_pairs, texts, words, similarity))
-    named = materialize(components(edges).select(F.col("node").alias("ck"), "root"))
+    edges = _verified(first_pairs, texts, words, similarity)
+    first = materialize(components(edges))
+    named = first.select(F.col("node").alias("ck"), "root")
     placed = materialize(members.join(named, "ck", "left").select("key", "ck", "fp", "n", F.coalesce("root", "ck").alias("comp")))
     mixed = materialize(
         placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
@@ -276,12 +269,24 @@ def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         .select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct()
         .join(first_pairs, ["u", "v"], "left_anti")
     )
-    more = materialize(_verified(materialize(late), texts, words, similarity))
-    roots = components(edges.union(more)).select(F.col("node").alias("ck"), "root")
-    named = materialize(classes.select("ck", "low").join(materialize(roots), "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
+    more = _verified(late, texts, words, similarity)
+    # the first components and the late links make one small graph
+    roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
+    roots = roots.select(F.col("node").alias("ck"), "root")
+    named = materialize(classes.select("ck", "low").join(roots, "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
     keepers = materialize(named.groupBy("root").agg(F.min("low").alias("low")).select("root", F.col("low.row").alias("keeper")))
-    of_class = materialize(named.select("ck", "root").join(keepers, "root").select("ck", "keeper"))
-    return marks.select("row", "ck").join(of_class, "ck").select("row", "keeper")
+    return marks.select("row", "ck"), named.select("ck", "root"), keepers
+
+
+def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
+    """(row, keeper): for every row with words its key, and the row key of its group's smallest id.
+
+    row is xxhash64(id, text). Groups are the components of word-shingle similarity >= `similarity`
+    between different texts, verified on whole texts; equal word sequences are one class from the start.
+    """
+    marks, named, keepers = _groups(docs, id_col, text_col, words, similarity)
+    of_class = materialize(named.join(keepers, "root").select("ck", "keeper"))
+    return marks.join(of_class, "ck").select("row", "keeper")
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
@@ -290,8 +295,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     Defined cases: rows equal in id and text are one; null ids come last in a group; texts without
     words (and null texts) are nobody's copies and all stay; an empty table stays empty.
     """
-    groups = copy_groups(docs, id_col, text_col, words, similarity)
-    stay = materialize(groups.where("row = keeper").select(F.col("row").alias("_row")).distinct())
+    stay = _groups(docs, id_col, text_col, words, similarity)[2].select(F.col("keeper").alias("_row"))
     marked = docs.withColumn("_row", F.xxhash64(id_col, text_col))
     worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
     kept = marked.where(worded).join(stay, "_row").dropDuplicates(["_row"])
