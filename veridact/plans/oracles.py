@@ -164,7 +164,7 @@ forms AS (SELECT product_id, option, count(*) AS reviews FROM reviews WHERE opti
 parsed AS (
   SELECT *, regexp_extract_all(option, '[\[(]([^\])]*)[\])]?', 1) AS kept, regexp_replace(option, '[\[(]([^\])]*)[\])]?', '', 'g') AS rest FROM forms
 ), cored AS (
-  SELECT *, regexp_replace(regexp_extract(trim(regexp_replace(rest, '[^0-9A-Za-z가-힣]+', ' ', 'g')), '^(\d{1,3})\s*호?\s*(\D.*)$', 2), '\s+', '', 'g') AS bare FROM parsed
+  SELECT *, regexp_replace(regexp_extract(trim(regexp_replace(regexp_replace(rest, '(?i)기획|단품|리필|본품|NEW|증정|어워즈|한정|에디션|단독|홀리데이|추천|베스트|콜라보|추가|수량|SET', ' ', 'g'), '[^0-9A-Za-z가-힣]+', ' ', 'g')), '^(\d{1,3})\s*호?\s*(\D.*)$', 2), '\s+', '', 'g') AS bare FROM parsed
 ), wrapping AS (
   SELECT product_id, trim(w) AS word FROM (SELECT product_id, bare, unnest(kept) AS w FROM cored) GROUP BY 1, 2 HAVING count(DISTINCT bare) >= 2
 ), extra AS (
@@ -175,14 +175,15 @@ parsed AS (
 ), dropped AS (
   SELECT * FROM wrapping UNION SELECT product_id, word FROM extra e WHERE EXISTS (SELECT 1 FROM known k WHERE k.product_id = e.product_id AND k.bare = e.bare)
 ), whole AS (
-  SELECT product_id, option, reviews, trim(regexp_replace(array_to_string(list_append(list_filter(kept, lambda w: NOT list_contains(coalesce((SELECT list(word) FROM dropped d WHERE d.product_id = c.product_id), []), trim(w))), rest), ' '), '[^0-9A-Za-z가-힣]+', ' ', 'g')) AS t FROM cored c
+  SELECT product_id, option, reviews, trim(regexp_replace(regexp_replace(array_to_string(list_append(list_filter(kept, lambda w: NOT list_contains(coalesce(words, []), trim(w))), rest), ' '), '(?i)기획|단품|리필|본품|NEW|증정|어워즈|한정|에디션|단독|홀리데이|추천|베스트|콜라보|추가|수량|SET', ' ', 'g'), '[^0-9A-Za-z가-힣]+', ' ', 'g')) AS t
+  FROM cored c LEFT JOIN (SELECT product_id, list(word) AS words FROM dropped GROUP BY 1) USING (product_id)
 ), named AS (
   SELECT product_id, option, reviews, CASE WHEN regexp_matches(t, '^(\d{1,3})\s*호?\s*(\D.*)$') THEN regexp_replace(regexp_extract(t, '^(\d{1,3})', 1), '^0+(\d)', '\1') END AS number,
     regexp_replace(CASE WHEN regexp_matches(t, '^(\d{1,3})\s*호?\s*(\D.*)$') THEN regexp_extract(t, '^(\d{1,3})\s*호?\s*(\D.*)$', 2) ELSE t END, '\s+', '', 'g') AS name FROM whole
-), single AS (SELECT product_id, name, min(number) AS only FROM named WHERE number IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT number) = 1),
+), single AS (SELECT product_id, name, min(number) AS sole FROM named WHERE number IS NOT NULL GROUP BY 1, 2 HAVING count(DISTINCT number) = 1),
 options AS (
   SELECT n.product_id, option, reviews, CASE WHEN n.name = '' THEN 'pack' ELSE 'shade' END AS kind,
-    CASE WHEN n.name <> '' THEN CASE WHEN coalesce(number, only) IS NOT NULL THEN coalesce(number, only) || '|' || n.name ELSE n.name END END AS shade_key
+    CASE WHEN n.name <> '' THEN CASE WHEN coalesce(number, sole) IS NOT NULL THEN coalesce(number, sole) || '|' || n.name ELSE n.name END END AS shade_key
   FROM named n LEFT JOIN single s ON s.product_id = n.product_id AND s.name = n.name
 )
 """
