@@ -44,7 +44,7 @@ def parse(forms: DataFrame) -> DataFrame:
 def wrappers(parsed: DataFrame) -> DataFrame:
     """(product_id, word) of groups that wrap: met with two bare names or more (none counts as one),
     or such that without them a bare name already known remains."""
-    each = parsed.select("product_id", "option", "bare", F.explode(F.transform("kept", F.trim)).alias("word"))
+    each = parsed.select("product_id", "option", "bare", F.explode(F.transform("kept", lambda g: F.trim(g))).alias("word"))
     names = F.count_distinct(F.coalesce("bare", F.lit("\u0000")))
     first = each.groupBy("product_id", "word").agg(names.alias("n")).where("n >= 2").select("product_id", "word")
     extra = each.join(first, ["product_id", "word"], "left_anti")
