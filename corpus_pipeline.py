@@ -14,10 +14,15 @@ from veridact.llm.common import materialize
 from veridact.llm.queries import table
 
 
+def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
+    """All columns as one struct doc, beside those named, so that no added column can clash."""
+    return docs.select(F.struct("*").alias("doc"), *columns)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose toxicity score is below one half; null and empty texts are scored like any."""
     model = toxicity.train(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model, keep=tuple(docs.columns)).where("score < 0.5").select(*docs.columns)
+    return toxicity.score(wrapped(docs, "text"), model, keep=("doc",)).where("score < 0.5").select("doc.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,22 +30,24 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
     Texts without words are no copies of anything and stay.
     """
-    return simhash.keep_one(docs)
+    return simhash.keep_one(wrapped(docs, "doc_id", "text")).select("doc.*")
+
+
+def rewritten(docs: DataFrame, found: DataFrame) -> DataFrame:
+    """docs' columns from found (doc, text), where text is the new one; n_chars follows a changed text."""
+    changed = ~F.col("text").eqNullSafe(F.col("doc.text"))
+    new = {"text": F.col("text"), "n_chars": F.when(changed, F.length("text").cast("long")).otherwise(F.col("doc.n_chars"))}
+    return found.select(*[new.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the sentences of spans that occurred before; n_chars follows the text."""
-    found = substrings.dedup(docs)
-    changed = F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", changed).select(*docs.columns)
+    return rewritten(docs, substrings.dedup(wrapped(docs, "doc_id", "text")))
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by its kind; n_chars follows the text."""
-    before = F.length("text")
-    found = pii.redact(docs.withColumn("_length", before), pii.train(docs))
-    changed = F.when(before != F.col("_length"), before.cast("long")).otherwise(F.col("n_chars"))
-    return found.withColumn("n_chars", changed).select(*docs.columns)
+    return rewritten(docs, pii.redact(wrapped(docs, "text"), pii.train(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
