@@ -296,7 +296,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     words (and null texts) are nobody's copies and all stay; an empty table stays empty.
     """
     stay = _groups(docs, id_col, text_col, words, similarity)[2].select(F.col("keeper").alias("_row"))
-    marked = docs.withColumn("_row", F.xxhash64(id_col, text_col))
     worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    kept = marked.where(worded).join(stay, "_row").dropDuplicates(["_row"])
-    return kept.unionByName(marked.where(~worded)).select(*docs.columns)
+    marked = docs.select(F.struct("*").alias("_doc"), F.xxhash64(id_col, text_col).alias("_row"), worded.alias("_worded"))
+    kept = marked.where("_worded").join(stay, "_row").dropDuplicates(["_row"])
+    return kept.select("_doc").unionByName(marked.where("not _worded").select("_doc")).select("_doc.*")
