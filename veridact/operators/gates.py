@@ -2,27 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import minority
 from ..functions.text import month_of
 from ..schemas import SufficiencyPolicy
-
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder of spark.checkpoint.dir (a temporary one if that is unset)."""
-    spark: SparkSession = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
-        root = tempfile.mkdtemp(prefix="veridact-")
-        spark.sparkContext.setCheckpointDir(root)
-    path = f"{root}/veridact-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from .shared import cut_lineage
 
 
 def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str, option: Column | None = None) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MAX_QUOTES
+from .shared import numbered
 from .trust import rank_order
 
 
@@ -13,8 +14,7 @@ def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFr
     """Every quote of a cell and aspect with its rank, and its place among those of its polarity."""
     rows = member.join(tags, "review_id")
     by = [*cell, "aspect"]
-    rows = rows.withColumn("quote_rank", F.row_number().over(Window.partitionBy(*by).orderBy(*rank_order())))
-    return rows.withColumn("polarity_rank", F.row_number().over(Window.partitionBy(*by, "polarity").orderBy(*rank_order())))
+    return numbered(numbered(rows, by, rank_order(), "quote_rank"), [*by, "polarity"], rank_order(), "polarity_rank")
 
 
 def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
@@ -34,20 +34,19 @@ def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFra
     have = {p: F.count(F.when(inside & (F.col("polarity") == p), 1)) for p in names}
     there = {p: F.max(F.when(F.col("polarity") == p, 1).otherwise(0)) for p in names}
     near = near.select("*", *[have[p].over(whole).alias(f"h_{p}") for p in names], *[there[p].over(whole).alias(f"t_{p}") for p in names])
-    left = {p: F.col(f"h_{p}") for p in names}
-    promoted = {}
     for p in names:  # in text order, as long as a polarity has none
-        needs = (F.col(f"t_{p}") == 1) & (left[p] == 0)
-        most = F.greatest(*left.values())
-        victim = F.when(left["negative"] == most, "negative").when(left["neutral"] == most, "neutral").otherwise("positive")
-        promoted[p] = needs
-        left = {q: left[q] - F.when(needs & (victim == q), 1).otherwise(0) + F.when(needs & F.lit(p == q), 1).otherwise(0) for q in names}
+        most = F.greatest(*[F.col(f"h_{q}") for q in names])
+        victim = F.when(F.col("h_negative") == most, "negative").when(F.col("h_neutral") == most, "neutral").otherwise("positive")
+        # columns of their own: nested expressions would outgrow generated code
+        near = near.withColumn(f"g_{p}", (F.col(f"t_{p}") == 1) & (F.col(f"h_{p}") == 0)).withColumn("_victim", F.when(F.col(f"g_{p}"), victim))
+        for q in names:
+            near = near.withColumn(f"h_{q}", F.col(f"h_{q}") - F.when(F.col("_victim") == q, 1).otherwise(0) + (F.col(f"g_{p}").cast("int") if p == q else 0))
     keep, reserved = F.lit(False), F.lit(False)
     for p in names:
         own = F.col("polarity") == p
-        keep = keep | (own & F.when(promoted[p], F.col("polarity_rank") == 1).otherwise(inside & (F.col("polarity_rank") <= left[p])))
-        reserved = reserved | (own & promoted[p])
-    return near.withColumn("reserved", reserved).where(keep).drop(*[f"{x}_{p}" for x in "ht" for p in names])
+        keep = keep | (own & F.when(F.col(f"g_{p}"), F.col("polarity_rank") == 1).otherwise(inside & (F.col("polarity_rank") <= F.col(f"h_{p}"))))
+        reserved = reserved | (own & F.col(f"g_{p}"))
+    return near.withColumn("reserved", reserved).where(keep).drop("_victim", *[f"{x}_{p}" for x in "htg" for p in names])
 
 
 def render(claims: DataFrame, quotes: DataFrame, cell: list[str]) -> DataFrame:

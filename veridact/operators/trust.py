@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, date_rank, strip
 from ..schemas import TrustPolicy
+from .shared import numbered, percent_below
 
 
 def ramp(length: Column, policy: TrustPolicy) -> Column:
@@ -27,9 +28,8 @@ def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: Dat
     rows = reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.char_length(strip(F.col("content"))))
     copies = rows.groupBy("content_hash").agg(F.count("*").alias("copies"))
     rows = rows.join(copies, "content_hash")
-    by_likes = Window.partitionBy("product_id").orderBy("likes")
     rows = rows.withColumn("s_length", ramp(F.col("content_length"), policy)).withColumn("s_unique", F.round(1 / F.col("copies"), 6))
-    rows = rows.withColumn("s_likes", F.round(F.percent_rank().over(by_likes), 6))
+    rows = percent_below(rows, "product_id", "likes", "s_likes").withColumn("s_likes", F.round("s_likes", 6))
     weights = [("s_length", policy.content_length), ("s_unique", policy.unique_content), ("s_likes", policy.likes)]
     if tagged is not None:
         mark = tagged.select("review_id").distinct().withColumn("s_topic", F.lit(1.0))
@@ -47,4 +47,4 @@ def rank_order() -> list[Column]:
 
 
 def ranked(scored: DataFrame) -> DataFrame:
-    return scored.withColumn("rank", F.row_number().over(Window.partitionBy("product_id").orderBy(*rank_order())))
+    return numbered(scored, ["product_id"], rank_order(), "rank")

@@ -219,7 +219,7 @@ state0 AS (
 VERDICTS = r"""
 evidence AS (
   SELECT doc_id AS quote_id, CASE WHEN doc_id % 4 = 3 THEN doc_id + 1000000000 ELSE doc_id END AS review_id,
-    CASE doc_id % 4 WHEN 1 THEN replace(substr(text, 1, 80), chr(10), ' ') WHEN 2 THEN replace(substr(text, 1, 80), ' ', '') ELSE substr(text, 1, 80) END AS quote FROM documents
+    CASE doc_id % 4 WHEN 1 THEN replace(text, chr(10), ' ') WHEN 2 THEN replace(text, ' ', '') ELSE text END AS quote FROM documents
   UNION ALL SELECT item_id + 2000000000, item_id, text FROM benchmark
 ), own AS (
   SELECT e.*, CASE WHEN d.doc_id IS NULL THEN 'unknown_review' WHEN contains(d.text, quote) THEN 'verbatim'
@@ -282,11 +282,11 @@ QUERIES = {
       CASE WHEN rating <= 2 THEN 'negative' WHEN rating >= 4 THEN 'positive' ELSE 'neutral' END AS sentiment_prior, month AS review_month, coalesce(skin_type, '미기재') AS skin_segment,
       skin_type IS NOT NULL AS skin_stated, CASE WHEN len(troubles) > 0 THEN array_to_string(troubles, ',') ELSE '미기재' END AS trouble_segments FROM reviews""",
     "trust_scores": f"{RANKED} SELECT review_id, product_id, CAST(content_length AS INTEGER) AS content_length, copies, s_length, s_unique, CAST(s_topic AS DOUBLE) AS s_topic, s_likes, trust_score, 'hasPhoto,usagePeriod' AS unavailable FROM ranked",
-    "trust_rank": f"{RANKED} SELECT product_id, review_id, CAST(rank AS INTEGER) AS rank FROM ranked",
+    "trust_rank": f"{RANKED} SELECT product_id, review_id, CAST(rank AS BIGINT) AS rank FROM ranked",
     "identity_gate": f"""WITH {BASE}, {IDENTITY} SELECT review_id, product_id, month, reason,
       CASE reason WHEN 'renewal_cut' THEN month || ' outside ' || coalesce(from_month, '') || '..' || coalesce(to_month, '') WHEN 'recency_cut' THEN month || ' before ' || (SELECT m FROM cut) END AS detail,
       CASE WHEN reason IS NULL AND renewal_policy = 'unobserved' THEN 'renewal_unobserved' END AS limitation FROM identity""",
-    "duplicate_gate": f"{ALL} SELECT product_id, review_id, CAST(rank AS INTEGER) AS rank, reason, CAST(kept_rank AS INTEGER) AS kept_rank FROM duplicate",
+    "duplicate_gate": f"{ALL} SELECT product_id, review_id, CAST(rank AS BIGINT) AS rank, reason, CAST(kept_rank AS BIGINT) AS kept_rank FROM duplicate",
     "cell_sizes": f"{MEMBER} SELECT * FROM sizes",
     "candidate_claims": f"{MEMBER} SELECT product_id || '|' || axis || '=' || segment || '|' || aspect AS claim_id, * FROM claims",
     "ledger_rows": f"{ALL} {LEDGER}",
@@ -307,8 +307,8 @@ QUERIES = {
       SELECT product_id, aspect, CAST(sum(n) AS BIGINT) AS compared, CAST(sum(s) AS BIGINT) AS splits, CAST(sum(c) AS BIGINT) AS contradicting_authors, sum(s) = 0 AS holds FROM by_axis GROUP BY 1, 2""",
     "option_index": f"{PLAIN}, {OPTIONS} SELECT * FROM options",
     "shade_counts": f"{PLAIN}, {OPTIONS} SELECT product_id, shade_key, CAST(sum(reviews) AS BIGINT) AS reviews, count(*) AS forms FROM options WHERE shade_key IS NOT NULL GROUP BY 1, 2",
-    "ranked_quotes": f"{RANKED_MEMBER}, {QUOTES} SELECT product_id, axis, segment, aspect, review_id, polarity, CAST(quote_rank AS INTEGER) AS quote_rank, CAST(polarity_rank AS INTEGER) AS polarity_rank FROM quoted",
-    "kept_quotes": f"{RANKED_MEMBER}, {QUOTES}, {KEPT} SELECT product_id, axis, segment, aspect, review_id, polarity, CAST(quote_rank AS INTEGER) AS quote_rank, reserved FROM keeping",
+    "ranked_quotes": f"{RANKED_MEMBER}, {QUOTES} SELECT product_id, axis, segment, aspect, review_id, polarity, CAST(quote_rank AS BIGINT) AS quote_rank, CAST(polarity_rank AS BIGINT) AS polarity_rank FROM quoted",
+    "kept_quotes": f"{RANKED_MEMBER}, {QUOTES}, {KEPT} SELECT product_id, axis, segment, aspect, review_id, polarity, CAST(quote_rank AS BIGINT) AS quote_rank, reserved FROM keeping",
     "evidence_months": f"{MEMBER} SELECT product_id, axis, segment, aspect, min(month) AS first_month, max(month) AS last_month, count(*) AS quotes FROM member JOIN tags USING (review_id) GROUP BY 1, 2, 3, 4",
     "quote_verdicts": f"WITH {VERDICTS} SELECT * FROM verdicts",
     "quote_summary": f"WITH {VERDICTS} SELECT status, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM verdicts), 1) AS percent FROM verdicts GROUP BY 1",

@@ -162,7 +162,7 @@ def evidence_months(spark: SparkSession, d: str) -> DataFrame:
 def evidence(spark: SparkSession, d: str) -> DataFrame:
     """Quotes of every kind: each document quotes itself as written, with its breaks as spaces, without
     spaces, and a review that isn't there; benchmark passages cite the document of their own number."""
-    docs = table(spark, d, "documents").select("doc_id", F.substring("text", 1, 80).alias("t"), (F.col("doc_id") % 4).alias("k"))
+    docs = table(spark, d, "documents").select("doc_id", F.col("text").alias("t"), (F.col("doc_id") % 4).alias("k"))
     quote = F.when(F.col("k") == 1, F.replace("t", F.lit("\n"), F.lit(" "))).when(F.col("k") == 2, F.replace("t", F.lit(" "), F.lit(""))).otherwise(F.col("t"))
     own = docs.select(F.col("doc_id").alias("quote_id"), F.when(F.col("k") == 3, F.col("doc_id") + 1_000_000_000).otherwise(F.col("doc_id")).alias("review_id"), quote.alias("quote"))
     bench = table(spark, d, "benchmark").select((F.col("item_id") + 2_000_000_000).alias("quote_id"), F.col("item_id").alias("review_id"), F.col("text").alias("quote"))
