@@ -6,16 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_invisible, fold_linebreaks, squeeze
+from .shared import cut_lineage
 
-BLOCK = 5000
+#: Rows and characters of a block of quotes that is sent against the corpus, on average.
+BLOCK, BLOCK_CHARS = 5000, 4_000_000
 
 
 def classify(evidence: DataFrame, reviews: DataFrame) -> DataFrame:
     """evidence (quote_id, review_id, quote) with status and matched_review_id.
 
     reviews: review_id, content. Only quotes that the cited review doesn't hold are looked for in
-    the corpus: they are the stated query set, sent in blocks of BLOCK against all rows; the
-    smallest id that holds the quote is named.
+    the corpus: they are the stated query set, sent in blocks of BLOCK rows or BLOCK_CHARS characters
+    against all rows; the smallest id that holds the quote is named.
     """
     folded = reviews.select("review_id", F.col("content").alias("source"), fold_invisible(F.col("content")).alias("folded"))
     quotes = evidence.select("quote_id", "review_id", "quote", fold_invisible(F.col("quote")).alias("q"))
@@ -25,9 +27,10 @@ def classify(evidence: DataFrame, reviews: DataFrame) -> DataFrame:
         .when(F.contains(fold_linebreaks(F.col("source")), fold_linebreaks(F.col("quote"))), "linebreak_only")
         .when(F.contains(squeeze(F.col("source")), squeeze(F.col("quote"))), "spacing_edited")
     )
-    first = own.select("quote_id", "review_id", "q", status.alias("status"))
+    first = cut_lineage(own.select("quote_id", "review_id", "q", status.alias("status")))
     failed = first.where("status is null").select("quote_id", F.col("review_id").alias("cited"), "q")
-    blocks = max(1, -(-failed.count() // BLOCK))
+    size = failed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("q")), F.lit(0)).alias("chars")).first()
+    blocks = max(1, -(-size.n // BLOCK), -(-size.chars // BLOCK_CHARS))
     found = None
     for b in range(blocks):
         some = F.broadcast(failed.where(F.pmod(F.xxhash64("quote_id"), F.lit(blocks)) == b))
