@@ -59,3 +59,22 @@ def test_null_ids_come_last_and_equal_rows_are_one(spark):
 
 def test_empty_table(spark):
     assert S.dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_repeated_passages_of_long_sentences_go_whole(spark):
+    """With both ends, passages of few long sentences between texts of their own leave nothing behind."""
+    rnd = random.Random(8)
+    words = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(n)) + ". "
+    docs, want = [], []
+    for sizes in [(31, 25), (27, 5, 5, 1), (20, 20, 12), (12, 9, 29), (31, 2, 2), (6, 7, 8, 3)]:
+        passage = "".join(map(words, sizes))
+        # where words are glued to it, the first sentence is another one, and the others still repeat
+        left = sizes[1:]
+        glued = len(left) if sum(left) >= 30 or len(left) >= 3 and sum(left) >= 15 else 0
+        for glue, n in (("", 0), ("", len(sizes)), ("glued words ", glued)):
+            docs.append((len(docs), words(9) + glue + passage + words(14)))
+            want.append(n)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert [r.n_removed for r in S.dedup(df, both=True).orderBy("doc_id").collect()] == want
+    # the rows of ORACLE: the shortest run from the first sentence hides the second one
+    assert [r.n_removed for r in S.dedup(df.where("doc_id < 2")).orderBy("doc_id").collect()] == [0, 1]

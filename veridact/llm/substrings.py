@@ -5,12 +5,16 @@ every sentence starts one span: the shortest run of consecutive sentences with t
 them and 15 words, or with 30 words. Spans are hashed, equal hashes meet in one global aggregation,
 and every sentence that lies in a span which isn't the first of its kind is removed. First means
 the smallest (id, row key, sentence); null ids come last.
+
+The runs that start at a sentence alone lose the tail of a repeated passage where they must reach
+past its end. With `both`, the shortest such run that ends at every sentence is hashed too: then
+every sentence of every repeated run that is long enough lies in a span inside that run.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import xxhash
@@ -33,22 +37,33 @@ def sentences(text: str) -> list[tuple[int, int, bytes, int]]:
     return found
 
 
-def spans(text: str) -> Iterator[tuple[int, int, int]]:
-    """(first sentence, number of sentences, hash) of every span; both ends move forwards only."""
-    parts = sentences(text)
+def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
+    """(first, end) of the shortest long enough run that starts at each place; both ends move forwards only."""
     end = words = 0
-    for i, part in enumerate(parts):
-        while end < len(parts) and not (words >= LONG_WORDS or end - i >= SPAN_SENTENCES and words >= SPAN_WORDS):
-            words += parts[end][3]
+    for i, size in enumerate(sizes):
+        while end < len(sizes) and not (words >= LONG_WORDS or end - i >= SPAN_SENTENCES and words >= SPAN_WORDS):
+            words += sizes[end]
             end += 1
         if not (words >= LONG_WORDS or end - i >= SPAN_SENTENCES and words >= SPAN_WORDS):
             return
+        yield i, end
+        words -= size
+
+
+def spans(text: str, both: bool = False) -> Iterator[tuple[int, int, int]]:
+    """(first sentence, number of sentences, hash) of every span, each range once."""
+    parts = sentences(text)
+    sizes = [p[3] for p in parts]
+    runs: Iterable[tuple[int, int]] = _runs(sizes)
+    if both:
+        n = len(sizes)
+        runs = dict.fromkeys([*runs, *((n - e, n - i) for i, e in _runs(sizes[::-1]))])
+    for i, end in runs:
         key = b" ".join(p[2] for p in parts[i:end])
         yield i, end - i, xxhash.xxh3_64_intdigest(key) - (1 << 63)
-        words -= part[3]
 
 
-def span_table(docs: DataFrame) -> DataFrame:
+def span_table(docs: DataFrame, both: bool = False) -> DataFrame:
     """docs: id, row (long), text. (h, id, row, at, n) of every span, in one pass."""
     kind = docs.schema["id"].dataType.simpleString()
     names = ["h", "id", "row", "at", "n"]
@@ -58,7 +73,7 @@ def span_table(docs: DataFrame) -> DataFrame:
             ids, rows = b.column(0), b.column(1)
             own, out = [], ([], [], [])
             for k, text in enumerate(b.column(2).to_pylist()):
-                for at, n, h in spans(text or ""):
+                for at, n, h in spans(text or "", both):
                     own.append(k)
                     out[0].append(h)
                     out[1].append(at)
@@ -71,9 +86,9 @@ def span_table(docs: DataFrame) -> DataFrame:
     return docs.select("id", "row", "text").mapInArrow(run, f"h long, id {kind}, row long, at int, n int")
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, both: bool = False) -> DataFrame:
     """(row, cover array<struct<at,n>>): the spans of a row that aren't the first of their kind."""
-    all_spans = span_table(docs)
+    all_spans = span_table(docs, both)
     first = materialize(
         all_spans.groupBy("h")
         .agg(F.count("*").alias("c"), F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row", "at")).alias("low"))
@@ -84,19 +99,20 @@ def repeated(docs: DataFrame) -> DataFrame:
     return later.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("cover"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", both: bool = False) -> DataFrame:
     """docs with text_col rewritten, and with n_sentences, n_removed int and removed array<struct<start,end>>.
 
     Offsets are code points of the original text, end exclusive, one for each removed sentence.
     Defined cases: null texts stay null and count no sentences; texts without a full span are never
     touched; rows equal in id and text are one and the same and come out alike; repeats inside a
     text go too; null ids come last in the order of first; an empty table gives an empty result.
-    Other columns pass through; one named like an added column is replaced by it.
+    Other columns pass through; one named like an added column is replaced by it. With `both`, no
+    sentence of a repeated run that is long enough stays; without it, the rows are those of ORACLE.
     """
     added = ("n_sentences", "n_removed", "removed")
     rest = [c for c in docs.columns if c not in (text_col, *added)]
     row = F.xxhash64(F.col(id_col), F.col(text_col))
-    cover = repeated(docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text")))
+    cover = repeated(docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text")), both)
     packed = docs.select(row.alias("_row"), F.struct(*rest).alias("_rest"), F.col(text_col).alias("_text"))
     joined = packed.join(cover.withColumnRenamed("row", "_row"), "_row", "left").select("_rest", "_text", "cover")
 
