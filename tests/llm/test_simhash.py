@@ -97,6 +97,21 @@ def test_keep_one_drops_near_copies_and_nothing_else(spark):
     assert simhash.keep_one(df.where("false")).count() == 0
 
 
+def test_copies_whose_lines_repeat_another_number_of_times_are_found(spark):
+    """Pairs alike by distinct shingles, with a line, a cell or a word repeated otherwise: all are found."""
+    rnd = random.Random(9)
+    some = lambda n: " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+    docs = []
+    for n in [1, 5, 9, 20, 40, 60, 100, 100, 200] * 8:
+        base, line = some(n), some(rnd.choice([1, 6, 12]))
+        for times in (2, rnd.randint(20, 120)):
+            docs.append((len(docs), base + f" {line}" * times))
+    pairs = [i for i in range(0, len(docs), 2) if simhash.jaccard(docs[i][1], docs[i + 1][1]) >= 0.8]
+    assert len(pairs) > 45
+    kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert kept == {d for d, _ in docs} - {i + 1 for i in pairs}
+
+
 def test_components_of_chains_stars_and_loops(spark):
     from veridact.llm.common import components
 

@@ -156,12 +156,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 #: Of each level's strata, those that are looked up; a stratum holds one to six shingles.
 STRATA = 16
-#: Bits of 64 that fingerprints of texts at a similarity of 0.8 may differ in (mean 10, deviation 3).
+#: Bits of 64 that fingerprints of distinct shingles at a similarity of 0.8 may differ in (mean 10, deviation 3).
 SIMILAR_BITS = 24
+#: Texts of fewer distinct shingles aren't held against SIMILAR_BITS: a single one moves too many bits.
+FEW = 8
 
 
 def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]] | None:
-    """(class of equal word sequences, fingerprint, distinct shingles, keys of strata); None: no words.
+    """(class of equal word sequences, fingerprint of the distinct shingles, their number, keys of strata); None: no words.
 
     The distinct shingle hashes are dealt by their leading bits into 2^level strata, each with a
     SimHash fingerprint of its own; the level follows the number of shingles so that a stratum has
@@ -172,8 +174,7 @@ def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]]
     parts = (text or "").encode("utf-8").lower().split()
     if not parts:
         return None
-    hashes = shingle_hashes(text, words)
-    own = np.unique(hashes)
+    own = np.unique(shingle_hashes(text, words))
     n = len(own)
     level = max(0, int(np.floor(np.log2(n / 2.5)))) if n > 2 else 0
     keys = []
@@ -186,7 +187,7 @@ def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]]
             sizes = np.diff(np.append(starts, len(index)))
             marks = np.packbits(np.add.reduceat(bits, starts, axis=0, dtype=np.int32) * 2 > sizes[:, None], axis=1, bitorder="little")
             keys += [xxhash.xxh3_64_intdigest(b"%d/%d/" % (lv, i) + m.tobytes()) - (1 << 63) for i, m in zip(index[starts].tolist(), marks)]
-    return xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63), fingerprint(hashes), n, keys
+    return xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63), fingerprint(own), n, keys
 
 
 def _ring(a: Column, b: Column) -> Column:
@@ -244,12 +245,12 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity:
     hubs = materialize(index.groupBy("key").agg(top, F.count("*").alias("size")).where("size > 1").select("key", "top"))
     members = materialize(index.join(hubs, "key").select("key", "ck", "fp", "n", F.col("top.ck").alias("hub"), F.col("top.fp").alias("hub_fp"), F.col("top.n").alias("hub_n")))
 
-    def alike(a: str, b: str) -> Column:
-        x, y = F.col(a), F.col(b)
-        return (F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9)
+    def alike(fp: str, n: str) -> Column:
+        """Whether the row's text and the one of the columns fp and n may be similar enough."""
+        x, y = F.col("n"), F.col(n)
+        return (F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9) & ((F.least(x, y) < FEW) | _ring(F.col("fp"), F.col(fp)))
 
-    ring = _ring(F.col("fp"), F.col("hub_fp"))
-    first_pairs = materialize(members.where((F.col("ck") != F.col("hub")) & ring & alike("n", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
+    first_pairs = materialize(members.where((F.col("ck") != F.col("hub")) & alike("hub_fp", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
     # texts of the classes that may take part: those in a bucket of several
     wanted = members.select("ck").distinct().join(classes.select("ck", F.col("low.row").alias("row")), "ck")
     texts = materialize(source.select("row", "text").join(wanted, "row").select("ck", "text").dropDuplicates(["ck"]))
@@ -265,7 +266,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity:
     minor = open_rows.where("comp <> major").drop("major")
     other = open_rows.select("key", F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
     late = (
-        minor.join(other, "key").where("comp <> comp2").where(_ring(F.col("fp"), F.col("fp2")) & alike("n", "n2"))
+        minor.join(other, "key").where("comp <> comp2").where(alike("fp2", "n2"))
         .select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct()
         .join(first_pairs, ["u", "v"], "left_anti")
     )
