@@ -80,6 +80,34 @@ def test_field_finds_what_a_greedy_pattern_loses(model):
     assert ("phone", 12, 29) in pii.added_spans(model, text, base)
 
 
+def test_long_chunks_are_regions_too(model):
+    """Much text before the first digit or @ sign, as in urls, markup or text without spaces, hides no entity."""
+    tails = ["37[.]92[.]178[.]12 or", "37.92.178.12:8080 or", "4111.1111.1111.1111 or", "+1 (608) 555-2280 or"]
+    hidden = 0
+    for tail in tails:
+        for near, far in (("/q?", "/path" * 60 + "/q?"), ("<p>", "<div>" * 500 + "<p>"), ("文", "文" * 300)):
+            a, b = "see " + near + tail, "see " + far + tail
+            more = len(far) - len(near)
+            want = [(k, s + more, e + more) for k, s, e in pii.added_spans(model, a, [])]
+            assert pii.added_spans(model, b, []) == want, b
+            hidden += len(want)
+    assert hidden >= 5
+    for text in ("x" * 500 + "@example", "y/" * 500 + "x" * 70 + "123456"):
+        ((start, atoms),) = pii.regions(text)
+        assert atoms[0][0] == start and atoms[-1][1] == len(text) and text[start - 1 : start] in ("", "/")
+        assert "".join(text[s:e] for s, e in atoms) == text[start:]
+
+
+def test_regions_of_short_chunks_are_as_they_were():
+    rule = re.compile(r"(?<![^\s])[^\s0-9@]{0,64}[0-9@][^\s]*(?:\x20[^\s0-9@]{0,8}[0-9@][^\s]*)*")
+    rnd = random.Random(4)
+    for _ in range(2000):
+        text = "".join(rnd.choice(["word", " ", "1234", "@", "\n", "56-78", ".", "longer-words-here", "é"]) for _ in range(rnd.randint(1, 12)))
+        want = [m.span() for m in rule.finditer(text) if "@" in m[0] or len(pii.only_digits(m[0])) >= 6 if len(re.match("[^0-9@]*", m[0])[0]) <= 64]
+        if max(map(len, re.split("[\\s0-9@]", text))) <= 64:
+            assert [(s, a[-1][1]) for s, a in pii.regions(text)] == want, text
+
+
 def test_clean_documents_get_no_spans(model, spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("not rlike(text, '[0-9]{3}|@')").collect()
     assert len(rows) > 500

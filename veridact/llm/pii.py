@@ -83,20 +83,26 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
 
 
-# a region: chunks with a digit or @ sign, single spaces between them
-_REGION = re.compile(r"(?<![^\s])[^\s0-9@]{0,64}[0-9@][^\s]*(?:\x20[^\s0-9@]{0,8}[0-9@][^\s]*)*")
+# a region from its first digit or @ sign on: chunks that hold one, single spaces between them
+_REGION = re.compile(r"[0-9@][^\s]*(?:\x20[^\s0-9@]{0,8}[0-9@][^\s]*)*")
+#: What comes before, in the same chunk; a longer run of letters at its start stays whole.
+_AHEAD, _LETTERS = re.compile(r"[^\s0-9@]{0,64}\Z"), re.compile(r"[A-Za-z]{2}")
 _ATOM = re.compile(r"[A-Za-z]+|[0-9]+|\x20|[^A-Za-z0-9\x20]")
 
 
 def regions(text: str) -> Iterator[tuple[int, list[tuple[int, int]]]]:
     """(start, atom spans) of every region with 6 digits or an @ sign; others hold no entity.
 
-    Regions of any length are walked whole; the work is linear as entities are bounded.
+    Regions of any length are walked whole; the work is linear as entities are bounded. A chunk with
+    much text before its first digit or @ sign is a region from 64 characters before that on.
     """
     for m in _REGION.finditer(text):
         part = m.group()
         if "@" in part or len(only_digits(part)) >= 6:
-            yield m.start(), [(m.start() + a.start(), m.start() + a.end()) for a in _ATOM.finditer(part)]
+            start = m.start() - len(_AHEAD.search(text[max(0, m.start() - 64) : m.start()]).group())
+            while start and _LETTERS.fullmatch(text, start - 1, start + 1):
+                start -= 1
+            yield start, [a.span() for a in _ATOM.finditer(text, start, m.end())]
 
 
 def span_features(text: str, start: int, end: int) -> list[str]:
