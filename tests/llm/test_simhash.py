@@ -1,5 +1,7 @@
 import random
 
+
+
 from pyspark.sql import functions as F
 
 from tests.llm import brute
@@ -112,6 +114,64 @@ def test_copies_whose_lines_repeat_another_number_of_times_are_found(spark):
     assert kept == {d for d, _ in docs} - {i + 1 for i in pairs}
 
 
+def test_recall_of_similar_pairs(spark):
+    """Of all pairs of sf0.01 at 0.8 or more, those whose texts end in one group (all pairs are looked at)."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, np.unique(simhash.shingle_hashes(r.text, 5))) for r in docs.collect()]
+    rows = [r for r in rows if len(r[1])]
+    every = np.unique(np.concatenate([s for _, s in rows]))
+    held = [np.searchsorted(every, s) for _, s in rows]
+    lengths = np.array([len(s) for _, s in rows])
+    pairs = []
+    for i in range(len(rows)):
+        mark = np.zeros(len(every), bool)
+        mark[held[i]] = True
+        for j in np.flatnonzero((lengths[:i] >= 0.8 * lengths[i]) & (lengths[:i] <= lengths[i] / 0.8)):
+            both = int(mark[held[j]].sum())
+            if both >= 0.8 * (lengths[i] + lengths[j] - both) - 1e-9:
+                pairs.append((rows[i][0], rows[j][0]))
+    found = docs.select("doc_id", simhash._row("doc_id", "text").alias("row")).join(simhash.copy_groups(docs), "row")
+    group = {r.doc_id: r.keeper for r in found.collect()}
+    near = [group[a] == group[b] for a, b in pairs]
+    assert len(near) > 100 and sum(near) >= 0.99 * len(near)
+
+
+def test_large_group_of_unlike_relatives_makes_few_pairs(spark):
+    """Copies of one text with edits from few to many: links as by all pairs, candidates in proportion."""
+    rnd = random.Random(11)
+    base = ["".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(150)]
+    docs = [(i, " ".join(w if rnd.random() > share else f"edit{rnd.randrange(10**6)}" for w in base)) for i, share in enumerate([0.0] + [k / 2500 for k in range(250)])]
+    sets = [np.unique(simhash.shingle_hashes(t, 5)) for _, t in docs]
+    root = list(range(len(docs)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(docs)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    pairs = []
+    late = simhash._late_pairs
+
+    def counted(*args):
+        out = late(*args)
+        pairs.append(out.count())
+        return out
+
+    simhash._late_pairs = counted
+    try:
+        kept = {r.doc_id for r in simhash.keep_one(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    finally:
+        simhash._late_pairs = late
+    assert kept == {i for i in range(len(docs)) if find(i) == i}
+    assert 20 < len(kept) < 200 and pairs[0] < 4 * len(docs)
+
+
 def test_components_of_chains_stars_and_loops(spark):
     from veridact.llm.common import components
 

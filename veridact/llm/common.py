@@ -5,7 +5,7 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,15 +15,17 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a local one where unset."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if found:
-        return found
-    root = spark.sparkContext.getCheckpointDir()
-    if root is None:
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Where it is unset, a session on this machine alone gets a temporary folder; a cluster is refused.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not found:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is unset; a cluster needs a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="veridact-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return root
+        found = spark.sparkContext.getCheckpointDir()
+    return found
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -38,6 +40,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Writes tables as materialize() does and deletes them when its block ends.
+
+    What a result reads after the block goes through materialize() instead.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{scratch_dir(spark)}/veridact-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_: object) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def hash_sample(df: DataFrame, n: int, *by: str) -> DataFrame:
     """About n rows of df, at most 2n, the same on every run: those with the smallest hashes of `by`.
 
@@ -60,24 +84,24 @@ def _stars(e: DataFrame) -> bool:
     return odd.agg(F.count("*")).first()[0] == 0
 
 
-def components(edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame, save: Callable[[DataFrame], DataFrame] = materialize) -> DataFrame:
     """Connected components of an undirected graph as (node, root), root the smallest node.
 
-    edges: columns u, v (long). Large-star and small-star steps alternate until the graph is a forest
+    edges: columns u, v of one sortable type. Large-star and small-star steps alternate until the graph is a forest
     of stars; rounds grow with the logarithm of the diameter. Every minimum is pre-aggregated and
-    written before it is joined back, so a hub with a third of the edges is split by AQE.
+    written by save before it is joined back, so a hub with a third of the edges is split by AQE.
     Nodes without edges aren't in the result; empty edges give an empty result.
     """
-    e = materialize(
+    e = save(
         edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     )
     while not _stars(e):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = materialize(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = materialize(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
-        low = materialize(large.groupBy("u").agg(F.min("v").alias("m")))
+        low = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = save(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = save(large.groupBy("u").agg(F.min("v").alias("m")))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+        e = save(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 

@@ -15,7 +15,7 @@ by pair, and there only the members outside the bucket's largest component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, hamming, materialize
+from .common import Scratch, components, hamming, materialize
 
 SEGMENTS, WIDTH = 4, 16
 MAX_BITS = 3
@@ -154,31 +154,35 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 # --- near copies by similarity of five-word shingles -------------------------------------------
 
-#: Of each level's strata, those that are looked up; a stratum holds one to six shingles.
+#: Of each level's strata, those that are looked up.
 STRATA = 16
+#: Shingles of a stratum: from PER to twice as many on average.
+PER = 2.5
 #: Bits of 64 that fingerprints of distinct shingles at a similarity of 0.8 may differ in (mean 10, deviation 3).
 SIMILAR_BITS = 24
 #: Texts of fewer distinct shingles aren't held against SIMILAR_BITS: a single one moves too many bits.
 FEW = 8
+#: Lengths of a band differ by at most this factor.
+BAND = 1.02
 
 
-def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]] | None:
+def sketch(text: str | None, words: int = 5, similarity: float = 0.8) -> tuple[bytes, int, int, list[int]] | None:
     """(class of equal word sequences, fingerprint of the distinct shingles, their number, keys of strata); None: no words.
 
     The distinct shingle hashes are dealt by their leading bits into 2^level strata, each with a
     SimHash fingerprint of its own; the level follows the number of shingles so that a stratum has
-    a few, and two levels are keyed so that texts of nearly one length share one. At a similarity
-    of 0.8 a stratum of three stays whole with probability 0.5, and one whole stratum of the 16
-    makes a candidate.
+    a few, and texts that may have a partner of the next level are keyed by that one too. At a
+    similarity of 0.8 a stratum of three stays whole with probability 0.5, and one whole stratum of
+    the 16 makes a candidate.
     """
     parts = (text or "").encode("utf-8").lower().split()
     if not parts:
         return None
     own = np.unique(shingle_hashes(text, words))
     n = len(own)
-    level = max(0, int(np.floor(np.log2(n / 2.5)))) if n > 2 else 0
+    level = max(0, int(np.floor(np.log2(n / PER))))
     keys = []
-    for lv in (level, level + 1):
+    for lv in (level, level + 1) if n / similarity >= PER * 2 ** (level + 1) else (level,):
         index = own >> np.uint64(64 - lv) if lv else np.zeros(n, np.uint64)
         index = index[: np.searchsorted(index, STRATA)]
         if len(index):
@@ -187,7 +191,7 @@ def sketch(text: str | None, words: int = 5) -> tuple[int, int, int, list[int]]
             sizes = np.diff(np.append(starts, len(index)))
             marks = np.packbits(np.add.reduceat(bits, starts, axis=0, dtype=np.int32) * 2 > sizes[:, None], axis=1, bitorder="little")
             keys += [xxhash.xxh3_64_intdigest(b"%d/%d/" % (lv, i) + m.tobytes()) - (1 << 63) for i, m in zip(index[starts].tolist(), marks)]
-    return xxhash.xxh3_64_intdigest(b" ".join(parts)) - (1 << 63), fingerprint(own), n, keys
+    return xxhash.xxh3_128_digest(b" ".join(parts)), fingerprint(own), n, keys
 
 
 def _ring(a: Column, b: Column) -> Column:
@@ -208,96 +212,125 @@ def jaccard(a: str, b: str, words: int = 5) -> float:
     return both / max(len(x) + len(y) - both, 1)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, words: int, similarity: float) -> DataFrame:
-    """The pairs (u, v) whose texts are similar enough; texts: (ck, text)."""
-    full = pairs.join(texts.select(F.col("ck").alias("u"), F.col("text").alias("a")), "u").join(
-        texts.select(F.col("ck").alias("v"), F.col("text").alias("b")), "v").select("u", "v", "a", "b")
+def _verified(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
+    """The pairs (u, v) whose whole shingle sets are similar enough; sets: (ck, own)."""
+    full = pairs.join(sets.select(F.col("ck").alias("u"), F.col("own").alias("a")), "u").join(
+        sets.select(F.col("ck").alias("v"), F.col("own").alias("b")), "v")
+    both = F.size(F.array_intersect("a", "b"))
+    return full.where(both * (1 + similarity) >= similarity * (F.size("a") + F.size("b")) - 1e-9).select("u", "v")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in batches:
-            good = [jaccard(a, b, words) >= similarity for a, b in zip(t.column(2).to_pylist(), t.column(3).to_pylist())]
-            yield t.select(["u", "v"]).filter(pa.array(good, pa.bool_()))
 
-    return full.mapInArrow(run, "u long, v long")
+def _row(id_col: str, text_col: str) -> Column:
+    """128 bits that stand for a row's id and text."""
+    return F.struct(F.xxhash64(id_col, text_col).alias("one"), F.xxhash64(F.lit(1), id_col, text_col).alias("two"))
 
 
-def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity: float, save: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(row, ck) of every row with words, (ck, root) of every class, (root, keeper) of every group."""
     kind = docs.schema[id_col].dataType.simpleString()
-    source = docs.select(F.col(id_col).alias("id"), F.xxhash64(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
+    row_kind = "struct<one:bigint,two:bigint>"
+    source = docs.select(F.col(id_col).alias("id"), _row(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            found = [sketch(t, words) for t in b.column(2).to_pylist()]
+            found = [sketch(t, words, similarity) for t in b.column(2).to_pylist()]
             on = pa.array([i for i, x in enumerate(found) if x], pa.int32())
             found = [x for x in found if x]
-            columns = [pa.array([x[k] for x in found], pa.int64()) for k in range(3)]
+            columns = [pa.array([x[0] for x in found], pa.binary()), *(pa.array([x[k] for x in found], pa.int64()) for k in (1, 2))]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0).take(on), b.column(1).take(on), *columns, pa.array([x[3] for x in found], pa.list_(pa.int64()))],
                 ["id", "row", "ck", "fp", "n", "keys"],
             )
 
-    marks = materialize(source.mapInArrow(run, f"id {kind}, row long, ck long, fp long, n long, keys array<long>"))
+    marks = save(source.mapInArrow(run, f"id {kind}, row {row_kind}, ck binary, fp long, n long, keys array<long>"))
     low = F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row")).alias("low")
-    classes = materialize(marks.groupBy("ck").agg(low, F.count("*").alias("docs"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys")))
+    classes = save(marks.groupBy("ck").agg(low, F.count("*").alias("docs"), F.first("fp").alias("fp"), F.first("n").alias("n"), F.first("keys").alias("keys")))
     index = classes.select(F.explode("keys").alias("key"), "ck", "fp", "n", "docs")
-    top = F.max(F.struct("docs", "ck", "fp", "n")).alias("top")
-    hubs = materialize(index.groupBy("key").agg(top, F.count("*").alias("size")).where("size > 1").select("key", "top"))
-    members = materialize(index.join(hubs, "key").select("key", "ck", "fp", "n", F.col("top.ck").alias("hub"), F.col("top.fp").alias("hub_fp"), F.col("top.n").alias("hub_n")))
+    several = save(index.groupBy("key").agg(F.count("*").alias("size")).where("size > 1").select("key"))
+    members = save(index.join(several, "key"))
+    hubs = save(members.groupBy("key").agg(F.max(F.struct("docs", "ck", "fp", "n")).alias("top")))
+    met = members.join(hubs, "key").select("ck", "fp", "n", F.col("top.ck").alias("hub"), F.col("top.fp").alias("hub_fp"), F.col("top.n").alias("hub_n"))
 
     def alike(fp: str, n: str) -> Column:
         """Whether the row's text and the one of the columns fp and n may be similar enough."""
         x, y = F.col("n"), F.col(n)
         return (F.least(x, y) >= similarity * F.greatest(x, y) - 1e-9) & ((F.least(x, y) < FEW) | _ring(F.col("fp"), F.col(fp)))
 
-    first_pairs = materialize(members.where((F.col("ck") != F.col("hub")) & alike("hub_fp", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
-    # texts of the classes that may take part: those in a bucket of several
+    first_pairs = save(met.where((F.col("ck") != F.col("hub")) & alike("hub_fp", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            own = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.list_(pa.int64()))], ["ck", "own"])
+
+    # whole shingle sets of the classes that may take part: those in a bucket of several
     wanted = members.select("ck").distinct().join(classes.select("ck", F.col("low.row").alias("row")), "ck")
-    texts = materialize(source.select("row", "text").join(wanted, "row").select("ck", "text").dropDuplicates(["ck"]))
-    edges = _verified(first_pairs, texts, words, similarity)
-    first = materialize(components(edges))
+    sets = save(source.select("row", "text").join(wanted, "row").select("ck", "text").dropDuplicates(["ck"]).mapInArrow(shingles, "ck binary, own array<long>"))
+    first = save(components(_verified(first_pairs, sets, similarity), save))
     named = first.select(F.col("node").alias("ck"), "root")
-    placed = materialize(members.join(named, "ck", "left").select("key", "ck", "fp", "n", F.coalesce("root", "ck").alias("comp")))
-    mixed = materialize(
+    late = _late_pairs(members.join(named, "ck", "left").select("key", "ck", "fp", "n", F.coalesce("root", "ck").alias("comp")), sets, alike, similarity, save)
+    more = _verified(late, sets, similarity)
+    # the first components and the late links make one small graph
+    roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more), save)
+    roots = roots.select(F.col("node").alias("ck"), "root")
+    named = save(classes.select("ck", "low").join(roots, "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
+    keepers = named.groupBy("root").agg(F.min("low").alias("low")).select("root", F.col("low.row").alias("keeper"))
+    return marks.select("row", "ck"), named.select("ck", "root"), keepers
+
+
+def _late_pairs(placed: DataFrame, sets: DataFrame, alike: Callable[[str, str], Column], similarity: float, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Pairs (u, v) of different components that share a bucket and may still be similar enough.
+
+    placed: (key, ck, fp, n, comp). Only shingles that more than one component holds can count for
+    such a pair. A class whose own edits leave it fewer of these than `similarity` of its shingles
+    has no partner at all, and two classes need as many as their lengths ask for, so that the lone
+    relatives of a large group go before any pair is made. What is left meets inside bands of
+    length that the count of those shingles allows. All bounds are exact.
+    """
+    placed = save(placed)
+    mixed = save(
         placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
         .agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1").select("key", F.col("m.comp").alias("major"))
     )
-    open_rows = materialize(placed.join(mixed, "key"))
-    minor = open_rows.where("comp <> major").drop("major")
-    other = open_rows.select("key", F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"))
-    late = (
-        minor.join(other, "key").where("comp <> comp2").where(alike("fp2", "n2"))
+    rows = save(placed.join(mixed, "key"))
+    held = save(rows.select("ck", "comp").distinct().join(sets, "ck").select("ck", "comp", F.explode("own").alias("h")))
+    spread = save(held.groupBy("h").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("h"))
+    shared = save(held.join(spread, "h").groupBy("ck").agg(F.count("*").alias("s")))
+    able = save(rows.join(shared, "ck").where(F.col("s") >= similarity * F.col("n") - 1e-9))
+    need = 1 + 1 / similarity  # both lengths together, for each shared shingle
+    band = lambda n: F.floor(F.log(n.cast("double")) / np.log(BAND))
+    most = F.least(F.col("n") / similarity, need * F.col("s") - F.col("n")) + 1e-6
+    least = F.greatest(similarity * F.col("n") - 1e-6, F.lit(1.0))
+    minor = able.where("comp <> major").where(most >= least).select("key", "ck", "fp", "n", "s", "comp", F.explode(F.sequence(band(least), band(most))).alias("band"))
+    other = able.select("key", F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("comp").alias("comp2"), band(F.col("n")).alias("band"))
+    enough = need * F.least("s", "s2") + 1e-6 >= F.col("n") + F.col("n2")
+    return save(
+        minor.join(other, ["key", "band"]).where((F.col("comp") != F.col("comp2")) & enough & alike("fp2", "n2"))
         .select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct()
-        .join(first_pairs, ["u", "v"], "left_anti")
     )
-    more = _verified(late, texts, words, similarity)
-    # the first components and the late links make one small graph
-    roots = components(first.select(F.col("node").alias("u"), F.col("root").alias("v")).union(more))
-    roots = roots.select(F.col("node").alias("ck"), "root")
-    named = materialize(classes.select("ck", "low").join(roots, "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
-    keepers = materialize(named.groupBy("root").agg(F.min("low").alias("low")).select("root", F.col("low.row").alias("keeper")))
-    return marks.select("row", "ck"), named.select("ck", "root"), keepers
 
 
 def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """(row, keeper): for every row with words its key, and the row key of its group's smallest id.
 
-    row is xxhash64(id, text). Groups are the components of word-shingle similarity >= `similarity`
+    row is two 64-bit hashes of id and text. Groups are the components of word-shingle similarity >= `similarity`
     between different texts, verified on whole texts; equal word sequences are one class from the start.
     """
-    marks, named, keepers = _groups(docs, id_col, text_col, words, similarity)
-    of_class = materialize(named.join(keepers, "root").select("ck", "keeper"))
-    return marks.join(of_class, "ck").select("row", "keeper")
+    with Scratch(docs.sparkSession) as save:
+        marks, named, keepers = _groups(docs, id_col, text_col, words, similarity, save)
+        return materialize(marks.join(save(named.join(save(keepers), "root").select("ck", "keeper")), "ck").select("row", "keeper"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
     """docs without near copies: of each group the row of the smallest id stays, with all its columns.
 
     Defined cases: rows equal in id and text are one; null ids come last in a group; texts without
-    words (and null texts) are nobody's copies and all stay; an empty table stays empty.
+    words (and null texts) are nobody's copies and all stay; an empty table stays empty. Rows and
+    equal texts are told apart by 128 bits.
     """
-    stay = _groups(docs, id_col, text_col, words, similarity)[2].select(F.col("keeper").alias("_row"))
+    with Scratch(docs.sparkSession) as save:
+        stay = materialize(_groups(docs, id_col, text_col, words, similarity, save)[2].select(F.col("keeper").alias("_row")))
     worded = F.coalesce(F.col(text_col), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
-    marked = docs.select(F.struct("*").alias("_doc"), F.xxhash64(id_col, text_col).alias("_row"), worded.alias("_worded"))
+    marked = docs.select(F.struct("*").alias("_doc"), _row(id_col, text_col).alias("_row"), worded.alias("_worded"))
     kept = marked.where("_worded").join(stay, "_row").dropDuplicates(["_row"])
     return kept.select("_doc").unionByName(marked.where("not _worded").select("_doc")).select("_doc.*")
