@@ -1,7 +1,6 @@
 import random
 
-
-
+import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm import brute

@@ -163,7 +163,7 @@ SIMILAR_BITS = 24
 #: Texts of fewer distinct shingles aren't held against SIMILAR_BITS: a single one moves too many bits.
 FEW = 8
 #: Lengths of a band differ by at most this factor.
-BAND = 1.02
+BAND = 1.05
 
 
 def sketch(text: str | None, words: int = 5, similarity: float = 0.8) -> tuple[bytes, int, int, list[int]] | None:
@@ -279,35 +279,49 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity:
 
 
 def _late_pairs(placed: DataFrame, sets: DataFrame, alike: Callable[[str, str], Column], similarity: float, save: Callable[[DataFrame], DataFrame]) -> DataFrame:
-    """Pairs (u, v) of different components that share a bucket and may still be similar enough.
-
-    placed: (key, ck, fp, n, comp). Only shingles that more than one component holds can count for
-    such a pair. A class whose own edits leave it fewer of these than `similarity` of its shingles
-    has no partner at all, and two classes need as many as their lengths ask for, so that the lone
-    relatives of a large group go before any pair is made. What is left meets inside bands of
-    length that the count of those shingles allows. All bounds are exact.
+    """Pairs (u, v) of different components that may still be similar enough.
+
+    placed: (key, ck, fp, n, comp). The classes of buckets that still hold several components are
+    joined among one another by exact bounds, without regard to the buckets. Only shingles that more
+    than one component holds can count for a pair; a class with too few of these has no partner, so
+    the lone relatives of a large group go before any pair is made. Of the others, two similar sets
+    share one of their rarest shingles (prefix filter over the count of classes, rarest first), at a
+    place that leaves room for the overlap that both lengths ask for; they meet by that shingle and
+    by a band of lengths. The fingerprints' pigeonring chain prunes what meets.
     """
     placed = save(placed)
     mixed = save(
-        placed.groupBy("key", "comp").agg(F.count("*").alias("c")).groupBy("key")
-        .agg(F.max(F.struct("c", "comp")).alias("m"), F.count("*").alias("comps")).where("comps > 1").select("key", F.col("m.comp").alias("major"))
-    )
-    rows = save(placed.join(mixed, "key"))
-    held = save(rows.select("ck", "comp").distinct().join(sets, "ck").select("ck", "comp", F.explode("own").alias("h")))
-    spread = save(held.groupBy("h").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("h"))
-    shared = save(held.join(spread, "h").groupBy("ck").agg(F.count("*").alias("s")))
-    able = save(rows.join(shared, "ck").where(F.col("s") >= similarity * F.col("n") - 1e-9))
-    need = 1 + 1 / similarity  # both lengths together, for each shared shingle
-    band = lambda n: F.floor(F.log(n.cast("double")) / np.log(BAND))
-    most = F.least(F.col("n") / similarity, need * F.col("s") - F.col("n")) + 1e-6
-    least = F.greatest(similarity * F.col("n") - 1e-6, F.lit(1.0))
-    minor = able.where("comp <> major").where(most >= least).select("key", "ck", "fp", "n", "s", "comp", F.explode(F.sequence(band(least), band(most))).alias("band"))
-    other = able.select("key", F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("s").alias("s2"), F.col("comp").alias("comp2"), band(F.col("n")).alias("band"))
-    enough = need * F.least("s", "s2") + 1e-6 >= F.col("n") + F.col("n2")
-    return save(
-        minor.join(other, ["key", "band"]).where((F.col("comp") != F.col("comp2")) & enough & alike("fp2", "n2"))
-        .select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct()
+        placed.groupBy("key").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("key")
     )
+    classes = save(placed.join(mixed, "key").select("ck", "fp", "n", "comp").distinct())
+    held = save(classes.select("ck", F.xxhash64("comp").alias("c")).join(sets, "ck").select("ck", "c", F.explode("own").alias("h")))
+    spread = save(held.groupBy("h").agg(F.min("c").alias("a"), F.max("c").alias("b"), F.count("*").alias("df")).where("a <> b").select("h", "df"))
+    rare = held.select("ck", "h").join(spread, "h").groupBy("ck").agg(F.sort_array(F.collect_list(F.struct("df", "h"))).alias("rare"))
+    share = similarity / (1 + similarity)  # of both lengths together, what two similar sets have in common
+    n, lone = F.col("n"), F.col("n") - F.size("rare")  # shingles that nobody shares stand first in the order
+    prefix = F.floor(n - similarity * n + 1 + 1e-6) - lone
+    able = save(classes.join(rare, "ck").where(prefix > 0).select("ck", "fp", "n", "comp", F.slice("rare", F.lit(1), prefix.cast("int")).alias("rare"), lone.alias("lone")))
+    band = lambda x: F.floor(F.log(x.cast("double")) / np.log(BAND)).cast("int")
+    # of a pair, the longer set asks (of two as long, the smaller class)
+    reach = F.sequence(band(F.greatest(similarity * n - 1e-6, F.lit(1.0))), band(n))
+    # the fewest shingles of a partner in the band, and the prefix that its overlap leaves
+    least = F.greatest(F.pow(F.lit(BAND), F.col("band").cast("double")) - 1e-6, similarity * n - 1e-6)
+    first = F.floor(n - share * (n + least) + 1 + 1e-6) - F.col("lone")
+    asks = able.select("*", F.explode(reach).alias("band")).where(first > 0).select(
+        "ck", "fp", "n", "comp", "lone", "band", F.posexplode(F.slice("rare", F.lit(1), first.cast("int"))).alias("at", "r"))
+    asks = asks.select("ck", "fp", "n", "comp", "band", F.col("r.h").alias("h"), (F.col("lone") + F.col("at")).alias("at"))
+    other = able.select("ck", "fp", "n", "comp", "lone", band(n).alias("band"), F.posexplode("rare").alias("at", "r"))
+    other = other.select(F.col("ck").alias("ck2"), F.col("fp").alias("fp2"), F.col("n").alias("n2"), F.col("comp").alias("comp2"), "band", F.col("r.h").alias("h"), (F.col("lone") + F.col("at")).alias("at2"))
+    room = F.least(n - F.col("at"), F.col("n2") - F.col("at2")) >= share * (n + F.col("n2")) - 1e-6
+    turn = (n > F.col("n2")) | ((n == F.col("n2")) & (F.col("ck") < F.col("ck2")))
+    fits = (F.col("comp") != F.col("comp2")) & turn & room & alike("fp2", "n2")
+    # members of a shingle's largest component meet only those outside it
+    major = save(other.groupBy("h", "comp2").agg(F.count("*").alias("c")).groupBy("h").agg(F.max(F.struct("c", "comp2")).alias("m"), F.count("*").alias("comps"))
+                 .where("comps > 1").select("h", F.col("m.comp2").alias("major")))
+    asks, other = save(asks.join(major, "h")), save(other.join(major.withColumnRenamed("major", "major2"), "h"))
+    out = asks.where("comp <> major").join(other, ["h", "band"]).where(fits).select("ck", "ck2")
+    out = out.union(asks.where("comp = major").join(other.where("comp2 <> major2"), ["h", "band"]).where(fits).select("ck", "ck2"))
+    return save(out.select(F.least("ck", "ck2").alias("u"), F.greatest("ck", "ck2").alias("v")).distinct())
 
 
 def copy_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, similarity: float = 0.8) -> DataFrame:
