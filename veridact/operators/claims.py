@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schemas import UNSTATED
+from ..schemas import POLARITIES, UNSTATED
 
 
 def cells(reviews: DataFrame) -> DataFrame:
@@ -24,10 +24,12 @@ def cell_sizes(member: DataFrame) -> DataFrame:
 def candidates(member: DataFrame, tags: DataFrame) -> DataFrame:
     """Distinct authors of each stance for every cell and aspect someone spoke of, with the cell's size."""
     said = member.join(tags, "review_id")
-    stance = lambda p: F.count_distinct(F.when(F.col("polarity") == p, F.col("author")))
-    counted = said.groupBy("product_id", "axis", "segment", "aspect").agg(
-        stance("positive").alias("pos"), stance("negative").alias("neg"), stance("neutral").alias("neu"), F.count_distinct("author").alias("spoke")
-    )
+    cell = ["product_id", "axis", "segment", "aspect"]
+    stance = lambda p: F.max((F.col("polarity") == p).cast("int")).alias(p)
+    each = said.groupBy(*cell, "author").agg(*map(stance, POLARITIES))  # one row an author: no row is expanded
+    spoke = F.count("author").alias("spoke")
+    n = lambda p, name: F.count(F.when((F.col(p) == 1) & F.col("author").isNotNull(), 1)).alias(name)
+    counted = each.groupBy(*cell).agg(n("positive", "pos"), n("negative", "neg"), n("neutral", "neu"), spoke)
     return counted.join(cell_sizes(member), ["product_id", "axis", "segment"])
 
 

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import nfc, strip
 from ..schemas import PROMO_TOKENS, UNIT_TOKENS
+from .shared import cut_lineage
 
+# Patterns of bracket groups, volumes, numbers and non-word characters (fixed values).
 _GROUP = r"[\[(]([^\])]*)[\])]?"
 _VOLUME = rf"(?U)\d+\s*(?:{'|'.join(UNIT_TOKENS)})\b|\d+\s*[*x×]\s*\d+"
 _PROMO = "(?i)" + "|".join(PROMO_TOKENS)
@@ -23,22 +25,24 @@ def is_promo(group: Column) -> Column:
     return F.trim(group).startswith("+") | group.rlike(_PROMO) | (_clean(group) == "")
 
 
-def core(text: Column) -> Column:
-    """struct(number, name) of a text; null name: nothing but promotion and volume."""
-    bare = _clean(F.regexp_replace(F.split(text, r"\+")[0], _PROMO, " "))
-    numbered = bare.rlike(_NUMBER)
-    number = F.regexp_replace(F.regexp_extract(bare, _NUMBER, 1), "^0+(?=.)", "")
-    name = F.regexp_replace(F.when(numbered, F.regexp_extract(bare, _NUMBER, 2)).otherwise(bare), r"\s+", "")
-    return F.struct(F.when(numbered, number).alias("number"), F.nullif(name, F.lit("")).alias("name"))
+def core(rows: DataFrame, text: Column) -> DataFrame:
+    """rows with number and name of a text; null name: nothing but promotion and volume.
+
+    Each pattern is searched once: the stages are columns of their own, which go at the end.
+    """
+    rows = rows.withColumn("_bare", F.regexp_replace(F.split(text, r"\+")[0], _PROMO, " ")).withColumn("_bare", _clean(F.col("_bare")))
+    rows = rows.withColumn("_n", F.regexp_extract("_bare", _NUMBER, 1)).withColumn("_name", F.when(F.col("_n") != "", F.regexp_extract("_bare", _NUMBER, 2)).otherwise(F.col("_bare")))
+    number = F.regexp_replace(F.nullif("_n", F.lit("")), "^0+(?=.)", "")
+    return rows.withColumn("number", number).withColumn("name", F.nullif(F.regexp_replace("_name", r"\s+", ""), F.lit(""))).drop("_bare", "_n", "_name")
 
 
 def parse(forms: DataFrame) -> DataFrame:
-    """forms (product_id, option) with option stripped, kept groups, rest and the core of the rest."""
+    """forms (product_id, option, reviews) with option stripped, kept groups, rest and the core of the rest."""
     text = strip(nfc(F.col("option")))
-    rows = forms.withColumn("option", text).where(F.coalesce(F.col("option"), F.lit("")) != "")
+    rows = forms.groupBy("product_id", text.alias("option")).agg(F.sum("reviews").alias("reviews")).where(F.coalesce(F.col("option"), F.lit("")) != "")
     groups = F.regexp_extract_all("option", F.lit(_GROUP), 1)
     rows = rows.withColumn("kept", F.filter(groups, lambda g: ~is_promo(g))).withColumn("rest", F.regexp_replace("option", _GROUP, ""))
-    return rows.withColumn("bare", core(F.col("rest"))["name"])
+    return core(rows, F.col("rest")).withColumnRenamed("name", "bare").drop("number")
 
 
 def wrappers(parsed: DataFrame) -> DataFrame:
@@ -56,11 +60,11 @@ def wrappers(parsed: DataFrame) -> DataFrame:
 
 def index(reviews: DataFrame) -> DataFrame:
     """(product_id, option, reviews, kind, shade_key) of every option string in use."""
-    forms = parse(reviews.select("product_id", "option")).groupBy("product_id", "option", "kept", "rest", "bare").agg(F.count("*").alias("reviews"))
+    forms = cut_lineage(parse(reviews.groupBy("product_id", "option").agg(F.count("*").alias("reviews"))))
     drop = wrappers(forms).groupBy("product_id").agg(F.collect_set("word").alias("drop"))  # a product's vocabulary
     kept = F.filter("kept", lambda g: ~F.array_contains(F.coalesce("drop", F.array().cast("array<string>")), F.trim(g)))
-    keyed = forms.join(drop, "product_id", "left").withColumn("c", core(F.concat_ws(" ", F.concat(kept, F.array("rest")))))
-    keyed = keyed.select("product_id", "option", "reviews", F.col("c.number").alias("number"), F.col("c.name").alias("name"))
+    keyed = forms.join(drop, "product_id", "left").withColumn("whole", F.concat_ws(" ", F.concat(kept, F.array("rest"))))
+    keyed = cut_lineage(core(keyed, F.col("whole")).select("product_id", "option", "reviews", "number", "name"))
     single = (
         keyed.where("number is not null").groupBy("product_id", "name").agg(F.count_distinct("number").alias("n"), F.min("number").alias("only"))
         .where("n = 1").select("product_id", "name", "only")

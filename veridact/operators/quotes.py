@@ -2,43 +2,113 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_invisible, fold_linebreaks, squeeze
 from .shared import cut_lineage
 
-#: Rows and characters of a block of quotes that is sent against the corpus, on average.
-BLOCK, BLOCK_CHARS = 5000, 4_000_000
+#: Characters of a gram, and grams of a window of which the smallest hash is kept: a text and every
+#: part of it of GRAM + WINDOW - 1 characters or more have one in common.
+GRAM, WINDOW = 12, 16
+#: Rows of a block of shorter quotes, which is sent against the corpus.
+BLOCK = 5000
+
+
+def minimizers(text: str) -> np.ndarray:
+    """Distinct hashes of the grams that are the smallest of a window; none for shorter texts."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n = len(codes) - GRAM + 1
+    if n < WINDOW:
+        return np.empty(0, np.int64)
+    with np.errstate(over="ignore"):
+        h = np.zeros(n, np.uint64)
+        for i in range(GRAM):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + codes[i : i + n] + np.uint64(1)
+        h ^= h >> np.uint64(31)
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(29)
+    width = 1
+    while width < WINDOW:  # smallest of 2, 4, 8, 16 neighbours
+        h = np.minimum(h[:-width], h[width:])
+        width *= 2
+    return np.unique(h).view(np.int64)
+
+
+def _grams(rows: DataFrame, key: str, text: str) -> DataFrame:
+    """(key, gram) of every distinct minimizer of a row's text."""
+    kind = rows.schema[key].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            found = [minimizers(t or "") for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], [key, "grams"])
+
+    return rows.select(key, text).mapInArrow(run, f"`{key}` {kind}, grams array<long>").select(key, F.explode("grams").alias("gram"))
+
+
+def two_smallest(rows: DataFrame, by: str, value: str) -> DataFrame:
+    """(by, a, b): the smallest value of each group and the next one (null: there is none)."""
+    low = cut_lineage(rows.groupBy(by).agg(F.min(value).alias("a")))
+    rest = rows.join(low, by).groupBy(by, "a").agg(F.min(F.when(F.col(value) > F.col("a"), F.col(value))).alias("b"))
+    return rest.select(by, "a", "b")
+
+
+def holders(quotes: DataFrame, texts: DataFrame) -> DataFrame:
+    """(qk, a, b): for every sought quote (qk, q) the two smallest ids of texts (tk, folded, a, b) that hold it.
+
+    A quote and a text that holds it share minimizers; the quote's rarest one is looked up, and what
+    meets is compared. Both sides are distinct, so copies of either cost nothing. Quotes too short
+    for a minimizer are the stated query set that goes in blocks against all rows.
+    """
+    index = cut_lineage(_grams(texts, "tk", "folded"))
+    asked = cut_lineage(_grams(quotes, "qk", "q"))
+    wanted = asked.select("gram").distinct()
+    often = cut_lineage(index.join(wanted, "gram").groupBy("gram").agg(F.count("*").alias("n")))
+    rarest = asked.join(often, "gram", "left").groupBy("qk").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram")).alias("m"))
+    picks = cut_lineage(rarest.where("m.n > 0").select("qk", F.col("m.gram").alias("gram")))
+    met = cut_lineage(picks.join(index, "gram").select("qk", "tk"))
+    long = met.join(quotes, "qk").join(texts, "tk").where(F.contains("folded", "q")).select("qk", "a", "b")
+    short = quotes.where(F.char_length("q") < GRAM + WINDOW - 1)
+    blocks = -(-short.count() // BLOCK)
+    for i in range(blocks):
+        some = F.broadcast(short.where(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == i))
+        long = long.union(cut_lineage(texts.join(some, F.contains("folded", "q")).select("qk", "a", "b")))
+    ids = long.select("qk", F.explode(F.array("a", "b")).alias("id")).where("id is not null")
+    return two_smallest(cut_lineage(ids), "qk", "id")
 
 
 def classify(evidence: DataFrame, reviews: DataFrame) -> DataFrame:
     """evidence (quote_id, review_id, quote) with status and matched_review_id.
 
-    reviews: review_id, content. Only quotes that the cited review doesn't hold are looked for in
-    the corpus: they are the stated query set, sent in blocks of BLOCK rows or BLOCK_CHARS characters
-    against all rows; the smallest id that holds the quote is named.
+    reviews: review_id, content. Blank and null quotes are blank_quote, whatever they cite. Only
+    quotes that the cited review doesn't hold are looked for in the corpus; the smallest other id
+    that holds the quote is named.
     """
     folded = reviews.select("review_id", F.col("content").alias("source"), fold_invisible(F.col("content")).alias("folded"))
     quotes = evidence.select("quote_id", "review_id", "quote", fold_invisible(F.col("quote")).alias("q"))
     own = quotes.join(folded, "review_id", "left")
     status = (
-        F.when(F.col("source").isNull(), "unknown_review").when(F.contains("folded", "q"), "verbatim")
+        F.when(F.coalesce(squeeze(F.col("q")), F.lit("")) == "", "blank_quote")
+        .when(F.col("source").isNull(), "unknown_review").when(F.contains("folded", "q"), "verbatim")
         .when(F.contains(fold_linebreaks(F.col("source")), fold_linebreaks(F.col("quote"))), "linebreak_only")
         .when(F.contains(squeeze(F.col("source")), squeeze(F.col("quote"))), "spacing_edited")
     )
     first = cut_lineage(own.select("quote_id", "review_id", "q", status.alias("status")))
-    failed = first.where("status is null").select("quote_id", F.col("review_id").alias("cited"), "q")
-    size = failed.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("q")), F.lit(0)).alias("chars")).first()
-    blocks = max(1, -(-size.n // BLOCK), -(-size.chars // BLOCK_CHARS))
-    found = None
-    for b in range(blocks):
-        some = F.broadcast(failed.where(F.pmod(F.xxhash64("quote_id"), F.lit(blocks)) == b))
-        hits = folded.join(some, F.contains("folded", "q") & (F.col("review_id") != F.col("cited"))).groupBy("quote_id").agg(F.min("review_id").alias("matched_review_id"))
-        found = hits if found is None else found.union(hits)
-    rows = first.join(found, "quote_id", "left")
+    failed = cut_lineage(first.where("status is null").select("quote_id", F.col("review_id").alias("cited"), F.md5("q").alias("qk"), "q"))
+    texts = cut_lineage(folded.where("source is not null").select(F.md5("folded").alias("tk"), "folded", "review_id"))
+    ids = two_smallest(texts.select("tk", "review_id"), "tk", "review_id")
+    texts = cut_lineage(texts.dropDuplicates(["tk"]).select("tk", "folded").join(ids, "tk"))
+    found = holders(failed.select("qk", "q").dropDuplicates(["qk"]), texts)
+    named = F.when(F.col("a") != F.col("cited"), F.col("a")).otherwise(F.col("b"))
+    hits = failed.join(found, "qk").select("quote_id", "cited", named.alias("matched_review_id")).distinct()
+    rows = first.join(hits, (first["quote_id"] == hits["quote_id"]) & first["review_id"].eqNullSafe(hits["cited"]), "left").drop(hits["quote_id"])
     late = F.when(F.col("matched_review_id").isNotNull(), "misattributed").otherwise("fabricated")
-    return rows.select("quote_id", "review_id", F.coalesce("status", late).alias("status"), "matched_review_id")
+    return rows.select("quote_id", "review_id", F.coalesce("status", late).alias("status"), F.when(F.col("status").isNull(), F.col("matched_review_id")).alias("matched_review_id"))
 
 
 def enforce(verdicts: DataFrame, budget: int = 2, min_evidence: int = 1) -> DataFrame:

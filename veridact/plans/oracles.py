@@ -222,7 +222,7 @@ evidence AS (
     CASE doc_id % 4 WHEN 1 THEN replace(text, chr(10), ' ') WHEN 2 THEN replace(text, ' ', '') ELSE text END AS quote FROM documents
   UNION ALL SELECT item_id + 2000000000, item_id, text FROM benchmark
 ), own AS (
-  SELECT e.*, CASE WHEN d.doc_id IS NULL THEN 'unknown_review' WHEN contains(d.text, quote) THEN 'verbatim'
+  SELECT e.*, CASE WHEN regexp_replace(coalesce(quote, ''), '\s+', '', 'g') = '' THEN 'blank_quote' WHEN d.doc_id IS NULL THEN 'unknown_review' WHEN contains(d.text, quote) THEN 'verbatim'
     WHEN contains(trim(regexp_replace(d.text, '[ \n]+', ' ', 'g')), trim(regexp_replace(quote, '[ \n]+', ' ', 'g'))) THEN 'linebreak_only'
     WHEN contains(regexp_replace(d.text, '\s+', '', 'g'), regexp_replace(quote, '\s+', '', 'g')) THEN 'spacing_edited' END AS s
   FROM evidence e LEFT JOIN documents d ON d.doc_id = e.review_id
