@@ -51,7 +51,20 @@ def test_deep_paths_and_repeats(spark):
     df = spark.createDataFrame([(1, deep), (1, deep), (None, deep), (2, None)], "page_id long, url string")
     got = U.judge(df, keep=("page_id",)).collect()
     assert len(got) == 4 and {r.verdict for r in got} == {"allow"}
-    assert df.select(F.size(U.template(U.path_of(F.col("url"))))).first()[0] == U.MAX_DEPTH + 1
+    assert df.select(F.size(U.template(U.path_of(F.col("url"))))).first()[0] == 30
+    # labels below the eighth segment are told apart
+    rows = [(i, f"http://a.org/{'x/' * 12}{end}/{i}", y) for end, y in (("good", 0), ("bad", 1)) for i in range(60)] + [(60, f"http://a.org/{'x/' * 12}bad/60", None), (60, f"http://a.org/{'x/' * 12}good/60", None)]
+    got = U.judge(spark.createDataFrame(rows, "page_id long, url string, y int"), keep=("page_id",), rules=(), label_col="y").where("page_id = 60").collect()
+    assert {r.path.split("/")[-2]: r.verdict for r in got} == {"bad": "block", "good": "allow"}
+
+
+def test_branches_speak_for_siblings_without_labels(spark):
+    """Pages that no rule decides are blocked where the host's labelled branches are."""
+    urls = [f"http://a.net/{part}/{i}" for part in ("es", "fr") for i in range(40)] + [f"http://a.net/de/{i}" for i in range(5)] + ["http://few.net/es/1", "http://few.net/de/1", "http://b.org/de/1"]
+    urls += [f"http://www.c.com/x/{i}" for i in range(90)]
+    got = U.judge(spark.createDataFrame(list(enumerate(urls)), "page_id long, url string"), keep=("page_id", "url")).collect()
+    undecided = {r.url: r.verdict for r in got if r.rule is None}
+    assert undecided == {f"http://a.net/de/{i}": "block" for i in range(5)} | {"http://few.net/de/1": "allow", "http://b.org/de/1": "allow"}
 
 
 def test_empty_table(spark):
