@@ -108,6 +108,18 @@ def test_regions_of_short_chunks_are_as_they_were():
             assert [(s, a[-1][1]) for s, a in pii.regions(text)] == want, text
 
 
+def test_short_addresses_and_numbers_behind_unspaced_text_are_regions():
+    """Every address has four numbers, however short; what stands before a number shortens no region."""
+    def shown(text):
+        return [text[atoms[0][0] : atoms[-1][1]] for _, atoms in pii.regions(text)]
+
+    assert shown("see 1[.]2[.]3[.]4 now") == ["1[.]2[.]3[.]4"]
+    assert [r[-16:] for r in shown("漢" * 80 + "0044-1234-567890")] == ["0044-1234-567890"]
+    assert shown("page 12 of 30") == []
+    long = "[" + "/1-2" * 30 + "]"
+    assert len(pii.span_features(long, 0, len(long))[0]) > 60
+
+
 def test_clean_documents_get_no_spans(model, spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("not rlike(text, '[0-9]{3}|@')").collect()
     assert len(rows) > 500

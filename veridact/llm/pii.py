@@ -87,18 +87,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 _REGION = re.compile(r"[0-9@][^\s]*(?:\x20[^\s0-9@]{0,8}[0-9@][^\s]*)*")
 #: What comes before, in the same chunk; a longer run of letters at its start stays whole.
 _AHEAD, _LETTERS = re.compile(r"[^\s0-9@]{0,64}\Z"), re.compile(r"[A-Za-z]{2}")
+_NUMBERS = re.compile(r"[0-9]+")
 _ATOM = re.compile(r"[A-Za-z]+|[0-9]+|\x20|[^A-Za-z0-9\x20]")
 
 
 def regions(text: str) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """(start, atom spans) of every region with 6 digits or an @ sign; others hold no entity.
+    """(start, atom spans) of every region with 6 digits, 4 groups of digits or an @ sign; others hold no entity.
 
     Regions of any length are walked whole; the work is linear as entities are bounded. A chunk with
     much text before its first digit or @ sign is a region from 64 characters before that on.
     """
     for m in _REGION.finditer(text):
         part = m.group()
-        if "@" in part or len(only_digits(part)) >= 6:
+        if "@" in part or len(only_digits(part)) >= 6 or len(_NUMBERS.findall(part)) >= 4:
             start = m.start() - len(_AHEAD.search(text[max(0, m.start() - 64) : m.start()]).group())
             while start and _LETTERS.fullmatch(text, start - 1, start + 1):
                 start -= 1
@@ -111,7 +112,7 @@ def span_features(text: str, start: int, end: int) -> list[str]:
     digits = only_digits(span)
     groups = re.findall(r"[0-9]+", span)
     letters = sum(c.isalpha() for c in span)
-    shape = re.sub(r"[0-9]+", "9", re.sub(r"[A-Za-z]+", "a", span))[:24]
+    shape = re.sub(r"[0-9]+", "9", re.sub(r"[A-Za-z]+", "a", span))
     before, after = text[start - 1 : start], text[end : end + 1]
     word = re.search(r"([^\W\d_]+)[\W_]*\Z", text[max(0, start - 24) : start])
     return [
@@ -316,7 +317,7 @@ def added_spans(model: Model, text: str, base: list[tuple[str, int, int]]) -> li
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Fit on the first SAMPLE documents, by hash, that hold six digits in a row region or an @ sign."""
+    """Fit on the first SAMPLE documents, by hash, that hold three digits in a row or an @ sign."""
     some = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).where(F.length("t") <= SAMPLE_CHARS)
     some = hash_sample(some.where(F.col("t").rlike(r"[0-9]{3}|@")), SAMPLE, "i", "t")
     return fit(list(dict.fromkeys(r.t for r in some.collect())))
