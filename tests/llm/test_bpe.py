@@ -51,6 +51,17 @@ def test_one_long_word_has_open_parts():
     assert bpe.merge(c, [(o, c.encode(p)) for p, o in found]) == expected(text)
 
 
+def test_long_texts_with_spaces_go_through_the_tree():
+    """Every part but the first of a stretch is open, white space or none."""
+    rnd = random.Random(3)
+    c = bpe.codec(PATH)
+    for text in ("".join(rnd.choice([p for p in PIECES if "|" not in p]) for _ in range(20_000)), "word and " * 8000, " " * 40_000, "\n \t" * 9000 + "x", "a" * 50_000):
+        found = list(bpe.parts(c, text))
+        joined = [(o, c.encode(p)) for p, o in found]
+        assert "".join(p for p, _ in found) == text and any(o for o, _ in joined)
+        assert bpe.merge(c, joined) == expected(text)
+
+
 def test_unusual_rows(spark):
     word = "abcdefghij" * 400
     rows = [(1, None), (2, ""), (None, "x y"), (None, word), (4, word + " " + word), (4, word + " " + word), (4, "other " * 300), (5, "a<|endoftext|>" * 100)]

@@ -1,12 +1,10 @@
 """Byte-level BPE encoding and decoding, with tree concatenation for long texts.
 
-Short texts are encoded whole. A long text is first cut at its special tokens, then where a white
-space follows a letter or digit (no token of the pattern spans that place, so nothing has to be
-repaired), and where a stretch has no such place, in halves at any character. The parts are encoded
-in parallel tasks. Parts cut at any character are joined as a tree: a window of tokens around the
-join is encoded anew and grown until its outer tokens agree with both sides. From an agreed token
-on, every neighbouring pair of tokens is one that the encoder itself makes, so the joined sequence
-is the encoding of the whole.
+Short texts are encoded whole. A text beyond LONG characters is cut, at its special tokens and
+otherwise at any character, into parts of PART, which are encoded in parallel tasks and joined as a
+tree by halves: a window of tokens around each join is encoded anew and grown until its outer
+tokens agree with both sides. From an agreed token on, every neighbouring pair of tokens is one
+that the encoder itself makes, so the joined sequence is the encoding of the whole.
 """
 
 from __future__ import annotations
@@ -15,14 +13,14 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Texts beyond LONG characters are cut into parts of at most PART.
-LONG, PART = 65_536, 16_384
+LONG, PART = 16_384, 8_192
 #: Tokens on each side that must agree, and the window's first size.
 AGREE, WINDOW = 2, 8
 
@@ -44,7 +42,6 @@ class Codec:
 
     def __init__(self, path: str):
         import tiktoken
-        from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -54,9 +51,7 @@ class Codec:
         letters = _alphabet()
         vocab = {bytes(letters[c] for c in t): i for t, i in spec["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        self.path = path
         # ids follow the merges' order, so they are ranks
         self.fast = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=vocab, special_tokens={})
         self.bytes_of = [b""] * (1 + max([*vocab.values(), *self.special.values()]))
@@ -68,6 +63,16 @@ class Codec:
         names = sorted(map(re.escape, self.special), key=len, reverse=True)
         self.cut = re.compile("|".join(names)) if names else None
 
+    @cached_property
+    def library(self):
+        """The tokenizers library's own reading of the file, loaded when a text needs it."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
         if not _COMMON.search(text):
@@ -132,19 +137,9 @@ def parts(c: Codec, text: str, size: int = PART) -> Iterator[tuple[str, bool]]:
     for kind, segment in c.segments(text):
         if kind:
             yield segment, False
-            continue
-        at, fresh = 0, True
-        while at < len(segment):
-            end, safe = at + size, True
-            if end < len(segment):
-                for k in range(end, at + size // 2, -1):
-                    if segment[k] in " \n" and segment[k - 1].isalnum():
-                        end = k
-                        break
-                else:
-                    safe = False
-            yield segment[at:end], not fresh
-            at, fresh = end, safe
+        else:
+            for at in range(0, len(segment), size):
+                yield segment[at : at + size], at > 0
 
 
 def merge(c: Codec, encoded: list[tuple[bool, list[int]]]) -> list[int]:
@@ -171,14 +166,19 @@ def digests(c: Codec, found: list[list[int]]) -> list[pa.Array]:
     return [pa.array([len(x) for x in found], pa.int64()), pa.array(ids, pa.string()), pa.array(texts, pa.string())]
 
 
+def counts(c: Codec, found: list[list[int]]) -> list[pa.Array]:
+    return [pa.array([len(x) for x in found], pa.int64())]
+
+
 RESULTS: dict[str, tuple[Callable, str]] = {
     "ids": (ids_only, "ids array<int>"),
+    "counts": (counts, "n_tokens long"),
     "digests": (digests, "n_tokens long, ids_sha256 string, decoded_sha256 string"),
 }
 
 
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", result: str = "ids", long: int = LONG, size: int = PART) -> DataFrame:
-    """(id, ids array<int>), or the digests of ids and decoded text, for every row.
+    """(id, ids array<int>), or their number, or the digests of ids and decoded text, for every row.
 
     path: the tokenizer file, at the same place on every worker. Defined cases: null text is empty
     and has no ids; texts of any length are encoded whole and exactly; repeated rows stay repeated;
