@@ -2,9 +2,10 @@ import random
 import re
 
 import pytest
+from tokenizers import Tokenizer
 
 from veridact.llm import packing as P
-from veridact.llm.queries import op2_best_fit_packing
+from veridact.llm.queries import op2_best_fit_packing, tokenizer_path
 
 
 def brute_best_fit(lengths, capacities, overhead):
@@ -56,7 +57,8 @@ def test_query_places_every_token_once_and_sequences_hold_the_text(spark):
     sf = "/root/testdata/sf0.001"
     rows = op2_best_fit_packing(spark, sf).collect()
     docs = spark.read.parquet(f"{sf}/documents.parquet")
-    words = {r.doc_id: re.findall(r"[^\x20\x09-\x0D]+", r.text or "") for r in docs.collect()}
+    library = Tokenizer.from_file(tokenizer_path())
+    words = {r.doc_id: library.encode(r.text or "", add_special_tokens=False).ids for r in docs.collect()}
     bins, ids = {}, {}
     for r in rows:
         ids[r.doc_id] = ids.get(r.doc_id, 0) + r.n_tokens
@@ -68,6 +70,17 @@ def test_query_places_every_token_once_and_sequences_hold_the_text(spark):
         assert held[0][0] == 0 and all(a + n == b for (a, n), (b, _) in zip(held, held[1:]))
         assert sum(held[-1]) <= capacity
     assert sum(n for held in bins.values() for _, n in held) / sum(c for _, c in bins) > 0.95
-    placed = P.packed(P.pieces(docs))
-    texts = P.sequences(docs, placed).collect()
-    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in texts) == sum(map(len, words.values()))
+    placed = P.packed(P.pieces(docs, tokenizer=tokenizer_path()))
+    full = P.sequences(docs, placed, tokenizer=tokenizer_path()).collect()
+    assert all(len(r.ids) == r.n_tokens <= r.capacity for r in full) and sum(r.n_tokens for r in full) == sum(map(len, words.values()))
+    by_words = P.packed(P.pieces(docs))
+    texts = P.sequences(docs, by_words).collect()
+    assert sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text)) for r in texts) == sum(len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs.collect())
+
+
+def test_unspaced_text_is_cut_by_tokens(spark):
+    """A text without white space is one word but many tokens; no bin overflows."""
+    docs = spark.createDataFrame([(1, "漢字仮名" * 6000)], "doc_id long, text string")
+    n = len(Tokenizer.from_file(tokenizer_path()).encode("漢字仮名" * 6000, add_special_tokens=False).ids)
+    got = P.packed(P.pieces(docs, tokenizer=tokenizer_path())).collect()
+    assert n > 8192 and sum(r.n_tokens for r in got) == n and all(r.start + r.n_tokens <= r.capacity for r in got)

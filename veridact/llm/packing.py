@@ -19,7 +19,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD
+from . import bpe
+from .common import WORD, materialize
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16
@@ -69,13 +70,18 @@ def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead:
     return top[1] if top else []
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: int = CAPACITIES[-1]) -> DataFrame:
-    """(id, piece int, first_token long, n_tokens int): texts cut into at most `largest` tokens (words).
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", largest: int = CAPACITIES[-1], tokenizer: str | None = None) -> DataFrame:
+    """(id, piece int, first_token long, n_tokens int): texts cut into at most `largest` tokens.
 
-    A null text is empty; an empty text has one piece of no tokens.
+    Tokens are those of the byte-level BPE file `tokenizer`; without one they are words, which suits
+    texts with white space only. A null text is empty; an empty text has one piece of no tokens.
     """
-    n = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    sized = docs.select(F.col(id_col).alias("id"), n.alias("n"))
+    if tokenizer:
+        sized = bpe.encode(docs, tokenizer, id_col, text_col, result="counts").withColumnRenamed("n_tokens", "n")
+    else:
+        n = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+        sized = docs.select(F.col(id_col).alias("id"), n.alias("n"))
+    sized = materialize(sized) if tokenizer else sized
     last = F.greatest(F.ceil(F.col("n") / largest) - 1, F.lit(0)).cast("int")
     cut = sized.select("id", "n", F.explode(F.sequence(F.lit(0), last)).alias("piece"))
     first = F.col("piece").cast("long") * largest
@@ -112,11 +118,15 @@ def packed(parts: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead:
     return done.unionByName(empty)
 
 
-def sequences(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", joiner: str = "\n\n") -> DataFrame:
-    """The packed training sequences: (bin, capacity, n_tokens, text), one row per bin."""
-    words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"))
-    texts = docs.select(F.col(id_col).alias("id"), words.alias("words"))
-    part = F.array_join(F.slice("words", (F.col("first_token") + 1).cast("int"), F.col("n_tokens")), " ")
-    rows = placed.where("bin is not null").join(texts, "id").select("bin", "capacity", "start", "n_tokens", part.alias("part"))
+def sequences(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", joiner: str = "\n\n", tokenizer: str | None = None) -> DataFrame:
+    """The packed training sequences, one row per bin: (bin, capacity, n_tokens, text), or with the
+    pieces' tokenizer (bin, capacity, n_tokens, ids array<int>)."""
+    if tokenizer:
+        texts = bpe.encode(docs, tokenizer, id_col, text_col).withColumnRenamed("ids", "tokens")
+    else:
+        texts = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})")).alias("tokens"))
+    part = F.slice("tokens", (F.col("first_token") + 1).cast("int"), F.col("n_tokens"))
+    rows = placed.where("bin is not null").join(texts, "id").select("bin", "capacity", "start", "n_tokens", (part if tokenizer else F.array_join(part, " ")).alias("part"))
     grouped = rows.groupBy("bin", "capacity").agg(F.sum("n_tokens").alias("n_tokens"), F.sort_array(F.collect_list(F.struct("start", "part"))).alias("parts"))
-    return grouped.select("bin", "capacity", "n_tokens", F.array_join(F.transform("parts", lambda p: p["part"]), joiner).alias("text"))
+    held = F.transform("parts", lambda p: p["part"])
+    return grouped.select("bin", "capacity", "n_tokens", F.flatten(held).alias("ids") if tokenizer else F.array_join(held, joiner).alias("text"))

@@ -12,6 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    """The vocabulary file of a public tokenizer, at the same place on every worker."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
@@ -33,7 +40,7 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import packing
 
-    placed = packing.packed(packing.pieces(table(spark, sf_dir, "documents")))
+    placed = packing.packed(packing.pieces(table(spark, sf_dir, "documents"), tokenizer=tokenizer_path()))
     return placed.withColumnRenamed("id", "doc_id")
 
 
@@ -56,12 +63,9 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    import public_tokenizers
-
     from . import bpe
 
-    path = public_tokenizers.path("byte_bpe_50k.json")
-    return bpe.encode(table(spark, sf_dir, "documents"), path, result="digests").withColumnRenamed("id", "doc_id")
+    return bpe.encode(table(spark, sf_dir, "documents"), tokenizer_path(), result="digests").withColumnRenamed("id", "doc_id")
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
