@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from veridact.llm import packing, pii, simhash, substrings, toxicity
 from veridact.llm.common import materialize
-from veridact.llm.queries import table
+from veridact.llm.queries import table, tokenizer_path
 
 
 def wrapped(docs: DataFrame, *columns: str) -> DataFrame:
@@ -51,8 +51,8 @@ def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document with its bin, the bin's capacity and the place in it."""
-    return packing.packed(packing.pieces(docs)).withColumnRenamed("id", "doc_id")
+    """Every piece of every document, in real tokens, with its bin, the bin's capacity and the place in it."""
+    return packing.packed(packing.pieces(docs, tokenizer=tokenizer_path())).withColumnRenamed("id", "doc_id")
 
 
 STAGES = [
