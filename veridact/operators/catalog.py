@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schemas import ContractError
 from .contracts import overlapping_ranges
 
 
@@ -38,3 +39,28 @@ def catalog_violations(products: DataFrame, bridge: DataFrame) -> DataFrame:
     wide = shared.where("n > 1 and open > 0").select("goods_no", F.lit("shared_with_open_range"))
     meet = overlapping_ranges(bridge).select("goods_no", F.lit("overlapping_ranges")).distinct()
     return joint.union(sale).union(across).union(wide).union(meet)
+
+
+def product_list(rows: DataFrame) -> DataFrame:
+    """Products to crawl (goods_no, ...) as given; an empty list or a row without a goods number raises."""
+    n = rows.agg(F.count("*").alias("n"), F.count(F.when(F.coalesce(F.trim("goods_no"), F.lit("")) == "", 1)).alias("bad")).first()
+    if not n.n or n.bad:
+        raise ContractError("a product list is not empty and has a goods number in every row")
+    return rows
+
+
+def canonical_run(manifests: DataFrame, input_sha256: str) -> DataFrame:
+    """The one complete run (not a pilot) over the input with this digest; none or several raise.
+
+    manifests: run_id, complete boolean, pilot boolean, input_sha256; a small table, of which two rows are looked at.
+    """
+    fit = manifests.where("complete and not pilot").where(F.col("input_sha256") == input_sha256)
+    if len(fit.select("run_id").limit(2).collect()) != 1:
+        raise ContractError("exactly one complete run over this input is needed")
+    return fit
+
+
+def run_catalog(crawled: DataFrame, product_id: str = "p001") -> DataFrame:
+    """(product_id, goods_no, rows, renewal_policy): every goods number of a crawl as one product whose renewals nobody observed."""
+    goods = crawled.where(F.coalesce(F.trim("goods_no"), F.lit("")) != "").groupBy("goods_no").agg(F.count("*").alias("rows"))
+    return goods.select(F.lit(product_id).alias("product_id"), "goods_no", "rows", F.lit("unobserved").alias("renewal_policy"))

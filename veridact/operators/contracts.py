@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import direction
 from ..functions.text import fold_invisible, month_of
-from ..schemas import MAX_ASPECTS, POLARITIES, ContractError
+from ..schemas import MAX_ASPECTS, POLARITIES, STAGES, UNSTATED, ContractError
 
 
 def assert_none(violations: DataFrame, what: str) -> None:
@@ -92,7 +92,7 @@ def different_rows(left: DataFrame, right: DataFrame) -> DataFrame:
 
 def vector_violations(vectors: DataFrame, dim: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     v = F.col(vec_col)
-    bad = F.when(v.isNull(), "missing").when(F.size(v) != dim, "wrong_dimension").when(F.exists(v, lambda x: x.isNull() | F.isnan(x)), "not_finite")
+    bad = F.when(v.isNull(), "missing").when(F.size(v) != dim, "wrong_dimension").when(F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), "not_finite")
     return vectors.select(id_col, bad.alias("violation")).where("violation is not null")
 
 
@@ -157,3 +157,32 @@ def snapshot_state(reviews: DataFrame, policy_month: str) -> DataFrame:
     """(latest_month, current): one row; a policy is stale once a review is later than its month."""
     latest = reviews.agg(F.max(month_of(F.col("review_date"))).alias("latest_month"))
     return latest.withColumn("current", F.coalesce(F.col("latest_month") <= policy_month, F.lit(True)))
+
+
+def evidence_conditions(evidence: DataFrame, labels: DataFrame, reviews: DataFrame) -> DataFrame:
+    """(label_id, review_id, axis, segment): evidence reviews outside a segment that their label's condition wants.
+
+    labels: label_id, skin_types and troubles (arrays of wanted segments; null: the axis is open);
+    reviews: review_id, skin_type, troubles. Reviews that stated nothing are a segment of their own.
+    """
+    have = {
+        "skinType": F.array(F.coalesce("skin_type", F.lit(UNSTATED))),
+        "skinTrouble": F.when(F.size("_troubles") > 0, F.col("_troubles")).otherwise(F.array(F.lit(UNSTATED))),
+    }
+    rows = evidence.select("label_id", "review_id").join(labels.select("label_id", "skin_types", "troubles"), "label_id").join(
+        reviews.select("review_id", "skin_type", F.coalesce("troubles", F.array().cast("array<string>")).alias("_troubles")), "review_id")
+
+    def lost(axis: str, want: Column) -> Column:
+        outside = F.array_except(F.coalesce(want, F.array().cast("array<string>")), have[axis])
+        return F.transform(outside, lambda s: F.struct(F.lit(axis).alias("axis"), s.alias("segment")))
+
+    found = F.concat(lost("skinType", F.col("skin_types")), lost("skinTrouble", F.col("troubles")))
+    return rows.select("label_id", "review_id", F.explode(found).alias("_l")).select("label_id", "review_id", "_l.axis", "_l.segment").distinct()
+
+
+def stage_order_violations(layouts: DataFrame, stages: tuple[str, ...] = STAGES) -> DataFrame:
+    """(id, violation) of layouts whose stages (array of struct stage int, key string) aren't the agreed ones in order."""
+    keys = F.transform("stages", lambda s: s["key"])
+    wrong = F.exists(F.transform("stages", lambda s, i: ~s["stage"].eqNullSafe(i + 1)), lambda x: x)
+    bad = F.when(F.col("stages").isNull(), "no_stages").when(keys != F.array(*map(F.lit, stages)), "stage_order").when(wrong, "stage_number")
+    return layouts.select("id", bad.alias("violation")).where("violation is not null")

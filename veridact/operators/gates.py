@@ -80,3 +80,42 @@ def sufficiency_gate(claims: DataFrame, policy: SufficiencyPolicy = SufficiencyP
         .withColumn("silent", s - d).withColumn("reason", reason)
         .withColumn("limitation", F.when(reason.isNull() & (low > 0) & (low < policy.minority_min), "single_dissent"))
     )
+
+
+def dedup_key_violations(rows: DataFrame) -> DataFrame:
+    """(review_id, violation): rows that the duplicate gate can't judge for want of author, content hash or score."""
+    blank = lambda c: F.coalesce(F.trim(F.col(c).cast("string")), F.lit("")) == ""
+    checks = {"no_author": blank("author"), "no_content_hash": blank("content_hash"), "no_trust_score": F.col("trust_score").isNull() | F.isnan("trust_score")}
+    return rows.select("review_id", F.explode(F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), F.isnotnull)).alias("violation"))
+
+
+def stance_overlaps(said: DataFrame) -> DataFrame:
+    """(product_id, axis, segment, aspect, author, stances): authors on several sides of one cell and aspect.
+
+    said: cells joined with tags. The duplicate gate's survivors have none.
+    """
+    keys = ["product_id", "axis", "segment", "aspect", "author"]
+    return said.select(*keys, "polarity").distinct().groupBy(*keys).agg(F.count("*").cast("int").alias("stances")).where("stances > 1")
+
+
+def authors_outside(said: DataFrame, member: DataFrame) -> DataFrame:
+    """Authors who spoke for a cell (said) without being in it (member); there must be none."""
+    keys = ["product_id", "axis", "segment", "author"]
+    return said.select(*keys).distinct().join(member.select(*keys).distinct(), keys, "left_anti")
+
+
+def silent_cells(sizes: DataFrame, policy: SufficiencyPolicy = SufficiencyPolicy()) -> DataFrame:
+    """Cells with too few authors to speak for, of which no claim is made."""
+    return sizes.where(F.col("cell_authors") < policy.s_min)
+
+
+def parity_violations(support: DataFrame, claims: DataFrame) -> DataFrame:
+    """Cells and aspects whose counts by review (polarity gate) and by author (sufficiency gate) differ.
+
+    Both have pos, neg, neu, silent. On the duplicate gate's survivors a review is an author.
+    """
+    keys = ["product_id", "axis", "segment", "aspect"]
+    counts = ["pos", "neg", "neu", "silent"]
+    rows = support.select(*keys, *[F.col(c).alias(f"_{c}") for c in counts]).join(claims.select(*keys, *counts), keys, "full_outer")
+    differ = [F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), c) for c in counts]
+    return rows.select(*keys, F.explode(F.filter(F.array(*differ), F.isnotnull)).alias("count"))

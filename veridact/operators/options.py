@@ -77,3 +77,16 @@ def index(reviews: DataFrame) -> DataFrame:
 
 def shade_counts(indexed: DataFrame) -> DataFrame:
     return indexed.where("shade_key is not null").groupBy("product_id", "shade_key").agg(F.sum("reviews").alias("reviews"), F.count("*").alias("forms"))
+
+
+def shade_axes(shades: DataFrame) -> DataFrame:
+    """Products with a choice of shades: two keys or more."""
+    return shades.groupBy("product_id").agg(F.count("*").alias("shades")).where("shades >= 2")
+
+
+def resolve_scopes(scopes: DataFrame, indexed: DataFrame) -> DataFrame:
+    """scopes (product_id, option) with shade_key and violation: unknown_option where the product's reviews
+    never show it, pack_option where it names no shade. indexed: index()."""
+    rows = scopes.withColumn("_o", strip(nfc(F.col("option")))).join(indexed.select("product_id", F.col("option").alias("_o"), "kind", "shade_key"), ["product_id", "_o"], "left")
+    bad = F.when(F.col("kind").isNull(), "unknown_option").when(F.col("kind") != "shade", "pack_option")
+    return rows.select("product_id", "option", "shade_key", bad.alias("violation"))

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, date_rank, strip
-from ..schemas import TrustPolicy
+from ..schemas import ContractError, TrustPolicy
 from .shared import numbered, percent_below
 
 
@@ -23,7 +23,9 @@ def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: Dat
     """reviews with content_hash, content_length, six signals and trust_score.
 
     Copies are counted by a pre-aggregated join, so that one content behind a third of the reviews
-    costs no window over it. on_topic is known only if tagged (review_id) is given.
+    costs no window over it. on_topic is known only if tagged (review_id) is given, photo and usage
+    only if reviews have the columns has_photo and month_over. Signals that aren't known take no
+    part in the score; if the rest weighs nothing, the policy is refused.
     """
     rows = reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.char_length(strip(F.col("content"))))
     copies = rows.groupBy("content_hash").agg(F.count("*").alias("copies"))
@@ -35,10 +37,17 @@ def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: Dat
         mark = tagged.select("review_id").distinct().withColumn("s_topic", F.lit(1.0))
         rows = rows.join(mark, "review_id", "left").withColumn("s_topic", F.coalesce("s_topic", F.lit(0.0)))
         weights.append(("s_topic", policy.on_topic))
+    for c, mark, weight in (("has_photo", "s_photo", policy.has_photo), ("month_over", "s_usage", policy.usage_period)):
+        if c in reviews.columns:
+            rows = rows.withColumn(mark, F.when(F.col(c), 1.0).otherwise(0.0))
+            weights.append((mark, weight))
     total = sum(w for _, w in weights)
+    if total <= 0:
+        raise ContractError("the signals at hand weigh nothing together")
     score = sum((F.col(c) * w for c, w in weights), F.lit(0.0)) / total
-    missing = ["hasPhoto", "usagePeriod"] + ([] if tagged is not None else ["onTopic"])
-    return rows.withColumn("trust_score", F.round(score, 4)).withColumn("unavailable", F.array_sort(F.array(*map(F.lit, missing))))
+    known = {c for c, _ in weights}
+    missing = [name for mark, name in (("s_photo", "hasPhoto"), ("s_usage", "usagePeriod"), ("s_topic", "onTopic")) if mark not in known]
+    return rows.withColumn("trust_score", F.round(score, 4)).withColumn("unavailable", F.array_sort(F.array(*map(F.lit, missing)).cast("array<string>")))
 
 
 def rank_order() -> list[Column]:

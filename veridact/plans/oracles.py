@@ -268,8 +268,9 @@ targets AS (
     CASE WHEN rating <= 2 THEN 'negative' WHEN rating >= 4 THEN 'positive' ELSE 'neutral' END AS want
   FROM reviews r LEFT JOIN (SELECT review_id, min(aspect) AS aspect FROM tags GROUP BY 1) t USING (review_id)
 ), traced AS (
-  SELECT t.key, CASE WHEN j.claim_id IS NULL THEN 'no_candidate' WHEN j.reason IS NOT NULL THEN 'rejected' ELSE 'produced' END AS outcome,
-    CASE WHEN s.cell_authors IS NULL THEN 'empty_cell' WHEN j.claim_id IS NULL THEN 'no_tagged_mention' ELSE j.reason END AS reason,
+  SELECT t.key, CASE WHEN t.aspect = 'nothing' THEN 'untraceable' WHEN j.claim_id IS NULL THEN 'no_candidate' WHEN j.reason IS NOT NULL THEN 'rejected' ELSE 'produced' END AS outcome,
+    CASE WHEN t.aspect = 'nothing' THEN NULL WHEN s.cell_authors IS NULL THEN 'identity' WHEN j.claim_id IS NULL THEN 'polarity' WHEN j.reason IS NOT NULL THEN 'sufficiency' END AS gate,
+    CASE WHEN t.aspect = 'nothing' THEN 'aspect_outside_taxonomy' WHEN s.cell_authors IS NULL THEN 'empty_cell' WHEN j.claim_id IS NULL THEN 'no_tagged_mention' ELSE j.reason END AS reason,
     CASE WHEN j.claim_id IS NOT NULL AND j.reason IS NULL THEN j.direction = t.want END AS direction_match
   FROM targets t LEFT JOIN sizes s ON s.product_id = t.product_id AND s.axis = t.axis AND s.segment = t.segment
   LEFT JOIN judged j ON j.product_id = t.product_id AND j.axis = t.axis AND j.segment = t.segment AND j.aspect = t.aspect
@@ -312,7 +313,7 @@ QUERIES = {
     "evidence_months": f"{MEMBER} SELECT product_id, axis, segment, aspect, min(month) AS first_month, max(month) AS last_month, count(*) AS quotes FROM member JOIN tags USING (review_id) GROUP BY 1, 2, 3, 4",
     "quote_verdicts": f"WITH {VERDICTS} SELECT * FROM verdicts",
     "quote_summary": f"WITH {VERDICTS} SELECT status, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM verdicts), 1) AS percent FROM verdicts GROUP BY 1",
-    "quote_outcomes": f"""WITH {VERDICTS}, v AS (SELECT quote_id // 5 AS claim_id, review_id, status, quote_id % 5 >= 3 AS spare FROM verdicts WHERE quote_id < 2000000000),
+    "quote_outcomes": f"""WITH {VERDICTS}, v AS (SELECT quote_id // 5 AS claim_id, review_id, status, quote_id % 5 >= 3 AS spare FROM verdicts),
       s AS (SELECT claim_id, count(DISTINCT review_id) AS spares FROM v WHERE spare AND status = 'verbatim' AND NOT EXISTS (SELECT 1 FROM v u WHERE u.claim_id = v.claim_id AND u.review_id = v.review_id AND NOT u.spare AND u.status = 'verbatim') GROUP BY 1),
       m AS (SELECT claim_id, count(*) FILTER (NOT spare AND status = 'verbatim') AS kept, count(*) FILTER (NOT spare AND status <> 'verbatim') AS dropped FROM v GROUP BY 1),
       f AS (SELECT m.*, least(coalesce(spares, 0), dropped, 2) AS substituted FROM m LEFT JOIN s USING (claim_id))
@@ -341,7 +342,7 @@ QUERIES = {
       SELECT *, 'left' AS side FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b) UNION ALL SELECT *, 'right' FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)""",
     "vector_contract": "SELECT vec_id, CASE WHEN vec_id % 50 = 7 THEN 'wrong_dimension' ELSE 'missing' END AS violation FROM embeddings WHERE vec_id % 50 IN (7, 9)",
     "golden_trace": f"{ALL}, {TRACE} SELECT * FROM traced",
-    "golden_recall": f"{ALL}, {TRACE} SELECT count(*) AS targets, count(*) FILTER (outcome = 'produced') AS produced, round(count(*) FILTER (outcome = 'produced') / nullif(count(*), 0), 4) AS recall, count(*) FILTER (direction_match = false) AS direction_mismatches FROM traced",
+    "golden_recall": f"{ALL}, {TRACE} SELECT count(*) AS targets, count(*) FILTER (outcome <> 'untraceable') AS traceable, count(*) FILTER (outcome = 'produced') AS produced, round(count(*) FILTER (outcome = 'produced') / nullif(count(*) FILTER (outcome <> 'untraceable'), 0), 4) AS recall, count(*) FILTER (direction_match = false) AS direction_mismatches FROM traced",
     "claim_confidence": f"{ALL}, {CONFIDENCE} SELECT * FROM banded",
     "claim_summary": f"{ALL}, {CONFIDENCE} SELECT claim_type, band, count(*) AS claims, count(*) FILTER (exposable) AS exposable FROM banded GROUP BY 1, 2",
     "run_report": f"{ALL} SELECT direction, axis, count(*) AS claims, CAST(sum(support) AS BIGINT) AS authors FROM judged WHERE reason IS NULL GROUP BY 1, 2",
@@ -361,7 +362,8 @@ QUERIES = {
     "sku_stats": "SELECT l_suppkey AS requested_goods, count(DISTINCT l_partkey) AS goods, count(*) AS rows FROM lineitem GROUP BY 1",
     "crawl_outcomes": f"{PLAIN} SELECT CASE WHEN n >= 1450 THEN 'full' ELSE 'partial' END AS outcome, count(*) AS products, CAST(sum(n) AS BIGINT) AS reviews FROM (SELECT product_id, count(*) AS n FROM reviews GROUP BY 1) GROUP BY 1",
     "run_catalog": "SELECT 'p001' AS product_id, 'A' || lpad(CAST(l_suppkey AS VARCHAR), 12, '0') AS goods_no, count(*) AS rows, 'unobserved' AS renewal_policy FROM lineitem GROUP BY l_suppkey",
-    "goods_in_urls": "SELECT page_id, CAST(CASE page_id % 3 WHEN 0 THEN 0 WHEN 1 THEN 1 ELSE CASE WHEN page_id = 1 THEN 1 ELSE 2 END END AS INTEGER) AS found, CASE WHEN page_id % 3 = 1 THEN 'A' || lpad(CAST(page_id AS VARCHAR), 12, '0') END AS goods_no FROM pages",
+    "goods_in_urls": r"""WITH u AS (SELECT page_id, url || CASE WHEN page_id % 3 > 0 THEN '&goodsNo=A' || lpad(CAST(page_id AS VARCHAR), 12, '0') ELSE '' END || CASE WHEN page_id % 3 = 2 THEN '/A000000000001' ELSE '' END AS url FROM pages),
+      f AS (SELECT page_id, list_distinct(regexp_extract_all(url, '\bA[0-9]{12}\b')) AS ids FROM u) SELECT page_id, CAST(len(ids) AS INTEGER) AS found, CASE WHEN len(ids) = 1 THEN ids[1] END AS goods_no FROM f""",
     "model_json": "SELECT conv_id, turn, conv_id AS parsed_id, turn AS parsed_turn FROM conversations",
     "condition_questions": f"""{MEMBER} SELECT product_id, segment, coalesce(CASE segment WHEN 'FURNITURE' THEN '건성 피부' WHEN 'AUTOMOBILE' THEN '지성 피부' WHEN 'MACHINERY' THEN '복합성 피부' WHEN 'HOUSEHOLD' THEN '민감성 피부' END, '조건을 밝히지 않은 사용자') AS label, cell_authors
       FROM sizes WHERE axis = 'skinType'""",
@@ -393,6 +395,9 @@ labels AS (
 ), told AS (SELECT *, CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END AS derived FROM support)
 """
 
+SUBJECT = """CASE WHEN axis = 'product' THEN '조건 없음 (이 제품 리뷰 전체)' WHEN segment = '미기재' THEN CASE axis WHEN 'skinType' THEN '피부타입을 안 밝힌 리뷰' ELSE '피부고민을 안 밝힌 리뷰' END
+      ELSE CASE segment WHEN 'FURNITURE' THEN '건성' WHEN 'AUTOMOBILE' THEN '지성' WHEN 'MACHINERY' THEN '복합성' WHEN 'C01' THEN '잡티' WHEN 'C02' THEN '주름' ELSE segment END || CASE axis WHEN 'skinType' THEN ' 피부' ELSE ' 고민' END END"""
+
 SCOPE = r"""
 top AS (
   SELECT product_id, max({'n': n, 'k': shade_key}).k AS want FROM (SELECT product_id, shade_key, sum(reviews) AS n FROM options WHERE shade_key IS NOT NULL GROUP BY 1, 2) GROUP BY 1
@@ -409,8 +414,7 @@ QUERIES |= {
       SELECT goods_no, 'shared_with_open_range' FROM shared WHERE n > 1 AND open > 0 UNION ALL
       SELECT DISTINCT a.goods_no, 'overlapping_ranges' FROM bridge a JOIN bridge b ON a.goods_no = b.goods_no AND a.product_id < b.product_id
       WHERE coalesce(a.from_month, '0000') <= coalesce(b.to_month, '9999') AND coalesce(b.from_month, '0000') <= coalesce(a.to_month, '9999')""",
-    "condition_subjects": f"""{MEMBER} SELECT product_id, axis, segment, CASE WHEN axis = 'product' THEN '조건 없음 (이 제품 리뷰 전체)' WHEN segment = '미기재' THEN CASE axis WHEN 'skinType' THEN '피부타입을 안 밝힌 리뷰' ELSE '피부고민을 안 밝힌 리뷰' END
-      ELSE CASE segment WHEN 'FURNITURE' THEN '건성' WHEN 'AUTOMOBILE' THEN '지성' WHEN 'MACHINERY' THEN '복합성' WHEN 'C01' THEN '잡티' WHEN 'C02' THEN '주름' ELSE segment END || CASE axis WHEN 'skinType' THEN ' 피부' ELSE ' 고민' END END AS subject, cell_authors FROM sizes""",
+    "condition_subjects": f"""{MEMBER} SELECT product_id, axis, segment, {SUBJECT} AS subject, cell_authors FROM sizes""",
     "cell_matches": f"{PLAIN} SELECT review_id, product_id, array_to_string(troubles, ',') AS troubles FROM reviews WHERE skin_type IS NULL AND list_contains(troubles, 'C01') AND list_contains(troubles, 'C02')",
     "option_scope": f"""WITH {BASE}, {IDENTITY}, {OPTIONS}, {SCOPE} SELECT i.review_id, i.product_id, o.kind,
       coalesce(i.reason, CASE WHEN o.kind IS NULL THEN 'option_unstated' WHEN o.shade_key IS DISTINCT FROM t.want OR t.want IS NULL THEN 'option_mismatch' END, 'passed') AS reason
@@ -435,9 +439,9 @@ QUERIES |= {
     "snapshot_guard": f"{PLAIN} SELECT max(month) AS latest_month, max(month) <= '2000-12' AS current FROM reviews",
     "layout_text": f"""{RANKED_MEMBER}, {QUOTES}, {KEPT}, shown AS (
         SELECT product_id, axis, segment, aspect, count(*) AS n, string_agg('  ' || quote_rank || '. [' || polarity || '] ' || review_id || CASE WHEN reserved THEN ' *' ELSE '' END, chr(10) ORDER BY quote_rank) AS q
-        FROM keeping WHERE axis = 'product' GROUP BY 1, 2, 3, 4),
+        FROM keeping GROUP BY 1, 2, 3, 4),
       c AS (SELECT *, pos + neg AS support, cell_authors - spoke AS silent FROM claims)
-      SELECT product_id, axis, segment, aspect, '[1] ' || product_id || ' ' || aspect || chr(10) || '[2] 조건 없음 (이 제품 리뷰 전체)' || chr(10) || '[3] ' || n || chr(10) || q || chr(10) ||
+      SELECT product_id, axis, segment, aspect, '[1] ' || product_id || ' ' || aspect || chr(10) || '[2] ' || {SUBJECT} || chr(10) || '[3] ' || n || chr(10) || q || chr(10) ||
         '[4] ' || CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END || ' +' || pos || ' -' || neg || ' / ' || spoke || chr(10) ||
         '[5] U=' || support || ' D=' || spoke || ' S=' || cell_authors || ' (' || silent || ') ' ||
         CASE WHEN support > spoke OR spoke > cell_authors THEN 'invariant_broken' WHEN cell_authors < 8 THEN 'segment_too_small' WHEN support < 8 THEN 'insufficient_support' WHEN support / spoke < 0.10 THEN 'minority_share' ELSE 'passed' END AS layout

@@ -181,7 +181,7 @@ def quote_summary(spark: SparkSession, d: str) -> DataFrame:
 
 
 def quote_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    rows = quote_verdicts(spark, d).where("quote_id < 2000000000")
+    rows = quote_verdicts(spark, d)
     return quotes.enforce(rows.select(F.floor(F.col("quote_id") / 5).alias("claim_id"), "quote_id", "review_id", "status", (F.col("quote_id") % 5 >= 3).alias("spare")))
 
 
@@ -256,7 +256,7 @@ def vector_contract(spark: SparkSession, d: str) -> DataFrame:
 
 def golden_trace(spark: SparkSession, d: str) -> DataFrame:
     found, sizes, _ = judged(spark, d)
-    return ledger.trace(golden_targets(spark, d), gates.cut_lineage(found), gates.cut_lineage(sizes))
+    return ledger.trace(golden_targets(spark, d), gates.cut_lineage(found), gates.cut_lineage(sizes), ["ECONOMY", "STANDARD", "PROMO", "MEDIUM", "SMALL", "LARGE"])
 
 
 def golden_targets(spark: SparkSession, d: str) -> DataFrame:
@@ -317,8 +317,7 @@ def crawl_outcomes(spark: SparkSession, d: str) -> DataFrame:
 def run_catalog(spark: SparkSession, d: str) -> DataFrame:
     """All observed goods of a crawl under one product."""
     goods = F.concat(F.lit("A"), F.lpad(F.col("l_suppkey").cast("string"), 12, "0"))
-    rows = table(spark, d, "lineitem").groupBy(goods.alias("goods_no")).agg(F.count("*").alias("rows"))
-    return rows.select(F.lit("p001").alias("product_id"), "goods_no", "rows", F.lit("unobserved").alias("renewal_policy"))
+    return catalog.run_catalog(table(spark, d, "lineitem").select(goods.alias("goods_no")))
 
 
 def goods_in_urls(spark: SparkSession, d: str) -> DataFrame:
@@ -376,11 +375,15 @@ def catalog_contract(spark: SparkSession, d: str) -> DataFrame:
     return catalog.catalog_violations(product_lines(spark, d), goods_bridge(spark, d))
 
 
-def condition_subjects(spark: SparkSession, d: str) -> DataFrame:
-    """Every cell in words; the book of codes lacks one, which keeps its own name."""
+def code_book(spark: SparkSession) -> DataFrame:
+    """The labels of some codes; others keep their own name."""
     names = [("skinType", "FURNITURE", "건성"), ("skinType", "AUTOMOBILE", "지성"), ("skinType", "MACHINERY", "복합성"), ("skinTrouble", "C01", "잡티"), ("skinTrouble", "C02", "주름")]
-    book = spark.createDataFrame(names, "axis string, code string, label string")
-    return conditions.cell_subjects(cell_sizes(spark, d), book).select(*CELL, "subject", "cell_authors")
+    return spark.createDataFrame(names, "axis string, code string, label string")
+
+
+def condition_subjects(spark: SparkSession, d: str) -> DataFrame:
+    """Every cell in words."""
+    return conditions.cell_subjects(cell_sizes(spark, d), code_book(spark)).select(*CELL, "subject", "cell_authors")
 
 
 def cell_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -449,12 +452,13 @@ def snapshot_guard(spark: SparkSession, d: str) -> DataFrame:
 
 
 def layout_text(spark: SparkSession, d: str) -> DataFrame:
-    """The five stages of every product-wide claim as text, without gates."""
+    """The five stages of every candidate claim as text, without gates."""
     rows = gates.cut_lineage(scored(spark, d))
-    member = claims.cells(rows).where("axis = 'product'")
+    member = claims.cells(rows)
     found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d))).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
+    found = gates.cut_lineage(conditions.cell_subjects(found, code_book(spark)))
     shown = layout.truncate(gates.cut_lineage(layout.ranked_quotes(member, adapters.tags(spark, d), CELL)), CELL)
-    return layout.render(found.withColumn("subject", F.lit(conditions.UNCONDITIONAL)), shown, CELL).select(*CELL, "aspect", "layout")
+    return layout.render(found, shown, CELL).select(*CELL, "aspect", "layout")
 
 
 def api_reviews(spark: SparkSession, d: str) -> DataFrame:

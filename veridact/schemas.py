@@ -14,15 +14,32 @@ CELL_AXES = ("product", "skinType", "skinTrouble")
 GATE_ORDER = {"identity": 1, "duplicate": 2, "polarity": 3, "sufficiency": 4}
 REJECT_REASONS = {
     "identity": ("product_mismatch", "option_mismatch", "option_unstated", "renewal_cut", "recency_cut"),
-    "duplicate": ("duplicate_content", "same_author"),
+    "duplicate": ("duplicate_content", "same_author", "duplicate_semantic"),
     "polarity": (),
     "sufficiency": ("segment_too_small", "insufficient_support", "minority_share"),
 }
+#: Registered, but no gate applies them yet.
+RESERVED_REASONS = ("duplicate_semantic",)
+REJECT_LABELS = {
+    "product_mismatch": "제품불일치", "option_mismatch": "옵션불일치", "option_unstated": "옵션미기재", "renewal_cut": "리뉴얼이전", "recency_cut": "기간초과",
+    "duplicate_content": "중복", "same_author": "동일작성자", "duplicate_semantic": "의미중복",
+    "segment_too_small": "세그먼트과소", "insufficient_support": "과소근거", "minority_share": "소수방향",
+}
 LIMITATIONS = (
     "renewal_unobserved", "tagger_direction_error", "order_chosen_direction",
     "minority_within_tagger_noise", "single_dissent",
 )
-FAILURE_ORDER = ("severity", "order")
+SEVERITIES = ("critical", "high", "medium", "low")
+FAILURES = (
+    ("unsupported_claim", "critical", 1), ("misattribution", "critical", 2), ("polarity_mismatch", "high", 3), ("insufficient_evidence", "high", 4),
+    ("missing_condition", "high", 5), ("overfit_question", "medium", 6), ("overbroad_question", "medium", 7), ("duplicate_claim", "low", 8),
+)
+STAGES = ("subject", "condition", "evidence", "direction", "sufficiency")
+CLAIM_SCHEMA = "claim-v1"
+DRAFT_FIELDS = ("aspect", "decisionAxis", "question", "verdict", "answer", "evidence")
+DRAFT_EVIDENCE_FIELDS = ("reviewId", "quote", "stance")
+#: First letter of each axis' codes.
+CODE_PREFIX = {"skinType": "A", "skinTone": "B", "skinTrouble": "C"}
 PROMO_TOKENS = (
     "기획", "단품", "리필", "본품", "NEW", "증정", "어워즈", "한정", "에디션", "단독", "홀리데이",
     "추천", "베스트", "콜라보", "추가", "수량", "SET",
@@ -37,6 +54,10 @@ RAW_REVIEW = (
     "category STRING, profileImageUrl STRING, reviewImages ARRAY<STRING>, reviewerRank INT, isTopReviewer BOOLEAN"
 )
 DROPPED_FIELDS = ("productKey", "category", "profileImageUrl", "reviewImages", "reviewerRank", "isTopReviewer")
+RAW_FIELDS = (
+    "content", "rating", "reviewDate", "reviewType", "isRepurchase", "isMonthUseReview", "isMonthOverReview", "hasPhoto", "usefulPoint", "recommendCount",
+    "goodsNo", "requestedGoodsNo", "productName", "option", "userName", "skinType", "skinTone", "skinTrouble",
+)
 TAG = "reviewId BIGINT, aspect STRING, polarity STRING, snippet STRING, skinTypeHint STRING"
 
 
@@ -74,6 +95,20 @@ class SufficiencyPolicy:
             raise ContractError("s_min >= n_min >= 1 and 0 < r_min < 1 are needed")
 
 
+@dataclass(frozen=True)
+class QuotePolicy:
+    """At least min_evidence quotes must stay; max_substitutions None: as many as were dropped."""
+
+    min_evidence: int = 1
+    max_substitutions: int | None = None
+
+    def __post_init__(self):
+        if isinstance(self.min_evidence, bool) or not isinstance(self.min_evidence, int) or self.min_evidence < 1:
+            raise ContractError("min_evidence is an integer of at least 1; 0 would switch the gate off")
+        if self.max_substitutions is not None and self.max_substitutions < 0:
+            raise ContractError("max_substitutions is None or not negative")
+
+
 @dataclass(frozen=True)
 class NoisePolicy:
     flip_rate: float = 0.033

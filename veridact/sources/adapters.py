@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.contracts import assert_none
+from ..operators.records import field_violations
 from ..schemas import RAW_REVIEW, TAG
 
 
@@ -13,7 +15,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of raw reviews, under the closed schema."""
+    """A JSON array of raw reviews, under the closed schema: a field beyond it, or one that a row lacks, stops."""
+    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("json"))
+    assert_none(field_violations(whole).distinct(), "fields out of contract")
     return spark.read.schema(RAW_REVIEW).option("multiLine", True).option("mode", "FAILFAST").json(path)
 
 
