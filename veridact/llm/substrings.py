@@ -1,20 +1,18 @@
 """Substring dedup over sliding spans of sentences.
 
-A text is cut into sentences at . ! ? and line ends; the pieces joined give the text again. From
-every sentence starts one span: the shortest run of consecutive sentences with three or more of
-them and 15 words, or with 30 words. Spans are hashed, equal hashes meet in one global aggregation,
-and every sentence that lies in a span which isn't the first of its kind is removed. First means
-the smallest (id, row key, sentence); null ids come last.
-
-The runs that start at a sentence alone lose the tail of a repeated passage where they must reach
-past its end. With `both`, the shortest such run that ends at every sentence is hashed too: then
-every sentence of every repeated run that is long enough lies in a span inside that run.
+A text is cut into sentences at . ! ? and line ends; the pieces joined give the text again. A run
+of consecutive sentences counts from three of them with 15 words, or from 30 words. The shortest
+such run that starts at every sentence and the shortest that ends at every sentence are spans: any
+longer run is made of them, and every sentence of a repeated run lies in a span inside that run.
+Spans are hashed to 96 bits, equal hashes meet in one global aggregation, and every sentence that
+lies in a span which isn't the first of its kind is removed. First means the smallest (id, row key,
+sentence); null ids come last.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
@@ -50,71 +48,68 @@ def _runs(sizes: list[int]) -> Iterator[tuple[int, int]]:
         words -= size
 
 
-def spans(text: str, both: bool = False) -> Iterator[tuple[int, int, int]]:
-    """(first sentence, number of sentences, hash) of every span, each range once."""
+def spans(text: str) -> Iterator[tuple[int, int, int]]:
+    """(first sentence, number of sentences, 128-bit hash) of every span, each range once."""
     parts = sentences(text)
     sizes = [p[3] for p in parts]
-    runs: Iterable[tuple[int, int]] = _runs(sizes)
-    if both:
-        n = len(sizes)
-        runs = dict.fromkeys([*runs, *((n - e, n - i) for i, e in _runs(sizes[::-1]))])
-    for i, end in runs:
-        key = b" ".join(p[2] for p in parts[i:end])
-        yield i, end - i, xxhash.xxh3_64_intdigest(key) - (1 << 63)
+    n = len(sizes)
+    for i, end in dict.fromkeys([*_runs(sizes), *((n - e, n - i) for i, e in _runs(sizes[::-1]))]):
+        yield i, end - i, xxhash.xxh3_128_intdigest(b" ".join(p[2] for p in parts[i:end]))
 
 
-def span_table(docs: DataFrame, both: bool = False) -> DataFrame:
-    """docs: id, row (long), text. (h, id, row, at, n) of every span, in one pass."""
+def span_table(docs: DataFrame) -> DataFrame:
+    """docs: id, row (long), text. (h, g, id, row, at, n) of every span, in one pass; h and g are its hash."""
     kind = docs.schema["id"].dataType.simpleString()
-    names = ["h", "id", "row", "at", "n"]
+    names = ["h", "g", "id", "row", "at", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, rows = b.column(0), b.column(1)
-            own, out = [], ([], [], [])
+            own, out = [], ([], [], [], [])
             for k, text in enumerate(b.column(2).to_pylist()):
-                for at, n, h in spans(text or "", both):
+                for at, n, hashed in spans(text or ""):
                     own.append(k)
-                    out[0].append(h)
-                    out[1].append(at)
-                    out[2].append(n)
+                    out[0].append((hashed & (1 << 64) - 1) - (1 << 63))
+                    out[1].append((hashed >> 64 & (1 << 32) - 1) - (1 << 31))
+                    out[2].append(at)
+                    out[3].append(n)
             take = pa.array(own, pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), ids.take(take), rows.take(take), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int32())], names
+                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), ids.take(take), rows.take(take), pa.array(out[2], pa.int32()), pa.array(out[3], pa.int32())], names
             )
 
-    return docs.select("id", "row", "text").mapInArrow(run, f"h long, id {kind}, row long, at int, n int")
+    return docs.select("id", "row", "text").mapInArrow(run, f"h long, g int, id {kind}, row long, at int, n int")
 
 
-def repeated(docs: DataFrame, both: bool = False) -> DataFrame:
-    """(row, cover array<struct<at,n>>): the spans of a row that aren't the first of their kind."""
-    all_spans = span_table(docs, both)
+def repeated(docs: DataFrame) -> DataFrame:
+    """(id, row, cover array<struct<at,n>>): the spans of a row that aren't the first of their kind."""
+    all_spans = span_table(docs)
     first = materialize(
-        all_spans.groupBy("h")
+        all_spans.groupBy("h", "g")
         .agg(F.count("*").alias("c"), F.min(F.struct(F.col("id").isNull().alias("z"), "id", "row", "at")).alias("low"))
-        .where("c > 1").select("h", F.col("low.row").alias("first_row"), F.col("low.at").alias("first_at"))
+        .where("c > 1").select("h", "g", "low")
     )
-    later = all_spans.join(first, "h").where("not (row = first_row and at = first_at)")
+    own = (F.col("id").eqNullSafe(F.col("low.id"))) & (F.col("row") == F.col("low.row")) & (F.col("at") == F.col("low.at"))
+    later = all_spans.join(first, ["h", "g"]).where(~own)
     # a row's spans are bounded by its own length
-    return later.groupBy("row").agg(F.collect_set(F.struct("at", "n")).alias("cover"))
+    return later.groupBy("id", "row").agg(F.collect_set(F.struct("at", "n")).alias("cover"))
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", both: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """docs with text_col rewritten, and with n_sentences, n_removed int and removed array<struct<start,end>>.
 
     Offsets are code points of the original text, end exclusive, one for each removed sentence.
     Defined cases: null texts stay null and count no sentences; texts without a full span are never
     touched; rows equal in id and text are one and the same and come out alike; repeats inside a
     text go too; null ids come last in the order of first; an empty table gives an empty result.
-    Other columns pass through; one named like an added column is replaced by it. With `both`, no
-    sentence of a repeated run that is long enough stays; without it, the rows are those of ORACLE.
+    Other columns pass through; one named like an added column is replaced by it.
     """
     added = ("n_sentences", "n_removed", "removed")
     rest = [c for c in docs.columns if c not in (text_col, *added)]
     row = F.xxhash64(F.col(id_col), F.col(text_col))
-    cover = repeated(docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text")), both)
-    packed = docs.select(row.alias("_row"), F.struct(*rest).alias("_rest"), F.col(text_col).alias("_text"))
-    joined = packed.join(cover.withColumnRenamed("row", "_row"), "_row", "left").select("_rest", "_text", "cover")
+    cover = repeated(docs.select(F.col(id_col).alias("id"), row.alias("row"), F.col(text_col).alias("text")))
+    packed = docs.select(F.col(id_col).alias("_id"), row.alias("_row"), F.struct(*rest).alias("_rest"), F.col(text_col).alias("_text"))
+    joined = packed.join(cover, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_row") == F.col("row")), "left").select("_rest", "_text", "cover")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
@@ -160,9 +155,15 @@ WITH pieces AS (
   FROM sent a JOIN sent b ON a.doc_id = b.doc_id AND b.i BETWEEN a.i AND a.i + 30
   WHERE b.cum - a.cum + a.n >= 30 OR (b.i - a.i >= 2 AND b.cum - a.cum + a.n >= 15)
   GROUP BY 1, 2
-), runs AS (
+), starts AS (
+  SELECT b.doc_id, max(a.i) AS i, b.i AS last
+  FROM sent b JOIN sent a ON a.doc_id = b.doc_id AND a.i BETWEEN b.i - 30 AND b.i
+  WHERE b.cum - a.cum + a.n >= 30 OR (b.i - a.i >= 2 AND b.cum - a.cum + a.n >= 15)
+  GROUP BY b.doc_id, b.i
+), ranges AS (SELECT doc_id, i, last FROM ends UNION SELECT doc_id, i, last FROM starts),
+runs AS (
   SELECT e.doc_id, e.i, e.last, string_agg(s.s, ' ' ORDER BY s.i) AS span
-  FROM ends e JOIN sent s ON s.doc_id = e.doc_id AND s.i BETWEEN e.i AND e.last
+  FROM ranges e JOIN sent s ON s.doc_id = e.doc_id AND s.i BETWEEN e.i AND e.last
   GROUP BY 1, 2, 3
 ), ranked AS (
   SELECT *, row_number() OVER (PARTITION BY span ORDER BY doc_id, i) AS k FROM runs
