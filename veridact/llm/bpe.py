@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import slices
+
 #: Texts beyond LONG characters are cut into parts of at most PART.
 LONG, PART = 16_384, 8_192
 #: Tokens on each side that must agree, and the window's first size.
@@ -191,12 +193,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), *make(c, [c.encode(t) for t in b.column(1).to_pylist()])], ["id", *names])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             own, at, is_open, texts = [], [], [], []
             for k, text in enumerate(b.column(2).to_pylist()):
                 for i, (part, o) in enumerate(parts(c, text, size)):
@@ -209,12 +211,12 @@ def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "
 
     def leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             yield pa.RecordBatch.from_arrays([*b.columns[:4], *ids_only(c, [c.encode(t) for t in b.column(4).to_pylist()])], ["id", "row", "at", "open", "ids"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             found = [merge(c, [(p["open"], p["ids"]) for p in x]) for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), *make(c, found)], ["id", *names])
 
@@ -234,7 +236,7 @@ def decode(rows: DataFrame, path: str, ids_col: str = "ids", keep: tuple[str, ..
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
+        for b in slices(batches):
             texts = [None if x is None else c.decode(x) for x in b.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(texts, pa.string())], [*keep, "text"])
 

@@ -5,8 +5,9 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,6 +63,13 @@ class Scratch:
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def slices(batches: Iterable[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows, so that a worker holds few texts as Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def hash_sample(df: DataFrame, n: int, *by: str) -> DataFrame:
     """About n rows of df, at most 2n, the same on every run: those with the smallest hashes of `by`.
 

@@ -77,7 +77,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", larg
     texts with white space only. A null text is empty; an empty text has one piece of no tokens.
     """
     if tokenizer:
-        sized = bpe.encode(docs, tokenizer, id_col, text_col, result="counts").withColumnRenamed("n_tokens", "n")
+        sized = bpe.encode(docs, tokenizer, id_col, text_col, result="counts", long=4 * bpe.LONG).withColumnRenamed("n_tokens", "n")
     else:
         n = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
         sized = docs.select(F.col(id_col).alias("id"), n.alias("n"))

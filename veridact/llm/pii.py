@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample
+from .common import hash_sample, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Bounds of the training sample: documents with a digit or @ sign, characters of one, regions.
@@ -339,7 +339,7 @@ def find(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str,
         def cell(spans):
             return [{"kind": k, "start": s, "end": e} for k, s, e in spans]
 
-        for b in batches:
+        for b in slices(batches):
             base, every = [], []
             for text in b.column(0).to_pylist():
                 found = base_spans(text or "")
@@ -376,7 +376,7 @@ def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     kind = packed.schema["_rest"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             texts = []
             for text in b.column(0).to_pylist():
                 if text and _CUE.search(text):

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, components, hamming, materialize
+from .common import Scratch, components, hamming, materialize, slices
 
 SEGMENTS, WIDTH = 4, 16
 MAX_BITS = 3
@@ -59,7 +59,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(shingle_hashes(t, words)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fps, pa.int64())], ["id", "fp"])
 
@@ -232,7 +232,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity:
     source = docs.select(F.col(id_col).alias("id"), _row(id_col, text_col).alias("row"), F.col(text_col).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             found = [sketch(t, words, similarity) for t in b.column(2).to_pylist()]
             on = pa.array([i for i, x in enumerate(found) if x], pa.int32())
             found = [x for x in found if x]
@@ -259,7 +259,7 @@ def _groups(docs: DataFrame, id_col: str, text_col: str, words: int, similarity:
     first_pairs = save(met.where((F.col("ck") != F.col("hub")) & alike("hub_fp", "hub_n")).select(F.least("ck", "hub").alias("u"), F.greatest("ck", "hub").alias("v")).distinct())
 
     def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             own = [np.unique(shingle_hashes(t, words)).view(np.int64) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(own, pa.list_(pa.int64()))], ["ck", "own"])
 

@@ -19,7 +19,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, slices
 
 SENTENCE = re.compile(r"[^.!?\n]+[.!?\n]*|[.!?\n]+")
 SPAN_SENTENCES, SPAN_WORDS, LONG_WORDS = 3, 15, 30
@@ -63,7 +63,7 @@ def span_table(docs: DataFrame) -> DataFrame:
     names = ["h", "g", "id", "row", "at", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids, rows = b.column(0), b.column(1)
             own, out = [], ([], [], [], [])
             for k, text in enumerate(b.column(2).to_pylist()):
@@ -113,7 +113,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-        for b in batches:
+        for b in slices(batches):
             texts, counts, gone = [], [], []
             for text, covered in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
                 parts = sentences(text or "")

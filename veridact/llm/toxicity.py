@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample
+from .common import hash_sample, slices
 
 #: Bounds of the sample that the field is fitted on: documents of each label, characters of one.
 SAMPLE, SAMPLE_CHARS = 3000, 60_000
@@ -306,7 +306,7 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", keep: tuple[str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = Tagger(model)
-        for b in batches:
+        for b in slices(batches):
             found = [tagger.score(t) for t in b.column(0).to_pylist()]
             spans = [[{"start": s, "end": e, "p": p} for s, e, p in x] for _, x in found]
             yield pa.RecordBatch.from_arrays(
