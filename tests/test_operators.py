@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from veridact.operators import catalog, claims, conditions, contracts, ledger, options, polarity, profile, quotes, trust
+from veridact.operators import catalog, claims, conditions, contracts, ledger, options, polarity, profile, quotes, records, trust
 from veridact.schemas import ContractError, SufficiencyPolicy, TrustPolicy
 from veridact.sources import adapters
 
@@ -144,8 +144,12 @@ def test_api_rows_and_files(spark, tmp_path):
     assert (two.reviewId, two.content, two.hasPhoto, two.skinTrouble) == (None, "", False, [])
     assert (three.reviewId, three.content) == (None, "")
     path = tmp_path / "reviews.json"
-    path.write_text(json.dumps([{"reviewId": 1, "content": "a", "rating": 5}]))
+    whole = dict.fromkeys(records.KNOWN_FIELDS) | {"reviewId": 1, "content": "a", "rating": 5}
+    path.write_text(json.dumps([whole]))
     assert adapters.read_reviews(spark, str(path)).first().reviewId == 1
+    path.write_text(json.dumps([{"reviewId": 1, "content": "a", "rating": 5}]))  # the schema is closed: a missing field stops
+    with pytest.raises(ContractError):
+        adapters.read_reviews(spark, str(path))
     rows = spark.createDataFrame([("duplicate", 2, "same_author", "review", "10"), ("identity", 1, "recency_cut", "review", "9")], "gate string, gate_order int, reason string, unit string, subject string")
     adapters.write_ledger(rows, str(tmp_path / "ledger"))
     assert spark.read.json(str(tmp_path / "ledger")).count() == 2
