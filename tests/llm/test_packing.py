@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -8,35 +9,49 @@ from veridact.llm import packing as P
 from veridact.llm.queries import op2_best_fit_packing, tokenizer_path
 
 
-def brute_best_fit(lengths, capacities, overhead):
+def brute_best_fit(lengths, capacities, overhead, attention):
     bins, left = [], sum(lengths)
     for n in lengths:
         fit = [b for b in bins if b[0] - sum(b[1]) >= n]
         if fit:
             min(fit, key=lambda b: b[0] - sum(b[1]))[1].append(n)
         else:
-            c = min((c for c in capacities if c >= n), key=lambda c: ((c + overhead) / max(min(c, left), 1), c))
+            c = min((c for c in capacities if c >= n), key=lambda c: ((c + c * c / attention + overhead) / max(min(c, left), 1), c))
             bins.append((c, [n]))
         left -= n
     return bins
 
 
-def cost(bins, capacities, overhead):
-    return sum(min(c for c in capacities if c >= sum(b)) + overhead for _, b in bins)
+def cost(bins, capacities, overhead, attention):
+    return sum(c + c * c / attention + overhead for c in (min(c for c in capacities if c >= sum(b)) for _, b in bins))
 
 
+@pytest.mark.parametrize("attention", (30, 65_536))
 @pytest.mark.parametrize("seed", range(20))
-def test_matches_a_plain_best_fit(seed):
+def test_matches_a_plain_best_fit(seed, attention):
     rnd = random.Random(seed)
     caps = (8, 16, 40)
     lengths = sorted((rnd.randint(1, 40) for _ in range(rnd.randint(1, 120))), reverse=True)
-    got = P.pack(lengths, caps, 2)
+    got = P.pack(lengths, caps, 2, attention)
     assert sorted(i for _, b in got for i in b) == list(range(len(lengths)))
     for c, b in got:
         held = sum(lengths[i] for i in b)
         assert held <= c and not any(held <= x < c for x in caps)
-    tries = [cost(brute_best_fit(lengths, caps[:k], 2), caps, 2) for k in (1, 2, 3) if caps[k - 1] >= lengths[0]]
-    assert sum(c + 2 for c, _ in got) == min(tries)
+    sets = [x for k in (1, 2, 3) for x in itertools.combinations(caps, k) if x[-1] >= lengths[0]]
+    tries = [cost(brute_best_fit(lengths, x, 2, attention), caps, 2, attention) for x in sets]
+    assert sum(c + c * c / attention + 2 for c, _ in got) == pytest.approx(min(tries))
+
+
+def test_long_bins_are_for_long_pieces():
+    """Lengths of all sizes open bins of several sizes, and cost less than any one size."""
+    rnd = random.Random(5)
+    lengths = sorted((min(8192, int(rnd.lognormvariate(6, 1.3)) + 1) for _ in range(4000)), reverse=True)
+    whole = lambda bins: sum(P.bin_cost(c) for c, _ in bins)
+    got = P.pack(lengths)
+    used = {c: sum(x == c for x, _ in got) for c in P.CAPACITIES}
+    assert sum(n > 20 for n in used.values()) >= 3
+    assert whole(got) < 0.97 * whole(P.pack(lengths, (8192,)))
+    assert sum(c for c, _ in got) < 1.05 * sum(lengths)
 
 
 def test_variable_sizes_beat_one_size():

@@ -1,11 +1,12 @@
 """Variable-capacity best-fit packing of token sequences.
 
-Several sequence lengths are permitted; a bin of capacity c costs c + OVERHEAD. Texts longer than
-the largest capacity are cut into pieces of it, so nothing is truncated. Pieces are packed in
-decreasing length, each into the open bin it leaves the least room in; if none has room, the bin
-size of the least cost for each token it can still get is opened. At last every bin is downsized to
-the smallest permitted length that holds its contents. All prefixes of the permitted lengths that
-can hold the largest piece are tried, and the cheapest outcome is kept.
+Several sequence lengths are permitted; a bin of capacity c costs what training on it does: c
+tokens, attention of c * c / ATTENTION, and OVERHEAD. Texts longer than the largest capacity are cut
+into pieces of it, so nothing is truncated. Pieces are packed in decreasing length, each into the
+open bin it leaves the least room in; if none has room, the bin size of the least cost for each
+token it can still get is opened: long bins for long pieces, middle ones for the rest. At last
+every bin is downsized to the smallest permitted length that holds its contents. All sets of
+permitted lengths that can hold the largest piece are tried, and the cheapest outcome is kept.
 
 Pieces are dealt by hash into shards of about SHARD pieces that are packed on their own: what a
 shard loses is under one bin of each size, and no task holds more than a shard.
@@ -13,7 +14,7 @@ shard loses is under one bin of each size, and no task holds more than a shard.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,15 +25,22 @@ from .common import WORD, materialize
 
 CAPACITIES = (512, 1024, 2048, 4096, 8192)
 OVERHEAD = 16
+#: Capacity at which attention costs a token as much again as all else.
+ATTENTION = 65_536
 SHARD = 20_000
 
 
-def best_fit(lengths: list[int], capacities: tuple[int, ...], overhead: int = OVERHEAD) -> list[list[int]]:
+def bin_cost(capacity: int, overhead: int = OVERHEAD, attention: int = ATTENTION) -> float:
+    return capacity + capacity * capacity / attention + overhead
+
+
+def best_fit(lengths: list[int], capacities: tuple[int, ...], overhead: int = OVERHEAD, attention: int = ATTENTION) -> list[list[int]]:
     """Bins as lists of indexes into lengths, which are in decreasing order and fit the largest capacity."""
     bins: list[list[int]] = []
     by_room: dict[int, list[int]] = {}
     rooms = 0  # bit r is set while a bin with room r is open
     left = sum(lengths)
+    costs = [(c, bin_cost(c, overhead, attention)) for c in capacities]
     for i, n in enumerate(lengths):
         fits = rooms >> n
         if fits:
@@ -41,7 +49,7 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...], overhead: int = OV
             if not by_room[room]:
                 rooms &= ~(1 << room)
         else:
-            room = min((c for c in capacities if c >= n), key=lambda c: ((c + overhead) / max(min(c, left), 1), c))
+            room = min((cost / max(min(c, left), 1), c) for c, cost in costs if c >= n)[1]
             at = len(bins)
             bins.append([])
         bins[at].append(i)
@@ -53,18 +61,17 @@ def best_fit(lengths: list[int], capacities: tuple[int, ...], overhead: int = OV
     return bins
 
 
-def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD) -> list[tuple[int, list[int]]]:
-    """(capacity, indexes) of the cheapest packing; lengths in decreasing order."""
+def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, attention: int = ATTENTION) -> list[tuple[int, list[int]]]:
+    """(capacity, indexes) of the cheapest packing; lengths in decreasing order. Of equal costs the first of the smaller sets."""
     top = None
-    for k in range(1, len(capacities) + 1):
-        some = capacities[:k]
-        if lengths and some[-1] < lengths[0]:
+    for some in (x for k in range(1, len(capacities) + 1) for x in combinations(capacities, k)):
+        if not lengths or some[-1] < lengths[0]:
             continue
         sized = []
-        for b in best_fit(lengths, some, overhead):
+        for b in best_fit(lengths, some, overhead, attention):
             held = sum(lengths[i] for i in b)
-            sized.append((next(c for c in some if c >= held), b))
-        cost = sum(c + overhead for c, _ in sized)
+            sized.append((next(c for c in capacities if c >= held), b))
+        cost = sum(bin_cost(c, overhead, attention) for c, _ in sized)
         if top is None or cost < top[0]:
             top = (cost, sized)
     return top[1] if top else []
@@ -88,7 +95,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", larg
     return cut.select("id", "piece", first.alias("first_token"), F.least(F.col("n") - first, F.lit(largest)).cast("int").alias("n_tokens"))
 
 
-def packed(parts: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, shard: int = SHARD) -> DataFrame:
+def packed(parts: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead: int = OVERHEAD, shard: int = SHARD, attention: int = ATTENTION) -> DataFrame:
     """parts (as pieces() gives them) with bin string, capacity int and start int, the place in the bin.
 
     Defined cases: pieces of no tokens get no bin (null bin, capacity and start 0); equal lengths go
@@ -105,7 +112,7 @@ def packed(parts: DataFrame, capacities: tuple[int, ...] = CAPACITIES, overhead:
         rows = rows.sort_values(["n_tokens", "id", "piece"], ascending=[False, True, True], na_position="first").reset_index(drop=True)
         place = [None] * len(rows)
         lengths = rows["n_tokens"].tolist()
-        for b, (capacity, held) in enumerate(pack(lengths, capacities, overhead)):
+        for b, (capacity, held) in enumerate(pack(lengths, capacities, overhead, attention)):
             at = 0
             for i in held:
                 place[i] = (f"{key[0]}-{b}", capacity, at)
