@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import minority
 from ..functions.text import month_of
 from ..schemas import SufficiencyPolicy
-from .shared import cut_lineage
+from .shared import cut_lineage, scratch_path
 
 
 def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str, option: Column | None = None) -> DataFrame:
@@ -44,17 +44,18 @@ def duplicate_gate(ranked: DataFrame, group: str = "product_id", content: str =
     """
     key = lambda c: F.xxhash64(group, c)
     open_rows = cut_lineage(ranked.select(F.col(group).alias("g"), "rank", key(content).alias("c"), key(author).alias("a")))
-    kept: DataFrame | None = None
+    spark = ranked.sparkSession
+    kept_at = scratch_path(spark)
     while True:
         first_c = cut_lineage(open_rows.groupBy("c").agg(F.min("rank").alias("rc")))
         first_a = cut_lineage(open_rows.groupBy("a").agg(F.min("rank").alias("ra")))
-        won = cut_lineage(open_rows.join(first_c, "c").join(first_a, "a").where("rank = rc and rank = ra").select("g", "rank", "c", "a"))
-        kept = won if kept is None else kept.union(won)
+        won = cut_lineage(open_rows.join(first_c, "c").join(first_a, "a").where("rank = rc and rank = ra").select("c", "a", "rank"))
+        won.write.mode("append").parquet(kept_at)  # one table whatever the rounds, so that the plan doesn't grow
         rest = open_rows.join(won.select("c"), "c", "left_anti").join(won.select("a"), "a", "left_anti")
         open_rows = cut_lineage(rest)
         if open_rows.isEmpty():
             break
-    kept = cut_lineage(kept)
+    kept = spark.read.schema(won.schema).parquet(kept_at)
     by_c, by_a = kept.select("c", F.col("rank").alias("kc")), kept.select("a", F.col("rank").alias("ka"))
     rows = ranked.select(F.col(group).alias("g"), "rank", key(content).alias("c"), key(author).alias("a"))
     judged = rows.join(by_c, "c", "left").join(by_a, "a", "left")

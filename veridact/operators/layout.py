@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import MAX_QUOTES
@@ -11,8 +11,11 @@ from .trust import rank_order
 
 
 def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFrame:
-    """Every quote of a cell and aspect with its rank, and its place among those of its polarity."""
-    rows = member.join(tags, "review_id")
+    """Every quote of a cell and aspect with its rank, and its place among those of its polarity.
+
+    Only what ranks and names a quote is carried; texts are joined to the few that are shown.
+    """
+    rows = member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id")
     by = [*cell, "aspect"]
     return numbered(numbered(rows, by, rank_order(), "quote_rank"), [*by, "polarity"], rank_order(), "polarity_rank")
 
@@ -31,22 +34,23 @@ def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFra
     whole = Window.partitionBy(*by)
     inside = F.col("quote_rank") <= k
     names = ("negative", "neutral", "positive")
-    have = {p: F.count(F.when(inside & (F.col("polarity") == p), 1)) for p in names}
-    there = {p: F.max(F.when(F.col("polarity") == p, 1).otherwise(0)) for p in names}
-    near = near.select("*", *[have[p].over(whole).alias(f"h_{p}") for p in names], *[there[p].over(whole).alias(f"t_{p}") for p in names])
-    for p in names:  # in text order, as long as a polarity has none
-        most = F.greatest(*[F.col(f"h_{q}") for q in names])
-        victim = F.when(F.col("h_negative") == most, "negative").when(F.col("h_neutral") == most, "neutral").otherwise("positive")
-        # columns of their own: nested expressions would outgrow generated code
-        near = near.withColumn(f"g_{p}", (F.col(f"t_{p}") == 1) & (F.col(f"h_{p}") == 0)).withColumn("_victim", F.when(F.col(f"g_{p}"), victim))
-        for q in names:
-            near = near.withColumn(f"h_{q}", F.col(f"h_{q}") - F.when(F.col("_victim") == q, 1).otherwise(0) + (F.col(f"g_{p}").cast("int") if p == q else 0))
-    keep, reserved = F.lit(False), F.lit(False)
-    for p in names:
-        own = F.col("polarity") == p
-        keep = keep | (own & F.when(F.col(f"g_{p}"), F.col("polarity_rank") == 1).otherwise(inside & (F.col("polarity_rank") <= F.col(f"h_{p}"))))
-        reserved = reserved | (own & F.col(f"g_{p}"))
-    return near.withColumn("reserved", reserved).where(keep).drop("_victim", *[f"{x}_{p}" for x in "htg" for p in names])
+    have = F.array(*[F.count(F.when(inside & (F.col("polarity") == p), 1)).over(whole) for p in names])
+    there = F.array(*[F.max(F.col("polarity") == p).over(whole) for p in names])
+    near = near.select("*", have.alias("_have"), there.alias("_there"))
+
+    def turn(state: Column, p: Column) -> Column:
+        """Polarity number p takes a place of the most frequent one if it has none."""
+        gets = F.get("_there", p) & (F.get(state["have"], p) == 0)
+        most = F.array_position(state["have"], F.array_max(state["have"])) - 1
+        moved = F.transform(state["have"], lambda n, i: n - F.when(gets & (i == most), 1).otherwise(0) + F.when(gets & (i == p), 1).otherwise(0))
+        return F.struct(moved.alias("have"), F.concat(state["got"], F.array(gets)).alias("got"))
+
+    start = F.struct(F.col("_have").alias("have"), F.array().cast("array<boolean>").alias("got"))
+    near = near.withColumn("_end", F.aggregate(F.array(*map(F.lit, range(len(names)))), start, turn))
+    own = (F.array_position(F.array(*map(F.lit, names)), F.col("polarity")) - 1).cast("int")
+    near = near.withColumn("reserved", F.get("_end.got", own)).withColumn("_places", F.get("_end.have", own))
+    keep = F.when(F.col("reserved"), F.col("polarity_rank") == 1).otherwise(inside & (F.col("polarity_rank") <= F.col("_places")))
+    return near.where(keep).drop("_have", "_there", "_end", "_places")
 
 
 def render(claims: DataFrame, quotes: DataFrame, cell: list[str]) -> DataFrame:

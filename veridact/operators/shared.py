@@ -10,14 +10,25 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder of spark.checkpoint.dir (a temporary one if that is unset)."""
-    spark: SparkSession = df.sparkSession
+def scratch_path(spark: SparkSession) -> str:
+    """A new path in the shared folder of spark.checkpoint.dir.
+
+    Where it is unset, a session on this machine alone gets a temporary folder; a cluster is refused.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if root is None:
+    if not root:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is unset; a cluster needs a folder that all executors share")
         root = tempfile.mkdtemp(prefix="veridact-")
         spark.sparkContext.setCheckpointDir(root)
-    path = f"{root}/veridact-{uuid.uuid4().hex}"
+    return f"{root}/veridact-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """df as a table in the shared folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

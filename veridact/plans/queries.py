@@ -22,14 +22,15 @@ def cutoff_month(reviews: DataFrame):
 
 
 def scored(spark: SparkSession, d: str) -> DataFrame:
-    return trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)))
+    """The review view with signals and rank; texts stay behind once they are measured."""
+    return trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content"))
 
 
 def gated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(identity gate's rows, duplicate gate's rows, survivors) of the review view."""
     rows = adapters.reviews(spark, d)
     first = gates.identity_gate(rows, adapters.products(spark, d), cutoff_month(rows))
-    ranked = gates.cut_lineage(trust.ranked(trust.signals(first.where("reason is null").drop("reason", "detail", "limitation"), tagged=adapters.tags(spark, d))))
+    ranked = gates.cut_lineage(trust.ranked(trust.signals(first.where("reason is null").drop("reason", "detail", "limitation"), tagged=adapters.tags(spark, d)).drop("content")))
     second = gates.cut_lineage(gates.duplicate_gate(ranked).join(ranked, ["product_id", "rank"]))
     return first, second, second.where("reason is null")
 
