@@ -29,7 +29,7 @@ AGREE, WINDOW = 2, 8
 #: Pre-tokenizer pattern of byte-level BPE (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Characters whose classes no Unicode version moved; other texts go through the tokenizers library.
-_COMMON = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
+COMMON = re.compile(r"[^\t\n\r\x20-\x7e\xa1-ɏ]")
 
 
 def _alphabet() -> dict[str, int]:
@@ -77,7 +77,7 @@ class Codec:
 
     def plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens."""
-        if not _COMMON.search(text):
+        if not COMMON.search(text):
             return self.fast.encode_ordinary(text)
         return self.library.encode(text, add_special_tokens=False).ids
 

@@ -98,6 +98,13 @@ def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", "n_sentences", "n_removed")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import alignment
+
+    found = alignment.score(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path("piece_bpe_32k.model"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -109,6 +116,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
+    "op11_token_alignment": op11_token_alignment,
 }
 
 ORACLES: dict[str, str] = {"op8_url_filter": urls.ORACLE, "op9_substring_dedup": substrings.ORACLE}
