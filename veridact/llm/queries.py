@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import substrings, urls
+from . import merkle, substrings, urls
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -105,6 +105,10 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnRenamed("id", "doc_id")
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -117,6 +121,7 @@ QUERIES = {
     "op9_substring_dedup": op9_substring_dedup,
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
 
-ORACLES: dict[str, str] = {"op8_url_filter": urls.ORACLE, "op9_substring_dedup": substrings.ORACLE}
+ORACLES: dict[str, str] = {"op8_url_filter": urls.ORACLE, "op9_substring_dedup": substrings.ORACLE, "op12_merkle_manifest": merkle.ORACLE}
