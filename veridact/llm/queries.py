@@ -109,6 +109,13 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.documents(table(spark, sf_dir, "documents"))
 
 
+def op13_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import quality
+
+    found = quality.judge(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "quality")
+
+
 QUERIES = {
     "op1_secret_scan": op1_secret_scan,
     "op2_best_fit_packing": op2_best_fit_packing,
@@ -122,6 +129,7 @@ QUERIES = {
     "op10_simhash_near_dedup": op10_simhash_near_dedup,
     "op11_token_alignment": op11_token_alignment,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 ORACLES: dict[str, str] = {"op8_url_filter": urls.ORACLE, "op9_substring_dedup": substrings.ORACLE, "op12_merkle_manifest": merkle.ORACLE}
