@@ -3,6 +3,7 @@ import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers
 import pytest
 import sentencepiece
@@ -81,23 +82,28 @@ PIECES = ["a", "the", "ing", "'s", "!", "...", " ", "  ", "\n", "\n\n", "\t", "2
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_tokens_are_the_libraries_own(seed):
+def test_tokens_are_the_libraries_own(seed, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 7)
     rnd = random.Random(seed)
     p = alignment.pair(A, B)
+    assert p.sides[1].by_word
+    texts = []
     for _ in range(400):
-        pieces = PIECES if rnd.random() < 0.5 else ["word", "Is", "of,", "don't", "x.", "été", "12a"]
+        pieces = PIECES if rnd.random() < 0.5 else ["word", "Is", "of,", "don't", "x.", "été", "12a", "«ÿ»", "a\xa0b", "\xad"]
         sep = rnd.choice(["", " ", "\n"])
-        text = sep.join(rnd.choice(pieces) for _ in range(rnd.randint(1, 30)))
-        (a, pa_), (b, pb) = left(text), right(text)
-        same = b"".join(pa_) == b"".join(pb) == (" " + text).encode()
-        assert p.tokens(text) == ((a, b) if same else ([], [])), text
-
-
-def test_words_are_forgotten_and_made_again(monkeypatch):
-    monkeypatch.setattr(alignment, "REMEMBERED", 3)
-    p = alignment.Pair(A, B)
-    text = "one two three\nfour five one six two"
-    assert p.tokens(text) == (left(text)[0], right(text)[0]) and len(p.known) <= 3
+        texts.append(sep.join(rnd.choice(pieces) for _ in range(rnd.randint(1, 30))))
+    words = [p.words(t) for t in texts]
+    assert sum(len(w) > 1 for w in words) > 20 and all("".join(w) == " " + t for w, t in zip(words, texts))
+    flat = [w for x in words for w in x]
+    place, sides = p.encode(flat)
+    found = [[x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] for ids, n in sides]
+    at = 0
+    for t, w in zip(texts, words):
+        (la, pa_), (lb, pb) = left(t), right(t)
+        same = b"".join(pa_) == b"".join(pb) == (" " + t).encode()
+        own = place[at : at + len(w)]
+        assert tuple([i for k in own for i in side[k]] for side in found) == ((la, lb) if same else ([], [])), t
+        at += len(w)
 
 
 def test_unusual_rows(spark):

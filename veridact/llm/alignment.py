@@ -1,11 +1,12 @@
 """Alignment of the tokens of two tokenizers over one text, and how often token ids meet in a corpus.
 
-Every Arrow partition goes through DuckDB in slices of bounded size: both token sequences become
-tables of byte intervals, an as-of join (a range join for the nearest) finds the token of the other side that covers each
-token's last byte, a window sum over shared ends numbers the groups, and a join inside groups gives
-the linked id pairs. A slice's documents keep their links as indices into the slice's own list of
-distinct pairs; that list carries partial document counts, which Spark merges over the corpus.
-The merged counts come back to each slice once, whatever the number of its documents.
+Every Arrow partition goes through DuckDB in slices of bounded size. No token reaches over a word's
+end, so a slice's texts become rows of its distinct words (a text where that can't be told is a word of its own), and
+the tokens of those become tables of byte intervals: an as-of join (a range join for the nearest)
+finds the token of the other side that covers each token's last byte, a window sum over shared ends
+numbers the groups, and a join inside groups gives the linked id pairs. A slice's documents keep their links as indices
+into the slice's own list of distinct pairs; that list carries partial document counts, which Spark
+merges over the corpus. The merged counts come back to each slice once, whatever the number of its documents.
 """
 
 from __future__ import annotations
@@ -15,7 +16,6 @@ import re
 import tempfile
 from collections.abc import Iterator
 from functools import cached_property, lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +28,14 @@ from . import bpe
 from .common import materialize
 
 #: UTF-8 bytes of the texts of a slice; a longer text is a slice of its own.
-SLICE = 1 << 20
-#: Words whose tokens a worker remembers before it forgets them all.
-REMEMBERED = 100_000
+SLICE = 1 << 22
+#: Words that are encoded in one go.
+CHUNK = 2000
 #: Memory of DuckDB in a worker; beyond it, it spills to the worker's temporary folder.
 DUCKDB_MEMORY = "512MB"
 
 # Words with the space or line break before them, and texts that consist of nothing else.
-_UNIT = re.compile(r"[ \n][^ \n]+")
+_WORD = re.compile(r"[ \n][^ \n]+")
 _SPACED = re.compile(r"(?:[ \n][^\s\x1c-\x1f\x85]+)*")
 
 
@@ -56,15 +56,10 @@ class Left:
         found.encode_special_tokens = True
         return found
 
-    def encode(self, text: str) -> list[int]:
-        if bpe.COMMON.search(text):
-            return self.library.encode(text, add_special_tokens=False).ids
-        return self.codec.fast.encode_ordinary(text)
-
-    def units(self, text: str) -> bool:
-        """Whether the encoding of text is that of its units, one after the other: the pre-tokenizer
-        starts anew at a lone space or line break between words."""
-        return not bpe.COMMON.search(text)
+    def encode(self, spaced: str) -> list[int]:
+        if bpe.COMMON.search(spaced):
+            return self.library.encode(spaced, add_special_tokens=False).ids
+        return self.codec.fast.encode_ordinary(spaced)
 
 
 class Right:
@@ -76,54 +71,69 @@ class Right:
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         pieces = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
         self.bytes_of = [bytes([int(p[3:-1], 16)]) if self.model.is_byte(i) else p.replace("▁", " ").encode("utf-8") for i, p in enumerate(pieces)]
-        # no piece reaches over a word's end, so words are encoded one by one
+        # whether no piece reaches over a word's end and common characters come back as they are
         self.by_word = not any("▁" in p.lstrip("▁") or "\n" in p for p in pieces)
-        first = self.model.encode("\na")
-        self.by_word &= self.bytes_of[first[0]] == b" " and self.bytes_of[first[1]] == b"\n" and self.model.encode("a b") == self.model.encode("a") + self.model.encode("b")
+        self.by_word = self.by_word and all(self.back(t) == t.encode("utf-8") for t in (f" x{c}x\n{c}" for c in map(chr, range(33, 592)) if not bpe.COMMON.search(c)))
+
+    def back(self, spaced: str) -> bytes:
+        return b"".join([self.bytes_of[i] for i in self.encode(spaced)])
 
     def encode(self, spaced: str) -> list[int]:
         """Ids of a text that is given with the space that the model adds."""
-        return self.model.encode(spaced[1:]) if spaced[0] == " " else self.model.encode(spaced)[1:]
-
-    def units(self, text: str) -> bool:
-        return self.by_word and "▁" not in text
+        return self.model.encode(spaced[1:])
 
 
 class Pair:
-    """Both tokenizers, with the tokens of the words met last."""
+    """Both tokenizers."""
 
     def __init__(self, left: str, right: str):
         self.sides = (Left(left), Right(right))
         self.sizes = [np.array([len(x) for x in s.bytes_of], np.int32) for s in self.sides]
         # ids as text, followed by what stands before the next: another id, the other side, the next group
         self.names = [f"{i}{c}" for i in range(max(map(len, self.sizes))) for c in ",|;"]
-        self.forget()
-
-    def forget(self) -> None:
-        self.known: dict[str, tuple[list[int], list[int]]] = {}
 
-    def unit(self, text: str) -> tuple[list[int], list[int]]:
-        found = self.known.get(text)
-        if found is None:
-            if len(self.known) >= REMEMBERED:
-                self.forget()
-            found = self.known[text] = (self.sides[0].encode(text), self.sides[1].encode(text))
-        return found
+    def words(self, text: str) -> list[str]:
+        """Words of space+text with the space or line break before each, or all of it where words can't be told.
 
-    def tokens(self, text: str) -> tuple[list[int], list[int]]:
-        """Both id sequences of space+text; none if a side's bytes aren't those of space+text."""
-        if not text:
-            return [], []
+        The byte-level pre-tokenizer starts anew at a lone space or line break between characters that aren't white space.
+        """
         spaced = " " + text
-        if _SPACED.fullmatch(spaced) and all(s.units(spaced) for s in self.sides):
-            words = [self.unit(u) for u in _UNIT.findall(spaced)]
-            a, b = list(chain.from_iterable([w[0] for w in words])), list(chain.from_iterable([w[1] for w in words]))
-        else:
-            a, b = (s.encode(spaced) for s in self.sides)
+        if self.sides[1].by_word and not bpe.COMMON.search(spaced) and _SPACED.fullmatch(spaced):
+            return _WORD.findall(spaced)
+        return [spaced]
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+        """The place of each word, and for each side the ids of all words by place and each one's number of ids.
+
+        A word that a side doesn't give back has none. Words that can be told come first and are encoded in chunks.
+        """
+        told = [self.sides[1].by_word and not bpe.COMMON.search(w) and _WORD.fullmatch(w) is not None for w in words]
+        order = [i for i, t in enumerate(told) if t]
+        many = len(order)
+        order += [i for i, t in enumerate(told) if not t]
+        place = np.empty(len(words), np.int32)
+        place[order] = np.arange(len(words), dtype=np.int32)
+        ids: list[list[np.ndarray]] = [[np.empty(0, np.int32)], [np.empty(0, np.int32)]]
+        n: list[list[np.ndarray]] = [[np.empty(0, np.int32)], [np.empty(0, np.int32)]]
+        for at in range(0, many, CHUNK):
+            chunk = [" a", *[words[i] for i in order[at : min(many, at + CHUNK)]]]  # a word with a space stands first
+            stops = np.cumsum([len(w.encode("utf-8")) for w in chunk])
+            for k, (s, size) in enumerate(zip(self.sides, self.sizes)):
+                found = np.array(s.encode("".join(chunk)), np.int32)
+                cuts = np.searchsorted(np.cumsum(size[found]), stops, "right")
+                ids[k].append(found[cuts[0] :])
+                n[k].append(np.diff(cuts).astype(np.int32))
+        for i in order[many:]:
+            for k, found in enumerate(self.tokens(words[i])):
+                ids[k].append(np.array(found, np.int32))
+                n[k].append(np.array([len(found)], np.int32))
+        return place, [(np.concatenate(ids[k]), np.concatenate(n[k])) for k in (0, 1)]
+
+    def tokens(self, spaced: str) -> tuple[list[int], list[int]]:
+        """Both id sequences of a text given with its space; none if a side's bytes aren't those of it."""
         want = spaced.encode("utf-8")
-        if any(b"".join([s.bytes_of[i] for i in ids]) != want for s, ids in zip(self.sides, (a, b))):
-            return [], []
-        return a, b
+        both = [s.encode(spaced) for s in self.sides]
+        return ([], []) if any(b"".join([s.bytes_of[i] for i in x]) != want for s, x in zip(self.sides, both)) else (both[0], both[1])
 
 
 @lru_cache(maxsize=1)
@@ -131,20 +141,23 @@ def pair(left: str, right: str) -> Pair:
     return Pair(left, right)
 
 
-#: The groups, links and pairs of a slice whose tokens are the tables a and b: d document, i place, id, s and e first
-#: byte and the byte behind the last, counted through the slice. A document's last byte ends tokens of both sides.
+#: The groups, links and pairs of a slice: tables a and b are its words' tokens (w word, i place, id, s and e first
+#: byte and the byte behind the last, counted through the slice), has its documents' words (d, w). A word ends tokens of both sides.
 STEPS = (
     # the token of b under the last byte of each token of a, and whether both end there
-    "CREATE OR REPLACE TEMP TABLE covered AS SELECT a.d, a.i, a.id, a.e, (b.e = a.e)::INT AS shared FROM a ASOF JOIN b ON a.e > b.s",
-    "CREATE OR REPLACE TEMP TABLE ga AS SELECT d, i, id, e, shared, (sum(shared) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) - shared)::INT AS g FROM covered",
+    "CREATE OR REPLACE TEMP TABLE covered AS SELECT a.w, a.i, a.id, a.e, (b.e = a.e)::INT AS shared FROM a ASOF JOIN b ON a.e > b.s",
+    "CREATE OR REPLACE TEMP TABLE ga AS SELECT w, i, id, e, shared, (sum(shared) OVER (ORDER BY i ROWS UNBOUNDED PRECEDING) - shared)::INT AS g FROM covered",
     # tokens of b belong to the first shared end at or behind their own
     "CREATE OR REPLACE TEMP TABLE gb AS SELECT b.i, b.id, x.g FROM b ASOF JOIN (SELECT e, g FROM ga WHERE shared = 1) x ON b.e <= x.e",
     # ids of a group are counted before they meet, so that a run of one token costs one pair
-    """CREATE OR REPLACE TEMP TABLE links AS SELECT x.d, x.id AS a, y.id AS b, sum(x.n * y.n)::BIGINT AS m
-       FROM (SELECT d, g, id, count(*) AS n FROM ga GROUP BY ALL) x JOIN (SELECT g, id, count(*) AS n FROM gb GROUP BY ALL) y USING (g) GROUP BY ALL""",
-    "CREATE OR REPLACE TEMP TABLE pairs AS SELECT a, b, n, (row_number() OVER (ORDER BY a, b) - 1)::INT AS k FROM (SELECT a, b, count(*) AS n FROM links GROUP BY ALL)",
+    """CREATE OR REPLACE TEMP TABLE word_links AS SELECT x.w, x.id AS a, y.id AS b, sum(x.n * y.n)::BIGINT AS m
+       FROM (SELECT w, g, id, count(*) AS n FROM ga GROUP BY ALL) x JOIN (SELECT g, id, count(*) AS n FROM gb GROUP BY ALL) y USING (g) GROUP BY ALL""",
+    "CREATE OR REPLACE TEMP TABLE pairs AS SELECT a, b, (row_number() OVER (ORDER BY a, b) - 1)::INT AS k FROM (SELECT DISTINCT a, b FROM word_links)",
+    """CREATE OR REPLACE TEMP TABLE links AS SELECT d, k, sum(c * m)::BIGINT AS m FROM (SELECT d, w, count(*) AS c FROM has GROUP BY ALL)
+       JOIN (SELECT w, k, m FROM word_links JOIN pairs USING (a, b)) USING (w) GROUP BY ALL""",
 )
-PER_DOCUMENT = "SELECT d, sum(m)::BIGINT AS n_links, list(k ORDER BY k) AS k, list(m ORDER BY k) AS m FROM links JOIN pairs USING (a, b) GROUP BY d ORDER BY d"
+PER_DOCUMENT = "SELECT d, sum(m)::BIGINT AS n_links, list(k ORDER BY k) AS k, list(m ORDER BY k) AS m FROM links GROUP BY d ORDER BY d"
+PAIRS = "SELECT a, b, n FROM pairs JOIN (SELECT k, count(*) AS n FROM links GROUP BY k) USING (k) ORDER BY k"
 
 COLUMNS = "slice long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, a array<int>, b array<int>, n array<long>"
 NAMES = ["slice", "id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "a", "b", "n"]
@@ -172,15 +185,13 @@ def portions(batch: pa.RecordBatch, column: int, size: int) -> Iterator[pa.Recor
         at = stop
 
 
-def intervals(found: list[list[int]], sizes: np.ndarray) -> pa.Table:
-    n = np.fromiter(map(len, found), np.int32, len(found))
-    ids = np.fromiter(chain.from_iterable(found), np.int32, int(n.sum()))
+def intervals(ids: np.ndarray, n: np.ndarray, sizes: np.ndarray) -> pa.Table:
     e = np.cumsum(sizes[ids], dtype=np.int64)
-    return pa.table({"d": np.repeat(np.arange(len(n), dtype=np.int32), n), "i": np.arange(len(ids), dtype=np.int32), "id": ids, "s": e - sizes[ids], "e": e})
+    return pa.table({"w": np.repeat(np.arange(len(n), dtype=np.int32), n), "i": np.arange(len(ids), dtype=np.int32), "id": ids, "s": e - sizes[ids], "e": e})
 
 
 def group_texts(p: Pair, a: dict, b: dict, n: int) -> tuple[np.ndarray, list[str]]:
-    """Of each of n documents the number of groups, and `a1,a2|b1;a3|b2,b3` of its groups; a, b in order, with id and g, a with d."""
+    """Of each of n words the number of groups, and `a1,a2|b1;a3|b2,b3` of its groups; a, b in order, with id and g, a with w."""
     if not len(a["g"]):
         return np.zeros(n, np.int64), [""] * n
     many_a, many_b = np.bincount(a["g"]), np.bincount(b["g"])
@@ -191,38 +202,41 @@ def group_texts(p: Pair, a: dict, b: dict, n: int) -> tuple[np.ndarray, list[str
     ids[at_a], ids[at_b] = a["id"] * np.int64(3), b["id"] * np.int64(3)
     ids[at_a[upto_a - 1]] += 1
     ids[at_b[upto_b - 1]] += 2
-    owner = a["d"][upto_a - 1]  # of each group
-    n_groups = np.bincount(owner, minlength=n)
+    owner = a["w"][upto_a - 1]  # of each group
     tokens = np.cumsum(np.bincount(owner, many_a + many_b, minlength=n)).astype(np.int64)
     texts, before = [], 0
     for stop in tokens.tolist():
         texts.append("".join([p.names[i] for i in ids[before:stop].tolist()])[:-1])
         before = stop
-    return n_groups, texts
+    return np.bincount(owner, minlength=n), texts
 
 
 def aligned(p: Pair, con, texts: list[str | None]) -> dict[str, list]:
     """Of each text n_a, n_b, n_groups, n_links, groups_sha256, k and m; and pairs (a, b, n) of all."""
-    found = [p.tokens(t or "") for t in texts]
-    sides = [[f[i] for f in found] for i in (0, 1)]
-    tables = [intervals(x, s) for x, s in zip(sides, p.sizes)]
-    for name, t in zip("ab", tables):
-        con.register(name, t)
+    number: dict[str, int] = {}
+    own = [np.array([number.setdefault(w, len(number)) for w in p.words(t)], np.int32) if t else np.empty(0, np.int32) for t in texts]
+    place, tokens = p.encode(list(number))
+    own = [place[w] for w in own]
+    for name, (ids, n), sizes in zip("ab", tokens, p.sizes):
+        con.register(name, intervals(ids, n, sizes))
+    con.register("has", pa.table({"d": np.repeat(np.arange(len(own), dtype=np.int32), list(map(len, own))), "w": np.concatenate(own) if own else np.empty(0, np.int32)}))
     for step in STEPS:
         con.execute(step)
-    a = con.execute("SELECT d, id, g FROM ga ORDER BY i").fetchnumpy()
+    a = con.execute("SELECT w, id, g FROM ga ORDER BY i").fetchnumpy()
     b = con.execute("SELECT id, g FROM gb ORDER BY i").fetchnumpy()
-    n_groups, groups = group_texts(p, a, b, len(texts))
+    n_groups, groups = group_texts(p, a, b, len(number))
     links = con.sql(PER_DOCUMENT).to_arrow_table()
-    pairs = con.execute("SELECT a, b, n FROM pairs ORDER BY k").fetchnumpy()
-    for name in "ab":
+    pairs = con.execute(PAIRS).fetchnumpy()
+    for name in ("a", "b", "has"):
         con.unregister(name)
     n_links, k, m = [0] * len(texts), [[] for _ in texts], [[] for _ in texts]
     for d, x, ks, ms in zip(links["d"].to_pylist(), links["n_links"].to_pylist(), links["k"], links["m"]):
         n_links[d], k[d], m[d] = x, ks.values.to_numpy(), ms.values.to_numpy()
+    of = lambda x: [int(x[w].sum()) for w in own]
+    joined = [";".join([groups[i] for i in w.tolist()]) for w in own]
     return {
-        "n_a": [len(x) for x in sides[0]], "n_b": [len(x) for x in sides[1]], "n_groups": n_groups.tolist(), "n_links": n_links,
-        "groups_sha256": [hashlib.sha256(g.encode("ascii")).hexdigest() if g else "" for g in groups], "k": k, "m": m, "pairs": pairs,
+        "n_a": of(tokens[0][1]), "n_b": of(tokens[1][1]), "n_groups": of(n_groups), "n_links": n_links,
+        "groups_sha256": [hashlib.sha256(g.encode("ascii")).hexdigest() if g else "" for g in joined], "k": k, "m": m, "pairs": pairs,
     }
 
 
