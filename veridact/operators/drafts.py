@@ -96,12 +96,15 @@ def round_trip_violations(claims: DataFrame, taxonomy: Taxonomy = Taxonomy()) ->
     return claims.select("claim_id", F.explode(F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), F.isnotnull)).alias("violation"))
 
 
-def payloads(claims: DataFrame, verdicts: DataFrame, outcomes: DataFrame) -> DataFrame:
-    """claims (claim_id, answer) with outcome and payload: null where the quote gate discarded the claim,
-    else the answer and its verbatim quotes that aren't spares, in order of review."""
-    kept = verdicts.where("status = 'verbatim' and not spare").groupBy("claim_id").agg(F.sort_array(F.collect_list("review_id")).alias("kept_reviews"))  # a claim's quotes: few
-    rows = claims.join(outcomes.select("claim_id", "outcome"), "claim_id").join(kept, "claim_id", "left")
-    payload = F.struct(F.col("answer").alias("answer"), F.coalesce("kept_reviews", F.array().cast("array<bigint>")).alias("evidence"))
+def payloads(claims: DataFrame, walked: DataFrame, outcomes: DataFrame) -> DataFrame:
+    """claims (claim_id, answer) with outcome and payload: null where the quote gate discarded the claim, else the answer
+    and the quotes that stay, as (review_id, quote_id), the claim's own first and then the spares taken, in order.
+
+    walked, outcomes: quotes.walk() and quotes.outcomes(). Claims without any quote have no outcome and no payload.
+    """
+    kept = walked.where("kept_order is not null").groupBy("claim_id").agg(F.sort_array(F.collect_list(F.struct("kept_order", "review_id", "quote_id"))).alias("kept"))  # a claim's quotes: few
+    rows = claims.join(outcomes.select("claim_id", "outcome"), "claim_id", "left").join(kept, "claim_id", "left")
+    payload = F.struct(F.col("answer").alias("answer"), F.transform("kept", lambda k: F.struct(k["review_id"].alias("review_id"), k["quote_id"].alias("quote_id"))).alias("evidence"))
     return rows.select("claim_id", "outcome", F.when(F.col("outcome") != "discarded", payload).alias("payload"))
 
 

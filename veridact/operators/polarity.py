@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions.stats import binom_sf, direction, fisher_two_sided, minority, negative_ratio, verdict
 from ..functions.text import sentiment_prior
-from ..schemas import SPLIT_ALPHA, UNSTATED, NoisePolicy
+from ..schemas import SPLIT_ALPHA, UNSTATED, NoisePolicy, SufficiencyPolicy
+from .gates import sufficiency_gate
+from .shared import cut_lineage
 
 
 def aspect_support(reviews: DataFrame, tags: DataFrame, keys: list[str], policy: NoisePolicy = NoisePolicy()) -> DataFrame:
@@ -38,25 +40,57 @@ def rating_conflicts(reviews: DataFrame, tags: DataFrame) -> DataFrame:
     return rows.where("polarity <> sentiment").select("review_id", "aspect", F.col("polarity").alias("tag_polarity"), "rating", F.col("sentiment").alias("rating_sentiment"), kind.alias("kind"))
 
 
-def segment_splits(support: DataFrame, alpha: float = SPLIT_ALPHA) -> DataFrame:
-    """Pairs of stated segments of one product, axis and aspect whose negative shares differ.
-
-    support: product_id, axis, segment, aspect, pos, neg. Segments are a small vocabulary, so pairs
-    are few for each aspect.
-    """
-    stated = support.where((F.col("segment") != UNSTATED) & (F.col("axis") != "product") & (F.col("pos") + F.col("neg") > 0))
-    side = lambda s: stated.select("product_id", "axis", "aspect", F.col("segment").alias(s), F.col("pos").alias(f"{s}_pos"), F.col("neg").alias(f"{s}_neg"))
+def _pairs(segments: DataFrame, alpha: float) -> DataFrame:
+    """Pairs of segments (product_id, axis, segment, aspect, pos, neg) of one product, axis and aspect, left before right."""
+    side = lambda s: segments.select("product_id", "axis", "aspect", F.col("segment").alias(s), F.col("pos").alias(f"{s}_pos"), F.col("neg").alias(f"{s}_neg"))
     pairs = side("left").join(side("right"), ["product_id", "axis", "aspect"]).where("left < right")
     share = lambda s: F.col(f"{s}_neg") / (F.col(f"{s}_pos") + F.col(f"{s}_neg"))
-    p = fisher_two_sided(F.col("left_pos"), F.col("left_neg"), F.col("right_pos"), F.col("right_neg"))
     major = lambda s: F.when(share(s) > 0.5, "negative").when(share(s) < 0.5, "positive")
-    return pairs.select(
-        "product_id", "axis", "aspect", "left", "right", F.round(p, 6).alias("p_value"), F.round(F.abs(share("left") - share("right")), 4).alias("gap"),
-        F.coalesce(major("left") != major("right"), F.lit(False)).alias("flips"), (p < alpha).alias("split"), (F.col("left_neg") + F.col("right_neg")).alias("contradicting"),
+    p = fisher_two_sided(F.col("left_pos"), F.col("left_neg"), F.col("right_pos"), F.col("right_neg"))
+    return (
+        pairs.withColumn("p", p).withColumn("split", F.col("p") < alpha).withColumn("gap", F.abs(share("left") - share("right")))
+        .withColumn("left_major", major("left")).withColumn("right_major", major("right"))
+        .withColumn("flips", F.coalesce(F.col("left_major") != F.col("right_major"), F.lit(False)))
     )
 
 
-def unconditional(pairs: DataFrame) -> DataFrame:
-    """For each product and aspect: pairs compared and split, and whether one answer holds for all."""
-    by_axis = pairs.groupBy("product_id", "aspect", "axis").agg(F.count("*").alias("n"), F.count(F.when(F.col("split"), 1)).alias("s"), F.max("contradicting").alias("c"))
-    return by_axis.groupBy("product_id", "aspect").agg(F.sum("n").alias("compared"), F.sum("s").alias("splits"), F.sum("c").alias("contradicting_authors")).withColumn("holds", F.col("splits") == 0)
+def _spoken(support: DataFrame) -> DataFrame:
+    return support.where((F.col("segment") != UNSTATED) & (F.col("axis") != "product") & (F.col("pos") + F.col("neg") > 0))
+
+
+def segment_splits(support: DataFrame, alpha: float = SPLIT_ALPHA) -> DataFrame:
+    """Pairs of stated segments of one product, axis and aspect whose negative shares differ, whatever their size.
+
+    support: product_id, axis, segment, aspect, pos, neg. Segments are a small vocabulary, so pairs
+    are few for each aspect. Null segments take no part.
+    """
+    return _pairs(_spoken(support), alpha).select(
+        "product_id", "axis", "aspect", "left", "right", F.round("p", 6).alias("p_value"), F.round("gap", 4).alias("gap"), "flips", "split", (F.col("left_neg") + F.col("right_neg")).alias("contradicting"))
+
+
+def unconditional(support: DataFrame, policy: SufficiencyPolicy = SufficiencyPolicy(), alpha: float = SPLIT_ALPHA) -> DataFrame:
+    """Whether one answer holds for everybody, for each product and aspect that some condition's segment speaks of.
+
+    support: claims.candidates() (pos, neg, spoke, cell_authors). Only stated segments that pass the sufficiency gate and
+    have a direction are compared; the others are counted (skipped_unstated, skipped_insufficient). contradicting_authors:
+    of the pairs that split, the smaller side's authors of its own majority, where the other side's majority is
+    another or none; a segment counts once, with its largest. holds: no pair splits, also where there is nothing to
+    compare; else failure is missing_condition. A null or product-wide segment takes no part.
+    """
+    rows = sufficiency_gate(support.where((F.col("axis") != "product") & F.col("segment").isNotNull()), policy)
+    stated = F.col("segment") != UNSTATED
+    usable = F.col("reason").isNull() & (F.col("pos") + F.col("neg") > 0)
+    n = lambda c: F.count(F.when(c, 1))
+    seen = rows.groupBy("product_id", "aspect").agg(n(~stated).alias("skipped_unstated"), n(stated & ~usable).alias("skipped_insufficient"))
+    pairs = cut_lineage(_pairs(rows.where(stated & usable), alpha))
+    counted = pairs.groupBy("product_id", "aspect").agg(F.count("*").alias("compared"), n(F.col("split")).alias("splits"), n(F.col("split") & F.col("flips")).alias("flips"))
+    sides = pairs.where("split").select("product_id", "aspect", "axis", F.explode(F.array(*[
+        F.struct(F.col(a).alias("segment"), F.col(f"{a}_pos").alias("pos"), F.col(f"{a}_neg").alias("neg"), F.col(f"{a}_major").alias("major"), F.col(f"{b}_major").alias("other"), (F.col(f"{b}_pos") + F.col(f"{b}_neg")).alias("size"))
+        for a, b in (("left", "right"), ("right", "left"))])).alias("s")).select("product_id", "aspect", "axis", "s.*")
+    covered = sides.where(F.col("major").isNotNull() & ~F.col("major").eqNullSafe(F.col("other")) & (F.col("pos") + F.col("neg") < F.col("size")))
+    worst = covered.groupBy("product_id", "aspect", "axis", "segment").agg(F.max(F.when(F.col("major") == "negative", F.col("neg")).otherwise(F.col("pos"))).alias("c"))
+    lost = worst.groupBy("product_id", "aspect").agg(F.sum("c").alias("contradicting_authors"))
+    zero = lambda c: F.coalesce(c, F.lit(0).cast("long")).alias(c)
+    found = seen.join(counted, ["product_id", "aspect"], "left").join(lost, ["product_id", "aspect"], "left")
+    found = found.select("product_id", "aspect", *map(zero, ("compared", "splits", "flips", "contradicting_authors")), "skipped_unstated", "skipped_insufficient")
+    return found.withColumn("holds", F.col("splits") == 0).withColumn("failure", F.when(~F.col("holds"), "missing_condition"))

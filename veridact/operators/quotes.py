@@ -6,10 +6,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import fold_invisible, fold_linebreaks, squeeze
+from ..schemas import QUOTE_OUTCOMES, QUOTE_REASONS, QuotePolicy
 from .shared import cut_lineage
 
 #: Characters of a gram, and grams of a window of which the smallest hash is kept: a text and every
@@ -111,19 +112,90 @@ def classify(evidence: DataFrame, reviews: DataFrame) -> DataFrame:
     return rows.select("quote_id", "review_id", F.coalesce("status", late).alias("status"), F.when(F.col("status").isNull(), F.col("matched_review_id")).alias("matched_review_id"))
 
 
-def enforce(verdicts: DataFrame, budget: int = 2, min_evidence: int = 1) -> DataFrame:
-    """(claim_id, kept, dropped, substituted, outcome) from verdicts (claim_id, quote_id, review_id,
-    status, spare): verbatim quotes stay, spares that are verbatim and cite an unused review fill
-    the gaps up to the budget, and claims with too little left are discarded."""
-    good = verdicts.where("status = 'verbatim'")
-    used = good.where("not spare").select("claim_id", "review_id").distinct()
-    spare = good.where("spare").join(used, ["claim_id", "review_id"], "left_anti").dropDuplicates(["claim_id", "review_id"])
-    spares = spare.groupBy("claim_id").agg(F.count("*").alias("spares"))
-    main = verdicts.groupBy("claim_id").agg(
-        F.count(F.when(~F.col("spare") & (F.col("status") == "verbatim"), 1)).alias("kept"), F.count(F.when(~F.col("spare") & (F.col("status") != "verbatim"), 1)).alias("dropped"))
-    rows = main.join(spares, "claim_id", "left").withColumn("substituted", F.least(F.coalesce("spares", F.lit(0)), "dropped", F.lit(budget)))
+def walk(verdicts: DataFrame, policy: QuotePolicy = QuotePolicy()) -> DataFrame:
+    """The gate's walk over each claim's quotes: verdicts with fate and kept_order.
+
+    verdicts: claim_id, position (order within the claim's quotes, and within its spares), spare, review_id, status and any
+    other columns. A claim's own quotes are all judged: kept or dropped. Its spares are then taken in order until as many are
+    taken as were dropped, or policy.max_substitutions: a spare whose review is in use already is passed over
+    (used_review), a verbatim one is taken (substituted), another is dropped too, and those behind
+    the last that was needed are never judged (not_reached). kept_order counts what stays, the claim's own first. Defined
+    cases: null status is dropped; null reviews are never in use; an empty table gives an empty result. A claim's quotes and
+    spares are what one model answer holds: few.
+    """
+    mine = Window.partitionBy("claim_id")
+    spare, good = F.coalesce("spare", F.lit(False)), F.coalesce(F.col("status") == "verbatim", F.lit(False))
+    rows = verdicts.withColumn("_spare", spare).withColumn("_good", good)
+    dropped = F.sum((~F.col("_spare") & ~F.col("_good")).cast("int")).over(mine)
+    budget = dropped if policy.max_substitutions is None else F.least(dropped, F.lit(policy.max_substitutions))
+    by_review = Window.partitionBy("claim_id", "review_id")
+    known = F.col("review_id").isNotNull()
+    # a spare can be the first to use its review if no quote of the claim stands on it and no verbatim spare before it has it
+    before = by_review.orderBy("position").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_budget", budget).withColumn("_own", known & (F.sum((~F.col("_spare") & F.col("_good")).cast("int")).over(by_review) > 0))
+    rows = rows.withColumn("_again", known & (F.coalesce(F.sum((F.col("_spare") & F.col("_good")).cast("int")).over(before), F.lit(0)) > 0))
+    fits = F.col("_spare") & F.col("_good") & ~F.col("_own") & ~F.col("_again")
+    earlier = mine.orderBy(F.col("_spare").asc(), F.col("position").asc()).rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("_fits", fits).withColumn("_taken", F.coalesce(F.sum(F.col("_fits").cast("int")).over(earlier), F.lit(0)))
+    fate = (
+        F.when(~F.col("_spare"), F.when(F.col("_good"), "kept").otherwise("dropped")).when(F.col("_taken") >= F.col("_budget"), "not_reached")
+        .when(F.col("_own") | F.col("_again"), "used_review").when(F.col("_good"), "substituted").otherwise("dropped")
+    )
+    rows = rows.withColumn("fate", fate).withColumn("_stays", F.col("fate").isin("kept", "substituted").cast("int"))
+    kept = F.sum("_stays").over(mine.orderBy(F.col("_spare").asc(), F.col("position").asc()))
+    return rows.withColumn("kept_order", F.when(F.col("_stays") == 1, kept.cast("int"))).select(*verdicts.columns, "fate", "kept_order")
+
+
+def outcomes(walked: DataFrame, policy: QuotePolicy = QuotePolicy()) -> DataFrame:
+    """(claim_id, evidence, kept, dropped, substituted, outcome) of walk()'s rows.
+
+    evidence: quotes that the claim came with; kept: those that stay, spares among them; dropped: all that were, spares too.
+    """
+    n = lambda c: F.count(F.when(c, 1)).cast("int")
+    fate, spare = F.col("fate"), F.coalesce("spare", F.lit(False))
+    rows = walked.groupBy("claim_id").agg(
+        n(~spare).alias("evidence"), n(fate.isin("kept", "substituted")).alias("kept"), n(fate == "dropped").alias("dropped"), n(fate == "substituted").alias("substituted"))
     outcome = (
-        F.when(F.col("kept") + F.col("substituted") < min_evidence, "discarded").when(F.col("substituted") > 0, "substituted")
-        .when(F.col("dropped") > 0, "dropped").otherwise("clean")
+        F.when(F.col("kept") < policy.min_evidence, "discarded").when(F.col("dropped") == 0, "clean").when(F.col("substituted") > 0, "substituted").otherwise("reduced")
     )
-    return rows.select("claim_id", "kept", "dropped", "substituted", outcome.alias("outcome"))
+    return rows.withColumn("outcome", outcome)
+
+
+def gate_ledger(walked: DataFrame, found: DataFrame, policy: QuotePolicy = QuotePolicy()) -> DataFrame:
+    """Ledger rows of the quote gate: one for every dropped quote or spare, and one for every discarded claim.
+
+    found: outcomes(). unit, claim_id, reason, label, status, review_id, quote_id and matched_review_id (null for
+    claims), kept and needed (null for quotes).
+    """
+    reason = F.when(F.col("status") == "misattributed", "quote_misattributed").otherwise("quote_not_verbatim")
+    label = lambda c: F.element_at(F.create_map(*[F.lit(x) for kv in QUOTE_REASONS.items() for x in kv]), c)
+    quotes = walked.where("fate = 'dropped'").select(
+        F.lit("evidence").alias("unit"), "claim_id", reason.alias("reason"), label(reason).alias("label"), "status", "review_id", "quote_id", "matched_review_id",
+        F.lit(None).cast("int").alias("kept"), F.lit(None).cast("int").alias("needed"))
+    none = F.lit("no_verbatim_evidence")
+    claims = found.where("outcome = 'discarded'").select(
+        F.lit("claim").alias("unit"), "claim_id", none.alias("reason"), label(none).alias("label"), F.lit(None).cast("string").alias("status"), *[F.lit(None).cast(walked.schema[c].dataType).alias(c) for c in ("review_id", "quote_id", "matched_review_id")],
+        "kept", F.lit(policy.min_evidence).alias("needed"))
+    return quotes.union(claims)
+
+
+def evidence_violations(verdicts: DataFrame) -> DataFrame:
+    """(claim_id, violation): claims without a quote of their own (no_evidence), and blank quotes (blank_quote); the gate isn't for them."""
+    by = verdicts.groupBy("claim_id").agg(F.count(F.when(~F.coalesce("spare", F.lit(False)), 1)).alias("n"), F.count(F.when(F.col("status") == "blank_quote", 1)).alias("b"))
+    found = F.filter(F.array(F.when(F.col("n") == 0, "no_evidence"), F.when(F.col("b") > 0, "blank_quote")), F.isnotnull)
+    return by.select("claim_id", F.explode(found).alias("violation"))
+
+
+def enforce(verdicts: DataFrame, policy: QuotePolicy = QuotePolicy()) -> DataFrame:
+    """outcomes() of verdicts (claim_id, quote_id, review_id, status, spare), in the order of quote_id."""
+    return outcomes(walk(verdicts.withColumn("position", F.col("quote_id")), policy), policy)
+
+
+def gate_summary(walked: DataFrame, found: DataFrame) -> DataFrame:
+    """One row: claims, quotes judged, verbatim ones and their percentage, ledger rows, claims by outcome."""
+    judged = F.col("fate").isin("kept", "dropped", "substituted")
+    checked = walked.where(judged).agg(
+        F.count("*").alias("quotes_checked"), F.count(F.when(F.col("status") == "verbatim", 1)).alias("quotes_verbatim"), F.count(F.when(F.col("fate") == "dropped", 1)).alias("dropped"))
+    by = found.agg(F.count("*").alias("claims"), *[F.count(F.when(F.col("outcome") == o, 1)).alias(o) for o in QUOTE_OUTCOMES])
+    percent = F.coalesce(F.round(100 * F.col("quotes_verbatim") / F.nullif("quotes_checked", F.lit(0)), 1), F.lit(0.0))
+    return by.crossJoin(checked).select("claims", "quotes_checked", "quotes_verbatim", percent.alias("verbatim_percent"), *QUOTE_OUTCOMES, (F.col("dropped") + F.col("discarded")).alias("ledger_rows"))  # one row each

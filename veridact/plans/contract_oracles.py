@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators.records import KNOWN_FIELDS
 from ..schemas import FAILURES, SEVERITIES
-from .oracles import ALL, CONFLICTS, MEMBER, OPTIONS, PLAIN, SPLITS, TRACE
+from .oracles import ALL, CONFLICTS, MEMBER, OPTIONS, PLAIN, SPLITS, TRACE, quote_walk
 
 _KNOWN = "[" + ", ".join(f"'{n}'" for n in KNOWN_FIELDS) + "]"
 _WORST_FIRST = "[" + ", ".join(f"'{k}'" for k, _, _ in sorted(FAILURES, key=lambda t: (SEVERITIES.index(t[1]), t[2]))) + "]"
@@ -63,9 +63,11 @@ QUERIES = {
       SELECT conv_id, turn, array_to_string(found, ',') AS failures, found[1] AS failure FROM f""",
     "condition_assertions": """SELECT conv_id, turn, regexp_matches(text || CASE conv_id % 4 WHEN 0 THEN ' 건성 인데' WHEN 1 THEN ' 모공이라' WHEN 2 THEN ' 트러블 피부라서' ELSE ' 주름' END,
       '(건성|지성|복합성|민감성|약건성|중성|트러블성|트러블 피부|여드름성|잡티|모공|주름|각질|블랙헤드|미백)\\s*(인데|이라|이라서|라서|인 사람|이신 분)') AS asserts FROM conversations""",
-    "gated_payloads": """WITH q AS (SELECT doc_id // 2 AS claim_id, doc_id, doc_id % 4 >= 2 AS good FROM documents),
-      c AS (SELECT claim_id, count(*) FILTER (good) AS kept, count(*) FILTER (NOT good) AS dropped, string_agg(CASE WHEN good THEN CAST(doc_id AS VARCHAR) END, ',' ORDER BY doc_id) AS ids FROM q GROUP BY 1)
-      SELECT claim_id, CASE WHEN kept < 1 THEN 'discarded' WHEN dropped > 0 THEN 'dropped' ELSE 'clean' END AS outcome, CASE WHEN kept >= 1 THEN 'answer ' || claim_id END AS answer, CASE WHEN kept >= 1 THEN ids END AS evidence FROM c""",
+    "gated_payloads": f"""WITH RECURSIVE quoted AS (
+        SELECT doc_id // 6 AS claim_id, CAST(doc_id % 6 AS INTEGER) AS position, doc_id AS quote_id, CASE WHEN doc_id % 6 >= 3 AND (doc_id + doc_id // 6) % 4 = 0 THEN doc_id // 6 * 6 + 1 ELSE doc_id END AS review_id,
+          CASE WHEN (doc_id * 7 + doc_id // 6) % 5 < 2 OR (doc_id // 6) % 17 = 0 THEN 'fabricated' ELSE 'verbatim' END AS status, doc_id % 6 >= 3 AS spare FROM documents), {quote_walk(2)}
+      SELECT claim_id, outcome, CASE WHEN outcome <> 'discarded' THEN 'answer ' || claim_id END AS answer, CASE WHEN outcome <> 'discarded' THEN ids END AS evidence
+      FROM outcomes LEFT JOIN (SELECT claim_id, string_agg(quote_id || ':' || review_id, ',' ORDER BY kept_order) AS ids FROM walked WHERE kept_order IS NOT NULL GROUP BY 1) USING (claim_id)""",
     "generation_meta": f"""{ALL}, g AS (SELECT axis, spoke % 3 < 2 AS skipped FROM judged WHERE reason IS NULL)
       SELECT axis, count(*) AS targets, count(*) FILTER (NOT skipped) AS produced, count(*) FILTER (skipped) AS skipped, round(100.0 * count(*) FILTER (NOT skipped) / count(*), 2) AS produced_percent FROM g GROUP BY ROLLUP (axis)""",
     "skip_reasons": f"{ALL} SELECT CASE spoke % 3 WHEN 0 THEN 'model' ELSE 'quote gate' END AS reason, count(*) AS n FROM judged WHERE reason IS NULL AND spoke % 3 < 2 GROUP BY 1",

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import stats, text
 from ..operators import catalog, claims, contracts, drafts, gates, ledger, options, polarity, records, registry, trust, vectors
 from ..operators.shared import cut_lineage, numbered
-from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, TrustPolicy
+from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
 from ..sources import adapters
 from ..sources.adapters import table
 from . import contract_oracles as sql
@@ -198,14 +198,19 @@ def condition_assertions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def gated_payloads(spark: SparkSession, d: str) -> DataFrame:
-    """Five documents a claim, each citing itself well or badly; claims without a quote left have no payload."""
-    k = F.col("doc_id") % 4
-    rows = table(spark, d, "documents").select(F.floor(F.col("doc_id") / 2).alias("claim_id"), F.col("doc_id").alias("quote_id"), F.col("doc_id").alias("review_id"), F.when(k < 2, "fabricated").otherwise("verbatim").alias("status"), F.lit(False).alias("spare"))
+    """Six documents a claim, three of them spares, citing themselves well or badly, under a policy of at most two spares;
+    some spares cite the review of the claim's second quote, and claims without a quote left have no payload."""
     from ..operators import quotes
 
+    k, n = F.col("doc_id") % 6, F.floor(F.col("doc_id") / 6)
+    bad = (F.col("doc_id") * 7 + n) % 5 < 2
+    cites = F.when((k >= 3) & ((F.col("doc_id") + n) % 4 == 0), n * 6 + 1).otherwise(F.col("doc_id"))
+    rows = table(spark, d, "documents").select(n.alias("claim_id"), k.cast("int").alias("position"), F.col("doc_id").alias("quote_id"), cites.alias("review_id"), F.when(bad | (n % 17 == 0), "fabricated").otherwise("verbatim").alias("status"), (k >= 3).alias("spare"))
+    policy = QuotePolicy(min_evidence=1, max_substitutions=2)
+    walked = cut_lineage(quotes.walk(rows, policy))
     made = rows.select("claim_id").distinct().withColumn("answer", F.concat(F.lit("answer "), "claim_id"))
-    found = drafts.payloads(made, rows, quotes.enforce(rows))
-    return found.select("claim_id", "outcome", "payload.answer", F.array_join("payload.evidence", ",").alias("evidence"))
+    found = drafts.payloads(made, walked, quotes.outcomes(walked, policy))
+    return found.select("claim_id", "outcome", "payload.answer", F.array_join(F.transform("payload.evidence", lambda e: F.concat_ws(":", e["quote_id"], e["review_id"])), ",").alias("evidence"))
 
 
 def generation_results(spark: SparkSession, d: str) -> DataFrame:

@@ -277,6 +277,58 @@ targets AS (
 )
 """
 
+QUOTED = """quoted AS (
+  SELECT quote_id // 5 AS claim_id, CAST(quote_id % 5 AS INTEGER) AS position, quote_id, CASE WHEN quote_id % 5 >= 3 AND (quote_id // 5) % 3 = 0 THEN quote_id // 5 * 5 ELSE review_id END AS review_id, status, matched_review_id,
+    quote_id % 5 >= 3 AS spare FROM verdicts
+)"""
+
+
+def quote_walk(most: int) -> str:
+    """The quote gate over the rows of quoted: one spare after the other, with the reviews in use; at most `most` are taken."""
+    return f"""
+claimed AS (
+  SELECT claim_id, count(*) FILTER (NOT spare) AS wanted, coalesce(list(review_id) FILTER (NOT spare AND status = 'verbatim'), []) AS used, least(count(*) FILTER (NOT spare AND status <> 'verbatim'), {most}) AS budget FROM quoted GROUP BY 1
+), spares AS (SELECT *, row_number() OVER (PARTITION BY claim_id ORDER BY position) AS i FROM quoted WHERE spare),
+steps AS (
+  SELECT claim_id, CAST(0 AS BIGINT) AS i, used, CAST(0 AS BIGINT) AS taken, CAST(NULL AS VARCHAR) AS fate, CAST(NULL AS INTEGER) AS position FROM claimed
+  UNION ALL
+  SELECT s.claim_id, s.i, CASE WHEN w.taken < o.budget AND NOT list_contains(w.used, s.review_id) AND s.status = 'verbatim' THEN list_append(w.used, s.review_id) ELSE w.used END,
+    CASE WHEN w.taken < o.budget AND NOT list_contains(w.used, s.review_id) AND s.status = 'verbatim' THEN w.taken + 1 ELSE w.taken END,
+    CASE WHEN w.taken >= o.budget THEN 'not_reached' WHEN list_contains(w.used, s.review_id) THEN 'used_review' WHEN s.status = 'verbatim' THEN 'substituted' ELSE 'dropped' END, s.position
+  FROM steps w JOIN spares s ON s.claim_id = w.claim_id AND s.i = w.i + 1 JOIN claimed o ON o.claim_id = w.claim_id
+), fated AS (
+  SELECT q.*, CASE WHEN q.spare THEN t.fate WHEN q.status = 'verbatim' THEN 'kept' ELSE 'dropped' END AS fate FROM quoted q LEFT JOIN steps t ON t.claim_id = q.claim_id AND t.position = q.position AND q.spare AND t.i > 0
+), walked AS (
+  SELECT *, CASE WHEN fate IN ('kept', 'substituted') THEN CAST(count(*) FILTER (fate IN ('kept', 'substituted')) OVER (PARTITION BY claim_id ORDER BY spare, position) AS INTEGER) END AS kept_order FROM fated
+), outcomes AS (
+  SELECT *, CASE WHEN kept < 1 THEN 'discarded' WHEN dropped = 0 THEN 'clean' WHEN substituted > 0 THEN 'substituted' ELSE 'reduced' END AS outcome FROM (
+    SELECT claim_id, CAST(count(*) FILTER (NOT spare) AS INTEGER) AS evidence, CAST(count(kept_order) AS INTEGER) AS kept, CAST(count(*) FILTER (fate = 'dropped') AS INTEGER) AS dropped, CAST(count(*) FILTER (fate = 'substituted') AS INTEGER) AS substituted FROM walked GROUP BY 1)
+)"""
+
+
+# Segments that pass the sufficiency gate, compared within an axis; of each split pair the smaller side, if its majority isn't the other's.
+UNCONDITIONAL = f"""
+seg AS (
+  SELECT *, segment <> '미기재' AS stated, cell_authors >= 8 AND pos + neg >= 8 AND (pos + neg) / spoke >= 0.10 AND pos + neg <= spoke AND spoke <= cell_authors AS enough FROM claims WHERE axis <> 'product'
+), usable AS (SELECT product_id, aspect, axis, segment, pos, neg, CASE WHEN neg > pos THEN 'n' WHEN pos > neg THEN 'p' END AS major FROM seg WHERE stated AND enough),
+both_sides AS (
+  SELECT l.product_id, l.aspect, l.axis, l.segment AS s1, r.segment AS s2, CAST(l.pos AS DOUBLE) AS a, CAST(l.neg AS DOUBLE) AS b, CAST(r.pos AS DOUBLE) AS c, CAST(r.neg AS DOUBLE) AS d, l.major AS m1, r.major AS m2
+  FROM usable l JOIN usable r ON l.product_id = r.product_id AND l.axis = r.axis AND l.aspect = r.aspect AND l.segment < r.segment
+), chances AS (
+  SELECT *, list_transform(range(CAST(greatest(0, a - d) AS BIGINT), CAST(least(a + b, a + c) AS BIGINT) + 1), lambda x: {_table('x')}) AS probs, {_table('a')} * (1 + 1e-9) AS seen FROM both_sides
+), compared AS (
+  SELECT *, CASE WHEN a + c = 0 OR b + d = 0 THEN 1.0 ELSE least(1.0, list_sum(list_filter(probs, lambda q: q <= seen))) END < 0.05 AS split FROM chances
+), covered AS (
+  SELECT product_id, aspect, axis, s1 AS segment, CASE m1 WHEN 'n' THEN b ELSE a END AS authors FROM compared WHERE split AND m1 IS NOT NULL AND m1 IS DISTINCT FROM m2 AND a + b < c + d UNION ALL
+  SELECT product_id, aspect, axis, s2, CASE m2 WHEN 'n' THEN d ELSE c END FROM compared WHERE split AND m2 IS NOT NULL AND m2 IS DISTINCT FROM m1 AND c + d < a + b
+), lost AS (SELECT product_id, aspect, sum(w) AS w FROM (SELECT product_id, aspect, axis, segment, max(authors) AS w FROM covered GROUP BY ALL) GROUP BY ALL),
+unconditional AS (
+  SELECT s.product_id, s.aspect, coalesce(c.n, 0) AS compared, coalesce(c.k, 0) AS splits, coalesce(c.f, 0) AS flips, CAST(coalesce(l.w, 0) AS BIGINT) AS contradicting_authors, s.u AS skipped_unstated, s.i AS skipped_insufficient,
+    coalesce(c.k, 0) = 0 AS holds, CASE WHEN c.k > 0 THEN 'missing_condition' END AS failure
+  FROM (SELECT product_id, aspect, count(*) FILTER (NOT stated) AS u, count(*) FILTER (stated AND NOT enough) AS i FROM seg GROUP BY ALL) s
+  LEFT JOIN (SELECT product_id, aspect, count(*) AS n, count(*) FILTER (split) AS k, count(*) FILTER (split AND m1 IS NOT NULL AND m2 IS NOT NULL AND m1 <> m2) AS f FROM compared GROUP BY ALL) c USING (product_id, aspect) LEFT JOIN lost l USING (product_id, aspect)
+)"""
+
 QUERIES = {
     "flagship": f"{ALL} SELECT product_id, axis, segment, aspect, pos, neg, neu, spoke, cell_authors, silent, direction, support, share, reason, limitation FROM judged",
     "ingest_records": f"""{PLAIN} SELECT review_id, product_id, CAST(author AS VARCHAR) AS author_key, substr(sha256(content), 1, 16) AS content_hash, CAST(length(content) AS INTEGER) AS content_length,
@@ -304,8 +356,7 @@ QUERIES = {
     "rating_conflicts": f"{PLAIN}, {CONFLICTS} SELECT * FROM conflicts",
     "conflicts_by_kind": f"{PLAIN}, {CONFLICTS} SELECT kind, count(*) AS n FROM conflicts GROUP BY 1",
     "segment_splits": f"{MEMBER}, {SPLITS} SELECT * FROM splits",
-    "unconditional_check": f"""{MEMBER}, {SPLITS}, by_axis AS (SELECT product_id, aspect, axis, count(*) AS n, count(*) FILTER (split) AS s, max(contradicting) AS c FROM splits GROUP BY 1, 2, 3)
-      SELECT product_id, aspect, CAST(sum(n) AS BIGINT) AS compared, CAST(sum(s) AS BIGINT) AS splits, CAST(sum(c) AS BIGINT) AS contradicting_authors, sum(s) = 0 AS holds FROM by_axis GROUP BY 1, 2""",
+    "unconditional_check": f"""{MEMBER}, {UNCONDITIONAL} SELECT * FROM unconditional""",
     "option_index": f"{PLAIN}, {OPTIONS} SELECT * FROM options",
     "shade_counts": f"{PLAIN}, {OPTIONS} SELECT product_id, shade_key, CAST(sum(reviews) AS BIGINT) AS reviews, count(*) AS forms FROM options WHERE shade_key IS NOT NULL GROUP BY 1, 2",
     "ranked_quotes": f"{RANKED_MEMBER}, {QUOTES} SELECT product_id, axis, segment, aspect, review_id, polarity, CAST(quote_rank AS BIGINT) AS quote_rank, CAST(polarity_rank AS BIGINT) AS polarity_rank FROM quoted",
@@ -313,11 +364,15 @@ QUERIES = {
     "evidence_months": f"{MEMBER} SELECT product_id, axis, segment, aspect, min(month) AS first_month, max(month) AS last_month, count(*) AS quotes FROM member JOIN tags USING (review_id) GROUP BY 1, 2, 3, 4",
     "quote_verdicts": f"WITH {VERDICTS} SELECT * FROM verdicts",
     "quote_summary": f"WITH {VERDICTS} SELECT status, count(*) AS n, round(100.0 * count(*) / (SELECT count(*) FROM verdicts), 1) AS percent FROM verdicts GROUP BY 1",
-    "quote_outcomes": f"""WITH {VERDICTS}, v AS (SELECT quote_id // 5 AS claim_id, review_id, status, quote_id % 5 >= 3 AS spare FROM verdicts),
-      s AS (SELECT claim_id, count(DISTINCT review_id) AS spares FROM v WHERE spare AND status = 'verbatim' AND NOT EXISTS (SELECT 1 FROM v u WHERE u.claim_id = v.claim_id AND u.review_id = v.review_id AND NOT u.spare AND u.status = 'verbatim') GROUP BY 1),
-      m AS (SELECT claim_id, count(*) FILTER (NOT spare AND status = 'verbatim') AS kept, count(*) FILTER (NOT spare AND status <> 'verbatim') AS dropped FROM v GROUP BY 1),
-      f AS (SELECT m.*, least(coalesce(spares, 0), dropped, 2) AS substituted FROM m LEFT JOIN s USING (claim_id))
-      SELECT *, CASE WHEN kept + substituted < 1 THEN 'discarded' WHEN substituted > 0 THEN 'substituted' WHEN dropped > 0 THEN 'dropped' ELSE 'clean' END AS outcome FROM f""",
+    "quote_outcomes": f"WITH RECURSIVE {VERDICTS}, {QUOTED}, {quote_walk(99)} SELECT * FROM outcomes",
+    "quote_walk": f"WITH RECURSIVE {VERDICTS}, {QUOTED}, {quote_walk(99)} SELECT claim_id, position, review_id, status, fate, kept_order FROM walked",
+    "quote_ledger": f"""WITH RECURSIVE {VERDICTS}, {QUOTED}, {quote_walk(99)}
+      SELECT 'evidence' AS unit, claim_id, CASE status WHEN 'misattributed' THEN 'quote_misattributed' ELSE 'quote_not_verbatim' END AS reason, CASE status WHEN 'misattributed' THEN '출처불일치' ELSE '인용불일치' END AS label,
+        status, review_id, quote_id, matched_review_id, CAST(NULL AS INTEGER) AS kept, CAST(NULL AS INTEGER) AS needed FROM walked WHERE fate = 'dropped' UNION ALL
+      SELECT 'claim', claim_id, 'no_verbatim_evidence', '근거소진', NULL, NULL, NULL, NULL, kept, 1 FROM outcomes WHERE outcome = 'discarded'""",
+    "quote_gate_summary": f"""WITH RECURSIVE {VERDICTS}, {QUOTED}, {quote_walk(99)}, j AS (SELECT count(*) AS n, count(*) FILTER (status = 'verbatim') AS v, count(*) FILTER (fate = 'dropped') AS x FROM walked WHERE fate IN ('kept', 'dropped', 'substituted'))
+      SELECT count(*) AS claims, any_value(n) AS quotes_checked, any_value(v) AS quotes_verbatim, round(100.0 * any_value(v) / any_value(n), 1) AS verbatim_percent, count(*) FILTER (outcome = 'clean') AS clean,
+        count(*) FILTER (outcome = 'reduced') AS reduced, count(*) FILTER (outcome = 'substituted') AS substituted, count(*) FILTER (outcome = 'discarded') AS discarded, any_value(x) + count(*) FILTER (outcome = 'discarded') AS ledger_rows FROM outcomes, j""",
     "folded_texts": r"""WITH odd AS (SELECT doc_id, chr(65279) || replace(text, chr(10), chr(13) || chr(10)) || chr(8203) || chr(160) || chr(12288) || 'e' || chr(769) AS t FROM documents),
       f AS (SELECT doc_id, regexp_replace(replace(replace(regexp_replace(nfc_normalize(t), '\r\n?', chr(10), 'g'), chr(8203), ''), chr(65279), ''), '\p{Zs}', ' ', 'g') AS f FROM odd)
       SELECT doc_id, CAST(length(f) AS INTEGER) AS folded_length, md5(f) AS folded_md5, CAST(length(regexp_replace(f, '\s+', '', 'g')) AS INTEGER) AS squeezed_length,

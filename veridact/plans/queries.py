@@ -134,7 +134,9 @@ def segment_splits(spark: SparkSession, d: str) -> DataFrame:
 
 
 def unconditional_check(spark: SparkSession, d: str) -> DataFrame:
-    return polarity.unconditional(segment_splits(spark, d))
+    """Whether an answer without a condition holds: sufficient segments compared, the rest counted."""
+    member = claims.cells(adapters.reviews(spark, d))
+    return polarity.unconditional(gates.cut_lineage(claims.candidates(member, adapters.tags(spark, d))))
 
 
 def option_index(spark: SparkSession, d: str) -> DataFrame:
@@ -181,9 +183,31 @@ def quote_summary(spark: SparkSession, d: str) -> DataFrame:
     return by.join(rows.agg(F.count("*").alias("all")), F.lit(True)).select("status", "n", F.round(100 * F.col("n") / F.col("all"), 1).alias("percent"))
 
 
+def walked_quotes(spark: SparkSession, d: str) -> DataFrame:
+    """Five quotes a claim, the last two of them spares, through the gate; every fifteenth spare cites the review of the claim's first quote."""
+    rows = quote_verdicts(spark, d).withColumn("claim_id", F.floor(F.col("quote_id") / 5)).withColumn("position", (F.col("quote_id") % 5).cast("int"))
+    spare = F.col("position") >= 3
+    cites = F.when(spare & (F.col("claim_id") % 3 == 0), F.col("claim_id") * 5).otherwise(F.col("review_id"))
+    return gates.cut_lineage(quotes.walk(rows.select("claim_id", "position", "quote_id", cites.alias("review_id"), "status", "matched_review_id", spare.alias("spare"))))
+
+
 def quote_outcomes(spark: SparkSession, d: str) -> DataFrame:
-    rows = quote_verdicts(spark, d)
-    return quotes.enforce(rows.select(F.floor(F.col("quote_id") / 5).alias("claim_id"), "quote_id", "review_id", "status", (F.col("quote_id") % 5 >= 3).alias("spare")))
+    return quotes.outcomes(walked_quotes(spark, d))
+
+
+def quote_walk(spark: SparkSession, d: str) -> DataFrame:
+    """What became of every quote and spare, and the order of what stays."""
+    return walked_quotes(spark, d).select("claim_id", "position", "review_id", "status", "fate", "kept_order")
+
+
+def quote_ledger(spark: SparkSession, d: str) -> DataFrame:
+    rows = walked_quotes(spark, d)
+    return quotes.gate_ledger(rows, quotes.outcomes(rows))
+
+
+def quote_gate_summary(spark: SparkSession, d: str) -> DataFrame:
+    rows = walked_quotes(spark, d)
+    return quotes.gate_summary(rows, quotes.outcomes(rows))
 
 
 def folded_texts(spark: SparkSession, d: str) -> DataFrame:
@@ -478,7 +502,7 @@ def api_reviews(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     ingest_records, trust_scores, trust_rank, identity_gate, duplicate_gate, cell_sizes, candidate_claims, ledger_rows, ledger_rollup, gate_summary,
     aspect_support, noise_threshold, rating_conflicts, conflicts_by_kind, segment_splits, unconditional_check, option_index, shade_counts, ranked_quotes,
-    kept_quotes, evidence_months, quote_verdicts, quote_summary, quote_outcomes, folded_texts, tag_partition, review_contract, code_coverage, resolved_goods,
+    kept_quotes, evidence_months, quote_verdicts, quote_summary, quote_outcomes, quote_walk, quote_ledger, quote_gate_summary, folded_texts, tag_partition, review_contract, code_coverage, resolved_goods,
     overlapping_ranges, dependent_reviews, base_parity, vector_contract, golden_trace, golden_recall, claim_confidence, claim_summary, run_report, ingest_profile,
     trust_profile, pass_union, resume_products, sku_stats, crawl_outcomes, run_catalog, goods_in_urls, model_json, condition_questions, tag_batches,
     untagged_reviews, table_digest, lineages, catalog_contract, condition_subjects, cell_matches, option_scope, evidence_fates, claim_contract, golden_support,

@@ -29,6 +29,9 @@ LIMITATIONS = (
     "renewal_unobserved", "tagger_direction_error", "order_chosen_direction",
     "minority_within_tagger_noise", "single_dissent",
 )
+#: Reasons of the quote gate's own ledger, and its outcomes.
+QUOTE_REASONS = {"quote_not_verbatim": "인용불일치", "quote_misattributed": "출처불일치", "no_verbatim_evidence": "근거소진"}
+QUOTE_OUTCOMES = ("clean", "reduced", "substituted", "discarded")
 SEVERITIES = ("critical", "high", "medium", "low")
 FAILURES = (
     ("unsupported_claim", "critical", 1), ("misattribution", "critical", 2), ("polarity_mismatch", "high", 3), ("insufficient_evidence", "high", 4),
