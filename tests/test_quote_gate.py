@@ -118,3 +118,24 @@ def test_the_smaller_flipped_side_counts_once(spark):
     assert polarity.unconditional(support(spark, equal)).first().contradicting_authors == 0  # neither is the smaller
     tied = [("skinType", "A1", "x", 0, 40, 40), ("skinType", "A2", "x", 60, 60, 120)]
     assert polarity.unconditional(support(spark, tied)).first().contradicting_authors == 40  # the other has no majority
+
+
+def test_short_quotes_are_found_by_automata(spark, monkeypatch):
+    """Overlapping, nested and repeated short quotes, in one automaton and in several, as by looking everywhere."""
+    rnd = random.Random(4)
+    texts = {i: "".join(rnd.choice("ab c") for _ in range(rnd.randint(0, 30))) for i in range(1, 60)}
+    texts |= {60: texts[1], 61: "", 62: None}
+    asked = [(i, 1, "".join(rnd.choice("ab c") for _ in range(rnd.randint(1, 6)))) for i in range(200)]
+    reviews = spark.createDataFrame(list(texts.items()), "review_id int, content string").repartition(4)
+    evidence = spark.createDataFrame(asked, "quote_id int, review_id int, quote string")
+    found = lambda q: sorted(i for i, t in texts.items() if t and q in t)
+    for block in (50_000, 30):
+        monkeypatch.setattr(quotes, "BLOCK", block)
+        got = {r.quote_id: (r.status, r.matched_review_id) for r in quotes.classify(evidence, reviews).collect()}
+        for i, _, q in asked:
+            if not q.strip():
+                assert got[i][0] == "blank_quote"
+            elif got[i][0] in ("misattributed", "fabricated"):
+                others = [x for x in found(q) if x != 1]
+                assert got[i] == (("misattributed", others[0]) if others else ("fabricated", None)), q
+    assert "NestedLoop" not in quotes.classify(evidence, reviews)._jdf.queryExecution().toString()

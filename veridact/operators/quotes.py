@@ -16,8 +16,8 @@ from .shared import cut_lineage
 #: Characters of a gram, and grams of a window of which the smallest hash is kept: a text and every
 #: part of it of GRAM + WINDOW - 1 characters or more have one in common.
 GRAM, WINDOW = 12, 16
-#: Rows of a block of shorter quotes, which is sent against the corpus.
-BLOCK = 5000
+#: Shorter quotes that one automaton holds; every text is scanned once for each automaton.
+BLOCK = 50_000
 
 
 def minimizers(text: str) -> np.ndarray:
@@ -59,6 +59,31 @@ def two_smallest(rows: DataFrame, by: str, value: str) -> DataFrame:
     return rest.select(by, "a", "b")
 
 
+def _scanned(texts: DataFrame, sought: dict[str, str]) -> DataFrame:
+    """(qk, a, b) of the quotes (text to qk) that texts (folded, a, b) hold: for each batch of texts the two smallest ids.
+
+    An Aho-Corasick automaton finds all quotes in one pass over a text, so the work is texts plus hits, not texts × quotes.
+    """
+    kind = texts.schema["a"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        automaton = ahocorasick.Automaton()
+        for q, qk in sought.items():
+            automaton.add_word(q, qk)
+        automaton.make_automaton()
+        for batch in batches:
+            low: dict[str, list] = {}
+            for text, *ids in zip(*(c.to_pylist() for c in batch.columns)):
+                for qk in {k for _, k in automaton.iter(text)}:
+                    low[qk] = sorted({*low.get(qk, ()), *(x for x in ids if x is not None)})[:2]
+            a, b = [x[0] for x in low.values()], [x[1] if len(x) > 1 else None for x in low.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(low), pa.string()), pa.array(a, batch.column(1).type), pa.array(b, batch.column(1).type)], ["qk", "a", "b"])
+
+    return texts.select("folded", "a", "b").mapInArrow(run, f"qk string, a {kind}, b {kind}")
+
+
 def holders(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     """(qk, a, b): for every sought quote (qk, q) the two smallest ids of texts (tk, folded, a, b) that hold it.
 
@@ -77,8 +102,8 @@ def holders(quotes: DataFrame, texts: DataFrame) -> DataFrame:
     short = quotes.where(F.char_length("q") < GRAM + WINDOW - 1)
     blocks = -(-short.count() // BLOCK)
     for i in range(blocks):
-        some = F.broadcast(short.where(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == i))
-        long = long.union(cut_lineage(texts.join(some, F.contains("folded", "q")).select("qk", "a", "b")))
+        some = short.where(F.pmod(F.xxhash64("qk"), F.lit(blocks)) == i).select("qk", "q").collect()  # about BLOCK quotes, each under 27 characters
+        long = long.union(cut_lineage(_scanned(texts, {r.q: r.qk for r in some})))
     ids = long.select("qk", F.explode(F.array("a", "b")).alias("id")).where("id is not null")
     return two_smallest(cut_lineage(ids), "qk", "id")
 

@@ -4,13 +4,47 @@ from __future__ import annotations
 
 from ..operators.records import KNOWN_FIELDS
 from ..schemas import FAILURES, SEVERITIES
-from .oracles import ALL, CONFLICTS, MEMBER, OPTIONS, PLAIN, SPLITS, TRACE, quote_walk
+from .oracles import ALL, BASE, CELLS, CONFLICTS, IDENTITY, MEMBER, OPTIONS, PLAIN, SCORED, SPLITS, TRACE, _binom, quote_walk
 
 _KNOWN = "[" + ", ".join(f"'{n}'" for n in KNOWN_FIELDS) + "]"
 _WORST_FIRST = "[" + ", ".join(f"'{k}'" for k, _, _ in sorted(FAILURES, key=lambda t: (SEVERITIES.index(t[1]), t[2]))) + "]"
 _SOME = ", ".join(f"CASE WHEN (turn + conv_id) % {i + 2} = 0 THEN '{k}' END" for i, (k, _, _) in enumerate(FAILURES))
 _CANDIDATE = "product_id || '|' || axis || '=' || segment || '|' || aspect"
 
+# The gates run again for every scope that a label asks for: identity with the option, the walk in rank order, cells, counts.
+SCOPED = f"""
+WITH RECURSIVE {BASE}, {IDENTITY}, passed AS (SELECT * EXCLUDE (reason, renewal_policy, from_month, to_month) FROM identity WHERE reason IS NULL), {SCORED.replace('{source}', 'passed')},
+bought AS (SELECT review_id, CASE WHEN review_id % 7 = 0 OR review_id % 11 = 0 THEN NULL ELSE (review_id // 10) % 3 + 1 END AS shade, review_id % 7 = 0 AS unstated FROM reviews),
+labels AS (
+  SELECT r.review_id AS key, product_id, 'skinType' AS axis, coalesce(skin_type, 'none') AS segment, coalesce(t.aspect, 'nothing') AS aspect, CASE WHEN rating <= 2 THEN 'negative' WHEN rating >= 4 THEN 'positive' ELSE 'neutral' END AS want,
+    CASE WHEN r.review_id % 5 = 0 THEN 0 WHEN r.review_id % 23 = 0 OR r.review_id % 29 = 0 THEN -1 ELSE r.review_id % 3 + 1 END AS asks
+  FROM reviews r LEFT JOIN (SELECT review_id, min(aspect) AS aspect FROM tags GROUP BY 1) t USING (review_id)
+), shades AS (SELECT DISTINCT product_id, shade FROM reviews JOIN bought USING (review_id) WHERE shade IS NOT NULL),
+resolved AS (SELECT l.*, CASE WHEN asks = 0 THEN 0 WHEN s.shade IS NOT NULL THEN asks END AS scope FROM labels l LEFT JOIN shades s ON s.product_id = l.product_id AND s.shade = l.asks),
+runs AS (SELECT DISTINCT product_id AS p, scope FROM resolved WHERE scope IS NOT NULL),
+gate1 AS (
+  SELECT u.scope, i.*, CASE WHEN i.reason IS NOT NULL THEN i.reason WHEN u.scope > 0 AND b.unstated THEN 'option_unstated' WHEN u.scope > 0 AND b.shade IS DISTINCT FROM u.scope THEN 'option_mismatch' END AS stop
+  FROM runs u JOIN identity i ON i.product_id = u.p JOIN bought b USING (review_id)
+), inside AS (SELECT r.* REPLACE (r.product_id || '~' || g.scope AS product_id, row_number() OVER (PARTITION BY r.product_id, g.scope ORDER BY r.rank) AS rank) FROM gate1 g JOIN ranked r USING (review_id) WHERE g.stop IS NULL),
+scope_walk AS (
+  SELECT product_id, CAST(0 AS BIGINT) AS rank, CAST(NULL AS VARCHAR) AS reason, CAST([] AS VARCHAR[]) AS contents, CAST([] AS BIGINT[]) AS authors FROM (SELECT DISTINCT product_id FROM inside)
+  UNION ALL
+  SELECT r.product_id, r.rank, CASE WHEN list_contains(w.contents, r.content_hash) THEN 'duplicate_content' WHEN list_contains(w.authors, r.author) THEN 'same_author' END,
+    CASE WHEN list_contains(w.contents, r.content_hash) OR list_contains(w.authors, r.author) THEN w.contents ELSE list_append(w.contents, r.content_hash) END,
+    CASE WHEN list_contains(w.contents, r.content_hash) OR list_contains(w.authors, r.author) THEN w.authors ELSE list_append(w.authors, r.author) END
+  FROM scope_walk w JOIN inside r ON r.product_id = w.product_id AND r.rank = w.rank + 1
+), gate2 AS (SELECT r.*, w.reason FROM scope_walk w JOIN inside r USING (product_id, rank)),
+survivors AS (SELECT * EXCLUDE (reason) FROM gate2 WHERE reason IS NULL), {CELLS.replace('{source}', 'survivors')},
+scope_judged AS (
+  SELECT *, CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END AS direction,
+    CASE WHEN cell_authors < 8 THEN 'segment_too_small' WHEN pos + neg < 8 THEN 'insufficient_support' WHEN (pos + neg) / spoke < 0.10 THEN 'minority_share' END AS reason FROM claims
+), scope_said AS (
+  SELECT m.product_id, m.axis, m.segment, t.aspect, count(*) FILTER (polarity = 'positive') AS p, count(*) FILTER (polarity = 'negative') AS n FROM member m JOIN tags t USING (review_id) GROUP BY ALL
+), scope_limits AS (
+  SELECT *, CASE WHEN p > 0 AND n > 0 AND {_binom('least(p, n)', '(p + n)', '0.033')} >= 0.05 THEN 'minority_within_tagger_noise' END AS l1, CASE WHEN p + n > 0 THEN 'tagger_direction_error' END AS l2 FROM scope_said
+), open_renewal AS (SELECT DISTINCT product_id || '~' || scope AS product_id FROM gate1 WHERE stop IS NULL AND renewal_policy = 'unobserved')
+"""
+
 QUERIES = {
     "closed_fields": f"""WITH r AS (SELECT o_orderkey AS review_id, o_orderkey % 11 AS k FROM orders),
       f AS (SELECT review_id, k, list_concat(list_filter({_KNOWN}, lambda n: n <> 'hasPhoto' OR k <> 3), CASE WHEN k = 5 THEN ['rank', 'shade'] ELSE [] END) AS names FROM r WHERE k <> 7)
@@ -68,6 +102,19 @@ QUERIES = {
           CASE WHEN (doc_id * 7 + doc_id // 6) % 5 < 2 OR (doc_id // 6) % 17 = 0 THEN 'fabricated' ELSE 'verbatim' END AS status, doc_id % 6 >= 3 AS spare FROM documents), {quote_walk(2)}
       SELECT claim_id, outcome, CASE WHEN outcome <> 'discarded' THEN 'answer ' || claim_id END AS answer, CASE WHEN outcome <> 'discarded' THEN ids END AS evidence
       FROM outcomes LEFT JOIN (SELECT claim_id, string_agg(quote_id || ':' || review_id, ',' ORDER BY kept_order) AS ids FROM walked WHERE kept_order IS NOT NULL GROUP BY 1) USING (claim_id)""",
+    "scoped_trace": f"""{SCOPED}
+      SELECT key, outcome, gate, reason, direction, direction_match, CASE WHEN outcome = 'untraceable' OR reason IS NOT DISTINCT FROM 'empty_cell' THEN '' ELSE array_to_string(list_sort(list_filter([r, l1, l2, d1], lambda x: x IS NOT NULL)), ',') END AS limitations FROM (
+        SELECT t.key, CASE WHEN t.scope IS NULL OR t.aspect = 'nothing' THEN 'untraceable' WHEN j.aspect IS NULL THEN 'no_candidate' WHEN j.reason IS NOT NULL THEN 'rejected' ELSE 'produced' END AS outcome,
+          CASE WHEN t.scope IS NULL THEN 'identity' WHEN t.aspect = 'nothing' THEN NULL WHEN s.cell_authors IS NULL THEN 'identity' WHEN j.aspect IS NULL THEN 'polarity' WHEN j.reason IS NOT NULL THEN 'sufficiency' END AS gate,
+          CASE WHEN t.scope IS NULL THEN 'unknown_option' WHEN t.aspect = 'nothing' THEN 'aspect_outside_taxonomy' WHEN s.cell_authors IS NULL THEN 'empty_cell' WHEN j.aspect IS NULL THEN 'no_tagged_mention' ELSE j.reason END AS reason,
+          CASE WHEN t.scope IS NOT NULL AND t.aspect <> 'nothing' THEN j.direction END AS direction, CASE WHEN t.scope IS NOT NULL AND j.aspect IS NOT NULL AND j.reason IS NULL THEN j.direction = t.want END AS direction_match,
+          CASE WHEN o.product_id IS NOT NULL THEN 'renewal_unobserved' END AS r, l1, l2, CASE WHEN j.reason IS NULL AND least(j.pos, j.neg) = 1 THEN 'single_dissent' END AS d1
+        FROM resolved t LEFT JOIN sizes s ON s.product_id = t.product_id || '~' || t.scope AND s.axis = t.axis AND s.segment = t.segment
+        LEFT JOIN scope_judged j ON j.product_id = t.product_id || '~' || t.scope AND j.axis = t.axis AND j.segment = t.segment AND j.aspect = t.aspect
+        LEFT JOIN scope_limits l ON l.product_id = t.product_id || '~' || t.scope AND l.axis = t.axis AND l.segment = t.segment AND l.aspect = t.aspect LEFT JOIN open_renewal o ON o.product_id = t.product_id || '~' || t.scope)""",
+    "scoped_fates": f"""{SCOPED}, cited AS (SELECT key, product_id, scope, unnest([key, key + 10, key + 1]) AS review_id FROM resolved WHERE scope IS NOT NULL)
+      SELECT c.key, c.review_id, CASE WHEN g.review_id IS NULL THEN 'identity/out_of_scope' WHEN g.stop IS NOT NULL THEN 'identity/' || g.stop WHEN d.reason IS NOT NULL THEN 'duplicate/' || d.reason ELSE 'kept' END AS fate
+      FROM cited c LEFT JOIN gate1 g ON g.review_id = c.review_id AND g.product_id = c.product_id AND g.scope = c.scope LEFT JOIN gate2 d ON d.review_id = c.review_id AND d.product_id = c.product_id || '~' || c.scope""",
     "generation_meta": f"""{ALL}, g AS (SELECT axis, spoke % 3 < 2 AS skipped FROM judged WHERE reason IS NULL)
       SELECT axis, count(*) AS targets, count(*) FILTER (NOT skipped) AS produced, count(*) FILTER (skipped) AS skipped, round(100.0 * count(*) FILTER (NOT skipped) / count(*), 2) AS produced_percent FROM g GROUP BY ROLLUP (axis)""",
     "skip_reasons": f"{ALL} SELECT CASE spoke % 3 WHEN 0 THEN 'model' ELSE 'quote gate' END AS reason, count(*) AS n FROM judged WHERE reason IS NULL AND spoke % 3 < 2 GROUP BY 1",

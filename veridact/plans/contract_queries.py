@@ -6,13 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats, text
-from ..operators import catalog, claims, contracts, drafts, gates, ledger, options, polarity, records, registry, trust, vectors
+from ..operators import catalog, claims, contracts, drafts, gates, ledger, options, polarity, records, registry, scopes, trust, vectors
 from ..operators.shared import cut_lineage, numbered
 from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
 from ..sources import adapters
 from ..sources.adapters import table
 from . import contract_oracles as sql
-from .queries import CELL, gated, golden_trace, judged, option_index
+from .queries import CELL, cutoff_month, gated, golden_targets, golden_trace, judged, option_index
 
 KEY = [*CELL, "aspect"]
 
@@ -213,6 +213,36 @@ def gated_payloads(spark: SparkSession, d: str) -> DataFrame:
     return found.select("claim_id", "outcome", "payload.answer", F.array_join(F.transform("payload.evidence", lambda e: F.concat_ws(":", e["quote_id"], e["review_id"])), ",").alias("evidence"))
 
 
+def scoped_labels(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Labels traced under the whole product or one of three shades; some name an option that nobody bought, or a pack. Each cites its
+    own order, the next of its product and one of another product."""
+    n = F.col("review_id")
+    shade = lambda k: F.concat(F.lit("0"), (k % 3 + 1).cast("string"), F.lit("호 로즈"), (k % 3 + 1).cast("string"))
+    option = F.when(n % 7 == 0, None).when(n % 11 == 0, "50ml").otherwise(F.concat(F.when(n % 4 == 0, "[기획] ").otherwise(""), shade(F.floor(n / 10))))
+    rows = cut_lineage(adapters.reviews(spark, d).withColumn("option", option))
+    indexed = cut_lineage(options.index(rows.where("option is not null")))
+    tags = cut_lineage(adapters.tags(spark, d))
+    known = indexed.select("product_id", F.col("option").alias("stripped"), "kind", "shade_key")
+    keyed = rows.withColumn("stripped", text.strip(F.col("option"))).join(known, ["product_id", "stripped"], "left").drop("stripped")
+    first = cut_lineage(gates.identity_gate(keyed, adapters.products(spark, d), cutoff_month(rows)))
+    scored = trust.ranked(trust.signals(first.where("reason is null").select("review_id", "product_id", "content", "likes", "review_date"), tagged=tags))
+    first = cut_lineage(first.drop("content").join(scored.select("review_id", "rank", "content_hash"), "review_id", "left"))
+    key = F.col("key")
+    asks = F.when(key % 5 == 0, None).when(key % 23 == 0, "never sold").when(key % 29 == 0, "50ml").otherwise(shade(key))
+    labels = golden_targets(spark, d).withColumn("option", asks)
+    cited = labels.select("key", F.explode(F.array(key, key + 10, key + 1)).alias("review_id"))
+    traced, fates = scopes.trace(labels, cited, first, tags, indexed, ["ECONOMY", "STANDARD", "PROMO", "MEDIUM", "SMALL", "LARGE"])
+    return traced, fates
+
+
+def scoped_trace(spark: SparkSession, d: str) -> DataFrame:
+    return scoped_labels(spark, d)[0].withColumn("limitations", F.array_join("limitations", ","))
+
+
+def scoped_fates(spark: SparkSession, d: str) -> DataFrame:
+    return scoped_labels(spark, d)[1]
+
+
 def generation_results(spark: SparkSession, d: str) -> DataFrame:
     found, _, _ = judged(spark, d)
     skipped = F.when(F.col("spoke") % 3 == 0, F.concat(F.lit("model: "), "aspect")).when(F.col("spoke") % 3 == 1, "quote gate: nothing left")
@@ -286,6 +316,6 @@ def crawl_contract(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
     claim_targets, target_slice, gate_parity, label_conditions, draft_contract, claim_rows, claim_round_trip, failure_order, condition_assertions, gated_payloads,
-    generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
+    scoped_trace, scoped_fates, generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
 )}
 ORACLES = {name: sql.QUERIES[name] for name in QUERIES}
