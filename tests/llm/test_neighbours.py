@@ -46,15 +46,27 @@ def test_structured_vectors_stop_below_the_roots():
     centres = rng.normal(size=(400, 32))
     rows = np.repeat(centres, 20, 0) + 0.03 * rng.normal(size=(8000, 32))
     forest = N.Forest(rows)
-    looked = []
-    top = forest.top
-    forest.top = lambda r, s, k: looked.append(len(r)) or top(r, s, k)
     got = forest.search(rows[:200], 6)
+    looked = forest.looked
     want = np.argsort(-(N.unit(rows[:200]) @ forest.vectors.T), 1)[:, :6]
     hits = np.mean([len(set(w) & set(g.tolist())) / 6 for w, (g, _) in zip(want, got)])
     assert hits > 0.9 and np.mean(looked) < 800
 
 
+def test_vectors_without_structure_go_through_the_forest():
+    """On the given vectors: recall of 0.9 from part of the rows, and no query that ends at the roots."""
+    import duckdb
+
+    rows = np.array([v for (v,) in duckdb.execute("SELECT embedding FROM '/root/testdata/sf0.1/embeddings.parquet' ORDER BY vec_id").fetchall()], float)
+    forest = N.Forest(rows)
+    asked = N.unit(rows[::50])
+    got = forest.search(asked, 6)
+    want = np.argsort(-(asked @ forest.vectors.T), 1)[:, :6]
+    hits = np.mean([len(set(w.tolist()) & set(g.tolist())) / 6 for w, (g, _) in zip(want, got)])
+    print(forest.target, hits, np.mean(forest.looked) / len(rows), max(forest.looked) / len(rows))
+    assert hits >= 0.9 and np.mean(forest.looked) < 0.6 * len(rows) and max(forest.looked) < len(rows)
+
+
 def test_recall_of_the_query(spark):
     sf = "/root/testdata/sf0.1"
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect()]

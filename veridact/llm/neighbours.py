@@ -3,14 +3,16 @@
 Different vectors are dealt by hash into segments of about SEGMENT rows. A segment holds TREES
 sorted arrays of 64-bit strings, each bit the side of a random hyperplane. A query descends every
 array to its longest matching prefixes and ascends all of them level by level, so that more
-candidates come in, and stops once a neighbour as near as the k-th found would, with probability
-TARGET, share a prefix of that length in some tree: sharp neighbourhoods stop deep, vectors without
-structure go up until the segment is searched whole. Candidates are scored exactly, in double
-precision. Equal vectors are one entry with its smallest ids, so copies cost nothing.
+candidates come in, and stops once a neighbour as near as the k-th found would, with a certain probability,
+share a prefix of that length in some tree: sharp neighbourhoods stop deep, vectors without structure higher up.
+That probability is set for each segment by the recall of PROBES of its own rows, which are also looked up by brute force.
+Candidates are scored exactly, in double precision. Equal vectors are one entry with its smallest ids, so copies cost nothing.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -18,9 +20,15 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
-TREES, BITS = 24, 64
+TREES, BITS = 96, 64
 SEGMENT, BLOCK = 16_384, 32_768
-TARGET = 0.97
+#: Prefix lengths that an ascent stops at, longest first; the roots hold all rows.
+LEVELS = (64, 48, 40, 32, 28, *range(24, -1, -1))
+#: Rows of a segment by which its stopping probability is set (a bounded sample), the recall that they must reach, and the probabilities tried.
+PROBES, RECALL = 128, 0.95
+TARGETS = (0.5, 0.6, 0.7, 0.8, 0.85, 0.9, 0.93, 0.95, 0.97, 0.98, 0.99, 0.995, 0.999)
+#: Queries whose prefix ranges are held at a time.
+ASKED = 256
 
 
 def unit(rows: np.ndarray) -> np.ndarray:
@@ -41,61 +49,86 @@ class Forest:
             order = np.argsort(code, kind="stable")
             self.order.append(order)
             self.codes.append(code[order])
+        self.target: float | None = None
+        self.looked: list[int] = []  # candidates of each query
 
     @staticmethod
     def code(rows: np.ndarray, planes: np.ndarray) -> np.ndarray:
         return np.packbits(rows @ planes > 0, axis=1).view(">u8").ravel().astype(np.uint64)
 
-    def ranges(self, codes: list[np.uint64], level: int) -> list[tuple[int, int]]:
-        """Where each tree's strings share the first `level` bits of the query's."""
-        out = []
-        for code, own in zip(codes, self.codes):
-            if level == 0:
-                out.append((0, len(own)))
+    def ranges(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last places (levels, trees, queries) of the strings that share each length of prefix with the query's."""
+        low = np.empty((len(LEVELS), len(self.planes), len(queries)), np.int32)
+        high = np.empty_like(low)
+        for t, (p, own) in enumerate(zip(self.planes, self.codes)):
+            code = self.code(queries, p)
+            for i, level in enumerate(LEVELS):
+                rest = np.uint64((1 << (BITS - level)) - 1)
+                first = code & ~rest
+                low[i, t], high[i, t] = np.searchsorted(own, first), np.searchsorted(own, first | rest, side="right")
+        return low, high
+
+    def ascents(self, queries: np.ndarray, k: int) -> Iterator[Iterator[tuple[float, np.ndarray, np.ndarray]]]:
+        """For each query its ascent: (probability that a row as near as the k-th shares the prefix in some tree, rows, cosines), until all rows are in."""
+        for at in range(0, len(queries), ASKED):
+            part = queries[at : at + ASKED]
+            low, high = self.ranges(part)
+            many = (high - low).sum(1)
+            for j, q in enumerate(part):
+                yield self.ascent(q, low[:, :, j], high[:, :, j], many[:, j], k)
+
+    def ascent(self, q: np.ndarray, low: np.ndarray, high: np.ndarray, many: np.ndarray, k: int) -> Iterator[tuple[float, np.ndarray, np.ndarray]]:
+        n, had = len(self.vectors), 0
+        for i, level in enumerate(LEVELS):
+            if level and many[i] < max(k, 1.3 * had):
+                continue
+            had = int(many[i])
+            inside = np.zeros(n, bool)
+            for order, x, y in zip(self.order, low[i].tolist(), high[i].tolist()):
+                inside[order[x:y]] = True
+            rows = np.flatnonzero(inside)
+            if len(rows) < min(k, n):
                 continue
-            shift = np.uint64(BITS - level)
-            low = code >> shift << shift
-            high = low | np.uint64((1 << (BITS - level)) - 1)
-            out.append((int(np.searchsorted(own, low)), int(np.searchsorted(own, high, side="right"))))
-        return out
+            scores = self.vectors[rows] @ q
+            if level == 0 or len(rows) == n:
+                yield 1.0, rows, scores
+                return
+            worst = np.partition(scores, len(rows) - k)[len(rows) - k]
+            same = 1 - np.arccos(np.clip(worst, -1, 1)) / np.pi
+            yield 1 - (1 - same**level) ** len(self.planes), rows, scores
+
+    def calibrate(self, k: int) -> float:
+        """The least of TARGETS at which PROBES of the rows find RECALL of their k nearest, themselves among them."""
+        rng = np.random.default_rng(7)
+        n = len(self.vectors)
+        probes = self.vectors[np.sort(rng.choice(n, min(PROBES, n), replace=False))]
+        hits, wanted = np.zeros(len(TARGETS)), 0
+        for q, steps in zip(probes, self.ascents(probes, k)):
+            near = set(self.top(np.arange(n), self.vectors @ q, k)[0].tolist())
+            wanted += len(near)
+            done = 0
+            for chance, rows, _ in steps:
+                own = len(near.intersection(rows.tolist()))
+                while done < len(TARGETS) and chance >= TARGETS[done]:
+                    hits[done] += own
+                    done += 1
+                if done == len(TARGETS):
+                    break
+        good = np.flatnonzero(hits >= RECALL * wanted)
+        return TARGETS[good[0]] if len(good) else 1.0
 
     def search(self, queries: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
         """(row indexes, cosines) of the k best found for each query, and all ties with the last."""
+        if self.target is None:
+            self.target = self.calibrate(k)
         queries = unit(queries)
-        codes = np.stack([self.code(queries, p) for p in self.planes], 1) if len(queries) else []
-        n, found, rest = len(self.vectors), [None] * len(queries), []
-        for i, q in enumerate(queries):
-            level, rows = BITS, np.empty(0, np.int64)
-            while level > 0:
-                # ascend to the first level with twice the candidates
-                want = 2 * max(len(rows), 2 * k)
-                low, high = 0, level - 1
-                while low < high:
-                    mid = (low + high + 1) // 2
-                    if sum(b - a for a, b in self.ranges(codes[i], mid)) >= want:
-                        low = mid
-                    else:
-                        high = mid - 1
-                level = low
-                spans = self.ranges(codes[i], level)
-                if sum(b - a for a, b in spans) > n:
+        found = []
+        for steps in self.ascents(queries, k):
+            for chance, rows, scores in steps:
+                if chance >= self.target:
                     break
-                rows = np.unique(np.concatenate([o[a:b] for o, (a, b) in zip(self.order, spans)]))
-                if len(rows) >= k:
-                    scores = self.vectors[rows] @ q
-                    worst = np.partition(scores, len(rows) - k)[len(rows) - k]
-                    same = 1 - np.arccos(np.clip(worst, -1, 1)) / np.pi
-                    if 1 - (1 - same**level) ** len(self.planes) >= TARGET:
-                        found[i] = self.top(rows, scores, k)
-                        break
-            if found[i] is None:
-                rest.append(i)
-        # the rest have ascended to the roots
-        every = np.arange(n)
-        for at in range(0, len(rest), 256):
-            block = rest[at : at + 256]
-            for i, scores in zip(block, queries[block] @ self.vectors.T):
-                found[i] = self.top(every, scores, k)
+            found.append(self.top(rows, scores, k))
+            self.looked.append(len(rows))
         return found
 
     @staticmethod
