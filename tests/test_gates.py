@@ -1,8 +1,10 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
-from veridact.operators import gates, layout
+from veridact.operators import gates, layout, trust
+from veridact.schemas import ContractError
 
 
 def walk(rows):
@@ -79,3 +81,57 @@ def test_truncation_keeps_every_direction(spark):
     df = spark.createDataFrame(rows, "product_id string, aspect string, quote_rank int, polarity string, polarity_rank int")
     got = layout.truncate(df, ["product_id"]).select("product_id", "quote_rank", "polarity", "reserved").collect()
     assert sorted(map(tuple, got)) == sorted(want)
+
+
+def test_a_long_chain_needs_few_rounds(spark, monkeypatch):
+    """Row i shares its content with the one before and its author with the one behind: peeling alone takes a round for every second row."""
+    n = 10_000
+    rows = [("p", i + 1, f"c{(i + 1) // 2}", f"a{i // 2}") for i in range(n)]
+    df = spark.createDataFrame(rows, "product_id string, rank int, content_hash string, author string").repartition(4)
+    peeled = gates._peeled
+    rounds = []
+    monkeypatch.setattr(gates, "_peeled", lambda *x: rounds.append(1) or peeled(*x))
+    got = sorted((r.rank, r.reason, r.kept_rank) for r in gates.duplicate_gate(df).collect())
+    assert got == sorted(walk([r[1:] for r in rows])) and len(rounds) == gates.ROUNDS
+
+
+def test_components_beyond_a_task_go_on_peeling(spark, monkeypatch):
+    monkeypatch.setattr(gates, "ROUNDS", 1)
+    monkeypatch.setattr(gates, "FOLD", 5)
+    rnd = random.Random(6)
+    rows = [(g, i + 1, f"c{rnd.randrange(12)}", f"a{rnd.randrange(12)}") for g, n in (("p", 30), ("q", 8), ("r", 3)) for i in range(n)]
+    want = [(g, *x) for g in "pqr" for x in walk([r[1:] for r in rows if r[0] == g])]
+    df = spark.createDataFrame(rows, "product_id string, rank int, content_hash string, author string")
+    assert sorted(map(tuple, gates.duplicate_gate(df).collect()), key=str) == sorted(want, key=str)
+    assert gates.duplicate_gate(df.where("false")).collect() == []
+
+
+def test_rows_without_a_key_are_refused(spark):
+    rows = [("p", 1, "c", None), ("p", 2, "c", "a")]
+    df = spark.createDataFrame(rows, "product_id string, rank int, content_hash string, author string")
+    with pytest.raises(ContractError):
+        gates.duplicate_gate(df)
+
+
+def test_first_quotes_are_those_of_the_whole_ranking(spark):
+    rnd = random.Random(2)
+    rows, tags = [], []
+    for i in range(1, 900):
+        rows.append((f"p{rnd.randrange(6)}", i, rnd.choice([None, 0.5, 0.5, round(rnd.random(), 1)]), rnd.choice(["2024.01.01", "2024.02.01"])))
+        for a in rnd.sample("xyz", rnd.randint(0, 2)):
+            tags.append((i, a, rnd.choices(["positive", "negative", "neutral"], [20, 1, 0.5])[0]))
+    member = spark.createDataFrame(rows, "product_id string, review_id long, trust_score double, review_date string").repartition(5)
+    said = spark.createDataFrame(tags, "review_id long, aspect string, polarity string")
+    cell = ["product_id"]
+    whole = layout.ranked_quotes(member, said, cell).where("quote_rank <= 8 or polarity_rank = 1")
+    near = layout.first_quotes(member, said, cell)
+    columns = ["product_id", "aspect", "review_id", "polarity", "quote_rank", "polarity_rank"]
+    want = sorted(map(tuple, whole.select(*columns).collect()))
+    assert sorted(map(tuple, near.select(*columns).collect())) == want and any(r[4] > 8 for r in want)
+    assert layout.first_quotes(member.where("false"), said, cell).collect() == []
+
+
+def test_null_contents_are_scored(spark):
+    df = spark.createDataFrame([(1, "p", None, 1, "2024.01.01"), (2, "p", None, 2, "2024.01.01"), (3, "p", "x" * 50, 1, "2024.01.01")], "review_id int, product_id string, content string, likes int, review_date string")
+    got = {r.review_id: (r.content_length, r.copies, r.s_length, r.s_unique) for r in trust.signals(df).collect()}
+    assert got[1] == got[2] == (0, 1, 0.0, 1.0) and got[3][:2] == (50, 1)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.stats import minority
 from ..functions.text import month_of
-from ..schemas import SufficiencyPolicy
-from .shared import cut_lineage, scratch_path
+from ..schemas import ContractError, SufficiencyPolicy
+from .shared import cut_lineage, linked, scratch_path
 
 
 def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str, option: Column | None = None) -> DataFrame:
@@ -34,31 +37,78 @@ def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str,
     return joined.withColumn("reason", reason).withColumn("detail", detail).withColumn("limitation", limit).drop("renewal_policy", "from_month", "to_month")
 
 
+#: Rounds of peeling before what is still open is looked at by connected component, and the rows of a component
+#: that one task walks; larger ones go on peeling.
+ROUNDS, FOLD = 6, 100_000
+
+
+def _walked(rows: DataFrame) -> DataFrame:
+    """rows (g, rank, c, a, root) that the walk by rank keeps, for components of at most FOLD rows, each in one task."""
+
+    def keep(table: pa.Table) -> pa.Table:
+        t = table.sort_by("rank")
+        contents, authors, stays = set(), set(), []
+        for c, a in zip(t["c"].to_pylist(), t["a"].to_pylist()):
+            stays.append(c not in contents and a not in authors)
+            if stays[-1]:
+                contents.add(c)
+                authors.add(a)
+        return t.select(["g", "rank", "c", "a"]).filter(pa.array(stays, pa.bool_()))
+
+    columns = ["g", "rank", "c", "a"]
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in columns)
+    return rows.select(*columns, "root").groupBy("root").applyInArrow(keep, kinds)
+
+
+def _peeled(rows: DataFrame, keep: Callable[[DataFrame], None]) -> DataFrame:
+    """One round: rows (g, rank, c, a) that are first for both keys are kept, rows that share a key with them are decided; the rest."""
+    first_c = cut_lineage(rows.groupBy("g", "c").agg(F.min("rank").alias("rc")))
+    first_a = cut_lineage(rows.groupBy("g", "a").agg(F.min("rank").alias("ra")))
+    won = cut_lineage(rows.join(first_c, ["g", "c"]).join(first_a, ["g", "a"]).where("rank = rc and rank = ra").select("g", "rank", "c", "a"))
+    keep(won)
+    return cut_lineage(rows.join(won.select("g", "c"), ["g", "c"], "left_anti").join(won.select("g", "a"), ["g", "a"], "left_anti"))
+
+
 def duplicate_gate(ranked: DataFrame, group: str = "product_id", content: str = "content_hash", author: str = "author") -> DataFrame:
     """(group, rank, reason, kept_rank): the walk by rank that keeps a row if neither its content nor
     its author is among those kept before; null reason: kept. kept_rank is the keeper.
 
     Done by peeling: rows that rank first for their content and their author are kept, rows that
-    share a key with a kept row are decided, and the rest goes round again. Rounds are few, each
-    costs pre-aggregated minima and joins on tables in the shared folder.
+    share a key with a kept row are decided, and the rest goes round again. Each round costs pre-aggregated minima and
+    joins on tables in the shared folder. Long chains would need many rounds, so after ROUNDS of them the open rows'
+    connected components (by their keys) are walked, a component a task; only components beyond FOLD rows go on peeling.
+    Keys are compared whole. Null groups, ranks, contents or authors raise ContractError (dedup_key_violations() names
+    the rows); an empty table gives an empty result.
     """
-    key = lambda c: F.xxhash64(group, c)
-    open_rows = cut_lineage(ranked.select(F.col(group).alias("g"), "rank", key(content).alias("c"), key(author).alias("a")))
+    open_rows = cut_lineage(ranked.select(F.col(group).alias("g"), "rank", F.col(content).alias("c"), F.col(author).alias("a")))
+    if not open_rows.where("g is null or rank is null or c is null or a is null").isEmpty():
+        raise ContractError("rows without product, rank, content hash or author can't be told apart")
     spark = ranked.sparkSession
-    kept_at = scratch_path(spark)
-    while True:
-        first_c = cut_lineage(open_rows.groupBy("c").agg(F.min("rank").alias("rc")))
-        first_a = cut_lineage(open_rows.groupBy("a").agg(F.min("rank").alias("ra")))
-        won = cut_lineage(open_rows.join(first_c, "c").join(first_a, "a").where("rank = rc and rank = ra").select("c", "a", "rank"))
-        won.write.mode("append").parquet(kept_at)  # one table whatever the rounds, so that the plan doesn't grow
-        rest = open_rows.join(won.select("c"), "c", "left_anti").join(won.select("a"), "a", "left_anti")
-        open_rows = cut_lineage(rest)
+    kept_at, schema = scratch_path(spark), open_rows.schema
+    keep = lambda won: won.select("g", "rank", "c", "a").write.mode("append").parquet(kept_at)
+    keep(open_rows.where("false"))  # one table whatever the rounds, so that the plan doesn't grow
+    for _ in range(ROUNDS):
+        open_rows = _peeled(open_rows, keep)
         if open_rows.isEmpty():
             break
-    kept = spark.read.schema(won.schema).parquet(kept_at)
-    by_c, by_a = kept.select("c", F.col("rank").alias("kc")), kept.select("a", F.col("rank").alias("ka"))
-    rows = ranked.select(F.col(group).alias("g"), "rank", key(content).alias("c"), key(author).alias("a"))
-    judged = rows.join(by_c, "c", "left").join(by_a, "a", "left")
+    while not open_rows.isEmpty():
+        node = F.struct("g", "rank")
+        hub = lambda k: open_rows.join(cut_lineage(open_rows.groupBy("g", k).agg(F.min("rank").alias("h"))), ["g", k]).select(node.alias("u"), F.struct("g", F.col("h").alias("rank")).alias("v"))
+        named = linked(hub("c").union(hub("a")))
+        placed = open_rows.join(named.select(F.col("node.g").alias("g"), F.col("node.rank").alias("rank"), "root"), ["g", "rank"], "left")
+        placed = cut_lineage(placed.withColumn("root", F.coalesce("root", node)))
+        sizes = cut_lineage(placed.groupBy("root").agg(F.count("*").alias("n")))
+        small = placed.join(sizes, "root")
+        keep(_walked(small.where(F.col("n") <= FOLD)))
+        open_rows = cut_lineage(small.where(F.col("n") > FOLD).select("g", "rank", "c", "a"))
+        for _ in range(ROUNDS):
+            if open_rows.isEmpty():
+                break
+            open_rows = _peeled(open_rows, keep)
+    kept = spark.read.schema(schema).parquet(kept_at)
+    by_c, by_a = kept.select("g", "c", F.col("rank").alias("kc")), kept.select("g", "a", F.col("rank").alias("ka"))
+    rows = ranked.select(F.col(group).alias("g"), "rank", F.col(content).alias("c"), F.col(author).alias("a"))
+    judged = rows.join(by_c, ["g", "c"], "left").join(by_a, ["g", "a"], "left")
     reason = F.when(F.col("kc") < F.col("rank"), "duplicate_content").when(F.col("ka") < F.col("rank"), "same_author")
     keeper = F.when(reason == "duplicate_content", F.col("kc")).when(reason == "same_author", F.col("ka"))
     return judged.select(F.col("g").alias(group), "rank", reason.alias("reason"), keeper.alias("kept_rank"))

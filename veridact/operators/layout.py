@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import date_rank
 from ..schemas import MAX_QUOTES
-from .shared import numbered
+from .shared import cut_lineage, numbered
 from .trust import rank_order
 
 
@@ -20,6 +21,26 @@ def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFr
     return numbered(numbered(rows, by, rank_order(), "quote_rank"), [*by, "polarity"], rank_order(), "polarity_rank")
 
 
+def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
+    """Of ranked_quotes() the rows that truncate() can keep: the k first of each cell and aspect, and each polarity's first.
+
+    Both are top-k windows, which Spark cuts in every task before it shuffles. A polarity's first beyond the k is
+    numbered by counting what stands before it, for those groups only. Rows that tie in score and date go by review_id; null
+    scores are last.
+    """
+    by = [*cell, "aspect"]
+    rows = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id"))
+    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*rank_order()))
+    top = cut_lineage(rows.withColumn("quote_rank", place(*by).cast("long")).where(F.col("quote_rank") <= k))
+    firsts = rows.withColumn("_f", place(*by, "polarity")).where("_f = 1").drop("_f")
+    late = cut_lineage(firsts.join(top.select(*by, "polarity").distinct(), [*by, "polarity"], "left_anti"))
+    at = F.struct(F.coalesce(-F.col("trust_score"), F.lit(float("inf"))), date_rank(F.col("review_date")), F.col("review_id"))
+    marks = late.select(*by, F.col("polarity").alias("_p"), at.alias("_at"))
+    before = rows.join(marks, by).where(at < F.col("_at")).groupBy(*by, F.col("_p").alias("polarity")).agg((F.count("*") + 1).alias("quote_rank"))
+    near = top.unionByName(late.join(before, [*by, "polarity"]).select(*top.columns))
+    return near.withColumn("polarity_rank", F.row_number().over(Window.partitionBy(*by, "polarity").orderBy("quote_rank")).cast("long"))
+
+
 def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
     """The k first quotes, where each polarity without one gets its first in, for the lowest of the
     most frequent. Only rows that can stay take part: the k first and each polarity's first.

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -66,3 +67,25 @@ def percent_below(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
     share = F.when(others > 0, lower / others).otherwise(0.0)
     shares = cut_lineage(counts.select(F.col(by).alias("_r0"), F.col(value).alias("_r1"), share.alias(name)))
     return df.join(shares, same(df, shares, [by, value])).drop("_r0", "_r1")
+
+
+def _stars(e: DataFrame) -> bool:
+    """Whether every node of e (u > v) either points to one other node or is pointed to, not both."""
+    ends = e.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("into")).union(e.select(F.col("v").alias("n"), F.lit(0).alias("out"), F.lit(1).alias("into")))
+    return ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("into").alias("into")).where("out > 1 or (out = 1 and into = 1)").isEmpty()
+
+
+def linked(edges: DataFrame, save: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+    """Connected components of edges (u, v) as (node, root), root the smallest node; nodes without edges aren't in it.
+
+    Large-star and small-star steps alternate until the graph is a forest of stars: rounds grow with the logarithm of the
+    longest path. Minima are pre-aggregated and saved before they are joined back.
+    """
+    e = save(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
+    while not _stars(e):
+        both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        large = save(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        low = save(large.groupBy("u").agg(F.min("v").alias("m")))
+        e = save(large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
+    return e.select(F.col("u").alias("node"), F.col("v").alias("root")).union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

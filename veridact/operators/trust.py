@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import content_hash, date_rank, strip
 from ..schemas import ContractError, TrustPolicy
-from .shared import numbered, percent_below
+from .shared import cut_lineage, numbered, percent_below
 
 
 def ramp(length: Column, policy: TrustPolicy) -> Column:
@@ -25,11 +25,12 @@ def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: Dat
     Copies are counted by a pre-aggregated join, so that one content behind a third of the reviews
     costs no window over it. on_topic is known only if tagged (review_id) is given, photo and usage
     only if reviews have the columns has_photo and month_over. Signals that aren't known take no
-    part in the score; if the rest weighs nothing, the policy is refused.
+    part in the score; if the rest weighs nothing, the policy is refused. A null content has length 0 and is no copy of any
+    other; null likes are the lowest; repeated rows count as copies; an empty table gives an empty result.
     """
-    rows = reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.char_length(strip(F.col("content"))))
-    copies = rows.groupBy("content_hash").agg(F.count("*").alias("copies"))
-    rows = rows.join(copies, "content_hash")
+    rows = reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.coalesce(F.char_length(strip(F.col("content"))), F.lit(0)))
+    copies = cut_lineage(rows.where("content_hash is not null").groupBy("content_hash").agg(F.count("*").alias("copies")))  # a table: AQE splits a hot content
+    rows = rows.join(copies, "content_hash", "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
     rows = rows.withColumn("s_length", ramp(F.col("content_length"), policy)).withColumn("s_unique", F.round(1 / F.col("copies"), 6))
     rows = percent_below(rows, "product_id", "likes", "s_likes").withColumn("s_likes", F.round("s_likes", 6))
     weights = [("s_length", policy.content_length), ("s_unique", policy.unique_content), ("s_likes", policy.likes)]

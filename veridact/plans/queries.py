@@ -153,7 +153,7 @@ def ranked_quotes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kept_quotes(spark: SparkSession, d: str) -> DataFrame:
-    found = layout.ranked_quotes(claims.cells(scored(spark, d)), adapters.tags(spark, d), CELL)
+    found = layout.first_quotes(claims.cells(scored(spark, d)), adapters.tags(spark, d), CELL)
     return layout.truncate(found, CELL).select(*CELL, "aspect", "review_id", "polarity", "quote_rank", "reserved")
 
 
@@ -482,7 +482,7 @@ def layout_text(spark: SparkSession, d: str) -> DataFrame:
     member = claims.cells(rows)
     found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d))).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
     found = gates.cut_lineage(conditions.cell_subjects(found, code_book(spark)))
-    shown = layout.truncate(gates.cut_lineage(layout.ranked_quotes(member, adapters.tags(spark, d), CELL)), CELL)
+    shown = layout.truncate(gates.cut_lineage(layout.first_quotes(member, adapters.tags(spark, d), CELL)), CELL)
     return layout.render(found, shown, CELL).select(*CELL, "aspect", "layout")
 
 
