@@ -28,11 +28,11 @@ from . import bpe
 from .common import materialize
 
 #: UTF-8 bytes of the texts of a slice; a longer text is a slice of its own.
-SLICE = 1 << 22
+SLICE = 3 << 20
 #: Words that are encoded in one go.
 CHUNK = 2000
 #: Memory of DuckDB in a worker; beyond it, it spills to the worker's temporary folder.
-DUCKDB_MEMORY = "512MB"
+DUCKDB_MEMORY = "256MB"
 
 # Words with the space or line break before them, and texts that consist of nothing else.
 _WORD = re.compile(r"[ \n][^ \n]+")
