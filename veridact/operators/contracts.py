@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.stats import direction
 from ..functions.text import fold_invisible, month_of
 from ..schemas import MAX_ASPECTS, POLARITIES, STAGES, UNSTATED, ContractError
+from .shared import cut_lineage
 
 
 def assert_none(violations: DataFrame, what: str) -> None:
@@ -90,6 +94,60 @@ def different_rows(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.exceptAll(right).withColumn("side", F.lit("left")).union(right.exceptAll(left).withColumn("side", F.lit("right")))
 
 
+#: Buckets of keys whose digests two bases are compared by.
+BUCKETS = 4096
+
+
+def _leaves(schema: T.StructType, at: str = "") -> list[tuple[str, str]]:
+    """(dotted path, column expression) of every field that isn't a struct."""
+    out = []
+    for f in schema.fields:
+        path, column = f"{at}{f.name}", ".".join(f"`{x}`" for x in f"{at}{f.name}".split("."))
+        out += _leaves(f.dataType, f"{path}.") if isinstance(f.dataType, T.StructType) else [(path, column)]
+    return out
+
+
+def bucket_digests(rows: DataFrame, key: str, fields: list[tuple[str, str]], buckets: int = BUCKETS) -> DataFrame:
+    """(bucket, n, x, y, z): rows of each bucket of keys and digests of them that don't depend on their order."""
+    all_ = F.to_json(F.struct(F.col(key).alias("k"), *[F.col(c).alias(f"f{i}") for i, (_, c) in enumerate(fields)]), {"ignoreNullFields": "false"})
+    h, g = F.xxhash64(all_), F.xxhash64(F.lit("second"), all_)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).alias("bucket")
+    return rows.select(bucket, h.alias("h"), g.alias("g")).groupBy("bucket").agg(F.count("*").alias("n"), F.bit_xor("h").alias("x"), F.bit_xor("g").alias("y"), F.sum(F.shiftright("h", 32)).alias("z"))
+
+
+def field_differences(left: DataFrame, right: DataFrame, key: str, buckets: int = BUCKETS) -> DataFrame:
+    """(key, field, kind, left_value, right_value): where two bases of one kind differ, field by field.
+
+    Digests of buckets of keys are compared first; only rows of buckets that differ are joined, so equal bases move digests
+    alone. kind: differs (values as JSON), only_left and only_right (a row, field is null; or a field that the other
+    base lacks), repeated_key (the key stands on several rows of a side, which aren't compared). Fields of structs have
+    dotted names; arrays are compared whole. Nulls equal nulls, also as keys; an empty base lacks every row.
+    """
+    ours, theirs = (dict(_leaves(b.schema)) for b in (left, right))
+    shared = [(p, c) for p, c in sorted(ours.items()) if p in theirs and p != key]
+    schema = f"{key} {left.schema[key].dataType.simpleString()}, field string, kind string, left_value string, right_value string"
+    lacking = [(None, p, "only_left", None, None) for p in sorted(set(ours) - set(theirs))] + [(None, p, "only_right", None, None) for p in sorted(set(theirs) - set(ours))]
+    fields = left.sparkSession.createDataFrame(lacking, schema)
+    a, b = (bucket_digests(x, key, shared, buckets).select("bucket", *[F.col(c).alias(f"{c}{i}") for c in "nxyz"]) for i, x in enumerate((left, right)))
+    same = reduce(lambda p, q: p & q, [F.col(f"{c}0").eqNullSafe(F.col(f"{c}1")) for c in "nxyz"])
+    moved = cut_lineage(a.join(b, "bucket", "full_outer").where(~same).select("bucket"))  # as many rows as there are buckets, at most
+    pick = lambda x, i: x.join(F.broadcast(moved), F.pmod(F.xxhash64(key), F.lit(buckets)) == F.col("bucket"), "left_semi").select(
+        F.col(key).alias(f"_k{i}"), F.lit(True).alias(f"_in{i}"), F.array(*[F.to_json(F.struct(F.col(c).alias("v"))) for _, c in shared]).cast("array<string>").alias(f"_v{i}"))
+    mine, other = cut_lineage(pick(left, 0)), cut_lineage(pick(right, 1))
+    often = lambda x, i: x.groupBy(f"_k{i}").agg(F.count("*").alias("c")).where("c > 1").select(F.col(f"_k{i}").alias("_rk"))
+    repeated = cut_lineage(often(mine, 0).union(often(other, 1)).distinct())
+    once = lambda x, i: x.join(repeated, F.col(f"_k{i}").eqNullSafe(F.col("_rk")), "left_anti")
+    both = once(mine, 0).join(once(other, 1), F.col("_k0").eqNullSafe(F.col("_k1")), "full_outer")
+    item = lambda field, kind, x=None, y=None: F.struct(
+        F.lit(field).cast("string").alias("field"), F.lit(kind).alias("kind"), (F.lit(None).cast("string") if x is None else x).alias("left_value"), (F.lit(None).cast("string") if y is None else y).alias("right_value"))
+    value = lambda side, i: F.get_json_object(F.get(side, F.lit(i)), "$.v")
+    each = [F.when(F.get("_v0", F.lit(i)) != F.get("_v1", F.lit(i)), item(p, "differs", value("_v0", i), value("_v1", i))) for i, (p, _) in enumerate(shared)]
+    found = F.when(F.col("_in1").isNull(), F.array(item(None, "only_left"))).when(F.col("_in0").isNull(), F.array(item(None, "only_right"))).otherwise(F.filter(F.array(*each), F.isnotnull) if each else F.array().cast("array<struct<field:string,kind:string,left_value:string,right_value:string>>"))
+    rows = both.select(F.when(F.col("_in0").isNull(), F.col("_k1")).otherwise(F.col("_k0")).alias(key), F.explode(found).alias("d")).select(key, "d.*")
+    none = F.lit(None).cast("string")
+    return rows.union(repeated.select(F.col("_rk").alias(key), none.alias("field"), F.lit("repeated_key").alias("kind"), none.alias("left_value"), none.alias("right_value"))).union(fields)
+
+
 def vector_violations(vectors: DataFrame, dim: int, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     v = F.col(vec_col)
     bad = F.when(v.isNull(), "missing").when(F.size(v) != dim, "wrong_dimension").when(F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))), "not_finite")

@@ -92,3 +92,42 @@ def render(claims: DataFrame, quotes: DataFrame, cell: list[str]) -> DataFrame:
         F.format_string("[5] U=%d D=%d S=%d (%d) %s", F.col("support"), F.col("spoke"), F.col("cell_authors"), F.col("silent"), F.coalesce("reason", F.lit("passed"))),
     )
     return claims.join(packed, by).withColumn("layout", text).drop("q")
+
+
+def totals(rows: DataFrame, cell: list[str]) -> DataFrame:
+    """(cell, aspect, quotes, first_month, last_month) of all quotes, those that aren't shown too. rows: cells joined with tags, with month."""
+    return rows.groupBy(*cell, "aspect").agg(F.count("*").alias("quotes"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+
+
+def arranged(claims: DataFrame, shown: DataFrame, found: DataFrame, cell: list[str]) -> DataFrame:
+    """(cell, aspect, subject, condition, evidence, direction, sufficiency): the five stages as structs, numbered in their order.
+
+    claims: as for render(); shown: truncate()'s rows; found: totals(). evidence holds how many quotes there are, are
+    shown and were omitted, the months of all of them, the reviews that stand in for a direction, and the quotes in order
+    of rank. A claim shows MAX_QUOTES at most. Claims without a quote have no layout (arrangement_violations() names them).
+    """
+    by = [*cell, "aspect"]
+    quote = F.struct("quote_rank", "polarity", "review_id", "reserved")
+    packed = shown.groupBy(*by).agg(F.array_sort(F.collect_list(quote)).alias("_q"))
+    rows = claims.join(packed, by).join(found, by)
+    stage = lambda n: F.lit(n).alias("stage")
+    held = F.array_sort(F.transform(F.filter("_q", lambda q: q["reserved"]), lambda q: q["review_id"]))
+    return rows.select(
+        *by, F.struct(stage(1), F.col(cell[0]).alias("product_id"), F.col("aspect").alias("aspect")).alias("subject_stage"),
+        F.struct(stage(2), F.col("axis").alias("axis"), F.col("segment").alias("segment"), F.col("subject").alias("text")).alias("condition_stage"),
+        F.struct(stage(3), F.col("quotes").alias("total"), F.size("_q").alias("shown"), (F.col("quotes") - F.size("_q")).alias("omitted"), F.col("first_month"), F.col("last_month"), held.alias("reserved"), F.col("_q").alias("quotes")).alias("evidence_stage"),
+        F.struct(stage(4), "direction", "pos", "neg", "neu", "spoke").alias("direction_stage"),
+        F.struct(stage(5), F.col("reason").isNull().alias("passed"), "reason", "support", "spoke", "cell_authors", "silent").alias("sufficiency_stage"))
+
+
+def arrangement_violations(claims: DataFrame, support: DataFrame, found: DataFrame, cell: list[str]) -> DataFrame:
+    """(cell, aspect, violation) where the gates' results side by side aren't of one cell, or a layout would stand on nothing.
+
+    claims: the sufficiency gate's (pos, neg, neu, spoke, silent); support: the polarity gate's counts by review; found: totals(). no_evidence;
+    quotes_are_not_spoke (every author who spoke is quoted once); pos, neg, neu, silent that differ between the gates.
+    """
+    by = [*cell, "aspect"]
+    counts = ["pos", "neg", "neu", "silent"]
+    rows = claims.join(support.select(*by, *[F.col(c).alias(f"_{c}") for c in counts]), by, "left").join(found.select(*by, "quotes"), by, "left")
+    checks = [F.when(F.col("quotes").isNull(), "no_evidence"), F.when(F.col("quotes") != F.col("spoke"), "quotes_are_not_spoke"), *[F.when(~F.col(c).eqNullSafe(F.col(f"_{c}")), f"{c}_differs") for c in counts]]
+    return rows.select(*by, F.explode(F.filter(F.array(*checks), F.isnotnull)).alias("violation"))

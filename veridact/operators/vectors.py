@@ -59,3 +59,44 @@ def stamp_violations(vectors: DataFrame, spec: EmbeddingSpec, id_col: str = "vec
         "missing": v.isNull(), "wrong_dimension": F.size(v) != spec.dimension, "not_finite": F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))),
     }
     return vectors.select(id_col, F.explode(F.filter(F.array(*[F.when(c, n) for n, c in checks.items()]), F.isnotnull)).alias("violation"))
+
+
+#: Steps of a model's swap, in the order in which they depend on one another (fixed values).
+SWAP_STEPS = ("vectors", "vocabulary", "golden")
+
+
+def paired_bump(old: EmbeddingSpec, new: EmbeddingSpec) -> None:
+    """Embedding and vocabulary versions move together or not at all."""
+    if (old.embedding_version != new.embedding_version) != (old.vocabulary_version != new.vocabulary_version):
+        raise ContractError(f"only one version moved: {old.embedding_version}/{old.vocabulary_version} to {new.embedding_version}/{new.vocabulary_version}")
+
+
+def backfill(vectors: DataFrame, old: EmbeddingSpec, new: EmbeddingSpec, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+    """(id, state) of every vector in a swap from old to new: done, or why it has to be made again: old_release, no_stamp, other_release, broken.
+
+    Raises ContractError where there is nothing to swap or only one version moved. A null or wrongly sized vector is broken
+    whatever its stamp; ids repeat as their rows do.
+    """
+    if old.model == new.model and old.embedding_version == new.embedding_version:
+        raise ContractError("the model to swap in is the one in use")
+    paired_bump(old, new)
+    is_of = lambda s: (F.col("model") == s.model) & (F.col("embedding_version") == s.embedding_version)
+    whole = F.coalesce(F.size(vec_col) == new.dimension, F.lit(False)) & F.col(vec_col).isNotNull()
+    blank = F.col("model").isNull() | F.col("embedding_version").isNull()
+    state = F.when(blank, "no_stamp").when(is_of(old), "old_release").when(~is_of(new), "other_release").when(~whole, "broken").otherwise("done")
+    return vectors.select(id_col, state.alias("state"))
+
+
+def swap_barrier(states: DataFrame, vocabulary: bool = False, golden: bool = False) -> DataFrame:
+    """One row: vectors, remaining (to be made again), pending (steps that are left, in order) and complete. states: backfill()."""
+    row = states.agg(F.count("*").alias("vectors"), F.count(F.when(F.col("state") != "done", 1)).alias("remaining"))
+    left = F.filter(F.array(F.when(F.col("remaining") > 0, SWAP_STEPS[0]), F.lit(None if vocabulary else SWAP_STEPS[1]), F.lit(None if golden else SWAP_STEPS[2])), F.isnotnull)
+    return row.withColumn("pending", left).withColumn("complete", F.size("pending") == 0)
+
+
+def meta_violations(meta: DataFrame, spec: EmbeddingSpec, id_col: str = "id") -> DataFrame:
+    """(id, violation) of a result's meta (model, embedding_version, vocabulary_version): a stamp that lacks a part, or another release's pair."""
+    names = ("model", "embedding_version", "vocabulary_version")
+    lacks = [F.when(F.coalesce(F.col(c), F.lit("")) == "", f"no_{c}") for c in names]
+    other = F.when((F.col("embedding_version") != spec.embedding_version) | (F.col("vocabulary_version") != spec.vocabulary_version), "other_pair")
+    return meta.select(id_col, F.explode(F.filter(F.array(*lacks, other), F.isnotnull)).alias("violation"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from ..operators.records import KNOWN_FIELDS
 from ..schemas import FAILURES, SEVERITIES
-from .oracles import ALL, BASE, CELLS, CONFLICTS, IDENTITY, MEMBER, OPTIONS, PLAIN, SCORED, SPLITS, TRACE, _binom, quote_walk
+from .oracles import ALL, BASE, CELLS, CONFLICTS, IDENTITY, KEPT, MEMBER, OPTIONS, PLAIN, QUOTES, RANKED_MEMBER, SCORED, SPLITS, TRACE, _binom, quote_walk
 
 _KNOWN = "[" + ", ".join(f"'{n}'" for n in KNOWN_FIELDS) + "]"
 _WORST_FIRST = "[" + ", ".join(f"'{k}'" for k, _, _ in sorted(FAILURES, key=lambda t: (SEVERITIES.index(t[1]), t[2]))) + "]"
@@ -115,6 +115,26 @@ QUERIES = {
     "scoped_fates": f"""{SCOPED}, cited AS (SELECT key, product_id, scope, unnest([key, key + 10, key + 1]) AS review_id FROM resolved WHERE scope IS NOT NULL)
       SELECT c.key, c.review_id, CASE WHEN g.review_id IS NULL THEN 'identity/out_of_scope' WHEN g.stop IS NOT NULL THEN 'identity/' || g.stop WHEN d.reason IS NOT NULL THEN 'duplicate/' || d.reason ELSE 'kept' END AS fate
       FROM cited c LEFT JOIN gate1 g ON g.review_id = c.review_id AND g.product_id = c.product_id AND g.scope = c.scope LEFT JOIN gate2 d ON d.review_id = c.review_id AND d.product_id = c.product_id || '~' || c.scope""",
+    "parity_fields": f"""{PLAIN}, l AS (SELECT *, review_id % 1000 <> 7 AS l, review_id % 1001 <> 1 AS r FROM reviews), both_in AS (SELECT * FROM l WHERE l AND r AND review_id <> 8), n AS (SELECT CAST(NULL AS VARCHAR) AS x)
+      SELECT review_id, x AS field, 'only_left' AS kind, x AS left_value, x AS right_value FROM l, n WHERE l AND NOT r UNION ALL SELECT review_id, x, 'only_right', x, x FROM l, n WHERE r AND NOT l AND review_id <> 8 UNION ALL
+      SELECT 8, x, 'repeated_key', x, x FROM n WHERE EXISTS (SELECT 1 FROM l WHERE review_id = 8) UNION ALL SELECT NULL, 'extra', 'only_right', x, x FROM n UNION ALL
+      SELECT review_id, 'raw.rating', 'differs', CAST(rating AS VARCHAR), CAST(rating + 1 AS VARCHAR) FROM both_in WHERE review_id % 100 = 0 UNION ALL SELECT review_id, 'raw.more.review_date', 'differs', review_date, '1970.01.01' FROM both_in WHERE review_id % 350 = 0 UNION ALL
+      SELECT review_id, 'troubles', 'differs', '["' || array_to_string(troubles, '","') || '"]', '[]' FROM both_in WHERE review_id % 600 = 5 AND len(troubles) > 0 UNION ALL
+      SELECT review_id, 'skin_type', 'differs', skin_type, NULL FROM both_in WHERE review_id % 500 = 3 AND skin_type IS NOT NULL""",
+    "layout_rows": f"""{RANKED_MEMBER}, {QUOTES}, {KEPT}, t AS (SELECT product_id, axis, segment, aspect, count(*) AS total, min(month) AS first_month, max(month) AS last_month FROM member JOIN tags USING (review_id) GROUP BY ALL),
+      k AS (SELECT product_id, axis, segment, aspect, CAST(count(*) AS INTEGER) AS shown, coalesce(string_agg(CASE WHEN reserved THEN CAST(review_id AS VARCHAR) END, ',' ORDER BY review_id), '') AS reserved,
+        string_agg(quote_rank || ':' || polarity || ':' || review_id, ';' ORDER BY quote_rank) AS quotes FROM keeping GROUP BY ALL)
+      SELECT c.product_id, c.axis, c.segment, c.aspect, c.axis || '=' || c.segment AS subject, total, shown, total - shown AS omitted, first_month, last_month, reserved, quotes,
+        CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' ELSE 'neutral' END AS direction, spoke,
+        pos + neg <= spoke AND spoke <= cell_authors AND cell_authors >= 8 AND pos + neg >= 8 AND (pos + neg) / spoke >= 0.10 AS passed, cell_authors - spoke AS silent
+      FROM claims c JOIN t USING (product_id, axis, segment, aspect) JOIN k USING (product_id, axis, segment, aspect)""",
+    "layout_contract": f"""{MEMBER}, s AS (SELECT product_id, axis, segment, count(*) AS reviews FROM member GROUP BY ALL),
+      r AS (SELECT product_id, axis, segment, aspect, count(*) AS q, count(*) FILTER (polarity = 'positive') AS p, count(*) FILTER (polarity = 'negative') AS n, count(*) FILTER (polarity = 'neutral') AS u FROM member JOIN tags USING (review_id) GROUP BY ALL),
+      x AS (SELECT * FROM claims JOIN r USING (product_id, axis, segment, aspect) JOIN s USING (product_id, axis, segment))
+      SELECT product_id, axis, segment, aspect, unnest(list_filter([CASE WHEN q <> spoke THEN 'quotes_are_not_spoke' END, CASE WHEN pos <> p THEN 'pos_differs' END, CASE WHEN neg <> n THEN 'neg_differs' END, CASE WHEN neu <> u THEN 'neu_differs' END,
+        CASE WHEN cell_authors - spoke <> reviews - q THEN 'silent_differs' END], lambda v: v IS NOT NULL)) AS violation FROM x""",
+    "swap_backfill": """SELECT vec_id, CASE WHEN vec_id % 10 = 9 THEN 'no_stamp' WHEN vec_id % 10 = 8 THEN 'other_release' WHEN vec_id % 10 >= 4 THEN 'old_release' WHEN vec_id % 10 IN (1, 2) THEN 'broken' ELSE 'done' END AS state FROM embeddings""",
+    "swap_state": """SELECT count(*) AS vectors, count(*) FILTER (vec_id % 10 NOT IN (0, 3)) AS remaining, 'vectors,golden' AS pending, false AS complete FROM embeddings""",
     "generation_meta": f"""{ALL}, g AS (SELECT axis, spoke % 3 < 2 AS skipped FROM judged WHERE reason IS NULL)
       SELECT axis, count(*) AS targets, count(*) FILTER (NOT skipped) AS produced, count(*) FILTER (skipped) AS skipped, round(100.0 * count(*) FILTER (NOT skipped) / count(*), 2) AS produced_percent FROM g GROUP BY ROLLUP (axis)""",
     "skip_reasons": f"{ALL} SELECT CASE spoke % 3 WHEN 0 THEN 'model' ELSE 'quote gate' END AS reason, count(*) AS n FROM judged WHERE reason IS NULL AND spoke % 3 < 2 GROUP BY 1",

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import stats, text
-from ..operators import catalog, claims, contracts, drafts, gates, ledger, options, polarity, records, registry, scopes, trust, vectors
+from ..operators import catalog, claims, contracts, drafts, gates, layout, ledger, options, polarity, records, registry, scopes, trust, vectors
 from ..operators.shared import cut_lineage, numbered
 from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
 from ..sources import adapters
@@ -243,6 +243,60 @@ def scoped_fates(spark: SparkSession, d: str) -> DataFrame:
     return scoped_labels(spark, d)[1]
 
 
+def parity_fields(spark: SparkSession, d: str) -> DataFrame:
+    """Orders against a copy with other ratings, other dates, rows that lack and one row twice, field by field."""
+    r = adapters.reviews(spark, d)
+    a = r.select("review_id", F.struct("rating", F.struct("review_date", "likes").alias("more")).alias("raw"), "troubles", "skin_type")
+    n = F.col("review_id")
+    date = F.when(n % 350 == 0, "1970.01.01").otherwise(F.col("review_date"))
+    b = r.select("review_id", F.struct(F.when(n % 100 == 0, F.col("rating") + 1).otherwise(F.col("rating")).alias("rating"), F.struct(date.alias("review_date"), "likes").alias("more")).alias("raw"),
+                 F.when(n % 600 == 5, F.array().cast("array<string>")).otherwise(F.col("troubles")).alias("troubles"), F.when(n % 500 == 3, None).otherwise(F.col("skin_type")).alias("skin_type"), F.lit(1).alias("extra"))
+    b = b.where(n % 1001 != 1)
+    return contracts.field_differences(a.where(n % 1000 != 7), b.union(b.where(n == 8)), "review_id")
+
+
+def layout_rows(spark: SparkSession, d: str) -> DataFrame:
+    """The layouts of all candidate claims as stages, without gates."""
+    rows = cut_lineage(trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content")))
+    tags = cut_lineage(adapters.tags(spark, d))
+    member = cut_lineage(claims.cells(rows))
+    found = gates.sufficiency_gate(claims.candidates(member, tags)).withColumn("direction", stats.direction(F.col("pos"), F.col("neg"))).withColumn("subject", F.concat_ws("=", "axis", "segment"))
+    all_ = layout.totals(member.withColumn("month", text.month_of(F.col("review_date"))).join(tags, "review_id"), CELL)
+    made = layout.arranged(cut_lineage(found), cut_lineage(layout.truncate(cut_lineage(layout.first_quotes(member, tags, CELL)), CELL)), all_, CELL)
+    e, s, g = F.col("evidence_stage"), F.col("sufficiency_stage"), F.col("direction_stage")
+    quotes = F.array_join(F.transform(e["quotes"], lambda q: F.concat_ws(":", q["quote_rank"], q["polarity"], q["review_id"])), ";")
+    return made.select(
+        *KEY, F.col("condition_stage.text").alias("subject"), e["total"].alias("total"), e["shown"].alias("shown"), e["omitted"].alias("omitted"), e["first_month"].alias("first_month"), e["last_month"].alias("last_month"),
+        F.array_join(e["reserved"], ",").alias("reserved"), quotes.alias("quotes"), g["direction"].alias("direction"), g["spoke"].alias("spoke"), s["passed"].alias("passed"), s["silent"].alias("silent"))
+
+
+def layout_contract(spark: SparkSession, d: str) -> DataFrame:
+    """Candidate claims of the plain view whose counts by author and by review aren't of one cell: authors who speak twice."""
+    member = cut_lineage(claims.cells(adapters.reviews(spark, d)))
+    tags = cut_lineage(adapters.tags(spark, d))
+    found = cut_lineage(gates.sufficiency_gate(claims.candidates(member, tags)))
+    all_ = layout.totals(member.withColumn("month", text.month_of(F.col("review_date"))).join(tags, "review_id"), CELL)
+    return layout.arrangement_violations(found, polarity.aspect_support(member, tags, CELL), all_, CELL)
+
+
+def swap_specs() -> tuple[vectors.EmbeddingSpec, vectors.EmbeddingSpec]:
+    digest = vectors.vocabulary_digest(ASPECTS)
+    return tuple(vectors.EmbeddingSpec(f"emb-v{i}", f"some/model-{i}", 64, 512, f"aspect-v{i}", f"gold-v{i}", digest, ((f"emb-v{i}", f"aspect-v{i}", f"gold-v{i}"),)) for i in (1, 2))
+
+
+def swap_backfill(spark: SparkSession, d: str) -> DataFrame:
+    """A swap half done: which vectors of the table have to be made again, and why."""
+    k = F.col("vec_id") % 10
+    v = table(spark, d, "embeddings").withColumn("model", F.when(k < 4, "some/model-2").when(k < 8, "some/model-1").when(k == 8, "a/third")).withColumn("embedding_version", F.when(k < 4, "emb-v2").when(k < 9, "emb-v1"))
+    v = v.withColumn("embedding", F.when(k == 1, F.slice("embedding", 1, 63)).when(k == 2, None).otherwise(F.col("embedding")))
+    return vectors.backfill(v, *swap_specs())
+
+
+def swap_state(spark: SparkSession, d: str) -> DataFrame:
+    row = vectors.swap_barrier(swap_backfill(spark, d), vocabulary=True)
+    return row.withColumn("pending", F.array_join("pending", ","))
+
+
 def generation_results(spark: SparkSession, d: str) -> DataFrame:
     found, _, _ = judged(spark, d)
     skipped = F.when(F.col("spoke") % 3 == 0, F.concat(F.lit("model: "), "aspect")).when(F.col("spoke") % 3 == 1, "quote gate: nothing left")
@@ -316,6 +370,6 @@ def crawl_contract(spark: SparkSession, d: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
     claim_targets, target_slice, gate_parity, label_conditions, draft_contract, claim_rows, claim_round_trip, failure_order, condition_assertions, gated_payloads,
-    scoped_trace, scoped_fates, generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
+    scoped_trace, scoped_fates, parity_fields, layout_rows, layout_contract, swap_backfill, swap_state, generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
 )}
 ORACLES = {name: sql.QUERIES[name] for name in QUERIES}
