@@ -41,3 +41,12 @@ def test_directions(spark):
     rows = df.select(stats.direction(p, n), stats.verdict(p, n, u), stats.minority(p, n), stats.negative_ratio(p, n)).collect()
     assert [tuple(r) for r in rows] == [
         ("positive", "positive", None, 0.0), ("negative", "negative", None, 1.0), ("mixed", "mixed", 2, 0.6), ("neutral", "neutral_only", None, None), ("neutral", "silent", None, None)]
+
+
+def test_noise_thresholds_are_the_published_ones(spark):
+    from veridact.operators import polarity
+
+    sizes = spark.createDataFrame([(n,) for n in (8, 20, 50, 100, 200, 400, 400, None, 0, 1, 1_000_000)], "n long")
+    got = {r.n: r.min_minority for r in polarity.noise_thresholds(sizes).collect()}
+    big = got.pop(1_000_000)
+    assert got == {1: 1, 8: 2, 20: 3, 50: 5, 100: 7, 200: 12, 400: 20} and 33_000 < big < 33_400

@@ -18,8 +18,10 @@ def _nfc(s: pd.Series) -> pd.Series:
 
 
 def nfc(c: Column) -> Column:
-    """NFC; the JVM has no function for it, so only texts beyond ASCII go through Python."""
-    return F.when(c.rlike(r"[^\x00-\x7f]"), _nfc(c)).otherwise(c)
+    """NFC; the JVM has no function for it, so texts beyond ASCII go through Python. Rows of ASCII only
+    pass the worker as nulls: every batch crosses, their texts don't."""
+    odd = c.rlike(r"[^\x00-\x7f]")
+    return F.when(odd, _nfc(F.when(odd, c))).otherwise(c)
 
 
 def strip(c: Column) -> Column:
@@ -62,3 +64,14 @@ def sentiment_prior(rating: Column) -> Column:
 def date_rank(date: Column) -> Column:
     """A string that sorts the latest date first."""
     return F.translate(F.replace(date, F.lit("."), F.lit("-")), "0123456789", "9876543210")
+
+
+def goods_numbers(url: Column) -> Column:
+    """The different goods numbers in a url, in order; null for a null url."""
+    return F.array_distinct(F.regexp_extract_all(url, F.lit(r"\b(A\d{12})\b")))
+
+
+def outer_json(wrote: Column) -> Column:
+    """The object inside what a model wrote around it: reasoning blocks and fences go, the outermost braces stay. Empty where there are none."""
+    bare = F.regexp_replace(F.regexp_replace(wrote, "(?s)<reasoning>.*?</reasoning>", ""), "```(json)?", "")
+    return F.regexp_extract(bare, r"(?s)(\{.*\})", 1)

@@ -244,3 +244,14 @@ def stage_order_violations(layouts: DataFrame, stages: tuple[str, ...] = STAGES)
     wrong = F.exists(F.transform("stages", lambda s, i: ~s["stage"].eqNullSafe(i + 1)), lambda x: x)
     bad = F.when(F.col("stages").isNull(), "no_stages").when(keys != F.array(*map(F.lit, stages)), "stage_order").when(wrong, "stage_number")
     return layouts.select("id", bad.alias("violation")).where("violation is not null")
+
+
+def input_digests(rows: DataFrame, by: str, id_col: str, *columns: str, part: int = 1000) -> DataFrame:
+    """(by, digest): SHA-256 over each group's rows in order of id, in parts of `part` ids that are digested in turn.
+
+    A row is its id and columns as text, joined by U+241F, nulls left out. Parts are ranges of ids, so a task holds as many hashes as a
+    part has rows, and a group as many as it has parts. Repeated rows count; an empty table gives an empty result.
+    """
+    joined = lambda c: F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct(c, "h"))), lambda x: x["h"]), "\n"), 256)
+    r = rows.select(by, id_col, F.floor(F.col(id_col) / part).alias("part"), F.sha2(F.concat_ws("␟", id_col, *columns), 256).alias("h"))
+    return r.groupBy(by, "part").agg(joined(id_col).alias("h")).groupBy(by).agg(joined("part").alias("digest"))

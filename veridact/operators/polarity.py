@@ -94,3 +94,16 @@ def unconditional(support: DataFrame, policy: SufficiencyPolicy = SufficiencyPol
     found = seen.join(counted, ["product_id", "aspect"], "left").join(lost, ["product_id", "aspect"], "left")
     found = found.select("product_id", "aspect", *map(zero, ("compared", "splits", "flips", "contradicting_authors")), "skipped_unstated", "skipped_insufficient")
     return found.withColumn("holds", F.col("splits") == 0).withColumn("failure", F.when(~F.col("holds"), "missing_condition"))
+
+
+def noise_thresholds(sizes: DataFrame, policy: NoisePolicy = NoisePolicy()) -> DataFrame:
+    """(n, min_minority) for every different n of sizes: the smallest minority of n directional tags that isn't the tagger's noise.
+
+    Only numbers around the expected flips are tried, twelve deviations up, so the work grows with the root of n. Null or
+    zero n, and n too small for any minority to tell, give no row.
+    """
+    n = F.col("n")
+    mean = n * policy.flip_rate
+    up = F.ceil(mean + 12 * F.sqrt(mean * (1 - policy.flip_rate)) + 10)
+    rows = sizes.where("n > 0").select("n").distinct().select("n", F.explode(F.sequence(F.greatest(F.lit(1), F.floor(mean)), F.least(n.cast("long"), up))).alias("k"))
+    return rows.where(binom_sf(F.col("k"), n, policy.flip_rate) < policy.alpha).groupBy("n").agg(F.min("k").alias("min_minority"))

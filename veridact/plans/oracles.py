@@ -351,8 +351,8 @@ QUERIES = {
       CASE WHEN pos > 0 AND neg > 0 THEN 'mixed' WHEN pos > 0 THEN 'positive' WHEN neg > 0 THEN 'negative' WHEN neu > 0 THEN 'neutral_only' ELSE 'silent' END AS verdict,
       round(neg / nullif(pos + neg, 0), 4) AS negative_ratio, round(p, 6) AS minority_p,
       concat_ws(',', CASE WHEN pos > 0 AND neg > 0 AND p >= 0.05 THEN 'minority_within_tagger_noise' END, CASE WHEN pos + neg > 0 THEN 'tagger_direction_error' END) AS limitations FROM tested t""",
-    "noise_threshold": f"""WITH n AS (SELECT unnest([8, 20, 50, 100, 200, 400]) AS n), k AS (SELECT n, unnest(range(1, n + 1)) AS k FROM n)
-      SELECT n, CAST(min(k) AS INTEGER) AS min_minority FROM k WHERE {_binom('k', 'n', '0.033')} < 0.05 GROUP BY n""",
+    "noise_threshold": f"""{MEMBER}, sizes_of AS (SELECT DISTINCT pos + neg AS n FROM claims WHERE pos + neg > 0), tries AS (SELECT n, unnest(range(1, n + 1)) AS k FROM sizes_of)
+      SELECT n, min(k) AS min_minority FROM tries WHERE k <= n * 0.2 + 12 AND {_binom('k', 'n', '0.033')} < 0.05 GROUP BY n""",
     "rating_conflicts": f"{PLAIN}, {CONFLICTS} SELECT * FROM conflicts",
     "conflicts_by_kind": f"{PLAIN}, {CONFLICTS} SELECT kind, count(*) AS n FROM conflicts GROUP BY 1",
     "segment_splits": f"{MEMBER}, {SPLITS} SELECT * FROM splits",

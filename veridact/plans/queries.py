@@ -114,10 +114,9 @@ def aspect_support(spark: SparkSession, d: str) -> DataFrame:
 
 
 def noise_threshold(spark: SparkSession, d: str) -> DataFrame:
-    """The smallest minority that isn't tagger noise, for the line counts of orders' products."""
-    n = spark.createDataFrame([(8,), (20,), (50,), (100,), (200,), (400,)], "n int")
-    rows = n.select("n", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("k"))
-    return rows.where(stats.binom_sf(F.col("k"), F.col("n"), 0.033) < 0.05).groupBy("n").agg(F.min("k").alias("min_minority"))
+    """The smallest minority that isn't tagger noise, for the numbers of directional tags that products' cells have."""
+    found = claims.candidates(claims.cells(adapters.reviews(spark, d)), adapters.tags(spark, d))
+    return polarity.noise_thresholds(found.select((F.col("pos") + F.col("neg")).alias("n")))
 
 
 def rating_conflicts(spark: SparkSession, d: str) -> DataFrame:
@@ -348,16 +347,14 @@ def run_catalog(spark: SparkSession, d: str) -> DataFrame:
 def goods_in_urls(spark: SparkSession, d: str) -> DataFrame:
     """Goods numbers in page urls that carry one as a parameter; more or fewer than one is an error row."""
     url = F.concat("url", F.when(F.col("page_id") % 3 > 0, F.concat(F.lit("&goodsNo=A"), F.lpad(F.col("page_id").cast("string"), 12, "0"))).otherwise(""), F.when(F.col("page_id") % 3 == 2, "/A000000000001").otherwise(""))
-    ids = F.array_distinct(F.regexp_extract_all(url, F.lit(r"\b(A\d{12})\b")))
+    ids = text.goods_numbers(url)
     return table(spark, d, "pages").select("page_id", F.size(ids).alias("found"), F.when(F.size(ids) == 1, ids[0]).alias("goods_no"))
 
 
 def model_json(spark: SparkSession, d: str) -> DataFrame:
     """The answer inside what a model wrote around it: reasoning blocks and fences go, the outer braces stay."""
     wrote = F.concat(F.lit("<reasoning>{not this}</reasoning>\n```json\n{\"id\": "), F.col("conv_id").cast("string"), F.lit(", \"turn\": "), F.col("turn").cast("string"), F.lit("}\n```"))
-    bare = F.regexp_replace(F.regexp_replace(wrote, "(?s)<reasoning>.*?</reasoning>", ""), "```(json)?", "")
-    body = F.regexp_extract(bare, r"(?s)(\{.*\})", 1)
-    got = F.from_json(body, "id long, turn int")
+    got = F.from_json(text.outer_json(wrote), "id long, turn int")
     return table(spark, d, "conversations").select("conv_id", "turn", got["id"].alias("parsed_id"), got["turn"].alias("parsed_turn"))
 
 
@@ -379,9 +376,7 @@ def untagged_reviews(spark: SparkSession, d: str) -> DataFrame:
 
 def table_digest(spark: SparkSession, d: str) -> DataFrame:
     """Digest of each product's tagging input, in parts of a thousand ids that are digested in turn."""
-    r = adapters.reviews(spark, d).select("product_id", "review_id", F.sha2(F.concat_ws("␟", "review_id", "content", "rating"), 256).alias("h"))
-    part = r.groupBy("product_id", F.floor(F.col("review_id") / 1000).alias("part")).agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("review_id", "h"))), lambda x: x["h"]), "\n"), 256).alias("h"))
-    return part.groupBy("product_id").agg(F.sha2(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("part", "h"))), lambda x: x["h"]), "\n"), 256).alias("digest"))
+    return contracts.input_digests(adapters.reviews(spark, d), "product_id", "review_id", "content", "rating")
 
 
 def product_lines(spark: SparkSession, d: str) -> DataFrame:
