@@ -31,7 +31,8 @@ def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = M
     by = [*cell, "aspect"]
     rows = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id"))
     place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*rank_order()))
-    top = cut_lineage(rows.withColumn("quote_rank", place(*by).cast("long")).where(F.col("quote_rank") <= k))
+    top = rows.withColumn("quote_rank", place(*by)).where(F.col("quote_rank") <= k)  # cast behind the limit, or Spark doesn't see it
+    top = cut_lineage(top.withColumn("quote_rank", F.col("quote_rank").cast("long")))
     firsts = rows.withColumn("_f", place(*by, "polarity")).where("_f = 1").drop("_f")
     late = cut_lineage(firsts.join(top.select(*by, "polarity").distinct(), [*by, "polarity"], "left_anti"))
     at = F.struct(F.coalesce(-F.col("trust_score"), F.lit(float("inf"))), date_rank(F.col("review_date")), F.col("review_id"))
