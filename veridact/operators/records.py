@@ -11,19 +11,23 @@ from ..schemas import CODE_PREFIX, DROPPED_FIELDS, RAW_FIELDS, UNSTATED
 KNOWN_FIELDS = ("reviewId", *RAW_FIELDS, *DROPPED_FIELDS)
 
 
+def fields_found(json: Column, known: tuple[str, ...] = KNOWN_FIELDS) -> Column:
+    """array<struct<violation,field>> of one JSON object as text, as in field_violations."""
+    names = F.array(*map(F.lit, known))
+    keys = F.json_object_keys(json)
+    side = lambda kind, fields: F.transform(fields, lambda f: F.struct(F.lit(kind).alias("violation"), f.alias("field")))
+    none = F.array(F.struct(F.lit("not_an_object").alias("violation"), F.lit(None).cast("string").alias("field")))
+    return F.when(keys.isNull(), none).otherwise(F.concat(side("unknown_field", F.array_except(keys, names)), side("missing_field", F.array_except(names, keys))))
+
+
 def field_violations(rows: DataFrame, json_col: str = "json", known: tuple[str, ...] = KNOWN_FIELDS) -> DataFrame:
     """rows' other columns with (violation, field): fields beyond the contract, and fields that a row lacks.
 
     A row is one JSON object as text; null, or a text that is none, is not_an_object. A field that
     nobody placed is an error and never dropped in silence.
     """
-    names = F.array(*map(F.lit, known))
-    keys = F.json_object_keys(F.col(json_col))
-    side = lambda kind, fields: F.transform(fields, lambda f: F.struct(F.lit(kind).alias("violation"), f.alias("field")))
-    none = F.array(F.struct(F.lit("not_an_object").alias("violation"), F.lit(None).cast("string").alias("field")))
-    found = F.when(keys.isNull(), none).otherwise(F.concat(side("unknown_field", F.array_except(keys, names)), side("missing_field", F.array_except(names, keys))))
     rest = [c for c in rows.columns if c != json_col]
-    return rows.select(*rest, F.explode(found).alias("_v")).select(*rest, "_v.violation", "_v.field")
+    return rows.select(*rest, F.explode(fields_found(F.col(json_col), known)).alias("_v")).select(*rest, "_v.violation", "_v.field")
 
 
 def drop_fields(raw: DataFrame) -> DataFrame:

@@ -50,6 +50,8 @@ QUERIES = {
       f AS (SELECT review_id, k, list_concat(list_filter({_KNOWN}, lambda n: n <> 'hasPhoto' OR k <> 3), CASE WHEN k = 5 THEN ['rank', 'shade'] ELSE [] END) AS names FROM r WHERE k <> 7)
       SELECT review_id, 'unknown_field' AS violation, unnest(list_filter(names, lambda n: NOT list_contains({_KNOWN}, n))) AS field FROM f UNION ALL
       SELECT review_id, 'missing_field', unnest(list_filter({_KNOWN}, lambda n: NOT list_contains(names, n))) FROM f UNION ALL SELECT review_id, 'not_an_object', NULL FROM r WHERE k = 7""",
+    "array_reviews": f"""{PLAIN} SELECT review_id AS "reviewId", content || ' }}{{"a": [\\"]}}' AS content, rating, review_date AS "reviewDate", CAST(author AS VARCHAR) AS "userName", option, skin_type AS "skinType",
+      array_to_string(troubles, ',') AS troubles, CAST(likes AS INTEGER) AS "recommendCount" FROM reviews""",
     "review_records": f"""{PLAIN}, c AS (SELECT *, CASE WHEN review_id % 5 <> 0 THEN skin_type END AS t, list_sort(list_distinct(CASE WHEN review_id % 5 = 1 THEN list_append(troubles, 'C03') ELSE troubles END)) AS codes FROM reviews)
       SELECT review_id, product_id, content, rating, review_id % 5 = 2 AS "hasPhoto", t AS "skinType_code", t IS NOT NULL AS "skinType_stated", coalesce(t, '미기재') AS "skinType_segment", option AS option_code,
         option IS NOT NULL AS option_stated, coalesce(option, '미기재') AS option_segment, array_to_string(codes, ',') AS "skinTrouble_codes", CASE WHEN len(codes) > 0 THEN array_to_string(codes, ',') ELSE '미기재' END AS "skinTrouble_segments",

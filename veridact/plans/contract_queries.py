@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 
 from ..functions import stats, text
 from ..operators import catalog, claims, contracts, drafts, gates, layout, ledger, options, polarity, records, registry, scopes, trust, vectors
-from ..operators.shared import cut_lineage, numbered
+from ..operators.shared import cut_lineage, numbered, scratch_path
 from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
-from ..sources import adapters
+from ..sources import adapters, json_arrays
 from ..sources.adapters import table
 from . import contract_oracles as sql
 from .queries import CELL, cutoff_month, gated, golden_targets, golden_trace, judged, option_index
@@ -367,8 +367,19 @@ def crawl_contract(spark: SparkSession, d: str) -> DataFrame:
     return found.where("violation = 'unknown_field'").groupBy("field").agg(F.count("*").alias("rows"))
 
 
+def array_reviews(spark: SparkSession, d: str) -> DataFrame:
+    """The review view written as JSON arrays, with texts full of marks, and read back under the closed schema."""
+    r = adapters.reviews(spark, d)
+    made = {"reviewId": F.col("review_id"), "content": F.concat("content", F.lit(' }{"a": [\\"]}')), "rating": F.col("rating"), "reviewDate": F.col("review_date"),
+            "userName": F.col("author").cast("string"), "option": F.col("option"), "skinType": F.col("skin_type"), "skinTrouble": F.col("troubles"), "recommendCount": F.col("likes").cast("int")}
+    path = scratch_path(spark)
+    json_arrays.write(r.select(*[made.get(f, F.lit(None).cast("string")).alias(f) for f in records.KNOWN_FIELDS]), path)
+    back = adapters.read_reviews(spark, path)
+    return back.select("reviewId", "content", "rating", "reviewDate", "userName", "option", "skinType", F.array_join("skinTrouble", ",").alias("troubles"), "recommendCount")
+
+
 QUERIES = {f.__name__: f for f in (
-    closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
+    array_reviews, closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
     claim_targets, target_slice, gate_parity, label_conditions, draft_contract, claim_rows, claim_round_trip, failure_order, condition_assertions, gated_payloads,
     scoped_trace, scoped_fates, parity_fields, layout_rows, layout_contract, swap_backfill, swap_state, generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
 )}

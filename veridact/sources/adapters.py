@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.contracts import assert_none
-from ..operators.records import field_violations
 from ..schemas import RAW_REVIEW, TAG
+from . import json_arrays
+
+
+PRODUCT = "product_id STRING, renewal_policy STRING, from_month STRING, to_month STRING"
+PRODUCT_FIELDS = ("product_id", "renewal_policy", "from_month", "to_month")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,16 +18,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_reviews(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON array of raw reviews, under the closed schema: a field beyond it, or one that a row lacks, stops."""
-    whole = spark.read.text(path, wholetext=True).select(F.explode(F.from_json("value", "array<string>")).alias("json"))
-    assert_none(field_violations(whole).distinct(), "fields out of contract")
-    return spark.read.schema(RAW_REVIEW).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    """JSON arrays of raw reviews, under the closed schema: a field beyond it, or one that a row lacks, stops.
+
+    A file of any size is read by many tasks (json_arrays).
+    """
+    return json_arrays.read(spark, path, RAW_REVIEW)
 
 
 def read_tags(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TAG).option("mode", "FAILFAST").json(path)
 
 
+def load_inputs(spark: SparkSession, reviews_path: str, tags_path: str, products_path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(reviews, tags, products) of the gates; every input that is missing is named before anything is read.
+
+    Reviews and products are JSON arrays, tags JSON lines. Tags of one review stay rows: operators join them by review.
+    """
+    json_arrays.present(spark, reviews=reviews_path, tags=tags_path, products=products_path)
+    products = json_arrays.read(spark, products_path, PRODUCT, PRODUCT_FIELDS)
+    return read_reviews(spark, reviews_path), read_tags(spark, tags_path), products
+
+
 #: A page of the review API, one JSON object a review (fixed field names).
 API_REVIEW = (
     "reviewId BIGINT, content STRING, reviewScore INT, usefulPoint DOUBLE, recommendCount INT, createdDateTime STRING, reviewType STRING, "
