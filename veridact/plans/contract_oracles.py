@@ -52,6 +52,11 @@ QUERIES = {
       SELECT review_id, 'missing_field', unnest(list_filter({_KNOWN}, lambda n: NOT list_contains(names, n))) FROM f UNION ALL SELECT review_id, 'not_an_object', NULL FROM r WHERE k = 7""",
     "array_reviews": f"""{PLAIN} SELECT review_id AS "reviewId", content || ' }}{{"a": [\\"]}}' AS content, rating, review_date AS "reviewDate", CAST(author AS VARCHAR) AS "userName", option, skin_type AS "skinType",
       array_to_string(troubles, ',') AS troubles, CAST(likes AS INTEGER) AS "recommendCount" FROM reviews""",
+    "file_codebook": f"""{PLAIN}, used AS (SELECT 'skinTrouble' AS axis, unnest(troubles) AS code FROM reviews UNION ALL SELECT 'skinType', 'A' || lpad(CAST(c_nationkey AS VARCHAR), 2, '0') FROM customer UNION ALL
+      SELECT 'skinTone', 'B' || lpad(CAST(n_regionkey AS VARCHAR), 2, '0') FROM nation), n AS (SELECT axis, code, count(*) AS uses FROM used GROUP BY ALL),
+      book AS (SELECT 'skinType' AS axis, 'A' || lpad(CAST(n_nationkey AS VARCHAR), 2, '0') AS code, n_name AS label FROM nation UNION ALL SELECT 'skinTone', 'B' || lpad(CAST(r_regionkey AS VARCHAR), 2, '0'), r_name FROM region UNION ALL
+      SELECT DISTINCT 'skinTrouble', 'C0' || substr(p_brand, 7, 1), 'brand ' || substr(p_brand, 7, 1) FROM part)
+      SELECT axis, code, label, coalesce(uses, 0) AS uses FROM book LEFT JOIN n USING (axis, code)""",
     "review_records": f"""{PLAIN}, c AS (SELECT *, CASE WHEN review_id % 5 <> 0 THEN skin_type END AS t, list_sort(list_distinct(CASE WHEN review_id % 5 = 1 THEN list_append(troubles, 'C03') ELSE troubles END)) AS codes FROM reviews)
       SELECT review_id, product_id, content, rating, review_id % 5 = 2 AS "hasPhoto", t AS "skinType_code", t IS NOT NULL AS "skinType_stated", coalesce(t, '미기재') AS "skinType_segment", option AS option_code,
         option IS NOT NULL AS option_stated, coalesce(option, '미기재') AS option_segment, array_to_string(codes, ',') AS "skinTrouble_codes", CASE WHEN len(codes) > 0 THEN array_to_string(codes, ',') ELSE '미기재' END AS "skinTrouble_segments",

@@ -9,7 +9,7 @@ from ..functions import stats, text
 from ..operators import catalog, claims, contracts, drafts, gates, layout, ledger, options, polarity, records, registry, scopes, trust, vectors
 from ..operators.shared import cut_lineage, numbered, scratch_path
 from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
-from ..sources import adapters, json_arrays
+from ..sources import adapters, json_arrays, vocabularies
 from ..sources.adapters import table
 from . import contract_oracles as sql
 from .queries import CELL, cutoff_month, gated, golden_targets, golden_trace, judged, option_index
@@ -378,8 +378,30 @@ def array_reviews(spark: SparkSession, d: str) -> DataFrame:
     return back.select("reviewId", "content", "rating", "reviewDate", "userName", "option", "skinType", F.array_join("skinTrouble", ",").alias("troubles"), "recommendCount")
 
 
+def file_codebook(spark: SparkSession, d: str) -> DataFrame:
+    """A codebook of the tables' dimensions, written as a file, loaded under its contract, and how often its codes are used."""
+    nation, region = table(spark, d, "nation"), table(spark, d, "region")
+    code = lambda letter, n: F.concat(F.lit(letter), F.lpad(n.cast("string"), 2, "0")).alias("code")
+    trouble = F.substring("p_brand", 7, 1)
+    entries = (
+        nation.select(F.lit("skinType").alias("axis"), code("A", F.col("n_nationkey")), F.col("n_name").alias("label"))
+        .union(region.select(F.lit("skinTone"), code("B", F.col("r_regionkey")), "r_name"))
+        .union(table(spark, d, "part").select(F.lit("skinTrouble"), code("C", trouble), F.concat(F.lit("brand "), trouble)).distinct())
+    )
+    path = scratch_path(spark)
+    axes = entries.groupBy("axis").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("code", "label")))).alias("m"))
+    axes.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("axis", F.map_entries("m").alias("m"))))).alias("m")).select(
+        F.to_json(F.transform_values("m", lambda k, v: F.map_from_entries(v))).alias("value")).coalesce(1).write.text(path)
+    found = (
+        table(spark, d, "customer").select(F.lit("skinType").alias("axis"), code("A", F.col("c_nationkey")))
+        .union(nation.select(F.lit("skinTone"), code("B", F.col("n_regionkey"))))
+        .union(adapters.reviews(spark, d).select(F.lit("skinTrouble"), F.explode("troubles")))
+    )
+    return vocabularies.labelled_uses(found, vocabularies.codebook(spark, path).value)
+
+
 QUERIES = {f.__name__: f for f in (
-    array_reviews, closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
+    array_reviews, file_codebook, closed_fields, review_records, condition_codes, photo_trust, dedup_keys, reject_registry, stance_overlaps, outside_authors, silent_cells, shade_axes, option_scopes,
     claim_targets, target_slice, gate_parity, label_conditions, draft_contract, claim_rows, claim_round_trip, failure_order, condition_assertions, gated_payloads,
     scoped_trace, scoped_fates, parity_fields, layout_rows, layout_contract, swap_backfill, swap_state, generation_meta, skip_reasons, vector_stamps, golden_misses, claim_order, conflict_order, split_order, count_order, stage_order, crawl_contract,
 )}
