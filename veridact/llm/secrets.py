@@ -3,9 +3,9 @@
 Patterns give the base spans. Every other long token with the look of a key is a candidate: a numpy
 network reads its characters and those around it. It is trained on labelled findings (by default
 the base findings of a sample against that sample's other candidates, with and without their key
-names in sight), its scores are calibrated on findings it was not trained on, and each look of
-token (hex, upper case and digits, mixed) gets the highest threshold that still recalls
-MIN_RECALL of those findings.
+names in sight), its scores are calibrated on findings held out by row (a token found more than once
+may be in both parts), and each look of token (hex, upper case and digits, mixed) gets the highest
+threshold that still recalls MIN_RECALL of those findings.
 """
 
 from __future__ import annotations
