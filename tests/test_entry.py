@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.001"
 NAMES = [
     "ingest_records", "trust_scores", "identity_gate", "duplicate_gate", "candidate_claims", "aspect_support", "rating_conflicts", "segment_splits", "option_index", "option_scope", "kept_quotes",
     "quote_verdicts", "quote_outcomes", "quote_walk", "quote_ledger", "quote_gate_summary", "gated_payloads", "unconditional_check", "folded_texts", "tag_partition", "resolved_goods", "claim_confidence", "ingest_profile", "trust_profile", "lineages", "condition_subjects", "claim_contract",
-    "golden_contract", "layout_text", "api_reviews", "table_digest", "closed_fields", "review_records", "photo_trust", "claim_rows", "golden_misses", "label_conditions",
+    "golden_contract", "layout_text", "api_reviews", "table_digest", "closed_fields", "review_records", "photo_trust", "claim_rows", "golden_misses", "label_conditions", "array_reviews", "file_codebook",
 ]
 
 
