@@ -97,7 +97,8 @@ def components(edges: DataFrame, save: Callable[[DataFrame], DataFrame] = materi
 
     edges: columns u, v of one sortable type. Large-star and small-star steps alternate until the graph is a forest
     of stars; rounds grow with the logarithm of the diameter. Every minimum is pre-aggregated and
-    written by save before it is joined back, so a hub with a third of the edges is split by AQE.
+    written by save before it is joined back, so a hub with a third of the edges is split by AQE. The minima grow
+    with the graph, so they are merged, never broadcast: the driver holds no part of the graph.
     Nodes without edges aren't in the result; empty edges give an empty result.
     """
     e = save(
@@ -106,9 +107,9 @@ def components(edges: DataFrame, save: Callable[[DataFrame], DataFrame] = materi
     while not _stars(e):
         both = e.select("u", "v").union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = save(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
-        large = save(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
+        large = save(both.join(low.hint("merge"), "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         low = save(large.groupBy("u").agg(F.min("v").alias("m")))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = large.join(low.hint("merge"), "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         e = save(small.union(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

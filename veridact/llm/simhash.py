@@ -11,6 +11,8 @@ Groups of copies are never expanded into pairs. Equal fingerprints are one class
 first links its members to one hub (the fingerprint of most documents); what shares a component by
 then needs no further links, and only buckets that still hold several components are searched pair
 by pair, and there only the members outside the bucket's largest component.
+
+What is joined grows with the input, so all joins are merges by hint: a broadcast would pass a table through the driver.
 """
 
 from __future__ import annotations
@@ -100,7 +102,7 @@ def link(fps: DataFrame) -> DataFrame:
     flips = [0, *(1 << j for j in range(WIDTH))]
     probes = fps.select(F.explode(F.array(*[_key(fp, i, x) for i in range(SEGMENTS) for x in flips])).alias("key"), "fp")
     # every probe that meets a bucket, apart from a lone member meeting itself
-    met = materialize(probes.join(hubs, "key").where("not (size = 1 and fp = hub)"))
+    met = materialize(probes.join(hubs.hint("merge"), "key").where("not (size = 1 and fp = hub)"))
     position = F.shiftright("key", 32)
 
     def near(rows: DataFrame, a: str, b: str) -> DataFrame:
@@ -111,19 +113,19 @@ def link(fps: DataFrame) -> DataFrame:
     # buckets of several members that still meet more than one component
     named = first.select(F.col("node").alias("fp"), "root")
     shared = met.where("size > 1").select("key", "fp", F.lit(False).alias("inside"))
-    members = index.join(hubs.where("size > 1").select("key"), "key").select("key", "fp", F.lit(True).alias("inside"))
-    placed = shared.unionByName(members).join(named, "fp", "left").select("key", "fp", "inside", F.coalesce("root", "fp").alias("comp"))
+    members = index.join(hubs.where("size > 1").select("key").hint("merge"), "key").select("key", "fp", F.lit(True).alias("inside"))
+    placed = shared.unionByName(members).join(named.hint("merge"), "fp", "left").select("key", "fp", "inside", F.coalesce("root", "fp").alias("comp"))
     placed = materialize(placed)
     mixed = materialize(
         placed.groupBy("key", "comp").agg(F.count("*").alias("c"))
         .groupBy("key").agg(F.max(F.struct("c", "comp")).alias("top"), F.count("*").alias("comps"))
         .where("comps > 1").select("key", F.col("top.comp").alias("major"))
     )
-    left = materialize(placed.join(mixed, "key"))
+    left = materialize(placed.join(mixed.hint("merge"), "key"))
     member = left.where("inside").select("key", F.col("fp").alias("other"), F.col("comp").alias("other_comp"), F.col("major").alias("other_major"))
     probe = left.where("not inside").select("key", "fp", "comp", "major")
-    pairs = probe.where("comp <> major").drop("major").join(member.drop("other_major"), "key").where("comp <> other_comp").unionByName(
-        probe.drop("major").join(member.where("other_comp <> other_major").drop("other_major"), "key").where("comp <> other_comp"))
+    pairs = probe.where("comp <> major").drop("major").join(member.drop("other_major").hint("merge"), "key").where("comp <> other_comp").unionByName(
+        probe.drop("major").join(member.where("other_comp <> other_major").drop("other_major").hint("merge"), "key").where("comp <> other_comp"))
     x, y = F.col("fp"), F.col("other")
     late = pairs.where(_viable(x, y, position) & (hamming(x, y) <= MAX_BITS)).select(F.col("comp").alias("u"), F.col("other_comp").alias("v"))
     late = materialize(late.distinct())
@@ -131,8 +133,8 @@ def link(fps: DataFrame) -> DataFrame:
         return named
     merged = components(late).select(F.col("node").alias("root"), F.col("root").alias("final"))
     # a comp that linked late may be a fingerprint without earlier links
-    alone = late.select(F.col("u").alias("fp")).union(late.select(F.col("v").alias("fp"))).distinct().join(named, "fp", "left_anti").select("fp", F.col("fp").alias("root"))
-    return named.union(alone).join(merged, "root", "left").select("fp", F.coalesce("final", "root").alias("root"))
+    alone = late.select(F.col("u").alias("fp")).union(late.select(F.col("v").alias("fp"))).distinct().join(named.hint("merge"), "fp", "left_anti").select("fp", F.col("fp").alias("root"))
+    return named.union(alone).join(merged.hint("merge"), "root", "left").select("fp", F.coalesce("final", "root").alias("root"))
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3) -> DataFrame:
@@ -146,10 +148,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marks = materialize(fingerprints(docs, id_col, text_col, words))
     classes = materialize(marks.groupBy("fp").agg(F.count("*").alias("n"), F.min("id").alias("low")))
     roots = link(classes.select("fp", "n"))
-    rooted = materialize(classes.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")))
+    rooted = materialize(classes.join(roots.hint("merge"), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root")))
     lows = materialize(rooted.groupBy("root").agg(F.min("low").alias("component")))
-    named = materialize(rooted.select("fp", "root").join(lows, "root").select("fp", "component"))
-    return marks.join(named, "fp").select("id", "fp", "component")
+    named = materialize(rooted.select("fp", "root").join(lows.hint("merge"), "root").select("fp", "component"))
+    return marks.join(named.hint("merge"), "fp").select("id", "fp", "component")
 
 
 # --- near copies by similarity of five-word shingles -------------------------------------------
