@@ -54,7 +54,9 @@ def fisher_two_sided(a: Column, b: Column, c: Column, d: Column) -> Column:
     """Two-sided exact test of [[a, b], [c, d]]: the tables no likelier than the one seen; empty margins give 1.
 
     Tables are weighed against the one seen, whose probability is in closed form, by the ratio of
-    each to the one before: one pass up and one down.
+    each to the one before: one pass up and one down. Beyond twelve deviations and sixty places from the mean all tables
+    together have less than 1e-30, so passes end there and the work grows with the square root of the counts; a table
+    seen beyond that is weighed with the sixty next to it, away from the mean.
     """
     row1, row2, col1 = a + b, c + d, a + c
     rest = row2 - col1
@@ -69,8 +71,13 @@ def fisher_two_sided(a: Column, b: Column, c: Column, d: Column) -> Column:
 
         return F.aggregate(steps, F.struct(F.lit(1.0).alias("weight"), F.lit(0.0).alias("total")), add, lambda acc: acc["total"])
 
-    above = side(_steps(a + 1, F.least(row1, col1)), up)
-    below = side(F.reverse(_steps(F.greatest(F.lit(0), -rest), a - 1)), down)
+    n, x = (row1 + row2).cast("double"), a.cast("long")
+    mean = row1.cast("double") * col1 / n
+    reach = 12 * F.sqrt(mean * (row2 / n) * ((b + d) / F.greatest(n - 1, F.lit(1.0)))) + 60
+    top = F.when(x < F.floor(mean - reach), x).otherwise(F.greatest(F.ceil(mean + reach), x + 60))
+    bottom = F.when(x > F.ceil(mean + reach), x).otherwise(F.least(F.floor(mean - reach), x - 60))
+    above = side(_steps(a + 1, F.least(row1, col1, top)), up)
+    below = side(F.reverse(_steps(F.greatest(F.lit(0), -rest, bottom), a - 1)), down)
     empty = (row1 == 0) | (row2 == 0) | (col1 == 0) | (b + d == 0)
     return F.when(empty, 1.0).otherwise(F.least(seen * (1 + above + below), F.lit(1.0)))
 
