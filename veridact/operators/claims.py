@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import POLARITIES, UNSTATED
+from .shared import cut_lineage, spread
 
 
 def cells(reviews: DataFrame) -> DataFrame:
@@ -22,15 +23,21 @@ def cell_sizes(member: DataFrame) -> DataFrame:
 
 
 def candidates(member: DataFrame, tags: DataFrame) -> DataFrame:
-    """Distinct authors of each stance for every cell and aspect someone spoke of, with the cell's size."""
-    said = member.join(tags, "review_id")
-    cell = ["product_id", "axis", "segment", "aspect"]
+    """Distinct authors of each stance for every cell and aspect someone spoke of, with the cell's size.
+
+    Members and what they said are written and counted first, so that tasks grow in number, not in size.
+    """
+    place = ["product_id", "axis", "segment"]
+    cell = [*place, "aspect"]
+    member = cut_lineage(member.select(*place, "author", "review_id"))
+    said = cut_lineage(member.join(tags, "review_id").select(*cell, "author", "polarity"))
+    said = spread(said, said.count(), *cell, "author")
     stance = lambda p: F.max((F.col("polarity") == p).cast("int")).alias(p)
     each = said.groupBy(*cell, "author").agg(*map(stance, POLARITIES))  # one row an author: no row is expanded
     spoke = F.count("author").alias("spoke")
     n = lambda p, name: F.count(F.when((F.col(p) == 1) & F.col("author").isNotNull(), 1)).alias(name)
     counted = each.groupBy(*cell).agg(n("positive", "pos"), n("negative", "neg"), n("neutral", "neu"), spoke)
-    return counted.join(cell_sizes(member), ["product_id", "axis", "segment"])
+    return counted.join(cell_sizes(spread(member.drop("review_id"), member.count(), *place, "author").distinct()), place)
 
 
 def claim_id(product: str = "product_id", axis: str = "axis", segment: str = "segment", aspect: str = "aspect"):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.stats import minority
 from ..functions.text import month_of
 from ..schemas import ContractError, SufficiencyPolicy
-from .shared import cut_lineage, linked, scratch_path
+from .shared import cut_lineage, linked, scratch_path, spread
 
 
 def identity_gate(reviews: DataFrame, products: DataFrame, cutoff: Column | str, option: Column | None = None) -> DataFrame:
@@ -146,7 +146,8 @@ def stance_overlaps(said: DataFrame) -> DataFrame:
     said: cells joined with tags. The duplicate gate's survivors have none.
     """
     keys = ["product_id", "axis", "segment", "aspect", "author"]
-    return said.select(*keys, "polarity").distinct().groupBy(*keys).agg(F.count("*").cast("int").alias("stances")).where("stances > 1")
+    said = cut_lineage(said.select(*keys, "polarity"))
+    return spread(said, said.count(), *keys).distinct().groupBy(*keys).agg(F.count("*").cast("int").alias("stances")).where("stances > 1")
 
 
 def authors_outside(said: DataFrame, member: DataFrame) -> DataFrame:

@@ -34,6 +34,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Rows that one task aggregates or sorts, about.
+TASK_ROWS = 250_000
+
+
+def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """df dealt by keys over tasks of about TASK_ROWS of its `rows`; small ones stay as they are.
+
+    Shuffles have a fixed number of partitions, so what a task holds would grow with the input.
+    """
+    n = -(-rows // TASK_ROWS)
+    return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     """Null-safe equality of the columns `names` with the right side's, there called _r0, _r1, ..."""
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r{i}"]) for i, c in enumerate(names)])
@@ -45,14 +58,28 @@ def numbered(df: DataFrame, by: list[str], order: list[Column], name: str) -> Da
     Rows are dealt by ranges of (group, order), numbered inside their range, and raised by the rows of
     the group's earlier ranges, so a group with a third of all rows is shared by many tasks.
     """
-    ranges = df.repartitionByRange(*map(F.col, by), *order).withColumn("_part", F.spark_partition_id())
-    dealt = cut_lineage(ranges)  # ranges are drawn by sampling: they must not be drawn twice
-    own = dealt.withColumn("_own", F.row_number().over(Window.partitionBy(*by, "_part").orderBy(*order)))
-    counts = dealt.groupBy(*by, "_part").agg(F.count("*").alias("_n"))
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    before = counts.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate([*by, "_part"])], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
-    rows = own.join(before, same(own, before, [*by, "_part"]))
-    return rows.withColumn(name, F.col("_before") + F.col("_own")).select(*df.columns, name)
+    return dealt(df, by, order, {name: []})
+
+
+def dealt(df: DataFrame, by: list[str], order: list[Column], names: dict[str, list[str]]) -> DataFrame:
+    """numbered() under several names at once: each counts within the groups of `by` and its own further columns.
+
+    df is read twice (its ranges are drawn by sampling), so it should be a table. Ranges hold about TASK_ROWS rows.
+    """
+    n = max(-(-df.count() // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    ranges = df.repartitionByRange(n, *map(F.col, by), *order).withColumn("_part", F.spark_partition_id())
+    rows = ranges = cut_lineage(ranges)  # they must not be drawn twice
+    if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        rows = rows.repartition(n, *by, "_part")
+    for i, (name, more) in enumerate(names.items()):
+        rows = rows.withColumn(name, F.row_number().over(Window.partitionBy(*by, *more, "_part").orderBy(*order)))
+    for name, more in names.items():
+        counts = ranges.groupBy(*by, *more, "_part").agg(F.count("*").alias("_n"))
+        earlier = Window.partitionBy(*by, *more).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+        keys = [*by, *more, "_part"]
+        before = cut_lineage(counts.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)], F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")))
+        rows = rows.join(before, same(rows, before, keys)).withColumn(name, F.col("_before") + F.col(name)).drop(*[c for c in before.columns])
+    return rows.select(*df.columns, *names)
 
 
 def percent_below(df: DataFrame, by: str, value: str, name: str) -> DataFrame:
