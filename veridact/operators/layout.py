@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import date_rank
 from ..schemas import MAX_QUOTES
-from .shared import cut_lineage, numbered
+from .shared import cut_lineage, dealt, same
 from .trust import rank_order
 
 
@@ -16,28 +16,44 @@ def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFr
 
     Only what ranks and names a quote is carried; texts are joined to the few that are shown.
     """
-    rows = member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id")
+    rows = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id"))
     by = [*cell, "aspect"]
-    return numbered(numbered(rows, by, rank_order(), "quote_rank"), [*by, "polarity"], rank_order(), "polarity_rank")
+    return dealt(rows, by, rank_order(), {"quote_rank": [], "polarity_rank": ["polarity"]})
+
+
+def _step(score: Column) -> Column:
+    """A score's step of 1/128, higher for higher scores, in the order of rank_order(): NaN first, null last."""
+    return F.when(score.isNull(), -(1 << 62)).when(F.isnan(score), 1 << 62).otherwise(F.floor(score * 128).cast("long"))
 
 
 def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
     """Of ranked_quotes() the rows that truncate() can keep: the k first of each cell and aspect, and each polarity's first.
 
-    Both are top-k windows, which Spark cuts in every task before it shuffles. A polarity's first beyond the k is
-    numbered by counting what stands before it, for those groups only. Rows that tie in score and date go by review_id; null
+    Rows are counted by steps of the score first; only those of the steps that hold a group's k first, or a polarity's
+    first, are sorted, so no task sorts all rows. A polarity's first beyond the k is numbered by the counts of the steps
+    before it and by what stands before it in its own. Rows that tie in score and date go by review_id; null
     scores are last.
     """
     by = [*cell, "aspect"]
-    rows = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id"))
+    all_ = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id").withColumn("_step", _step(F.col("trust_score"))))
+    counts = cut_lineage(all_.groupBy(*by, "polarity", "_step").agg(F.count("*").alias("_n")))
+    above = Window.partitionBy(*by).orderBy(F.desc("_step"))  # peers count together
+    reached = counts.withColumn("_sum", F.sum("_n").over(above)).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
+    last = F.max(F.when(F.col("_sum") >= F.least(F.lit(k), F.col("_all")), F.col("_step"))).over(Window.partitionBy(*by))
+    limits = reached.withColumn("_last", last).groupBy(*by, "polarity").agg(F.least(F.max("_step"), F.max("_last")).alias("_low"))
+    keys = [*by, "polarity"]
+    limits = cut_lineage(limits.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)], "_low"))
+    rows = cut_lineage(all_.join(limits, same(all_, limits, keys)).where("_step >= _low").select(*[c for c in all_.columns if c != "_step"]))
     place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*rank_order()))
     top = rows.withColumn("quote_rank", place(*by)).where(F.col("quote_rank") <= k)  # cast behind the limit, or Spark doesn't see it
     top = cut_lineage(top.withColumn("quote_rank", F.col("quote_rank").cast("long")))
     firsts = rows.withColumn("_f", place(*by, "polarity")).where("_f = 1").drop("_f")
     late = cut_lineage(firsts.join(top.select(*by, "polarity").distinct(), [*by, "polarity"], "left_anti"))
     at = F.struct(F.coalesce(-F.col("trust_score"), F.lit(float("inf"))), date_rank(F.col("review_date")), F.col("review_id"))
-    marks = late.select(*by, F.col("polarity").alias("_p"), at.alias("_at"))
-    before = rows.join(marks, by).where(at < F.col("_at")).groupBy(*by, F.col("_p").alias("polarity")).agg((F.count("*") + 1).alias("quote_rank"))
+    marks = cut_lineage(late.select(*by, F.col("polarity").alias("_p"), at.alias("_at"), _step(F.col("trust_score")).alias("_s")))
+    inside = all_.join(marks.withColumn("_step", F.col("_s")), [*by, "_step"]).where(at < F.col("_at")).groupBy(*by, "_p").agg(F.count("*").alias("_n"))
+    higher = counts.join(marks, by).where(F.col("_step") > F.col("_s")).select(*by, "_p", "_n")
+    before = inside.union(higher).groupBy(*by, F.col("_p").alias("polarity")).agg((F.sum("_n") + 1).alias("quote_rank"))
     near = top.unionByName(late.join(before, [*by, "polarity"]).select(*top.columns))
     return near.withColumn("polarity_rank", F.row_number().over(Window.partitionBy(*by, "polarity").orderBy("quote_rank")).cast("long"))
 
@@ -96,8 +112,12 @@ def render(claims: DataFrame, quotes: DataFrame, cell: list[str]) -> DataFrame:
 
 
 def totals(rows: DataFrame, cell: list[str]) -> DataFrame:
-    """(cell, aspect, quotes, first_month, last_month) of all quotes, those that aren't shown too. rows: cells joined with tags, with month."""
-    return rows.groupBy(*cell, "aspect").agg(F.count("*").alias("quotes"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
+    """(cell, aspect, quotes, first_month, last_month) of all quotes, those that aren't shown too. rows: cells joined with tags, with month.
+
+    Months are counted first: the least and the last of texts are found by sorting, and there are few months.
+    """
+    months = rows.groupBy(*cell, "aspect", "month").agg(F.count("*").alias("_n"))
+    return months.groupBy(*cell, "aspect").agg(F.sum("_n").alias("quotes"), F.min("month").alias("first_month"), F.max("month").alias("last_month"))
 
 
 def arranged(claims: DataFrame, shown: DataFrame, found: DataFrame, cell: list[str]) -> DataFrame:

@@ -57,4 +57,4 @@ def rank_order() -> list[Column]:
 
 
 def ranked(scored: DataFrame) -> DataFrame:
-    return numbered(scored, ["product_id"], rank_order(), "rank")
+    return numbered(cut_lineage(scored), ["product_id"], rank_order(), "rank")

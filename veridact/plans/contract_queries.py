@@ -257,9 +257,9 @@ def parity_fields(spark: SparkSession, d: str) -> DataFrame:
 
 def layout_rows(spark: SparkSession, d: str) -> DataFrame:
     """The layouts of all candidate claims as stages, without gates."""
-    rows = cut_lineage(trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content")))
     tags = cut_lineage(adapters.tags(spark, d))
-    member = cut_lineage(claims.cells(rows))
+    rows = cut_lineage(trust.signals(adapters.reviews(spark, d), tagged=tags).select("review_id", "product_id", "author", "skin_type", "troubles", "trust_score", "review_date"))
+    member = cut_lineage(claims.cells(rows).drop("skin_type", "troubles"))
     found = gates.sufficiency_gate(claims.candidates(member, tags)).withColumn("direction", stats.direction(F.col("pos"), F.col("neg"))).withColumn("subject", F.concat_ws("=", "axis", "segment"))
     all_ = layout.totals(member.withColumn("month", text.month_of(F.col("review_date"))).join(tags, "review_id"), CELL)
     made = layout.arranged(cut_lineage(found), cut_lineage(layout.truncate(cut_lineage(layout.first_quotes(member, tags, CELL)), CELL)), all_, CELL)

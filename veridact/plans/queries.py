@@ -26,6 +26,11 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     return trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content"))
 
 
+def measured(spark: SparkSession, d: str) -> DataFrame:
+    """scored() without the rank, which quotes don't need: they are ordered by score, date and id."""
+    return trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content")
+
+
 def gated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(identity gate's rows, duplicate gate's rows, survivors) of the review view."""
     rows = adapters.reviews(spark, d)
@@ -147,18 +152,18 @@ def shade_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ranked_quotes(spark: SparkSession, d: str) -> DataFrame:
-    found = layout.ranked_quotes(claims.cells(scored(spark, d)), adapters.tags(spark, d), CELL)
+    found = layout.ranked_quotes(claims.cells(measured(spark, d)), adapters.tags(spark, d), CELL)
     return found.select(*CELL, "aspect", "review_id", "polarity", "quote_rank", "polarity_rank")
 
 
 def kept_quotes(spark: SparkSession, d: str) -> DataFrame:
-    found = layout.first_quotes(claims.cells(scored(spark, d)), adapters.tags(spark, d), CELL)
+    found = layout.first_quotes(claims.cells(measured(spark, d)), adapters.tags(spark, d), CELL)
     return layout.truncate(found, CELL).select(*CELL, "aspect", "review_id", "polarity", "quote_rank", "reserved")
 
 
 def evidence_months(spark: SparkSession, d: str) -> DataFrame:
     rows = claims.cells(adapters.reviews(spark, d)).join(adapters.tags(spark, d), "review_id").withColumn("m", text.month_of(F.col("review_date")))
-    return rows.groupBy(*CELL, "aspect").agg(F.min("m").alias("first_month"), F.max("m").alias("last_month"), F.count("*").alias("quotes"))
+    return layout.totals(rows.withColumnRenamed("m", "month"), CELL).select(*CELL, "aspect", "first_month", "last_month", "quotes")
 
 
 def evidence(spark: SparkSession, d: str) -> DataFrame:
@@ -473,7 +478,7 @@ def snapshot_guard(spark: SparkSession, d: str) -> DataFrame:
 
 def layout_text(spark: SparkSession, d: str) -> DataFrame:
     """The five stages of every candidate claim as text, without gates."""
-    rows = gates.cut_lineage(scored(spark, d))
+    rows = gates.cut_lineage(measured(spark, d))
     member = claims.cells(rows)
     found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d))).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
     found = gates.cut_lineage(conditions.cell_subjects(found, code_book(spark)))
