@@ -18,6 +18,8 @@ from .shared import cut_lineage
 GRAM, WINDOW = 12, 16
 #: Shorter quotes that one automaton holds; every text is scanned once for each automaton.
 BLOCK = 50_000
+#: Texts that a worker holds as Python objects at a time.
+SLICE = 128
 
 
 def minimizers(text: str) -> np.ndarray:
@@ -40,12 +42,17 @@ def minimizers(text: str) -> np.ndarray:
     return np.unique(h).view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of SLICE rows: a batch of 10,000 long texts isn't held as Python objects at once."""
+    return (b.slice(at, SLICE) for b in batches for at in range(0, b.num_rows, SLICE))
+
+
 def _grams(rows: DataFrame, key: str, text: str) -> DataFrame:
     """(key, gram) of every distinct minimizer of a row's text."""
     kind = rows.schema[key].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in _slices(batches):
             found = [minimizers(t or "") for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found, pa.list_(pa.int64()))], [key, "grams"])
 
@@ -73,7 +80,7 @@ def _scanned(texts: DataFrame, sought: dict[str, str]) -> DataFrame:
         for q, qk in sought.items():
             automaton.add_word(q, qk)
         automaton.make_automaton()
-        for batch in batches:
+        for batch in _slices(batches):
             low: dict[str, list] = {}
             for text, *ids in zip(*(c.to_pylist() for c in batch.columns)):
                 for qk in {k for _, k in automaton.iter(text)}:
