@@ -18,6 +18,9 @@ from ..schemas import ContractError
 
 _MARK = re.compile(r'\\.|["{}\[\]]', re.DOTALL)
 _GAP = re.compile(r"[\s,\ufeff]*")
+_ESCAPE = re.compile(r"\\.", re.DOTALL)
+#: What lies outside the strings of one whole element without objects in it, from its separator to its brace.
+_PLAIN = re.compile(r"[\s,\ufeff]*\{[^{}\[\]]*(?:\[[^{}\[\]]*\][^{}\[\]]*)*\}")
 
 
 def present(spark: SparkSession, **paths: str) -> None:
@@ -46,14 +49,11 @@ def _tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         for value, file, start in zip(*(c.to_pylist() for c in b.columns)):
             t = seen.setdefault((file, start), [0, 0, 0])
-            for m in _MARK.finditer(value + "}"):
-                c = m.group()
-                if c == '"':
-                    t[0] += 1
-                elif c in "{[":
-                    t[1 + t[0] % 2] += 1
-                elif c in "}]":
-                    t[1 + t[0] % 2] -= 1
+            parts = _ESCAPE.sub("", value + "}").split('"')
+            for i in (0, 1):
+                some = "".join(parts[i::2])
+                t[1 + (t[0] + i) % 2] += some.count("{") + some.count("[") - some.count("}") - some.count("]")
+            t[0] += len(parts) - 1
     rows = [(*k, *t) for k, t in seen.items()]
     yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.string() if i == 0 else pa.int64()) for i in range(5)], ["file", "start", "quotes", "outer", "inner"])
 
@@ -98,6 +98,12 @@ def _walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     raise ValueError(f"{file} was split otherwise when it was read again")
                 at, inside, depth, begins, parts = (file, start), was_inside, was_deep, was_deep < 2, []
             text, pos = value + "}", 0
+            if depth == 1 and not inside and not parts:
+                pieces = _ESCAPE.sub("", text).split('"')
+                if len(pieces) % 2 and _PLAIN.fullmatch("".join(pieces[0::2])) and _GAP.fullmatch(text[: text.index("{")]):  # one whole element, as most are
+                    out.append((*at, True, True, text[text.index("{") :]))
+                    begins = True
+                    continue
             for m in _MARK.finditer(text):
                 c = m.group()
                 if c == '"':
