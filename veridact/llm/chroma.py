@@ -234,7 +234,7 @@ def _runs(classes: DataFrame) -> DataFrame:
 def _split(rows: DataFrame) -> DataFrame:
     """rows (key, ck, size, before, after) of buckets beyond HOT as (key long, ck) of smaller ones, equal rows once.
 
-    A bucket is split TABLES times, each time by as many sampled bits beside the integer as halve it to HOT. Bits next to a shared integer agree with probability 0.87 between the noisiest recordings that
+    This only saves pairs: groups() compares what the parts leave apart. A bucket is split TABLES times, each time by as many sampled bits beside the integer as halve it to HOT. Bits next to a shared integer agree with probability 0.87 between the noisiest recordings that
     align, so of such pairs a bucket of 64 * HOT keeps 0.999, one of 4096 * HOT still 0.92, and copies with less noise more.
     """
     order = [np.random.default_rng(j).permutation(128) for j in range(TABLES)]
@@ -319,8 +319,9 @@ def groups(prints: DataFrame) -> DataFrame:
     """prints (id, codes) with class long, group_id (smallest id of all that align, over any number
     of steps), and the best alignment found with another fingerprint: with_id, offset int, bit_error.
 
-    Candidates share an integer, as all that align do; links are complete where no integer is held by more than HOT
-    classes that stay in several components after their hubs, else found with the probability that _split states.
+    Candidates share an integer, as all that align do, and no link between components is lost: buckets beyond HOT are split
+    first so that few pairs join most of their members, then what is still outside a whole bucket's largest component
+    meets all of its other components. Those pairs are dealt over tasks, but where much stays apart they grow with the square of the bucket.
     Defined cases: recordings too short for a fingerprint are groups of their own; equal fingerprints are one
     class whatever their number; null ids are kept and name a group only if it has no other; repeated rows stay
     repeated; null codes have no class; an empty table gives an empty result.
@@ -339,6 +340,7 @@ def groups(prints: DataFrame) -> DataFrame:
         if not large.isEmpty():
             parts = save(_split(large.select("key", "ck", "size").join(runs, ["key", "ck"])))
             links.all(links.by_hubs(links.open(parts), HUBS[:1]))
+            links.all(links.open(large.select("key", "ck")))  # what still lies in several components, whole buckets
         rooted = save(classes.select("ck", "low").join(links.roots(), "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
         lows = save(rooted.groupBy("root").agg(F.min("low").alias("group_id")))
         found = links.found
