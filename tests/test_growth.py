@@ -44,3 +44,32 @@ def test_first_quotes_sort_few_rows_and_equal_the_full_ranking(spark):
     keep = lambda df: {(r.product_id, r.review_id, r.polarity, r.quote_rank) for r in df.collect() if r.product_id is not None}
     assert keep(got) == keep(want) and any(r[3] > k for r in keep(want))
     assert got.where("product_id is null").count() >= k
+
+
+def test_a_task_that_reads_a_scratch_table_holds_few_rows(spark, monkeypatch):
+    """The rows of one column of one value take no bytes, so only the number of files parts them."""
+    monkeypatch.setattr(shared, "FILE_ROWS", 100, raising=False)
+    table = shared.cut_lineage(spark.range(10_000).select("id", F.lit("x").alias("s")).coalesce(1))
+    held = table.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert held[0] <= 32 * 100 and held[1] == 10_000
+
+
+def test_lines_and_orders_are_dealt_before_joins_too(spark, monkeypatch):
+    """Where parts and customers are too many to broadcast, the join's tasks grow in number."""
+    import re
+
+    from veridact.sources import adapters
+
+    where = "/root/testdata/sf0.001"
+    want = sorted(map(str, adapters.reviews(spark, where).collect()))
+    monkeypatch.setattr(shared, "TASK_ROWS", 100)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = adapters.reviews(spark, where)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, found.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    dealt = {k: max(int(n) for c, n in re.findall(r"hashpartitioning\((\w+)#\d+L?, (\d+)\)", plan) if c == k) for k in ("l_partkey", "p_partkey", "o_custkey", "c_custkey")}
+    assert min(dealt.values()) > 4

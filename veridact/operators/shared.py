@@ -26,18 +26,22 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{root}/veridact-{uuid.uuid4().hex}"
 
 
+#: Rows that one task aggregates or sorts, about, and rows of a scratch table's file.
+TASK_ROWS, FILE_ROWS = 250_000, 50_000
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """df as a table in the shared folder."""
+    """df as a table in the shared folder.
+
+    Readers deal files by bytes, and narrow columns take next to none, so a task would hold more rows the larger the table.
+    Each file counts for spark.sql.files.openCostInBytes at least, so a task reads 32 of them at most: 1.6 million rows.
+    """
     spark = df.sparkSession
     path = scratch_path(spark)
-    df.write.parquet(path)
+    df.write.option("maxRecordsPerFile", FILE_ROWS).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows that one task aggregates or sorts, about.
-TASK_ROWS = 250_000
-
-
 def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """df dealt by keys over tasks of about TASK_ROWS of its `rows`; small ones stay as they are.
 
