@@ -19,3 +19,17 @@ def test_buckets_that_splitting_leaves_apart_are_compared(spark, monkeypatch):
     prints = C.fingerprints(spark.createDataFrame(rows, "rec long, audio binary"), "rec", "audio")
     want = by_all_pairs(prints)
     assert sorted((r.id, r.group_id) for r in C.groups(prints).collect()) == want and len({g for _, g in want}) < len(want)
+
+
+def test_only_what_lies_outside_the_largest_component_is_split(spark, monkeypatch):
+    """A bucket of 40 classes, 30 of them in one component: rows are made for the other ten, and for none where they are few."""
+    monkeypatch.setattr(C, "HOT", 4)
+    split = []
+    monkeypatch.setattr(C, "_split", lambda rows: split.append(sorted(r.ck for r in rows.collect())) or rows.select(F.col("key").cast("long").alias("key"), "ck"))
+    rows = spark.createDataFrame([(k, i, 0 if i < edge else i, 40, 0) for k, edge in ((7, 30), (8, 37)) for i in range(40)], "key int, ck long, comp long, size long, major long")
+    runs = rows.select("ck", "key", F.lit(1).cast("long").alias("before"), F.lit(2).cast("long").alias("after"))
+    with C.Scratch(spark) as save:
+        links = C._Links(spark.createDataFrame([], "ck long, low long, codes array<int>"), save)
+        assert links.outside(rows, runs).count() == 10
+        assert links.outside(rows.where("key = 8"), runs) is None
+    assert split == [list(range(30, 40))]

@@ -6,7 +6,7 @@ place holds one packed 32-bit integer. Two recordings that share integers vote f
 histogram's peak the bit errors of the whole overlap decide. Recordings with one and the same
 fingerprint are one class. Without a shared integer there is no vote, so every single integer is a key. Members of a
 key's bucket are aligned with hubs first, and only what lies in several components goes on: small buckets as they
-are, larger ones split by the bits beside the integer, so that a note which everybody holds pairs nobody with all.
+are, larger ones after more hubs and after what lies outside their largest component was split by the bits beside the integer.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ RATE, FRAME, HOP = 4000, 512, 256
 LOW_HZ, HIGH_HZ = 100.0, 1900.0
 SPAN = 16  # frames that a filter may cover
 HUBS = (1, 8)  # hubs that a bucket's open members meet, a round each, before they meet one another
+MORE_HUBS = (32,)  # the same for what small buckets left open in larger ones
 HOT = 256  # classes of a bucket that may meet one another without a look at the places beside the integer
-TABLES = 12  # ways to split a larger bucket
+TABLES = 12  # ways to split what lies outside a larger bucket's largest component
 THRESHOLD = 0.12
 MIN_OVERLAP, MAX_ERROR = 24, 0.25
 
@@ -232,7 +233,7 @@ def _runs(classes: DataFrame) -> DataFrame:
 
 
 def _split(rows: DataFrame) -> DataFrame:
-    """rows (key, ck, size, before, after) of buckets beyond HOT as (key long, ck) of smaller ones, equal rows once.
+    """rows (key, ck, size, before, after), size beyond HOT a key, as (key long, ck) of smaller buckets, equal rows once.
 
     This only saves pairs: groups() compares what the parts leave apart. A bucket is split TABLES times, each time by as many sampled bits beside the integer as halve it to HOT. Bits next to a shared integer agree with probability 0.87 between the noisiest recordings that
     align, so of such pairs a bucket of 64 * HOT keeps 0.999, one of 4096 * HOT still 0.92, and copies with less noise more.
@@ -309,6 +310,12 @@ class _Links:
             rows = self.open(rows.select("key", "ck"))
         return rows
 
+    def outside(self, rows: DataFrame, runs: DataFrame) -> DataFrame | None:
+        """What lies outside the major component, split, of buckets where that is more than HOT classes; None if there are none."""
+        apart = rows.where("comp <> major").select("key", "ck")
+        many = self.save(apart.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > HOT))
+        return None if many.isEmpty() else self.save(_split(apart.join(many, "key").join(runs, ["key", "ck"])))
+
     def all(self, rows: DataFrame) -> None:
         """Aligns what lies outside a bucket's major component with all of its other components."""
         other = rows.select("key", F.col("ck").alias("b"), F.col("comp").alias("comp2"))
@@ -319,9 +326,11 @@ def groups(prints: DataFrame) -> DataFrame:
     """prints (id, codes) with class long, group_id (smallest id of all that align, over any number
     of steps), and the best alignment found with another fingerprint: with_id, offset int, bit_error.
 
-    Candidates share an integer, as all that align do, and no link between components is lost: buckets beyond HOT are split
-    first so that few pairs join most of their members, then what is still outside a whole bucket's largest component
-    meets all of its other components. Those pairs are dealt over tasks, but where much stays apart they grow with the square of the bucket.
+    Candidates share an integer, as all that align do, and no link between components is lost: what is still outside a
+    bucket's largest component at the end meets all of its other components. In buckets beyond HOT that comes last, after
+    more hubs; where more than HOT classes lie outside, those alone are split first, so that copies among them are one component.
+    Members of the largest component are never split, so a bucket that everybody holds makes rows only for those outside.
+    The last pairs are dealt over tasks, but where much stays apart they grow with the square of the bucket.
     Defined cases: recordings too short for a fingerprint are groups of their own; equal fingerprints are one
     class whatever their number; null ids are kept and name a group only if it has no other; repeated rows stay
     repeated; null codes have no class; an empty table gives an empty result.
@@ -338,9 +347,12 @@ def groups(prints: DataFrame) -> DataFrame:
         links.all(rows.where(F.col("size") <= HOT))
         large = rows.where(F.col("size") > HOT)
         if not large.isEmpty():
-            parts = save(_split(large.select("key", "ck", "size").join(runs, ["key", "ck"])))
-            links.all(links.by_hubs(links.open(parts), HUBS[:1]))
-            links.all(links.open(large.select("key", "ck")))  # what still lies in several components, whole buckets
+            rest = links.by_hubs(links.open(large.select("key", "ck")), MORE_HUBS)
+            parts = links.outside(rest, runs)
+            if parts is not None:
+                links.all(links.by_hubs(links.open(parts), HUBS[:1]))
+                rest = links.open(rest.select("key", "ck"))
+            links.all(rest)  # whole buckets
         rooted = save(classes.select("ck", "low").join(links.roots(), "ck", "left").select("ck", "low", F.coalesce("root", "ck").alias("root")))
         lows = save(rooted.groupBy("root").agg(F.min("low").alias("group_id")))
         found = links.found
