@@ -73,3 +73,18 @@ def test_lines_and_orders_are_dealt_before_joins_too(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
     dealt = {k: max(int(n) for c, n in re.findall(r"hashpartitioning\((\w+)#\d+L?, (\d+)\)", plan) if c == k) for k in ("l_partkey", "p_partkey", "o_custkey", "c_custkey")}
     assert min(dealt.values()) > 4
+
+
+def test_given_tables_are_dealt_to_many_tasks_from_a_scratch_table(spark, monkeypatch):
+    """A shuffle to more tasks than UNSORTED keeps all that its task read; what a task reads of a given file has no bound in rows."""
+    from veridact.sources import adapters
+
+    where = "/root/testdata/sf0.001"
+    want = sorted(map(str, adapters.reviews(spark, where).collect()))
+    monkeypatch.setattr(shared, "TASK_ROWS", 100)
+    monkeypatch.setattr(shared, "FILE_ROWS", 10)
+    monkeypatch.setattr(shared, "UNSORTED", 5, raising=False)
+    found = adapters.reviews(spark, where)
+    assert sorted(map(str, found.collect())) == want
+    files = found.inputFiles()
+    assert len(files) > 100 and not any(f.endswith(("lineitem.parquet", "orders.parquet")) for f in files)

@@ -29,6 +29,9 @@ def scratch_path(spark: SparkSession) -> str:
 #: Rows that one task aggregates or sorts, about, and rows of a scratch table's file.
 TASK_ROWS, FILE_ROWS = 250_000, 50_000
 
+#: Tasks of a shuffle (spark.shuffle.sort.bypassMergeThreshold) beyond which those that write it keep all rows they read to sort them.
+UNSORTED = 200
+
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """df as a table in the shared folder.
@@ -51,6 +54,17 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
+def spread_table(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """spread() of columns of a given table.
+
+    A task reads as much of a given file as fits its bytes, millions of narrow rows. Where a shuffle would have it keep them all, they
+    are written to a scratch table first.
+    """
+    n = max(-(-rows // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    many = n > UNSORTED and rows > 32 * FILE_ROWS * df.rdd.getNumPartitions()
+    return spread(cut_lineage(df) if many else df, rows, *keys)
+
+
 def same(left: DataFrame, right: DataFrame, names: list[str]) -> Column:
     """Null-safe equality of the columns `names` with the right side's, there called _r0, _r1, ..."""
     return reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"_r{i}"]) for i, c in enumerate(names)])
