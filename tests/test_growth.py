@@ -4,7 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from veridact.functions import stats
-from veridact.operators import claims, layout, shared
+from veridact.operators import claims, layout, polarity, shared
+from veridact.schemas import NoisePolicy
 
 
 def test_fisher_takes_steps_by_the_root_of_the_counts(spark):
@@ -88,3 +89,21 @@ def test_given_tables_are_dealt_to_many_tasks_from_a_scratch_table(spark, monkey
     assert sorted(map(str, found.collect())) == want
     files = found.inputFiles()
     assert len(files) > 100 and not any(f.endswith(("lineitem.parquet", "orders.parquet")) for f in files)
+
+
+def test_noise_thresholds_pass_over_the_numbers_once(spark):
+    """Numbers of a million tags; before, each number tried was summed anew."""
+    sizes = spark.range(1_000_000, 1_000_040).select(F.col("id").alias("n"))
+    began = time.time()
+    got = [r.min_minority for r in polarity.noise_thresholds(sizes).collect()]
+    assert time.time() - began < 20
+    assert len(got) == 40 and 33_000 < min(got) <= max(got) < 33_400
+
+
+@pytest.mark.parametrize("rate,alpha", [(0.033, 0.05), (0.2, 1e-9), (0.5, 0.3), (0.7, 0.9), (0.001, 1e-14)])
+def test_noise_thresholds_equal_the_full_search(spark, rate, alpha):
+    n, k = F.col("n"), F.col("k")
+    tries = spark.range(1, 150).select(F.col("id").alias("n")).withColumn("k", F.explode(F.sequence(F.lit(1), n))).where(k >= F.floor(n * rate))
+    want = tries.where(stats.binom_sf(k, n, rate) < alpha).groupBy("n").agg(F.min("k").alias("k"))
+    got = polarity.noise_thresholds(spark.range(150).select(F.col("id").alias("n")), NoisePolicy(rate, alpha))
+    assert {tuple(r) for r in got.collect()} == {tuple(r) for r in want.collect()}

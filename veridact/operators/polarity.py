@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.stats import binom_sf, direction, fisher_two_sided, minority, negative_ratio, verdict
+from ..functions.stats import binom_sf, direction, fisher_two_sided, log_choose, minority, negative_ratio, verdict
 from ..functions.text import sentiment_prior
 from ..schemas import SPLIT_ALPHA, UNSTATED, NoisePolicy, SufficiencyPolicy
 from .gates import sufficiency_gate
@@ -96,14 +98,30 @@ def unconditional(support: DataFrame, policy: SufficiencyPolicy = SufficiencyPol
     return found.withColumn("holds", F.col("splits") == 0).withColumn("failure", F.when(~F.col("holds"), "missing_condition"))
 
 
+def _first_below(low: Column, high: Column, n: Column, policy: NoisePolicy) -> Column:
+    """About the smallest k from low to high with P(X >= k) < alpha; high + 1 if there is none. One pass down, each term by the ratio to the one above."""
+    odds = policy.flip_rate / (1 - policy.flip_rate)
+    top = F.exp(log_choose(n, high) + high * math.log(policy.flip_rate) + (n - high) * math.log(1 - policy.flip_rate))
+
+    def add(acc: Column, i: Column) -> Column:
+        total = acc["total"] + acc["term"]
+        return F.struct((acc["term"] * i / ((n - i + 1) * odds)).alias("term"), total.alias("total"), F.when(total < policy.alpha, i).otherwise(acc["k"]).alias("k"))
+
+    start = F.struct(top.alias("term"), F.lit(0.0).alias("total"), (high + 1).alias("k"))
+    return F.aggregate(F.reverse(F.sequence(low, high)), start, add, lambda acc: acc["k"])
+
+
 def noise_thresholds(sizes: DataFrame, policy: NoisePolicy = NoisePolicy()) -> DataFrame:
     """(n, min_minority) for every different n of sizes: the smallest minority of n directional tags that isn't the tagger's noise.
 
-    Only numbers around the expected flips are tried, twelve deviations up, so the work grows with the root of n. Null or
-    zero n, and n too small for any minority to tell, give no row.
+    Numbers around the expected flips, twelve deviations up, are passed over once; what that finds and its neighbours are
+    tried exactly, so the work grows with the root of n. Null or zero n, and n too small for any minority to tell, give no row.
     """
     n = F.col("n")
     mean = n * policy.flip_rate
     up = F.ceil(mean + 12 * F.sqrt(mean * (1 - policy.flip_rate)) + 10)
-    rows = sizes.where("n > 0").select("n").distinct().select("n", F.explode(F.sequence(F.greatest(F.lit(1), F.floor(mean)), F.least(n.cast("long"), up))).alias("k"))
-    return rows.where(binom_sf(F.col("k"), n, policy.flip_rate) < policy.alpha).groupBy("n").agg(F.min("k").alias("min_minority"))
+    parts = int(sizes.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes, long work: not to be put into one task
+    rows = sizes.where("n > 0").select("n").distinct().select("n", F.greatest(F.lit(1), F.floor(mean)).alias("low"), F.least(n.cast("long"), up).alias("high"))
+    about = rows.repartition(parts, "n", "low").withColumn("about", _first_below(F.col("low"), F.col("high"), n, policy))
+    near = about.select("n", F.explode(F.sequence(F.greatest(F.col("low"), F.col("about") - 1), F.least(F.col("high"), F.col("about") + 1))).alias("k"))
+    return near.where(binom_sf(F.col("k"), n, policy.flip_rate) < policy.alpha).groupBy("n").agg(F.min("k").alias("min_minority"))
