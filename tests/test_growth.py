@@ -91,6 +91,22 @@ def test_given_tables_are_dealt_to_many_tasks_from_a_scratch_table(spark, monkey
     assert len(files) > 100 and not any(f.endswith(("lineitem.parquet", "orders.parquet")) for f in files)
 
 
+def test_both_gates_of_parity_count_the_same_tables(spark, monkeypatch):
+    """Reviews and tags are derived once; before, the polarity gate's side joined order lines anew, all in the tasks of one stage."""
+    import duckdb
+
+    from veridact.plans import contract_queries
+
+    where = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for name in ("orders", "lineitem", "part", "customer"):
+        con.execute(f"create view {name} as select * from '{where}/{name}.parquet'")
+    monkeypatch.setattr(shared, "TASK_ROWS", 100)
+    found = contract_queries.gate_parity(spark, where)
+    assert not any(f.startswith("file:/root/testdata") for f in found.inputFiles())
+    assert sorted(map(tuple, found.collect())) == sorted(con.execute(contract_queries.ORACLES["gate_parity"]).fetchall())
+
+
 def test_noise_thresholds_pass_over_the_numbers_once(spark):
     """Numbers of a million tags; before, each number tried was summed anew."""
     sizes = spark.range(1_000_000, 1_000_040).select(F.col("id").alias("n"))

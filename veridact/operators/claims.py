@@ -22,22 +22,29 @@ def cell_sizes(member: DataFrame) -> DataFrame:
     return member.groupBy("product_id", "axis", "segment").agg(F.count_distinct("author").alias("cell_authors"))
 
 
+def spoken(member: DataFrame, tags: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members, and what they said of each aspect, as tables in the shared folder: gates that count both read no review twice."""
+    place = ["product_id", "axis", "segment"]
+    member = cut_lineage(member.select(*place, "author", "review_id"))
+    return member, cut_lineage(member.join(tags, "review_id").select(*place, "aspect", "author", "polarity"))
+
+
 def candidates(member: DataFrame, tags: DataFrame) -> DataFrame:
-    """Distinct authors of each stance for every cell and aspect someone spoke of, with the cell's size.
+    """Distinct authors of each stance for every cell and aspect someone spoke of, with the cell's size."""
+    return counted(*spoken(member, tags))
+
 
-    Members and what they said are written and counted first, so that tasks grow in number, not in size.
-    """
+def counted(member: DataFrame, said: DataFrame) -> DataFrame:
+    """candidates() of spoken(). Both are tables and are counted first, so that tasks grow in number, not in size."""
     place = ["product_id", "axis", "segment"]
     cell = [*place, "aspect"]
-    member = cut_lineage(member.select(*place, "author", "review_id"))
-    said = cut_lineage(member.join(tags, "review_id").select(*cell, "author", "polarity"))
     said = spread(said, said.count(), *cell, "author")
     stance = lambda p: F.max((F.col("polarity") == p).cast("int")).alias(p)
     each = said.groupBy(*cell, "author").agg(*map(stance, POLARITIES))  # one row an author: no row is expanded
     spoke = F.count("author").alias("spoke")
     n = lambda p, name: F.count(F.when((F.col(p) == 1) & F.col("author").isNotNull(), 1)).alias(name)
-    counted = each.groupBy(*cell).agg(n("positive", "pos"), n("negative", "neg"), n("neutral", "neu"), spoke)
-    return counted.join(cell_sizes(spread(member.drop("review_id"), member.count(), *place, "author").distinct()), place)
+    found = each.groupBy(*cell).agg(n("positive", "pos"), n("negative", "neg"), n("neutral", "neu"), spoke)
+    return found.join(cell_sizes(spread(member.drop("review_id"), member.count(), *place, "author").distinct()), place)
 
 
 def claim_id(product: str = "product_id", axis: str = "axis", segment: str = "segment", aspect: str = "aspect"):

@@ -17,9 +17,14 @@ from .shared import cut_lineage
 def aspect_support(reviews: DataFrame, tags: DataFrame, keys: list[str], policy: NoisePolicy = NoisePolicy()) -> DataFrame:
     """Counts by stance of every group and aspect that someone spoke of, silence beside them, and
     whether the smaller side may be the tagger's noise. reviews are the duplicate gate's survivors."""
+    return support(reviews, reviews.join(tags, "review_id"), keys, policy)
+
+
+def support(reviews: DataFrame, said: DataFrame, keys: list[str], policy: NoisePolicy = NoisePolicy()) -> DataFrame:
+    """aspect_support() of reviews and what they said (keys, aspect, polarity), as claims.spoken() has them."""
     sizes = reviews.groupBy(*keys).agg(F.count("*").alias("reviews"))
     n = lambda p: F.count(F.when(F.col("polarity") == p, 1))
-    said = reviews.join(tags, "review_id").groupBy(*keys, "aspect").agg(n("positive").alias("pos"), n("negative").alias("neg"), n("neutral").alias("neu"))
+    said = said.groupBy(*keys, "aspect").agg(n("positive").alias("pos"), n("negative").alias("neg"), n("neutral").alias("neu"))
     rows = said.join(sizes, keys).withColumn("silent", F.col("reviews") - F.col("pos") - F.col("neg") - F.col("neu"))
     pos, neg, neu = F.col("pos"), F.col("neg"), F.col("neu")
     low = minority(pos, neg)

@@ -130,11 +130,9 @@ def target_slice(spark: SparkSession, d: str) -> DataFrame:
 
 def gate_parity(spark: SparkSession, d: str) -> DataFrame:
     """Before the duplicate gate, counts by review and by author differ."""
-    r, tags = adapters.reviews(spark, d), adapters.tags(spark, d)
-    member = claims.cells(r)
-    support = polarity.aspect_support(member, tags, CELL)
-    found = claims.candidates(member, tags).withColumn("silent", F.col("cell_authors") - F.col("spoke"))
-    return gates.parity_violations(support, found)
+    member, said = claims.spoken(claims.cells(adapters.reviews(spark, d)), adapters.tags(spark, d))
+    found = claims.counted(member, said).withColumn("silent", F.col("cell_authors") - F.col("spoke"))
+    return gates.parity_violations(polarity.support(member, said, CELL), found)
 
 
 def label_conditions(spark: SparkSession, d: str) -> DataFrame:
