@@ -107,6 +107,27 @@ def test_both_gates_of_parity_count_the_same_tables(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(con.execute(contract_queries.ORACLES["gate_parity"]).fetchall())
 
 
+def test_members_and_tags_of_layouts_meet_in_more_tasks(spark, monkeypatch):
+    """Both are scratch tables; before, they were joined by review in a fixed number of tasks."""
+    import re
+
+    from veridact.plans import contract_queries
+
+    where = "/root/testdata/sf0.001"
+    want = sorted(map(str, contract_queries.layout_contract(spark, where).collect()))
+    monkeypatch.setattr(shared, "TASK_ROWS", 100)
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = contract_queries.layout_contract(spark, where)
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(str, found.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    dealt = [int(n) for n in re.findall(r"hashpartitioning\(review_id#\d+L?, (\d+)\)", plan) if n]
+    assert dealt and min(dealt) > 4
+
+
 def test_noise_thresholds_pass_over_the_numbers_once(spark):
     """Numbers of a million tags; before, each number tried was summed anew."""
     sizes = spark.range(1_000_000, 1_000_040).select(F.col("id").alias("n"))

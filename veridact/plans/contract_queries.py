@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import stats, text
 from ..operators import catalog, claims, contracts, drafts, gates, layout, ledger, options, polarity, records, registry, scopes, trust, vectors
-from ..operators.shared import cut_lineage, numbered, scratch_path
+from ..operators.shared import cut_lineage, numbered, scratch_path, spread
 from ..schemas import ASPECTS, DRAFT_FIELDS, STAGES, QuotePolicy, TrustPolicy
 from ..sources import adapters, json_arrays, vocabularies
 from ..sources.adapters import table
@@ -253,9 +253,15 @@ def parity_fields(spark: SparkSession, d: str) -> DataFrame:
     return contracts.field_differences(a.where(n % 1000 != 7), b.union(b.where(n == 8)), "review_id")
 
 
+def told(spark: SparkSession, d: str) -> DataFrame:
+    """Tags as a table, dealt by review: two scratch tables would meet in a fixed number of tasks."""
+    tags = cut_lineage(adapters.tags(spark, d))
+    return spread(tags, tags.count(), "review_id")
+
+
 def layout_rows(spark: SparkSession, d: str) -> DataFrame:
     """The layouts of all candidate claims as stages, without gates."""
-    tags = cut_lineage(adapters.tags(spark, d))
+    tags = told(spark, d)
     rows = cut_lineage(trust.signals(adapters.reviews(spark, d), tagged=tags).select("review_id", "product_id", "author", "skin_type", "troubles", "trust_score", "review_date"))
     member = cut_lineage(claims.cells(rows).drop("skin_type", "troubles"))
     found = gates.sufficiency_gate(claims.candidates(member, tags)).withColumn("direction", stats.direction(F.col("pos"), F.col("neg"))).withColumn("subject", F.concat_ws("=", "axis", "segment"))
@@ -271,7 +277,7 @@ def layout_rows(spark: SparkSession, d: str) -> DataFrame:
 def layout_contract(spark: SparkSession, d: str) -> DataFrame:
     """Candidate claims of the plain view whose counts by author and by review aren't of one cell: authors who speak twice."""
     member = cut_lineage(claims.cells(adapters.reviews(spark, d)))
-    tags = cut_lineage(adapters.tags(spark, d))
+    tags = told(spark, d)
     found = cut_lineage(gates.sufficiency_gate(claims.candidates(member, tags)))
     all_ = layout.totals(member.withColumn("month", text.month_of(F.col("review_date"))).join(tags, "review_id"), CELL)
     return layout.arrangement_violations(found, polarity.aspect_support(member, tags, CELL), all_, CELL)
