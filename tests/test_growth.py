@@ -103,7 +103,7 @@ def test_both_gates_of_parity_count_the_same_tables(spark, monkeypatch):
         con.execute(f"create view {name} as select * from '{where}/{name}.parquet'")
     monkeypatch.setattr(shared, "TASK_ROWS", 100)
     found = contract_queries.gate_parity(spark, where)
-    assert not any(f.startswith("file:/root/testdata") for f in found.inputFiles())
+    assert not any(where in f for f in found.inputFiles())
     assert sorted(map(tuple, found.collect())) == sorted(con.execute(contract_queries.ORACLES["gate_parity"]).fetchall())
 
 
