@@ -128,6 +128,42 @@ def test_members_and_tags_of_layouts_meet_in_more_tasks(spark, monkeypatch):
     assert dealt and min(dealt) > 4
 
 
+@pytest.mark.parametrize("name", ["layout_text"])
+def test_quotes_of_a_review_stay_together_until_they_are_counted(spark, monkeypatch, tmp_path, name):
+    """A review makes 14 quotes of cells and aspects; before, each was written to scratch tables and shuffled."""
+    import duckdb
+
+    import __spark_entry__
+
+    where = "/root/testdata/sf0.001"
+    con = duckdb.connect()
+    for table in ("orders", "lineitem", "part", "customer"):
+        con.execute(f"create view {table} as select * from '{where}/{table}.parquet'")
+    folders = iter(range(1000))
+    path = lambda _: str(tmp_path / f"table-{next(folders)}")
+    monkeypatch.setattr(shared, "scratch_path", path)
+    monkeypatch.setattr(layout, "STEP_ROWS", 4, raising=False)
+    found = sorted(map(tuple, __spark_entry__.queries()[name](spark, where).collect()))
+    assert found == sorted(con.execute(__spark_entry__.oracle_sql()[name]).fetchall())
+    quotes = con.execute(f"select count(*) from ({__spark_entry__.oracle_sql()['ranked_quotes']})").fetchone()[0]
+    most = max(spark.read.parquet(str(p)).count() for p in tmp_path.iterdir())
+    assert quotes > 10_000 and most < quotes / 2
+
+
+def test_reviews_that_hold_what_they_say_equal_reviews_and_tags(spark):
+    from veridact.sources import adapters
+
+    where = "/root/testdata/sf0.001"
+    rows = adapters.told(spark, where)
+    plain = adapters.reviews(spark, where)
+    assert sorted(map(str, rows.drop("said").collect())) == sorted(map(str, plain.drop("option").select(*rows.drop("said").columns).collect()))
+    said = sorted(map(tuple, rows.select("review_id", F.inline("said")).collect()))
+    assert said == sorted(map(tuple, adapters.tags(spark, where).join(plain.select("review_id"), "review_id").collect())) and said
+    member = claims.cells(plain)
+    key = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert key(claims.told_candidates(shared.cut_lineage(rows))) == key(claims.candidates(member, adapters.tags(spark, where)))
+
+
 def test_noise_thresholds_pass_over_the_numbers_once(spark):
     """Numbers of a million tags; before, each number tried was summed anew."""
     sizes = spark.range(1_000_000, 1_000_040).select(F.col("id").alias("n"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import date_rank
 from ..schemas import MAX_QUOTES
+from . import claims
 from .shared import cut_lineage, dealt, same
 from .trust import rank_order
 
@@ -21,13 +22,37 @@ def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFr
     return dealt(rows, by, rank_order(), {"quote_rank": [], "polarity_rank": ["polarity"]})
 
 
-def _step(score: Column) -> Column:
-    """A score's step of 1/128, higher for higher scores, in the order of rank_order(): NaN first, null last."""
-    return F.when(score.isNull(), -(1 << 62)).when(F.isnan(score), 1 << 62).otherwise(F.floor(score * 128).cast("long"))
+#: Reviews of a product's first step, about; each further one has as many as all before it.
+STEP_ROWS = 1024
+
+
+def _steps(told: DataFrame, lead: str) -> DataFrame:
+    """told with _step, higher for higher scores, in the order of rank_order(): NaN first, null last.
+
+    Steps are drawn from counts of the scores' ten-thousandths, so the first ones are small whatever the scores, and they are few.
+    """
+    score = F.col("trust_score")
+    fine = told.withColumn("_fine", F.when(score.isNull(), -(1 << 62)).when(F.isnan(score), 1 << 62).otherwise(F.floor(score * 10_000).cast("long")))
+    counts = fine.groupBy(lead, "_fine").agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(lead).orderBy(F.desc("_fine")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    steps = cut_lineage(counts.select(F.col(lead).alias("_r0"), F.col("_fine").alias("_r1"), (-F.floor(F.log2(before / STEP_ROWS + 1))).alias("_step")))
+    return fine.join(steps, same(fine, steps, [lead, "_fine"])).select(*told.columns, "_step")
 
 
 def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
-    """Of ranked_quotes() the rows that truncate() can keep: the k first of each cell and aspect, and each polarity's first.
+    """Of ranked_quotes() the rows that truncate() can keep: the k first of each cell and aspect, and each polarity's first."""
+    return first_told(cut_lineage(_packed(member, tags, cell)), cell, F.col("cells"), k)
+
+
+def _packed(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFrame:
+    """claims.told() of members: a row for each review and cell[0], with cells, an array of the rest of cell. Reviews without a tag are left out."""
+    rest = F.struct(*cell[1:]) if cell[1:] else F.struct(F.lit(True).alias("_cell"))
+    rows = member.groupBy(cell[0], "review_id", "trust_score", "review_date").agg(F.collect_list(rest).alias("cells"))
+    return claims.told(rows, tags).where("said is not null")
+
+
+def first_told(told: DataFrame, cell: list[str], cells: Column, k: int = MAX_QUOTES) -> DataFrame:
+    """first_quotes() of claims.told(), a table; cells are a review's, as arrays of the fields of cell[1:].
 
     Rows are counted by steps of the score first; only those of the steps that hold a group's k first, or a polarity's
     first, are sorted, so no task sorts all rows. A polarity's first beyond the k is numbered by the counts of the steps
@@ -35,27 +60,34 @@ def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = M
     scores are last.
     """
     by = [*cell, "aspect"]
-    all_ = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id").withColumn("_step", _step(F.col("trust_score"))))
-    counts = cut_lineage(all_.groupBy(*by, "polarity", "_step").agg(F.count("*").alias("_n")))
+    keep = [cell[0], "review_id", "trust_score", "review_date", "_date", "_step"]
+    told = _steps(told.where("said is not null"), cell[0]).withColumn("_date", date_rank(F.col("review_date")))  # computed once, not at each comparison
+    taken = lambda some: claims.apart(some, keep, cells).select("review_id", *cell, "trust_score", "review_date", "aspect", "polarity", "_date", "_step")
+    counts = cut_lineage(taken(told).groupBy(*by, "polarity", "_step").agg(F.count("*").alias("_n")))
     above = Window.partitionBy(*by).orderBy(F.desc("_step"))  # peers count together
     reached = counts.withColumn("_sum", F.sum("_n").over(above)).withColumn("_all", F.sum("_n").over(Window.partitionBy(*by)))
     last = F.max(F.when(F.col("_sum") >= F.least(F.lit(k), F.col("_all")), F.col("_step"))).over(Window.partitionBy(*by))
     limits = reached.withColumn("_last", last).groupBy(*by, "polarity").agg(F.least(F.max("_step"), F.max("_last")).alias("_low"))
     keys = [*by, "polarity"]
     limits = cut_lineage(limits.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)], "_low"))
-    rows = cut_lineage(all_.join(limits, same(all_, limits, keys)).where("_step >= _low").select(*[c for c in all_.columns if c != "_step"]))
-    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*rank_order()))
+    lowest = limits.groupBy("_r0").agg(F.min("_low").alias("_least"))  # most reviews are below all of their product's, and aren't taken apart
+    some = taken(told.join(lowest, same(told, lowest, cell[:1])).where("_step >= _least").select(*told.columns))
+    order = [F.desc("trust_score"), F.asc("_date"), F.asc("review_id")]
+    rows = cut_lineage(some.join(limits, same(some, limits, keys)).where("_step >= _low").select(*some.columns))
+    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     top = rows.withColumn("quote_rank", place(*by)).where(F.col("quote_rank") <= k)  # cast behind the limit, or Spark doesn't see it
     top = cut_lineage(top.withColumn("quote_rank", F.col("quote_rank").cast("long")))
     firsts = rows.withColumn("_f", place(*by, "polarity")).where("_f = 1").drop("_f")
-    late = cut_lineage(firsts.join(top.select(*by, "polarity").distinct(), [*by, "polarity"], "left_anti"))
-    at = F.struct(F.coalesce(-F.col("trust_score"), F.lit(float("inf"))), date_rank(F.col("review_date")), F.col("review_id"))
-    marks = cut_lineage(late.select(*by, F.col("polarity").alias("_p"), at.alias("_at"), _step(F.col("trust_score")).alias("_s")))
-    inside = all_.join(marks.withColumn("_step", F.col("_s")), [*by, "_step"]).where(at < F.col("_at")).groupBy(*by, "_p").agg(F.count("*").alias("_n"))
+    late = cut_lineage(firsts.join(top.select(*by, "polarity").distinct(), [*by, "polarity"], "left_anti").select(*rows.columns))
+    score = F.col("trust_score")
+    at = F.struct(F.when(score.isNull(), 2).when(F.isnan(score), 0).otherwise(1), -score, F.col("_date"), F.col("review_id"))
+    marks = cut_lineage(late.select(*by, F.col("polarity").alias("_p"), at.alias("_at"), F.col("_step").alias("_s")))
+    near = taken(told.join(marks.select(cell[0], F.col("_s").alias("_step")).distinct(), [cell[0], "_step"], "left_semi"))
+    inside = near.join(marks.withColumn("_step", F.col("_s")), [*by, "_step"]).where(at < F.col("_at")).groupBy(*by, "_p").agg(F.count("*").alias("_n"))
     higher = counts.join(marks, by).where(F.col("_step") > F.col("_s")).select(*by, "_p", "_n")
     before = inside.union(higher).groupBy(*by, F.col("_p").alias("polarity")).agg((F.sum("_n") + 1).alias("quote_rank"))
-    near = top.unionByName(late.join(before, [*by, "polarity"]).select(*top.columns))
-    return near.withColumn("polarity_rank", F.row_number().over(Window.partitionBy(*by, "polarity").orderBy("quote_rank")).cast("long"))
+    found = top.unionByName(late.join(before, [*by, "polarity"]).select(*top.columns)).drop("_date", "_step")
+    return found.withColumn("polarity_rank", F.row_number().over(Window.partitionBy(*by, "polarity").orderBy("quote_rank")).cast("long"))
 
 
 def truncate(quotes: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:

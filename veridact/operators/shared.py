@@ -54,13 +54,18 @@ def spread(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     return df.repartition(n, *keys) if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) else df
 
 
+def tasks(spark: SparkSession, rows: int) -> int:
+    """Tasks of about TASK_ROWS rows, as many as a shuffle has at least."""
+    return max(-(-rows // TASK_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def spread_table(df: DataFrame, rows: int, *keys: str) -> DataFrame:
     """spread() of columns of a given table.
 
     A task reads as much of a given file as fits its bytes, millions of narrow rows. Where a shuffle would have it keep them all, they
     are written to a scratch table first.
     """
-    n = max(-(-rows // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = tasks(df.sparkSession, rows)
     many = n > UNSORTED and rows > 32 * FILE_ROWS * df.rdd.getNumPartitions()
     return spread(cut_lineage(df) if many else df, rows, *keys)
 
@@ -84,7 +89,7 @@ def dealt(df: DataFrame, by: list[str], order: list[Column], names: dict[str, li
 
     df is read twice (its ranges are drawn by sampling), so it should be a table. Ranges hold about TASK_ROWS rows.
     """
-    n = max(-(-df.count() // TASK_ROWS), int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    n = tasks(df.sparkSession, df.count())
     ranges = df.repartitionByRange(n, *map(F.col, by), *order).withColumn("_part", F.spark_partition_id())
     rows = ranges = cut_lineage(ranges)  # they must not be drawn twice
     if n > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):

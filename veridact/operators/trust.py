@@ -19,6 +19,11 @@ def ramp(length: Column, policy: TrustPolicy) -> Column:
     return F.round(t, 6)
 
 
+def hashed(reviews: DataFrame) -> DataFrame:
+    """reviews with content_hash and content_length."""
+    return reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.coalesce(F.char_length(strip(F.col("content"))), F.lit(0)))
+
+
 def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: DataFrame | None = None) -> DataFrame:
     """reviews with content_hash, content_length, six signals and trust_score.
 
@@ -28,18 +33,26 @@ def signals(reviews: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: Dat
     part in the score; if the rest weighs nothing, the policy is refused. A null content has length 0 and is no copy of any
     other; null likes are the lowest; repeated rows count as copies; an empty table gives an empty result.
     """
-    rows = reviews.withColumn("content_hash", content_hash(F.col("content"))).withColumn("content_length", F.coalesce(F.char_length(strip(F.col("content"))), F.lit(0)))
+    return weighed(hashed(reviews), policy, tagged)
+
+
+def weighed(rows: DataFrame, policy: TrustPolicy = TrustPolicy(), tagged: DataFrame | str | None = None) -> DataFrame:
+    """signals() of hashed(), which may be a table without the contents. tagged may name a column that is null where a review has no tag."""
+    given = rows.columns
     copies = cut_lineage(rows.where("content_hash is not null").groupBy("content_hash").agg(F.count("*").alias("copies")))  # a table: AQE splits a hot content
     rows = rows.join(copies, "content_hash", "left").withColumn("copies", F.coalesce("copies", F.lit(1).cast("long")))
     rows = rows.withColumn("s_length", ramp(F.col("content_length"), policy)).withColumn("s_unique", F.round(1 / F.col("copies"), 6))
     rows = percent_below(rows, "product_id", "likes", "s_likes").withColumn("s_likes", F.round("s_likes", 6))
     weights = [("s_length", policy.content_length), ("s_unique", policy.unique_content), ("s_likes", policy.likes)]
-    if tagged is not None:
+    if isinstance(tagged, str):
+        rows = rows.withColumn("s_topic", F.col(tagged).isNotNull().cast("double"))
+        weights.append(("s_topic", policy.on_topic))
+    elif tagged is not None:
         mark = tagged.select("review_id").distinct().withColumn("s_topic", F.lit(1.0))
         rows = rows.join(mark, "review_id", "left").withColumn("s_topic", F.coalesce("s_topic", F.lit(0.0)))
         weights.append(("s_topic", policy.on_topic))
     for c, mark, weight in (("has_photo", "s_photo", policy.has_photo), ("month_over", "s_usage", policy.usage_period)):
-        if c in reviews.columns:
+        if c in given:
             rows = rows.withColumn(mark, F.when(F.col(c), 1.0).otherwise(0.0))
             weights.append((mark, weight))
     total = sum(w for _, w in weights)

@@ -31,6 +31,12 @@ def measured(spark: SparkSession, d: str) -> DataFrame:
     return trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content")
 
 
+def told(spark: SparkSession, d: str) -> DataFrame:
+    """A review a row with its score and what it says (claims.told()), as a table. Lines are read once, contents hashed once."""
+    rows = gates.cut_lineage(trust.hashed(adapters.told(spark, d)).drop("content", "rating"))
+    return gates.cut_lineage(trust.weighed(rows, tagged="said").select("review_id", "product_id", "author", "skin_type", "troubles", "trust_score", "review_date", "said"))
+
+
 def gated(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(identity gate's rows, duplicate gate's rows, survivors) of the review view."""
     rows = adapters.reviews(spark, d)
@@ -157,7 +163,7 @@ def ranked_quotes(spark: SparkSession, d: str) -> DataFrame:
 
 
 def kept_quotes(spark: SparkSession, d: str) -> DataFrame:
-    found = layout.first_quotes(claims.cells(measured(spark, d)), adapters.tags(spark, d), CELL)
+    found = layout.first_told(told(spark, d), CELL, claims.cell_list())
     return layout.truncate(found, CELL).select(*CELL, "aspect", "review_id", "polarity", "quote_rank", "reserved")
 
 
@@ -478,11 +484,10 @@ def snapshot_guard(spark: SparkSession, d: str) -> DataFrame:
 
 def layout_text(spark: SparkSession, d: str) -> DataFrame:
     """The five stages of every candidate claim as text, without gates."""
-    rows = gates.cut_lineage(measured(spark, d))
-    member = claims.cells(rows)
-    found = gates.sufficiency_gate(claims.candidates(member, adapters.tags(spark, d))).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
+    rows = told(spark, d)
+    found = gates.sufficiency_gate(claims.told_candidates(rows)).withColumn("direction", stats.direction(F.col("pos"), F.col("neg")))
     found = gates.cut_lineage(conditions.cell_subjects(found, code_book(spark)))
-    shown = layout.truncate(gates.cut_lineage(layout.first_quotes(member, adapters.tags(spark, d), CELL)), CELL)
+    shown = layout.truncate(gates.cut_lineage(layout.first_told(rows, CELL, claims.cell_list())), CELL)
     return layout.render(found, shown, CELL).select(*CELL, "aspect", "layout")
 
 
