@@ -128,7 +128,7 @@ def test_members_and_tags_of_layouts_meet_in_more_tasks(spark, monkeypatch):
     assert dealt and min(dealt) > 4
 
 
-@pytest.mark.parametrize("name", ["layout_text"])
+@pytest.mark.parametrize("name", ["layout_text", "ranked_quotes"])
 def test_quotes_of_a_review_stay_together_until_they_are_counted(spark, monkeypatch, tmp_path, name):
     """A review makes 14 quotes of cells and aspects; before, each was written to scratch tables and shuffled."""
     import duckdb
@@ -164,6 +164,27 @@ def test_reviews_that_hold_what_they_say_equal_reviews_and_tags(spark):
     assert key(claims.told_candidates(shared.cut_lineage(rows))) == key(claims.candidates(member, adapters.tags(spark, where)))
 
 
+def test_ranks_over_many_ranges_equal_a_window(spark, monkeypatch):
+    """Null and NaN scores, ties, null cells, aspects and polarities, and groups that go over many ranges."""
+    from pyspark.sql import Window
+
+    from veridact.operators.trust import rank_order
+
+    monkeypatch.setattr(shared, "TASK_ROWS", 50)
+    n = F.col("id")
+    score = F.when(n % 97 == 0, None).when(n % 89 == 0, F.lit(float("nan"))).otherwise(F.round(F.pmod(n * 7919, F.lit(50)) / 50, 2))
+    date = F.when(n % 31 > 0, F.concat(F.lit("2020.01.0"), n % 7 + 1))
+    base = spark.range(800).select(F.when(n % 5 > 0, F.concat(F.lit("p"), n % 2)).alias("product_id"), F.explode(F.array(F.lit("x"), F.concat(F.lit("y"), n % 3), F.lit(None).cast("string"))).alias("segment"), n.alias("review_id"), score.alias("trust_score"), date.alias("review_date"))
+    polarity = F.when(n % 11 == 0, None).when(n % 13 == 0, "odd").when(n % 3 == 0, "negative").otherwise("positive")
+    tags = spark.range(800).where(n % 7 > 0).select(n.alias("review_id"), F.explode(F.array(F.lit("a"), F.when(n % 4 > 0, "b"))).alias("aspect"), polarity.alias("polarity"))
+    cell = ["product_id", "segment"]
+    place = lambda *keys: F.row_number().over(Window.partitionBy(*keys).orderBy(*rank_order()))
+    want = base.join(tags, "review_id").withColumn("quote_rank", place(*cell, "aspect")).withColumn("polarity_rank", place(*cell, "aspect", "polarity"))
+    got = layout.ranked_quotes(base, tags, cell)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect())) and got.count() > 3000
+    assert layout.ranked_quotes(base.where("false"), tags, cell).collect() == []
+
+
 def test_noise_thresholds_pass_over_the_numbers_once(spark):
     """Numbers of a million tags; before, each number tried was summed anew."""
     sizes = spark.range(1_000_000, 1_000_040).select(F.col("id").alias("n"))

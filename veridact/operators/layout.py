@@ -8,8 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import date_rank
 from ..schemas import MAX_QUOTES
 from . import claims
-from .shared import cut_lineage, dealt, same
-from .trust import rank_order
+from .shared import cut_lineage, same, tasks
 
 
 def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFrame:
@@ -17,9 +16,33 @@ def ranked_quotes(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFr
 
     Only what ranks and names a quote is carried; texts are joined to the few that are shown.
     """
-    rows = cut_lineage(member.select(*cell, "review_id", "trust_score", "review_date").join(tags, "review_id"))
+    return ranked_told(cut_lineage(_packed(member, tags, cell)), cell, F.col("cells"))
+
+
+def ranked_told(told: DataFrame, cell: list[str], cells: Column) -> DataFrame:
+    """ranked_quotes() of claims.told(), a table; cells are a review's, as arrays of the fields of cell[1:].
+
+    A review has one place in the order, whatever its cells: reviews are dealt by ranges of (cell[0], order), ranges of about
+    TASK_ROWS quotes, and a range's quotes are made and numbered in its task, by the review's place in it. Each number is
+    raised by the quotes of earlier ranges, so a group of any size is shared by many tasks. Polarities are few.
+    """
     by = [*cell, "aspect"]
-    return dealt(rows, by, rank_order(), {"quote_rank": [], "polarity_rank": ["polarity"]})
+    told = told.where("said is not null").withColumn("_date", date_rank(F.col("review_date")))
+    order = [F.desc("trust_score"), F.asc("_date"), F.asc("review_id")]
+    n = tasks(told.sparkSession, claims.told_rows(told, cells))
+    ranges = cut_lineage(told.repartitionByRange(n, F.col(cell[0]), *order).withColumn("_part", F.spark_partition_id()))  # they must not be drawn twice
+    keys = ["_part", *by, "polarity"]
+    counts = cut_lineage(claims.apart(ranges, ["_part", cell[0]], cells).groupBy(*keys).agg(F.count("*").alias("_n")))
+    earlier = lambda *own: F.coalesce(F.sum("_n").over(Window.partitionBy(*own).orderBy("_part").rangeBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    before = cut_lineage(counts.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)], earlier(*by).alias("_all"), earlier(*by, "polarity").alias("_own")))
+    placed = ranges.repartitionById(n, "_part").withColumn("_place", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
+    rows = claims.apart(placed, ["_part", cell[0], "review_id", "trust_score", "review_date", "_place"], cells)
+    here = Window.partitionBy("_part", *by).orderBy("_place")
+    known = [F.col("polarity").eqNullSafe(F.lit(p)) for (p,) in counts.select("polarity").distinct().collect()]
+    count = lambda p: F.count(F.when(p, 1)).over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumn("_n", F.row_number().over(here)).withColumn("_p", F.coalesce(*[F.when(p, count(p)) for p in known], F.lit(0)))
+    rows = rows.join(before, same(rows, before, keys))
+    return rows.select("review_id", *cell, "trust_score", "review_date", "aspect", "polarity", (F.col("_all") + F.col("_n")).alias("quote_rank"), (F.col("_own") + F.col("_p")).alias("polarity_rank"))
 
 
 #: Reviews of a product's first step, about; each further one has as many as all before it.

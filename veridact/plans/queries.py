@@ -26,11 +26,6 @@ def scored(spark: SparkSession, d: str) -> DataFrame:
     return trust.ranked(trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content"))
 
 
-def measured(spark: SparkSession, d: str) -> DataFrame:
-    """scored() without the rank, which quotes don't need: they are ordered by score, date and id."""
-    return trust.signals(adapters.reviews(spark, d), tagged=adapters.tags(spark, d)).drop("content")
-
-
 def told(spark: SparkSession, d: str) -> DataFrame:
     """A review a row with its score and what it says (claims.told()), as a table. Lines are read once, contents hashed once."""
     rows = gates.cut_lineage(trust.hashed(adapters.told(spark, d)).drop("content", "rating"))
@@ -158,7 +153,7 @@ def shade_counts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def ranked_quotes(spark: SparkSession, d: str) -> DataFrame:
-    found = layout.ranked_quotes(claims.cells(measured(spark, d)), adapters.tags(spark, d), CELL)
+    found = layout.ranked_told(told(spark, d), CELL, claims.cell_list())
     return found.select(*CELL, "aspect", "review_id", "polarity", "quote_rank", "polarity_rank")
 
 
