@@ -128,7 +128,7 @@ def test_members_and_tags_of_layouts_meet_in_more_tasks(spark, monkeypatch):
     assert dealt and min(dealt) > 4
 
 
-@pytest.mark.parametrize("name", ["layout_text", "ranked_quotes"])
+@pytest.mark.parametrize("name", ["layout_text", "ranked_quotes", "layout_rows"])
 def test_quotes_of_a_review_stay_together_until_they_are_counted(spark, monkeypatch, tmp_path, name):
     """A review makes 14 quotes of cells and aspects; before, each was written to scratch tables and shuffled."""
     import duckdb
