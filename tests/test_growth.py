@@ -164,6 +164,26 @@ def test_reviews_that_hold_what_they_say_equal_reviews_and_tags(spark):
     assert key(claims.told_candidates(shared.cut_lineage(rows))) == key(claims.candidates(member, adapters.tags(spark, where)))
 
 
+@pytest.mark.parametrize("places", [2, 7])
+def test_few_quotes_are_sorted_where_scores_tie(spark, monkeypatch, places):
+    """Of one score nearly throughout, steps are of months; where scores differ beyond four places, they aren't. Before, all quotes of the score were sorted."""
+    monkeypatch.setattr(layout, "STEP_ROWS", 8, raising=False)
+    n = F.col("id")
+    score = F.when(n % 97 == 0, None).when(n % 89 == 0, F.lit(float("nan"))).when(n % 50 == 0, 0.9).otherwise(F.round(0.5 + F.pmod(n * 7919, F.lit(40)) / 4e6, places))
+    date = F.when(n % 31 > 0, F.format_string("20%02d.%02d.%02d", (n % 20).cast("int"), (n % 12 + 1).cast("int"), (n % 28 + 1).cast("int")))
+    member = spark.range(4000).select(F.when(n % 5 > 0, F.concat(F.lit("p"), n % 2)).alias("product_id"), F.lit("x").alias("segment"), n.alias("review_id"), score.alias("trust_score"), date.alias("review_date"))
+    tags = spark.range(4000).select(n.alias("review_id"), F.lit("a").alias("aspect"), F.when((n % 3 == 1) & (n % 20 == 1), "negative").when(n == 777, "neutral").otherwise("positive").alias("polarity"))
+    cell = ["product_id", "segment"]
+    want = layout.ranked_quotes(member, tags, cell).where("quote_rank <= 8 or polarity_rank = 1")
+    sizes, save = [], layout.cut_lineage
+    monkeypatch.setattr(layout, "cut_lineage", lambda df: sizes.append((df.columns, (made := save(df)).count())) or made)
+    got = layout.first_quotes(member, tags, cell)
+    keep = lambda df: sorted(str((r.product_id, r.review_id, r.polarity, r.quote_rank)) for r in df.collect() if r.product_id is not None)
+    assert keep(got) == keep(want) and any(r.quote_rank > 8 for r in want.collect())
+    if places == 2:
+        assert max(n for c, n in sizes if "polarity" in c and "review_id" in c) < 2000
+
+
 def test_ranks_over_many_ranges_equal_a_window(spark, monkeypatch):
     """Null and NaN scores, ties, null cells, aspects and polarities, and groups that go over many ranges."""
     from pyspark.sql import Window

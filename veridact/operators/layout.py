@@ -50,16 +50,21 @@ STEP_ROWS = 1024
 
 
 def _steps(told: DataFrame, lead: str) -> DataFrame:
-    """told with _step, higher for higher scores, in the order of rank_order(): NaN first, null last.
+    """told with _step, higher for what comes first, in the order of rank_order(): NaN first, null last.
 
-    Steps are drawn from counts of the scores' ten-thousandths, so the first ones are small whatever the scores, and they are few.
+    Steps are drawn from counts of the scores' ten-thousandths, by month where all of one share a score, so the first ones
+    are small though most reviews may have one score, and they are few.
     """
     score = F.col("trust_score")
-    fine = told.withColumn("_fine", F.when(score.isNull(), -(1 << 62)).when(F.isnan(score), 1 << 62).otherwise(F.floor(score * 10_000).cast("long")))
-    counts = fine.groupBy(lead, "_fine").agg(F.count("*").alias("_n"))
-    before = F.coalesce(F.sum("_n").over(Window.partitionBy(lead).orderBy(F.desc("_fine")).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    steps = cut_lineage(counts.select(F.col(lead).alias("_r0"), F.col("_fine").alias("_r1"), (-F.floor(F.log2(before / STEP_ROWS + 1))).alias("_step")))
-    return fine.join(steps, same(fine, steps, [lead, "_fine"])).select(*told.columns, "_step")
+    fine = told.withColumn("_fine", F.when(score.isNull(), -(1 << 62)).when(F.isnan(score), 1 << 62).otherwise(F.round(score * 10_000).cast("long"))).withColumn("_month", F.substring("_date", 1, 7))
+    counts = fine.groupBy(lead, "_fine", "_month").agg(F.count("*").alias("_n"), F.min(score).alias("_lo"), F.max(score).alias("_hi"))
+    of = Window.partitionBy(lead, "_fine")
+    counts = counts.withColumn("_by", F.when(F.min("_lo").over(of).eqNullSafe(F.max("_hi").over(of)), F.col("_month")))
+    upto = F.sum("_n").over(Window.partitionBy(lead).orderBy(F.desc("_fine"), F.asc("_by")))  # peers count together
+    before = upto - F.sum("_n").over(Window.partitionBy(lead, "_fine", "_by"))
+    keys = [lead, "_fine", "_month"]
+    steps = cut_lineage(counts.select(*[F.col(c).alias(f"_r{i}") for i, c in enumerate(keys)], (-F.floor(F.log2(before / STEP_ROWS + 1))).alias("_step")))
+    return fine.join(steps, same(fine, steps, keys)).select(*told.columns, "_step")
 
 
 def first_quotes(member: DataFrame, tags: DataFrame, cell: list[str], k: int = MAX_QUOTES) -> DataFrame:
@@ -77,14 +82,14 @@ def _packed(member: DataFrame, tags: DataFrame, cell: list[str]) -> DataFrame:
 def first_told(told: DataFrame, cell: list[str], cells: Column, k: int = MAX_QUOTES) -> DataFrame:
     """first_quotes() of claims.told(), a table; cells are a review's, as arrays of the fields of cell[1:].
 
-    Rows are counted by steps of the score first; only those of the steps that hold a group's k first, or a polarity's
+    Rows are counted by steps of score and date first; only those of the steps that hold a group's k first, or a polarity's
     first, are sorted, so no task sorts all rows. A polarity's first beyond the k is numbered by the counts of the steps
     before it and by what stands before it in its own. Rows that tie in score and date go by review_id; null
     scores are last.
     """
     by = [*cell, "aspect"]
     keep = [cell[0], "review_id", "trust_score", "review_date", "_date", "_step"]
-    told = _steps(told.where("said is not null"), cell[0]).withColumn("_date", date_rank(F.col("review_date")))  # computed once, not at each comparison
+    told = _steps(told.where("said is not null").withColumn("_date", date_rank(F.col("review_date"))), cell[0])  # the date's rank is computed once, not at each comparison
     taken = lambda some: claims.apart(some, keep, cells).select("review_id", *cell, "trust_score", "review_date", "aspect", "polarity", "_date", "_step")
     counts = cut_lineage(taken(told).groupBy(*by, "polarity", "_step").agg(F.count("*").alias("_n")))
     above = Window.partitionBy(*by).orderBy(F.desc("_step"))  # peers count together
